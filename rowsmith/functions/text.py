@@ -173,9 +173,16 @@ def drop_blank_lines(text: Column | str) -> Column:
     return F.array_join(F.filter(F.split(unify_newlines(text), "\n", -1), has_ink), "\n")
 
 
+# The edge of an ASCII word, spelt out: what \b means differs between Java versions.
+ASCII_EDGE = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+
+
 def search_pattern(needle: str, regex: bool = False, case: bool = False, word: bool = False) -> str:
-    """The Java pattern for a needle; raises ``re.error``-free: validity is Spark's to judge."""
-    source = needle if regex else re.sub(r"([.*+?^${}()|\[\]\\])", r"\\\1", needle)
+    """The pattern for a needle; plain text matches itself, a whole word has edges in any alphabet."""
+    if regex:
+        source = re.sub(r"(?<!\\)((?:\\\\)*)\\b", lambda m: m.group(1) + ASCII_EDGE, needle)
+    else:
+        source = re.sub(r"([.*+?^${}()|\[\]\\])", r"\\\1", needle)
     if word:
         source = f"(?<!{WORD_CHAR})(?:{source})(?!{WORD_CHAR})"
     return source if case else f"(?iu){source}"

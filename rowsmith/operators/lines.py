@@ -197,6 +197,22 @@ def laps(events: DataFrame, by: list[str], ts: str, tie: str, hot_rows: int = or
     )
 
 
+def session_laps(
+    events: DataFrame, by: list[str], ts: str, tie: str, gap_seconds: int = 1800, hot_rows: int = ordered.HOT_ROWS
+) -> DataFrame:
+    """Laps grouped into sessions that end after ``gap_seconds`` without an event."""
+    timed = laps(events, by, ts, tie, hot_rows)
+    opens = F.when((F.col("lap_no") == 1) | (F.col("lap_us") >= gap_seconds * 1_000_000), 1).otherwise(0)
+    marked = timed.withColumn("_opens", opens)
+    numbered = ordered.scan(marked, by, [F.col("lap_no")], running={"session_no": "_opens"}, hot_rows=hot_rows)
+    within = F.when(F.col("_opens") == 0, F.col("lap_us"))
+    return numbered.groupBy(*by, "session_no").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.coalesce(F.sum(within), F.lit(0)).alias("length_us"),
+        F.max(within).alias("longest_lap_us"),
+    )
+
+
 def marker_audit(marks: DataFrame, by: str, seq: str, kind: str, label: str) -> DataFrame:
     """Check that START and END markers nest, file by file.
 

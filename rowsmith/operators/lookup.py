@@ -37,20 +37,23 @@ def rates_by_day(rates: DataFrame, until) -> DataFrame:
     """
     w = Window.partitionBy("currency").orderBy("rate_date")
     last = F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.greatest(F.lit(until).cast("date"), "rate_date"))
-    return rates.select(
-        "currency", "rate", "rate_date", F.explode(F.sequence("rate_date", last)).alias("day")
-    )
+    spans = rates.select("currency", "rate", "rate_date", last.alias("_last"))
+    return spans.select("currency", "rate", "rate_date", F.explode(F.sequence("rate_date", "_last")).alias("day"))
 
 
 def convert_asof(
-    df: DataFrame, date: str, amount: str, frm: str, to: str, rates: DataFrame, stale_days: int = 4
+    df: DataFrame, date: str, amount: str, frm: str, to: str, rates: DataFrame, stale_days: int = 4,
+    until=None,
 ) -> DataFrame:
     """Convert with the latest rates on or before the row's date.
 
+    ``until`` is the last date to expect; a batch looks it up, a stream has to say it.
+
     ``stale`` marks rows whose older rate lies more than ``stale_days`` back; rows
     before the first rate get NULL.
     """
-    until = df.agg(F.max(F.to_date(date))).first()[0]
+    if until is None:
+        until = df.agg(F.max(F.to_date(date))).first()[0]
     daily = rates_by_day(rates, until)
     a = _side(daily, _fc="currency", _fr="rate", _fd="rate_date", _fday="day")
     b = _side(daily, _tc="currency", _tr="rate", _td="rate_date", _tday="day")
@@ -91,6 +94,17 @@ def all_units(df: DataFrame, amount: str, frm: str, units: DataFrame) -> DataFra
     )
 
 
+def kitchen_grams(df: DataFrame, amount: str, unit: str, ingredient: str, units: DataFrame, densities: DataFrame) -> DataFrame:
+    """Grams of an ingredient measured by volume: litres times a thousand times its density."""
+    a = _side(units, _u="unit", _s="size")
+    b = _side(densities, _i="ingredient", _d="density")
+    return (
+        df.join(a, F.col(unit) == F.col("_u"), "left").join(b, F.col(ingredient) == F.col("_i"), "left")
+        .withColumn("grams", F.col(amount) * F.col("_s") * 1000.0 * F.col("_d"))
+        .drop("_u", "_s", "_i", "_d")
+    )
+
+
 def _scale(column: str, part: int) -> Column:
     pairs = [x for name, values in dims.SCALES.items() for x in (F.lit(name), F.lit(values[part]))]
     return F.try_element_at(F.create_map(*pairs), F.lower(column))

@@ -63,7 +63,7 @@ def char_frequency(docs: DataFrame, unit: str = "char", by: tuple[str, ...] = ()
         joined = tally.join(tally.groupBy(*by).agg(F.sum("n").alias("_total")), list(by))
     else:
         joined = tally.withColumn("_total", tally.agg(F.sum("n")).scalar())
-    return joined.withColumn("share_pct", F.round(100.0 * F.col("n") / F.col("_total"), 6)).drop("_total")
+    return joined.withColumn("share_pct", 100.0 * F.col("n") / F.col("_total")).drop("_total")
 
 
 def numeric_summary(df: DataFrame, value: str, by: list[str], hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
@@ -175,7 +175,7 @@ def page_weight(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"), F.sum("_raw").alias("raw_bytes"), F.sum("_small").alias("squeezed_bytes")
     )
     return summed.withColumn(
-        "saved_pct", F.round(100.0 * (F.col("raw_bytes") - F.col("squeezed_bytes")) / F.col("raw_bytes"), 6)
+        "saved_pct", F.try_divide(100.0 * (F.col("raw_bytes") - F.col("squeezed_bytes")), F.col("raw_bytes"))
     )
 
 
@@ -222,8 +222,8 @@ def readability(docs: DataFrame) -> DataFrame:
     per_word = F.try_divide(F.col("syllables").cast("double"), F.col("words").cast("double"))
     return counted.select(
         "*",
-        F.round(206.835 - 1.015 * per_sentence - 84.6 * per_word, 6).alias("ease"),
-        F.round(0.39 * per_sentence + 11.8 * per_word - 15.59, 6).alias("grade"),
+        (206.835 - 1.015 * per_sentence - 84.6 * per_word).alias("ease"),
+        (0.39 * per_sentence + 11.8 * per_word - 15.59).alias("grade"),
     )
 
 

@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from rowsmith.plans import lookups, texts  # noqa: F401
+from rowsmith.plans import dates, finance, lookups, texts  # noqa: F401

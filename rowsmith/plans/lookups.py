@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rowsmith import dims
@@ -278,15 +279,14 @@ def _(spark, sf):
 l AS (SELECT *, lag(amount) OVER (PARTITION BY o_orderstatus ORDER BY month) AS before FROM m)
 SELECT o_orderstatus, month, amount, round((amount - before) * 100.0 / nullif(abs(before), 0), 4) AS change_pct, amount * 18 / 100 AS eighteen_pct FROM l""")
 def _(spark, sf):
-    from pyspark.sql import Window
-
     monthly = table(spark, sf, "orders").groupBy("o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("amount")
     )
     # One row per status and month by now, so the window is small whatever the data.
     w = Window.partitionBy("o_orderstatus").orderBy("month")
-    change = F.round(corpus.pct_change(F.lag("amount").over(w), F.col("amount")), 4)
-    return monthly.withColumn("change_pct", change).withColumn("eighteen_pct", corpus.pct_of(F.lit(18.0), F.col("amount")))
+    change = corpus.pct_change(F.lag("amount").over(w), F.col("amount"))
+    out = monthly.withColumn("change_pct", change).withColumn("eighteen_pct", corpus.pct_of(F.lit(18.0), F.col("amount")))
+    return rounded(out, 4, "change_pct")
 
 
 _WEIGHTS = [(u, s) for k, u, s in dims.UNITS if k == "weight"]

@@ -37,7 +37,26 @@ def tidy(df: DataFrame) -> DataFrame:
 
 
 def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), places) for c in columns})
+    """Round through eight decimals first, so the last bits of a float sum cannot tip a tie."""
+    return df.withColumns({c: F.round(F.col(c).cast("decimal(30,8)"), places).cast("double") for c in columns})
+
+
+def _round_same_way(sql: str) -> str:
+    """Write every round(x, n) of the checking SQL the way ``rounded`` does it."""
+    at = sql.find("round(")
+    if at < 0:
+        return sql
+    depth, comma, end = 0, None, at + 5
+    for end in range(at + 5, len(sql)):
+        depth += (sql[end] == "(") - (sql[end] == ")")
+        if depth == 1 and sql[end] == ",":
+            comma = end
+        if depth == 0:
+            break
+    if comma is None:
+        return sql[: at + 6] + _round_same_way(sql[at + 6 :])
+    inner, places = _round_same_way(sql[at + 6 : comma]), sql[comma + 1 : end]
+    return f"{sql[:at]}CAST(ROUND(CAST({inner} AS DECIMAL(30,8)),{places}) AS DOUBLE)" + _round_same_way(sql[end + 1 :])
 
 
 # Shared pieces of the checking SQL; @NAME@ is replaced by the value.
@@ -75,7 +94,7 @@ def fill(sql: str) -> str:
             sql = sql.replace(f"@{name}@", value)
         if sql == before:
             break
-    return sql
+    return _round_same_way(sql)
 
 
 def query(name: str, sql: str | None = None):

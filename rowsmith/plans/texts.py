@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
 from rowsmith.operators import clean, corpus, lines, search
-from rowsmith.plans.registry import fill, pasted, query, rounded, table
+from rowsmith.plans.registry import pasted, query, rounded, table
 
 
 def _docs(spark, sf):
@@ -209,14 +209,14 @@ def _(spark, sf):
 @query("char_frequency", """WITH c AS (SELECT unnest(string_split(text, '')) AS char FROM documents), t AS (SELECT char, count(*) AS n FROM c WHERE char <> '' GROUP BY char)
 SELECT char, n, round(100.0 * n / sum(n) OVER (), 6) AS share_pct FROM t""")
 def _(spark, sf):
-    return corpus.char_frequency(_docs(spark, sf))
+    return rounded(corpus.char_frequency(_docs(spark, sf)), 6, "share_pct")
 
 
 @query("word_frequency_by_lang", """WITH c AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}'']+')) AS word FROM documents),
 t AS (SELECT lang, word, count(*) AS n FROM c WHERE word <> '' GROUP BY ALL)
 SELECT lang, word, n, round(100.0 * n / sum(n) OVER (PARTITION BY lang), 6) AS share_pct FROM t""")
 def _(spark, sf):
-    return corpus.char_frequency(_docs(spark, sf), "word", ("lang",))
+    return rounded(corpus.char_frequency(_docs(spark, sf), "word", ("lang",)), 6, "share_pct")
 
 
 @query("invisible_audit", """WITH @PASTED@, c AS (SELECT source, unnest(regexp_extract_all(text, '@INVISIBLE@')) AS ch FROM pasted)
@@ -231,7 +231,7 @@ SELECT doc_id, words, sentences, CAST(syllables AS BIGINT) AS syllables,
   round(206.835 - 1.015 * (words / nullif(sentences, 0)) - 84.6 * (syllables / nullif(words, 0)), 6) AS ease,
   round(0.39 * (words / nullif(sentences, 0)) + 11.8 * (syllables / nullif(words, 0)) - 15.59, 6) AS grade FROM s""")
 def _(spark, sf):
-    return corpus.readability(_docs(spark, sf))
+    return rounded(corpus.readability(_docs(spark, sf)), 6, "ease", "grade")
 
 
 @query("hardest_sentences", """WITH s AS (SELECT doc_id, unnest(l) AS text, unnest(range(len(l))) AS sentence_no FROM (SELECT doc_id, @SENTENCE_LIST@ AS l FROM documents)),

@@ -30,7 +30,7 @@ def pick(n: int, *ids: Column) -> Column:
     """A whole number in [0, n) by hash; hashes in the short last band are drawn again."""
     band = (2**63 // n) * n
     tries = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda t: F.xxhash64(*ids, t).bitwiseAND(F.lit(2**63 - 1)))
-    first = F.get(F.filter(tries, lambda h: h < F.lit(band)), F.lit(0))
+    first = F.get(F.filter(tries, lambda h: h <= F.lit(band - 1)), F.lit(0))
     return F.coalesce(first, F.lit(0)) % n
 
 

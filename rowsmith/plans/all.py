@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from rowsmith.plans import dates, finance, lookups, pages, texts  # noqa: F401
+from rowsmith.plans import dates, files, finance, lookups, pages, samples, streams, texts  # noqa: F401

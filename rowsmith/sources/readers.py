@@ -61,8 +61,9 @@ def read_rates(spark: SparkSession, path: str) -> DataFrame:
     return snapshots.select(F.col("date").alias("rate_date"), F.explode(with_base).alias("currency", "rate"))
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CATALOG).json(path, multiLine=True)
+def read_catalog(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
+    """Catalogue rows, one JSON record per line or (``array_file``) one array per file."""
+    return spark.read.schema(CATALOG).json(path, multiLine=array_file)
 
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
@@ -79,4 +80,5 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as bytes: (path, length, content)."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "length", "content")

@@ -24,3 +24,15 @@ def append_rates(rates: DataFrame, path: str) -> None:
         rates.repartition("rate_date").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("rate_date").parquet(path)
     )
+
+
+def write_sitemap(urls: DataFrame, path: str) -> None:
+    """(loc, changefreq, priority) as XML files of url entries."""
+    urls.select("loc", "changefreq", "priority").write.mode("error").xml(path, rowTag="url", rootTag="urlset")
+
+
+def write_rate_snapshots(snapshots: DataFrame, path: str) -> None:
+    """One JSON object per date, in a folder of its own: (date, base, rates map)."""
+    body = F.to_json(F.struct(F.col("date").cast("string").alias("date"), "base", "rates"))
+    out = snapshots.select(F.col("date").alias("snapshot"), body.alias("value"))
+    out.repartition("snapshot").write.mode("error").partitionBy("snapshot").text(path)

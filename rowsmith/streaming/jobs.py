@@ -56,10 +56,20 @@ def doc_stats(docs: DataFrame) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, ts: str, horizon: str, ignore_case: bool = True, trim: bool = True) -> DataFrame:
-    """The first copy of a line wins for as long as the horizon remembers it."""
+    """The first copy of a line wins for as long as the horizon remembers it.
+
+    Copies that meet inside one Arrow batch are thinned before the shuffle, so a
+    line most documents share does not send every copy to the task of its key.
+    """
     rows = lines.explode_lines(docs, keep=("doc_id", ts))
     keyed = rows.withColumn("key", T.line_key("line", ignore_case, trim))
-    return keyed.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["key"])
+
+    def thin(batches):
+        for batch in batches:
+            yield batch.sort_values(ts, kind="stable").drop_duplicates("key")
+
+    thinned = keyed.mapInPandas(thin, keyed.schema)
+    return thinned.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["key"])
 
 
 def window_counts(

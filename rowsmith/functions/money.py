@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from rowsmith import dims
 
 
-def num(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(float(x))
-
-
 def emi(principal: Column, annual_rate: Column, months: Column) -> Column:
     """The level instalment; NULL unless principal and months are positive."""
     r = annual_rate / 1200.0
@@ -20,12 +16,12 @@ def emi(principal: Column, annual_rate: Column, months: Column) -> Column:
     return F.when((principal > 0) & (months > 0), level)
 
 
-def balance_after(principal: Column, annual_rate: Column, months: Column, k: Column) -> Column:
+def balance(principal: Column, monthly_rate: Column, instalment: Column, months: Column, k: Column) -> Column:
     """What is owed after k instalments; exactly zero after the last."""
-    r = annual_rate / 1200.0
-    g = F.pow(1 + r, k)
-    e = emi(principal, annual_rate, months)
-    owed = F.when(r == 0, principal - e * k).otherwise(principal * g - e * (g - 1) / r)
+    g = F.pow(1 + monthly_rate, k)
+    owed = F.when(monthly_rate == 0, principal - instalment * k).otherwise(
+        principal * g - instalment * (g - 1) / monthly_rate
+    )
     return F.when(k >= months, F.lit(0.0)).otherwise(owed)
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as white space, as a space look-alike, as invisible.
-WS = r"[\s\x{0B}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
-NON_WS = r"[^\s\x{0B}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+# \p{Z} holds the blank, U+00A0, U+1680, U+2000-200A, U+2028, U+2029, U+202F, U+205F and U+3000.
+WS = r"[\s\x{0B}\p{Z}\x{FEFF}]"
+NON_WS = r"[^\s\x{0B}\p{Z}\x{FEFF}]"
+WS_CHARS = "\t\n\x0b\x0c\r   " + "".join(map(chr, range(0x2000, 0x200B))) + "    　﻿"
 SPACE_LIKE = r"[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 ZERO_WIDTH = r"[\x{200B}-\x{200D}\x{FEFF}]"
 INVISIBLE = r"[\x{00A0}\x{1680}\x{2000}-\x{200D}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -32,7 +34,7 @@ def unify_newlines(text: Column | str) -> Column:
 
 
 def js_trim(text: Column | str) -> Column:
-    return F.regexp_replace(_col(text), f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(_col(text), F.lit(WS_CHARS))
 
 
 def has_ink(text: Column | str) -> Column:
@@ -47,8 +49,8 @@ def split_lines(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    pieces = F.split(_col(text), f"{WS}+", -1)
-    return F.size(F.filter(pieces, lambda p: p.rlike(r"[\p{L}\p{N}]"))).cast("long")
+    """Pieces between white space that hold a letter or digit: each is met at its first one."""
+    return F.regexp_count(_col(text), F.lit(rf"[\p{{L}}\p{{N}}]{NON_WS}*+")).cast("long")
 
 
 def sentence_pieces(text: Column | str) -> Column:
@@ -66,7 +68,7 @@ def paragraph_count(text: Column | str) -> Column:
 
 
 def solid_length(text: Column | str) -> Column:
-    return F.length(F.regexp_replace(_col(text), WS, "")).cast("long")
+    return (F.length(_col(text)) - F.regexp_count(_col(text), F.lit(WS))).cast("long")
 
 
 def reading_label(words: Column) -> Column:
@@ -107,7 +109,8 @@ def natural_key(line: Column | str, ignore_case: bool = True) -> Column:
             F.concat(F.lpad(F.length(digits).cast("string"), 3, "0"), digits, rest),
         ).otherwise(part)
 
-    return F.array_join(F.transform(parts, padded), "")
+    numbered = F.array_join(F.transform(parts, padded), "")
+    return F.when(text.rlike("[0-9]"), numbered).otherwise(text)
 
 
 def first_number(line: Column | str) -> Column:

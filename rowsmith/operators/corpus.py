@@ -42,7 +42,9 @@ def top_words(docs: DataFrame, k: int = 5, by: tuple[str, ...] = ("doc_id",)) ->
     if not by:
         tally = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         return tally.orderBy(F.desc("n"), "word").limit(k)
-    first = F.min("_pos") if "doc_id" in by else F.min(F.struct("doc_id", "_pos"))
+    # One number per place keeps the tally a hash aggregate; a struct would sort.
+    place = F.col("_pos") if "doc_id" in by else F.col("doc_id").cast("decimal(20,0)") * 2**31 + F.col("_pos")
+    first = F.min(place)
     tally = words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"), first.alias("_first"))
     w = Window.partitionBy(*by).orderBy(F.desc("n"), "_first")
     return (

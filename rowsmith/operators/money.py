@@ -26,20 +26,19 @@ def loan_emi(loans: DataFrame) -> DataFrame:
 
 def amortise(loans: DataFrame, key: str, grain: str = "year") -> DataFrame:
     """Principal repaid, interest and balance per year (or month) of every loan."""
-    months = (F.col("years") * 12).cast("int")
     step = {"year": 12, "month": 1}[grain]
-    p, r = F.col("principal"), F.col("annual_rate")
-    rows = loans.where((p > 0) & (months > 0)).select(
-        key, "principal", "annual_rate", months.alias("_n"),
-        F.explode(F.sequence(F.lit(1), F.ceil(months / step).cast("int"))).alias(grain),
-    )
+    # What does not change within a loan is worked out once, before its rows are made.
+    fixed = loans.select(
+        key, "principal", (F.col("annual_rate") / 1200.0).alias("_r"), (F.col("years") * 12).cast("int").alias("_n"),
+        M.emi(F.col("principal"), F.col("annual_rate"), F.col("years") * 12).alias("_e"),
+    ).where("principal > 0 and _n > 0")
+    rows = fixed.select("*", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_n") / step).cast("int"))).alias(grain))
     end = F.least(F.col(grain) * step, F.col("_n"))
     begin = (F.col(grain) - 1) * step
-    before, after = M.balance_after(p, r, F.col("_n"), begin), M.balance_after(p, r, F.col("_n"), end)
-    paid = M.emi(p, r, F.col("_n")) * (end - begin)
-    return rows.select(
-        key, grain, (before - after).alias("repaid"), (paid - (before - after)).alias("interest"), after.alias("balance")
-    )
+    owed = lambda k: M.balance(F.col("principal"), F.col("_r"), F.col("_e"), F.col("_n"), k)
+    rows = rows.select(key, grain, owed(begin).alias("_before"), owed(end).alias("balance"), (F.col("_e") * (end - begin)).alias("_paid"))
+    repaid = F.col("_before") - F.col("balance")
+    return rows.select(key, grain, repaid.alias("repaid"), (F.col("_paid") - repaid).alias("interest"), "balance")
 
 
 def amortise_rollup(loans: DataFrame, key: str) -> DataFrame:
@@ -67,8 +66,8 @@ def prepay_effect(loans: DataFrame) -> DataFrame:
     p, n = F.col("principal"), F.col("years") * 12
     r = F.col("annual_rate") / 1200.0
     base = loans.withColumn("_e", M.emi(p, F.col("annual_rate"), n)).withColumn("_r", r)
-    e, r = F.col("_e"), F.col("_r")
-    g = F.pow(1 + r, F.lit(12))
+    base = base.withColumn("_g", F.pow(1 + F.col("_r"), F.lit(12)))
+    e, r, g = F.col("_e"), F.col("_r"), F.col("_g")
 
     def one_year(state: Column, _: Column) -> Column:
         owed = state["owed"]

@@ -29,9 +29,11 @@ def shuffle(df: DataFrame, key: str, seed: str, hot_rows: int = ordered.HOT_ROWS
 def pick(n: int, *ids: Column) -> Column:
     """A whole number in [0, n) by hash; hashes in the short last band are drawn again."""
     band = (2**63 // n) * n
-    tries = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda t: F.xxhash64(*ids, t).bitwiseAND(F.lit(2**63 - 1)))
-    first = F.get(F.filter(tries, lambda h: h <= F.lit(band - 1)), F.lit(0))
-    return F.coalesce(first, F.lit(0)) % n
+    result = F.lit(0).cast("long")
+    for attempt in (3, 2, 1, 0):
+        h = F.xxhash64(*ids, F.lit(attempt)).bitwiseAND(F.lit(2**63 - 1))
+        result = F.when(h <= F.lit(band - 1), h).otherwise(result)
+    return result % n
 
 
 def sample_range(spark: SparkSession, lo: int, hi: int, k: int, repeat: bool, seed: str) -> DataFrame:

@@ -8,12 +8,12 @@ from rowsmith import dims
 from rowsmith.functions import money as M
 from rowsmith.operators import money
 from rowsmith.plans.registry import query, rounded, table
-from rowsmith.session import broadcast_if_small
+from rowsmith.session import broadcast_if_small, spread
 
 
 def _loans(spark, sf):
     k = F.col("o_orderkey")
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders"), "o_orderkey").select(
         k.alias("loan_id"), F.col("o_totalprice").alias("principal"),
         F.when(k % 97 == 0, 0.0).otherwise(6 + (k % 90) / 10.0).alias("annual_rate"), (1 + k % 30).alias("years"),
     )

@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from rowsmith.functions import text as T
+from rowsmith.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# Tables whose rows are heavy work each, and the key that spreads them when they come in few pieces.
+HEAVY = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df, HEAVY[name]) if name in HEAVY else df
 
 
 def tidy(df: DataFrame) -> DataFrame:

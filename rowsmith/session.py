@@ -63,3 +63,14 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     if df.limit(rows + 1).count() <= rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of an input that comes in fewer pieces than there are cores.
+
+    A table of many files is returned as it is: it never pays for this shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df

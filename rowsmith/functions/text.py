@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # \p{Z} holds the blank, U+00A0, U+1680, U+2000-200A, U+2028, U+2029, U+202F, U+205F and U+3000.
 WS = r"[\s\x{0B}\p{Z}\x{FEFF}]"
 NON_WS = r"[^\s\x{0B}\p{Z}\x{FEFF}]"
-WS_CHARS = "\t\n\x0b\x0c\r   " + "".join(map(chr, range(0x2000, 0x200B))) + "    　﻿"
+WS_CHARS = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACE_LIKE = r"[\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 ZERO_WIDTH = r"[\x{200B}-\x{200D}\x{FEFF}]"
 INVISIBLE = r"[\x{00A0}\x{1680}\x{2000}-\x{200D}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -268,7 +268,7 @@ def slug(text: Column | str) -> Column:
 
 # Entities in the order they are decoded; the ampersand comes last.
 ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
     ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 ]
 

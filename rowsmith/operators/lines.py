@@ -152,13 +152,12 @@ def order_violations(
     df: DataFrame, by: list[str], key: str, sequence: list[str], hot_rows: int = ordered.HOT_ROWS
 ) -> DataFrame:
     """Rows that come before their predecessor in A-Z order, and the place they belong."""
+    split = ordered.needs_split(df, by, hot_rows)
     keyed = df.withColumn("_key", F.lower(key))
     seen = ordered.scan(
-        keyed, by, [F.col(c) for c in sequence], position="place", previous={"_before": "_key"}, hot_rows=hot_rows
-    )
-    wanted = ordered.scan(
-        seen, by, [F.col("_key"), *[F.col(c) for c in sequence]], position="belongs_at", hot_rows=hot_rows
+        keyed, by, [F.col(c) for c in sequence], position="place", previous={"_before": "_key"}, split=split
     )
+    wanted = ordered.scan(seen, by, [F.col("_key"), *[F.col(c) for c in sequence]], position="belongs_at", split=split)
     return wanted.where(F.col("_key") < F.col("_before")).select(
         *df.columns, F.col("_before").alias("previous_key"), "place", "belongs_at"
     )
@@ -166,12 +165,13 @@ def order_violations(
 
 def streaks(df: DataFrame, by: list[str], order: list[str], value: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
     """Every run of the same outcome: outcome, length and the place it starts."""
+    split = ordered.needs_split(df, by, hot_rows)
     marked = ordered.scan(
         df.select(*by, *order, value), by, [F.col(c) for c in order],
-        position="_pos", previous={"_prev": value}, hot_rows=hot_rows,
+        position="_pos", previous={"_prev": value}, split=split,
     )
     marked = marked.withColumn("_starts", F.when(F.col(value).eqNullSafe(F.col("_prev")) & (F.col("_pos") > 1), 0).otherwise(1))
-    runs = ordered.scan(marked, by, [F.col("_pos")], running={"_run": "_starts"}, hot_rows=hot_rows)
+    runs = ordered.scan(marked, by, [F.col("_pos")], running={"_run": "_starts"}, split=split)
     return runs.groupBy(*by, "_run", value).agg(
         F.count(F.lit(1)).alias("length"), F.min("_pos").alias("starts_at")
     ).drop("_run")
@@ -184,11 +184,14 @@ def longest_streak(df: DataFrame, by: list[str], order: list[str], value: str, h
     return runs.groupBy(*by).agg(best.alias("_best")).select(*by, "_best.*")
 
 
-def laps(events: DataFrame, by: list[str], ts: str, tie: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def laps(
+    events: DataFrame, by: list[str], ts: str, tie: str, hot_rows: int = ordered.HOT_ROWS, split: bool | None = None
+) -> DataFrame:
     """Microseconds since the previous event and since the first one, per key."""
     micros = events.select(*by, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"))
     out = ordered.scan(
-        micros, by, [F.col("at_us"), F.col(tie)], position="lap_no", previous={"_prev": "at_us"}, hot_rows=hot_rows
+        micros, by, [F.col("at_us"), F.col(tie)], position="lap_no", previous={"_prev": "at_us"},
+        hot_rows=hot_rows, split=split,
     )
     out = out.withColumn("lap_us", F.coalesce(F.col("at_us") - F.col("_prev"), F.lit(0)))
     first = micros.groupBy(*by).agg(F.min("at_us").alias("_first"))
@@ -201,10 +204,11 @@ def session_laps(
     events: DataFrame, by: list[str], ts: str, tie: str, gap_seconds: int = 1800, hot_rows: int = ordered.HOT_ROWS
 ) -> DataFrame:
     """Laps grouped into sessions that end after ``gap_seconds`` without an event."""
-    timed = laps(events, by, ts, tie, hot_rows)
+    split = ordered.needs_split(events, by, hot_rows)
+    timed = laps(events, by, ts, tie, split=split)
     opens = F.when((F.col("lap_no") == 1) | (F.col("lap_us") >= gap_seconds * 1_000_000), 1).otherwise(0)
     marked = timed.withColumn("_opens", opens)
-    numbered = ordered.scan(marked, by, [F.col("lap_no")], running={"session_no": "_opens"}, hot_rows=hot_rows)
+    numbered = ordered.scan(marked, by, [F.col("lap_no")], running={"session_no": "_opens"}, split=split)
     within = F.when(F.col("_opens") == 0, F.col("lap_us"))
     return numbered.groupBy(*by, "session_no").agg(
         F.count(F.lit(1)).alias("events"),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith import dims
+from rowsmith.operators import ordered
 from rowsmith.session import broadcast_if_small
 
 
@@ -147,45 +148,66 @@ def pace_minutes_per_km(metres_per_second: Column) -> Column:
     return F.try_divide(F.lit(1000.0 / 60.0), metres_per_second)
 
 
-def nearest(df: DataFrame, value: str, group: str, dim: DataFrame, dim_group: str, by: str, order: str) -> DataFrame:
+CHART_ROWS = 1_000
+
+
+def nearest(
+    df: DataFrame, value: str, group: str, dim: DataFrame, dim_group: str, by: str, order: str,
+    chart_rows: int = CHART_ROWS, hot_rows: int = ordered.HOT_ROWS,
+) -> DataFrame:
     """The row of ``dim`` closest to ``value`` within the group; the earlier row on ties.
 
-    Adds the chart row's columns, ``gap``, ``off_chart`` and ``exact``. Each chart
-    row is turned into the span up to the next one, so a value meets exactly one
-    span (its lower neighbour) and compares two gaps. The join is on the group; a
-    chart past the broadcast bound is still joined on the group by a shuffle.
+    Adds the chart row's columns, ``gap``, ``off_chart`` and ``exact``. Every value is
+    given its lower and upper neighbour and compares two gaps. A small chart is
+    broadcast as spans between neighbouring rows; a bigger one is sorted together
+    with the values and carried along, so no value ever meets a whole chart.
     """
-    w = Window.partitionBy(dim_group).orderBy(by, order)
-    one = dim.groupBy(dim_group, by).agg(F.min_by(F.struct(*dim.columns), order).alias("_row"), F.min(order).alias(order))
-    spans = one.select(
-        F.col(dim_group).alias("_g"),
-        F.col(by).alias("_lo"), F.col("_row").alias("_lo_row"),
-        F.lead(by).over(w).alias("_hi"), F.lead("_row").over(w).alias("_hi_row"),
-        (F.row_number().over(w) == 1).alias("_first"),
-        F.min(by).over(Window.partitionBy(dim_group)).alias("_least"),
-        F.max(by).over(Window.partitionBy(dim_group)).alias("_most"),
-    )
-    spans = broadcast_if_small(spans)
-    v = F.col(value)
-    in_span = (
-        (F.col(group) == F.col("_g"))
-        & (F.col("_first") | (v >= F.col("_lo")))
-        & (F.col("_hi").isNull() | (v < F.col("_hi")))
+    one = dim.groupBy(F.col(dim_group).alias("_g"), F.col(by).alias("_v")).agg(
+        F.min_by(F.struct(*dim.columns), order).alias("_row")
     )
-    gap_lo, gap_hi = F.abs(F.col("_lo") - v), F.abs(F.col("_hi") - v)
-    earlier_is_hi = F.col(f"_hi_row.{order}") < F.col(f"_lo_row.{order}")
-    take_hi = F.col("_hi").isNotNull() & ((gap_hi < gap_lo) | ((gap_hi == gap_lo) & earlier_is_hi))
-    row = F.when(take_hi, F.col("_hi_row")).otherwise(F.col("_lo_row"))
-    joined = df.join(spans, in_span, "left").withColumn("_row", row).withColumn(
+    span = _neighbours_by_span if dim.count() <= chart_rows else _neighbours_by_sort
+    joined = span(df, value, group, one, hot_rows)
+    v, lo, hi = F.col(value), F.col(f"_lo.{by}"), F.col(f"_hi.{by}")
+    gap_lo, gap_hi = F.abs(lo - v), F.abs(hi - v)
+    earlier = F.col(f"_hi.{order}") < F.col(f"_lo.{order}")
+    take_hi = v.isNotNull() & hi.isNotNull() & (lo.isNull() | (gap_hi < gap_lo) | ((gap_hi == gap_lo) & earlier))
+    joined = joined.withColumn("_row", F.when(take_hi, F.col("_hi")).otherwise(F.col("_lo"))).withColumn(
         "gap", F.when(take_hi, gap_hi).otherwise(gap_lo)
     )
+    inside = lo.isNotNull() & (hi.isNotNull() | (lo == v))
     return joined.select(
-        *df.columns,
-        *[F.col(f"_row.{c}").alias(c) for c in dim.columns if c != dim_group],
-        "gap",
-        ((v < F.col("_least")) | (v > F.col("_most"))).alias("off_chart"),
-        (F.col("gap") <= 0.01).alias("exact"),
+        *df.columns, *[F.col(f"_row.{c}").alias(c) for c in dim.columns if c != dim_group], "gap",
+        F.when(F.col("gap").isNotNull(), ~inside).alias("off_chart"), (F.col("gap") <= 0.01).alias("exact"),
+    )
+
+
+def _neighbours_by_span(df, value, group, one, _):
+    w = Window.partitionBy("_g").orderBy("_v")
+    up = one.select("_g", F.col("_v").alias("_from"), F.lead("_v").over(w).alias("_to"), F.col("_row").alias("_lo"), F.lead("_row").over(w).alias("_hi"))
+    # The span before the first row, which has no lower neighbour.
+    first = one.groupBy("_g").agg(F.min("_v").alias("_to"), F.min_by("_row", "_v").alias("_hi"))
+    below = first.select("_g", F.lit(None).cast("double").alias("_from"), "_to", F.lit(None).cast(up.schema["_lo"].dataType).alias("_lo"), "_hi")
+    v = F.col(value)
+    on = (
+        (F.col(group) == F.col("_g"))
+        & (F.col("_from").isNull() | (v >= F.col("_from"))) & (F.col("_to").isNull() | (v < F.col("_to")))
+    )
+    return df.join(F.broadcast(up.unionByName(below)), on, "left")
+
+
+def _neighbours_by_sort(df, value, group, one, hot_rows):
+    columns = df.columns
+    mine = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), F.struct(*columns).alias("_data"), F.lit(None).cast(one.schema["_row"].dataType).alias("_row"))
+    chart = one.select("_g", F.col("_v").cast("double").alias("_v"), F.lit(None).cast(mine.schema["_data"].dataType).alias("_data"), "_row")
+    rows = mine.unionByName(chart).withColumn("_is_data", F.col("_data").isNotNull())
+    split = ordered.needs_split(rows, ["_g"], hot_rows)
+    # A chart row of the same value counts as the lower neighbour, so it sorts first.
+    tie = F.xxhash64(F.to_json("_data"))
+    rows = ordered.scan(rows, ["_g"], [F.col("_v"), F.col("_is_data"), tie], last_known={"_lo": "_row"}, split=split)
+    rows = ordered.scan(
+        rows, ["_g"], [F.col("_v").desc(), F.col("_is_data").desc(), tie], last_known={"_hi": "_row"}, split=split
     )
+    return rows.where("_is_data").select("_data.*", "_lo", "_hi")
 
 
 def neighbours(matched: DataFrame, dim: DataFrame, group: str, dim_group: str, order: str, reach: int = 2) -> DataFrame:

@@ -294,7 +294,7 @@ def allocate(
     total = F.col("_w").cast("decimal(19,0)")
     floor = F.expr("cast(_num div cast(_w as decimal(19,0)) as bigint)")
     exact = exact.withColumn("_floor", floor).withColumn("_rest", F.col("_num") % total)
-    spare = exact.groupBy(*by).agg((F.first(amount_paise) - F.sum("_floor")).alias("_spare"))
+    spare = exact.groupBy(*by).agg((F.max(amount_paise) - F.sum("_floor")).alias("_spare"))
     placed = ordered.scan(
         exact, by, [F.col("_rest").desc(), *[F.col(c) for c in order]], position="_place", hot_rows=hot_rows
     ).join(spare, by)

@@ -22,6 +22,11 @@ def biggest_group(df: DataFrame, keys: list[str]) -> int:
     return top or 0
 
 
+def needs_split(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether some key has more rows than one task should sort."""
+    return not keys or biggest_group(df, keys) > hot_rows
+
+
 def scan(
     df: DataFrame,
     keys: list[str],
@@ -32,6 +37,7 @@ def scan(
     running: dict[str, str] | None = None,
     last_known: dict[str, str] | None = None,
     hot_rows: int = HOT_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Add ordered columns per key. ``order`` must be total (end in a unique column).
 
@@ -39,9 +45,13 @@ def scan(
     previous    {new: source}  value of the row before, NULL on the first row
     running     {new: source}  sum of this and all earlier rows
     last_known  {new: source}  latest non-NULL value up to this row
+
+    ``split`` is the answer of ``needs_split`` when the caller already asked.
     """
     previous, running, last_known = previous or {}, running or {}, last_known or {}
-    if keys and biggest_group(df, keys) <= hot_rows:
+    if split is None:
+        split = needs_split(df, keys, hot_rows)
+    if not split:
         return _with_windows(df, keys, order, position, previous, running, last_known)
     return _split_scan(df, keys, order, position, previous, running, last_known)
 

@@ -119,6 +119,6 @@ def pasted(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as if pasted from a word processor: CRLF or blank runs, NBSP, zero-width, tabs."""
     brk = F.when(F.col("doc_id") % 2 == 0, ".\r\n").otherwise(".\n\n\n  \n")
     text = F.replace(F.col("text"), F.lit(". "), brk)
-    text = F.replace(text, F.lit(", "), F.lit(", "))
-    text = F.replace(text, F.lit(" de "), F.lit("\t​de  "))
+    text = F.replace(text, F.lit(", "), F.lit(",\u00a0"))
+    text = F.replace(text, F.lit(" de "), F.lit("\t\u200bde  "))
     return table(spark, sf, "documents").select("doc_id", "lang", "source", text.alias("text"))

@@ -76,51 +76,51 @@ def _split_scan(df, keys, order, position, previous, running, last_known):
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
     ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(
-        "_part", F.spark_partition_id()
+        "_scan_part", F.spark_partition_id()
     )
     local = materialise(
-        _with_windows(ranged, ["_part", *keys], order, "_row", previous, running, last_known), "scan"
+        _with_windows(ranged, ["_scan_part", *keys], order, "_scan_row", previous, running, last_known), "scan"
     )
 
     # One row per (partition, key). A key that reaches partition p from an earlier
     # one is the first key of p, so at most n rows survive the filter below: that
     # bound is what allows the broadcast.
-    edge = local.groupBy("_part", *keys).agg(
-        F.count(F.lit(1)).alias("_count"),
-        *[F.max_by(src, "_row").alias(f"_tail_{new}") for new, src in previous.items()],
-        *[F.max_by(new, "_row").alias(f"_sum_{new}") for new in running],
-        *[F.max_by(new, "_row").alias(f"_known_{new}") for new in last_known],
+    edge = local.groupBy("_scan_part", *keys).agg(
+        F.count(F.lit(1)).alias("_scan_count"),
+        *[F.max_by(src, "_scan_row").alias(f"_scan_tail_{new}") for new, src in previous.items()],
+        *[F.max_by(new, "_scan_row").alias(f"_scan_sum_{new}") for new in running],
+        *[F.max_by(new, "_scan_row").alias(f"_scan_known_{new}") for new in last_known],
     )
     # Without keys there is one edge row per partition, so one group of n rows.
-    by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part")
+    by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_scan_part")
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     carry = edge.select(
-        "_part",
+        "_scan_part",
         *keys,
-        F.sum("_count").over(before).alias("_before"),
-        *[F.lag(f"_tail_{new}").over(by_key).alias(f"_tail_{new}") for new in previous],
-        *[F.sum(f"_sum_{new}").over(before).alias(f"_sum_{new}") for new in running],
+        F.sum("_scan_count").over(before).alias("_scan_before"),
+        *[F.lag(f"_scan_tail_{new}").over(by_key).alias(f"_scan_tail_{new}") for new in previous],
+        *[F.sum(f"_scan_sum_{new}").over(before).alias(f"_scan_sum_{new}") for new in running],
         *[
-            F.last(f"_known_{new}", ignorenulls=True).over(before).alias(f"_known_{new}")
+            F.last(f"_scan_known_{new}", ignorenulls=True).over(before).alias(f"_scan_known_{new}")
             for new in last_known
         ],
-    ).where("_before > 0")
+    ).where("_scan_before > 0")
     carry = carry.select(
-        *[F.col(c).alias(f"_c_{c}") for c in ["_part", *keys]],
-        *[c for c in carry.columns if c not in ("_part", *keys)],
+        *[F.col(c).alias(f"_scan_c_{c}") for c in ["_scan_part", *keys]],
+        *[c for c in carry.columns if c not in ("_scan_part", *keys)],
     )
     on = F.lit(True)
-    for c in ["_part", *keys]:
-        on = on & local[c].eqNullSafe(carry[f"_c_{c}"])
+    for c in ["_scan_part", *keys]:
+        on = on & local[c].eqNullSafe(carry[f"_scan_c_{c}"])
     joined = local.join(F.broadcast(carry), on, "left")
 
     out = [F.col(c) for c in columns]
     if position:
-        out.append((F.col("_row") + F.coalesce("_before", F.lit(0))).cast("long").alias(position))
+        out.append((F.col("_scan_row") + F.coalesce("_scan_before", F.lit(0))).cast("long").alias(position))
     for new in previous:
-        out.append(F.when(F.col("_row") == 1, F.col(f"_tail_{new}")).otherwise(F.col(new)).alias(new))
+        out.append(F.when(F.col("_scan_row") == 1, F.col(f"_scan_tail_{new}")).otherwise(F.col(new)).alias(new))
     for new in running:
-        carried = F.col(f"_sum_{new}")
+        carried = F.col(f"_scan_sum_{new}")
         out.append(
             F.when(carried.isNull(), F.col(new))
             .when(F.col(new).isNull(), carried)
@@ -128,5 +128,5 @@ def _split_scan(df, keys, order, position, previous, running, last_known):
             .alias(new)
         )
     for new in last_known:
-        out.append(F.coalesce(F.col(new), F.col(f"_known_{new}")).alias(new))
+        out.append(F.coalesce(F.col(new), F.col(f"_scan_known_{new}")).alias(new))
     return joined.select(*out)

@@ -59,7 +59,7 @@ MAX_COPIES = 100_000
 
 def replicated_chars(df: DataFrame, n: int, text: str = "text", sep: str = "\n", number: bool = False) -> int:
     """How many characters ``replicate`` would make, before making any."""
-    digits = sum(min(n, 10**d - 1) - 10 ** (d - 1) + 1 for d in range(1, len(str(n)) + 1))
+    digits = sum(n - 10 ** (d - 1) + 1 for d in range(1, len(str(n)) + 1))
     extra = (digits + 2 * n if number else 0) + n * len(sep)
     return df.agg(F.sum(F.length(text).cast("long") * n + extra)).first()[0] or 0
 

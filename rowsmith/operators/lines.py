@@ -128,17 +128,20 @@ def number_corpus_lines(
     return lines.withColumn("number", number).withColumn("numbered", number_prefix(number, sep, pad)).drop("_offset")
 
 
+def _line_counts(old: DataFrame, new: DataFrame, on: tuple[str, ...], text: str) -> DataFrame:
+    a = explode_lines(old, text, on).select(*on, "line", F.lit(1).alias("in_old"), F.lit(0).alias("in_new"))
+    b = explode_lines(new, text, on).select(*on, "line", F.lit(0).alias("in_old"), F.lit(1).alias("in_new"))
+    return a.unionByName(b).groupBy(*on, "line").agg(F.sum("in_old").alias("in_old"), F.sum("in_new").alias("in_new"))
+
+
 def diff(old: DataFrame, new: DataFrame, on: tuple[str, ...], text: str = "text") -> DataFrame:
-    """Lines only in the old text, only in the new one, in both, and those that
-    differ in white space you cannot see alone. Copies count: a multiset diff.
+    """How many lines are only in the old text, only in the new one, in both, and how
+    many differ in white space you cannot see alone. Copies count: a multiset diff.
     """
-    a = explode_lines(old, text, on).select(*on, "line", F.lit(1).alias("_o"), F.lit(0).alias("_n"))
-    b = explode_lines(new, text, on).select(*on, "line", F.lit(0).alias("_o"), F.lit(1).alias("_n"))
-    per_line = a.unionByName(b).groupBy(*on, "line").agg(F.sum("_o").alias("_o"), F.sum("_n").alias("_n"))
-    left = F.greatest(F.col("_o") - F.col("_n"), F.lit(0))
-    right = F.greatest(F.col("_n") - F.col("_o"), F.lit(0))
+    per_line = _line_counts(old, new, on, text)
+    left, right = F.greatest(F.expr("in_old - in_new"), F.lit(0)), F.greatest(F.expr("in_new - in_old"), F.lit(0))
     per_key = per_line.groupBy(*on, T.normalise_whitespace("line").alias("_k")).agg(
-        F.sum(F.least("_o", "_n")).alias("_both"), F.sum(left).alias("_left"), F.sum(right).alias("_right")
+        F.sum(F.least("in_old", "in_new")).alias("_both"), F.sum(left).alias("_left"), F.sum(right).alias("_right")
     )
     return per_key.groupBy(*on).agg(
         F.sum("_both").alias("common"),
@@ -148,6 +151,24 @@ def diff(old: DataFrame, new: DataFrame, on: tuple[str, ...], text: str = "text"
     )
 
 
+def diff_lines(old: DataFrame, new: DataFrame, on: tuple[str, ...], text: str = "text") -> DataFrame:
+    """The lines themselves: copies in the old and the new text, and a state.
+
+    "looks the same" marks a line missing on the other side where a line that differs
+    only in unseen white space stands instead.
+    """
+    per_line = _line_counts(old, new, on, text).withColumn("_k", T.normalise_whitespace("line"))
+    more_old, more_new = F.col("in_old") > F.col("in_new"), F.col("in_new") > F.col("in_old")
+    # Look-alikes of one line in one text; as few as its spellings.
+    w = Window.partitionBy(*on, "_k")
+    alike = (F.max(more_old.cast("int")).over(w) + F.max(more_new.cast("int")).over(w)) == 2
+    state = (
+        F.when(~more_old & ~more_new, "common").when(alike, "looks the same")
+        .when(more_old, "only old").otherwise("only new")
+    )
+    return per_line.select(*on, "line", "in_old", "in_new", state.alias("state"))
+
+
 def order_violations(
     df: DataFrame, by: list[str], key: str, sequence: list[str], hot_rows: int = ordered.HOT_ROWS
 ) -> DataFrame:

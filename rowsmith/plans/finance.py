@@ -90,6 +90,16 @@ def _(spark, sf):
     return rounded(money.flat_vs_reducing(_loans(spark, sf)).select("loan_id", *cols), 2, *cols)
 
 
+# Checked by putting the rate back into the instalment formula.
+@query("equivalent_rate", f"""WITH {_E}, f AS (SELECT loan_id, round((principal + principal * annual_rate * years / 100.0e0) / n, 2) AS flat_instalment FROM e)
+SELECT loan_id, flat_instalment, flat_instalment AS at_that_rate FROM f""")
+def _(spark, sf):
+    p, y = F.col("principal"), F.col("years")
+    rows = money.flat_vs_reducing(_loans(spark, sf)).withColumn("rate", M.rate_for_emi(p, F.col("flat_instalment"), y * 12))
+    out = rows.withColumn("at_that_rate", M.emi(p, F.col("rate"), y * 12))
+    return rounded(out.select("loan_id", "flat_instalment", "at_that_rate"), 2, "flat_instalment", "at_that_rate")
+
+
 def _deposits(spark, sf, period="period"):
     k = F.col("o_orderkey")
     return table(spark, sf, "orders").select(

@@ -335,7 +335,7 @@ def _(spark, sf):
     return lines.session_laps(table(spark, sf, "events"), ["user_id"], "ts", "event_id")
 
 
-@query("order_violations", """WITH s AS (SELECT p_brand, p_partkey, p_name, lag(lower(p_name)) OVER w AS previous_key, row_number() OVER w AS place,
+@query("check_sorted", """WITH s AS (SELECT p_brand, p_partkey, p_name, lag(lower(p_name)) OVER w AS previous_key, row_number() OVER w AS place,
   row_number() OVER (PARTITION BY p_brand ORDER BY lower(p_name), p_partkey) AS belongs_at FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey))
 SELECT * FROM s WHERE lower(p_name) < previous_key""")
 def _(spark, sf):

@@ -280,13 +280,13 @@ def _(spark, sf):
 # Sets -----------------------------------------------------------------------------
 
 
-@query("symmetric_difference", """SELECT l_partkey AS part, 'a' AS only_in FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-06-01')
-UNION ALL SELECT l_partkey, 'b' FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-06-01' EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')""")
+@query("symmetric_difference", """WITH a AS (SELECT l_partkey AS part FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40), b AS (SELECT l_partkey AS part FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_quantity <= 10)
+SELECT part, 'a' AS only_in FROM (SELECT part FROM a EXCEPT SELECT part FROM b) UNION ALL SELECT part, 'b' FROM (SELECT part FROM b EXCEPT SELECT part FROM a)""")
 def _(spark, sf):
-    items = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("part"), "l_returnflag", "l_shipdate")
-    return sets.symmetric_difference(
-        items.where("l_returnflag = 'R'").select("part"), items.where("l_shipdate >= timestamp_ntz '2000-06-01'").select("part")
-    )
+    items = table(spark, sf, "lineitem")
+    part = F.col("l_partkey").alias("part")
+    a = items.where("l_returnflag = 'R' and l_quantity > 40").select(part)
+    return sets.symmetric_difference(a, items.where("l_shipdate >= timestamp_ntz '2000-01-01' and l_quantity <= 10").select(part))
 
 
 @query("subset_check", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 48)")

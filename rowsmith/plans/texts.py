@@ -139,26 +139,39 @@ def _(spark, sf):
     return lines.number_corpus_lines(_docs(spark, sf)).select("doc_id", "line_no", "number", "numbered")
 
 
-@query("text_diff", """WITH pairs AS (
+_TURNS = """pairs AS (
   SELECT conv_id, turn, text AS old, lead(turn) OVER w AS next_turn, lead(text) OVER w AS nxt
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 p AS (SELECT conv_id, turn, old, regexp_replace(nxt || chr(10) || replace(old, ' ', '  '), '\\r\\n?', chr(10), 'g') AS new
   FROM pairs WHERE next_turn = turn + 1),
 l AS (SELECT conv_id, turn, unnest(string_split(old, chr(10))) AS line, 1 AS o, 0 AS n FROM p WHERE old <> ''
   UNION ALL SELECT conv_id, turn, unnest(string_split(new, chr(10))), 0, 1 FROM p WHERE new <> ''),
-c AS (SELECT conv_id, turn, line, sum(o) AS o, sum(n) AS n FROM l GROUP BY ALL),
-k AS (SELECT conv_id, turn, trim(regexp_replace(line, ' {2,}', ' ', 'g')) AS key, sum(least(o, n)) AS b, sum(greatest(o - n, 0)) AS l, sum(greatest(n - o, 0)) AS r
-  FROM c GROUP BY ALL)
-SELECT conv_id, turn, CAST(sum(b) AS BIGINT) AS common, CAST(sum(l) AS BIGINT) AS only_old, CAST(sum(r) AS BIGINT) AS only_new,
-  CAST(sum(least(l, r)) AS BIGINT) AS invisible_only FROM k GROUP BY ALL""")
-def _(spark, sf):
+c AS (SELECT conv_id, turn, line, trim(regexp_replace(line, ' {2,}', ' ', 'g')) AS key, sum(o) AS o, sum(n) AS n FROM l GROUP BY ALL)"""
+
+
+def _turns(spark, sf):
+    """Every turn, and the next one followed by this one with doubled spaces, so some lines differ invisibly."""
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     nxt = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("_next"))
-    # The next turn followed by this one with doubled spaces, so some lines differ invisibly.
     both = turns.join(nxt, ["conv_id", "turn"]).withColumn(
         "_new", F.concat("_next", F.lit("\n"), F.replace("text", F.lit(" "), F.lit("  ")))
     )
-    return lines.diff(both.select("conv_id", "turn", "text"), both.select("conv_id", "turn", F.col("_new").alias("text")), ("conv_id", "turn"))
+    return both.select("conv_id", "turn", "text"), both.select("conv_id", "turn", F.col("_new").alias("text"))
+
+
+@query("text_diff", f"""WITH {_TURNS},
+k AS (SELECT conv_id, turn, key, sum(least(o, n)) AS b, sum(greatest(o - n, 0)) AS l, sum(greatest(n - o, 0)) AS r FROM c GROUP BY ALL)
+SELECT conv_id, turn, CAST(sum(b) AS BIGINT) AS common, CAST(sum(l) AS BIGINT) AS only_old, CAST(sum(r) AS BIGINT) AS only_new,
+  CAST(sum(least(l, r)) AS BIGINT) AS invisible_only FROM k GROUP BY ALL""")
+def _(spark, sf):
+    return lines.diff(*_turns(spark, sf), ("conv_id", "turn"))
+
+
+@query("text_diff_lines", f"""WITH {_TURNS}, s AS (SELECT *, bool_or(o > n) OVER w AND bool_or(n > o) OVER w AS alike FROM c WINDOW w AS (PARTITION BY conv_id, turn, key))
+SELECT conv_id, turn, line, CAST(o AS BIGINT) AS in_old, CAST(n AS BIGINT) AS in_new,
+  CASE WHEN o = n THEN 'common' WHEN alike THEN 'looks the same' WHEN o > n THEN 'only old' ELSE 'only new' END AS state FROM s""")
+def _(spark, sf):
+    return lines.diff_lines(*_turns(spark, sf), ("conv_id", "turn"))
 
 
 # Counting -------------------------------------------------------------------------

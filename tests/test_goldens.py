@@ -52,6 +52,9 @@ def test_prepayment(spark):
 def test_flat_rate(spark):
     row = money.flat_vs_reducing(loan(spark, 100_000, 10, 1)).first()
     assert (round(row.flat_instalment), round(row.reducing_instalment)) == (9167, 8792)
+    rate = value(spark, M.rate_for_emi(F.lit(100_000.0), F.lit(row.flat_instalment), F.lit(12)))
+    assert round(rate) == 18
+    assert value(spark, M.rate_for_emi(F.lit(100_000.0), F.lit(8000.0), F.lit(12))) is None
 
 
 @pytest.mark.parametrize("years,simple,yearly,quarterly", [(1, 107000, 107000, 107186), (5, 135000, 140255, 141478), (10, 170000, 196715, 200160), (20, 240000, 386968, 400639)])

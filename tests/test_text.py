@@ -162,6 +162,8 @@ def test_diff(spark):
     key = lambda text: spark.createDataFrame([(1, text)], "id int, text string")
     row = lines.diff(key("a\nb\nb\nc d"), key("b\na\nx\nc  d"), ("id",)).first()
     assert (row.common, row.only_old, row.only_new, row.invisible_only) == (2, 2, 2, 1)
+    states = {r.line: r.state for r in lines.diff_lines(key("a\nb\nb\nc d"), key("b\na\nx\nc  d"), ("id",)).collect()}
+    assert states == {"a": "common", "b": "only old", "x": "only new", "c d": "looks the same", "c  d": "looks the same"}
 
 
 def test_search_is_literal(spark):

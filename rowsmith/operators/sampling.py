@@ -27,12 +27,14 @@ def shuffle(df: DataFrame, key: str, seed: str, hot_rows: int = ordered.HOT_ROWS
 
 
 def pick(n: int, *ids: Column) -> Column:
-    """A whole number in [0, n) by hash; hashes in the short last band are drawn again."""
-    band = (2**63 // n) * n
+    """A whole number in [0, n) by hash; the hash's next digits are used where the first
+    fall in the short last band, so no number is favoured."""
+    digits = F.sha2(F.concat_ws(":", *[i.cast("string") for i in ids]), 256)
+    band = (2**60 // n) * n
     result = F.lit(0).cast("long")
-    for attempt in (3, 2, 1, 0):
-        h = F.xxhash64(*ids, F.lit(attempt)).bitwiseAND(F.lit(2**63 - 1))
-        result = F.when(h <= F.lit(band - 1), h).otherwise(result)
+    for start in (46, 31, 16, 1):
+        h = F.conv(F.substring(digits, start, 15), 16, 10).cast("long")
+        result = F.when(h < F.lit(band), h).otherwise(result)
     return result % n
 
 

@@ -27,7 +27,11 @@ def _(spark, sf):
     return sampling.sample_range(spark, 0, hi, k, False, "r1")
 
 
-@query("draws_per_row")
+def _pick(n: int, key: str) -> str:
+    return f"CAST('0x' || substr(sha256({key}), 1, 15) AS BIGINT) % {n}"
+
+
+@query("draws_per_row", f"""SELECT c_custkey, d AS draw_no, {_pick(90, "'lotto:' || CAST(c_custkey AS VARCHAR) || ':' || CAST(d AS VARCHAR)")} + 1 AS value FROM customer, range(1, 4) t(d)""")
 def _(spark, sf):
     return sampling.draws_per_row(table(spark, sf, "customer"), "c_custkey", 3, 1, 90, "lotto")
 
@@ -44,6 +48,15 @@ def _(spark, sf):
     return table(spark, sf, "benchmark").select("item_id", t.alias("t")).select("item_id", F.length("t").alias("chars"), F.md5("t").alias("text_md5"))
 
 
-@query("synthetic_corpus")
+_WORDS = "[" + ", ".join(f"'{w}'" for w in sampling.PLACEHOLDER_WORDS) + "]"
+
+
+@query("synthetic_corpus", f"""WITH d AS (SELECT doc_id, 'cicero:' || CAST(doc_id AS VARCHAR) || ':' AS k FROM documents),
+p AS (SELECT doc_id, k, unnest(range(0, {_pick(4, "k || 'p'")} + 3)) AS no FROM d),
+s AS (SELECT doc_id, no, k || CAST(no AS VARCHAR) || ':' AS k FROM p),
+n AS (SELECT *, {_pick(11, "k || 'n'")} + 8 AS n, {_pick(1000003, "k || 'c'")} AS c FROM s),
+t AS (SELECT doc_id, no, array_to_string(list_transform(range(0, n), lambda i: {_WORDS}[{_pick(len(sampling.PLACEHOLDER_WORDS), "k || CAST(i AS VARCHAR)")} + 1]
+  || CASE WHEN n > 11 AND i = c % greatest(n - 6, 1) + 3 THEN ',' ELSE '' END), ' ') AS x FROM n)
+SELECT doc_id, CASE WHEN doc_id = 0 THEN '{sampling.OPENER}. ' ELSE '' END || string_agg(upper(x[1]) || x[2:] || '.', ' ' ORDER BY no) AS text FROM t GROUP BY doc_id""")
 def _(spark, sf):
     return sampling.placeholder_text(table(spark, sf, "documents"), "doc_id", "cicero", classic=True)

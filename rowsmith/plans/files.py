@@ -63,23 +63,22 @@ def _(spark, sf):
 
 
 def snapshots(spark, sf):
-    """One snapshot per month from the rate history; a map of thirty currencies each."""
-    first = rates_history(spark, sf).where(F.dayofmonth("rate_date") <= 3)
-    per_day = first.groupBy(F.col("rate_date").alias("date")).agg(
+    """The rate history as one snapshot per day, a map of thirty currencies each."""
+    per_day = rates_history(spark, sf).groupBy(F.col("rate_date").alias("date")).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("currency", "rate")))).alias("rates")
     )
     per_day = per_day.withColumn("rates", F.map_filter("rates", lambda c, r: c != "EUR"))
     return per_day.select("date", F.lit("EUR").alias("base"), "rates")
 
 
-@query("read_rates", f"WITH {HISTORY_SQL} SELECT CAST(rate_date AS VARCHAR) AS rate_date, currency, CASE currency WHEN 'EUR' THEN 1 ELSE rate END AS rate FROM hist WHERE day(rate_date) <= 3")
+@query("read_rates", f"WITH {HISTORY_SQL} SELECT CAST(rate_date AS VARCHAR) AS rate_date, currency, CASE currency WHEN 'EUR' THEN 1 ELSE rate END AS rate FROM hist")
 def _(spark, sf):
     path = _fresh(spark, "rates")
     writers.write_rate_snapshots(snapshots(spark, sf), path)
-    return readers.read_rates(spark, f"{path}/*")
+    return readers.read_rates(spark, path, whole=False)
 
 
-@query("rates_validity", f"""WITH {HISTORY_SQL}, d AS (SELECT DISTINCT rate_date AS date FROM hist WHERE day(rate_date) <= 3),
+@query("rates_validity", f"""WITH {HISTORY_SQL}, d AS (SELECT DISTINCT rate_date AS date FROM hist),
 x AS (SELECT CAST(date AS VARCHAR) AS date, unnest([CASE WHEN month(date) = 2 THEN 'wrong base' END, CASE WHEN month(date) = 3 THEN 'too few currencies' END, CASE WHEN month(date) IN (3, 4) THEN 'no USD' END,
   CASE WHEN month(date) = 3 THEN 'no INR' END, CASE WHEN month(date) = 5 THEN 'a code is not three capitals' END, CASE WHEN month(date) = 6 THEN 'a rate is not above zero' END]) AS detail FROM d)
 SELECT date, 'rates' AS rule, 'error' AS severity, detail FROM x WHERE detail IS NOT NULL""")
@@ -93,14 +92,13 @@ def _(spark, sf):
 
 
 # January is written a second time with doubled rates: only its dates change.
-@query("upsert_snapshot", f"""WITH {HISTORY_SQL} SELECT CAST(rate_date AS VARCHAR) AS rate_date, currency, CASE WHEN month(rate_date) = 1 THEN rate * 2 ELSE rate END AS rate
-FROM hist WHERE day(rate_date) <= 3""")
+@query("upsert_snapshot", f"""WITH {HISTORY_SQL} SELECT CAST(rate_date AS VARCHAR) AS rate_date, currency, CASE WHEN month(rate_date) = 1 THEN rate * 2 ELSE rate END AS rate FROM hist""")
 def _(spark, sf):
     path = _fresh(spark, "upsert")
-    history = rates_history(spark, sf).where(F.dayofmonth("rate_date") <= 3)
+    history = rates_history(spark, sf)
     writers.append_rates(history, path)
     writers.append_rates(history.where(F.month("rate_date") == 1).withColumn("rate", F.col("rate") * 2), path)
-    return spark.read.schema("currency STRING, rate DOUBLE, rate_date DATE").parquet(path)
+    return readers.read_rate_history(spark, path)
 
 
 @query("write_lines", "WITH @LINES@ SELECT line, count(*) AS n FROM lines GROUP BY line")

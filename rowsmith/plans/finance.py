@@ -174,7 +174,7 @@ def _(spark, sf):
 
 def _sales(spark, sf):
     """Line items with the seller's and the buyer's state. Only the needed columns are joined."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     buyers = broadcast_if_small(table(spark, sf, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("buyer_state")))
     sellers = broadcast_if_small(table(spark, sf, "supplier").select(F.col("s_suppkey"), F.col("s_nationkey").alias("seller_state")))

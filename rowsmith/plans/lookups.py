@@ -6,9 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rowsmith import dims
-from rowsmith.functions import money as M
 from rowsmith.operators import corpus, lines, lookup
 from rowsmith.plans.registry import query, rounded, table
+from rowsmith.session import spread
 
 
 def dbl(x: float) -> str:
@@ -265,14 +265,14 @@ def _revenue():
 @query("share_of_total", f"""WITH t AS (SELECT l_returnflag, l_linestatus, CAST({_REVENUE} AS DOUBLE) AS amount FROM lineitem GROUP BY ALL)
 SELECT l_returnflag, l_linestatus, amount, round(amount * 100.0 / sum(amount) OVER (PARTITION BY l_returnflag), 6) AS share_pct FROM t""")
 def _(spark, sf):
-    out = corpus.share_of_total(table(spark, sf, "lineitem"), _revenue(), ["l_returnflag", "l_linestatus"], ["l_returnflag"])
+    out = corpus.share_of_total(spread(table(spark, sf, "lineitem"), "l_orderkey"), _revenue(), ["l_returnflag", "l_linestatus"], ["l_returnflag"])
     return rounded(out, 6, "share_pct")
 
 
 @query("share_of_grand_total", f"""WITH t AS (SELECT l_suppkey, CAST({_REVENUE} AS DOUBLE) AS amount FROM lineitem GROUP BY ALL)
 SELECT l_suppkey, amount, round(amount * 100.0 / (SELECT sum(amount) FROM t), 6) AS share_pct FROM t""")
 def _(spark, sf):
-    return rounded(corpus.share_of_total(table(spark, sf, "lineitem"), _revenue(), ["l_suppkey"]), 6, "share_pct")
+    return rounded(corpus.share_of_total(spread(table(spark, sf, "lineitem"), "l_orderkey"), _revenue(), ["l_suppkey"]), 6, "share_pct")
 
 
 @query("percent_change", """WITH m AS (SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM orders GROUP BY ALL),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 CATALOG = "slug STRING, name STRING, desc STRING, category STRING, keywords ARRAY<STRING>, popular BOOLEAN"
 RATES = "date DATE, base STRING, rates MAP<STRING, DOUBLE>"
+RATE_HISTORY = "rate_date DATE, currency STRING, rate DOUBLE, rate_month STRING"
 SITEMAP = "loc STRING, changefreq STRING, priority DOUBLE"
 
 
@@ -47,20 +48,25 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*walk(df.schema.fields, []))
 
 
-def read_rate_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """(date, base, rates): the JSON object of each file; a comment and an assignment may surround it."""
+def read_rate_snapshots(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """(date, base, rates): the JSON object of each file, or of each line with ``whole=False``;
+    a comment and an assignment may surround it."""
     body = F.regexp_extract("value", r"(?s)(\{.*\})", 1)
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.from_json(body, RATES).alias("r")).select("r.*")
+    return spark.read.text(path, wholetext=whole).select(F.from_json(body, RATES).alias("r")).select("r.*")
 
 
-def read_rates(spark: SparkSession, path: str) -> DataFrame:
+def read_rates(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
     """(rate_date, currency, rate), with the base itself at 1."""
-    snapshots = read_rate_snapshots(spark, path)
+    snapshots = read_rate_snapshots(spark, path, whole)
     with_base = F.map_concat("rates", F.create_map(F.col("base"), F.lit(1.0)))
     return snapshots.select(F.col("date").alias("rate_date"), F.explode(with_base).alias("currency", "rate"))
 
 
+def read_rate_history(spark: SparkSession, path: str) -> DataFrame:
+    """What ``writers.append_rates`` keeps: (rate_date, currency, rate)."""
+    return spark.read.schema(RATE_HISTORY).parquet(path).select("rate_date", "currency", "rate")
+
+
 def read_catalog(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
     """Catalogue rows, one JSON record per line or (``array_file``) one array per file."""
     return spark.read.schema(CATALOG).json(path, multiLine=array_file)

@@ -96,5 +96,5 @@ def test_rates_appended_once_per_date(spark, tmp_path):
     writers.append_rates(mk((1, "USD", 1.0), (2, "USD", 2.0)), path)
     for _ in range(2):
         writers.append_rates(mk((2, "USD", 9.0), (3, "USD", 3.0)), path)
-    got = spark.read.parquet(path).select(F.dayofmonth("rate_date"), "rate").collect()
+    got = readers.read_rate_history(spark, path).select(F.dayofmonth("rate_date"), "rate").collect()
     assert sorted(map(tuple, got)) == [(1, 1.0), (2, 9.0), (3, 3.0)]

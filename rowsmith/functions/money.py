@@ -16,11 +16,11 @@ def emi(principal: Column, annual_rate: Column, months: Column) -> Column:
     return F.when((principal > 0) & (months > 0), level)
 
 
-def rate_for_emi(principal: Column, instalment: Column, months: Column, steps: int = 60) -> Column:
+def rate_for_emi(principal: Column, instalment: Column, months: Column, steps: int = 44) -> Column:
     """The yearly reducing-balance rate, in percent, whose instalment this is.
 
-    Halves the interval 0-1000 % as often as a double can tell apart; NULL when the
-    instalments do not even repay the loan.
+    Halves the span from 0 to the rate at which the instalment would be all interest;
+    NULL when the instalments do not even repay the loan.
     """
 
     def halve(span: Column, _: Column) -> Column:
@@ -30,10 +30,13 @@ def rate_for_emi(principal: Column, instalment: Column, months: Column, steps: i
         low = level < instalment
         return F.struct(F.when(low, mid).otherwise(span["lo"]).alias("lo"), F.when(low, span["hi"]).otherwise(mid).alias("hi"))
 
-    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1000.0).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda s: (s["lo"] + s["hi"]) / 2)
-    # So close to zero the formula divides two roundings; the rate is zero.
-    return F.when(instalment * months >= principal * (1 - 1e-12), F.when(found < 1e-6, 0.0).otherwise(found))
+    def middle(span: Column) -> Column:
+        # So close to zero the formula divides two roundings; the rate is zero.
+        return F.when(span["hi"] < 1e-6, 0.0).otherwise((span["lo"] + span["hi"]) / 2)
+
+    start = F.struct(F.lit(0.0).alias("lo"), (instalment / principal * 1200.0).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, middle)
+    return F.when(instalment * months >= principal * (1 - 1e-12), found)
 
 
 def balance(principal: Column, monthly_rate: Column, instalment: Column, months: Column, k: Column) -> Column:

@@ -1,7 +1,9 @@
 """Rules over a page corpus. Each rule is an expression on one page's markup, so any
 number of rules costs one scan; only rules that compare pages with one another shuffle.
 
-A finding is (rule, severity, detail) next to the page's key.
+A finding is (rule, severity, detail) next to the page's key. A rule is called with the
+markup column and a dict of parts: costly pieces several findings need (a title, parsed
+structured data) are put there, worked out once per page and shared between rules.
 """
 
 from __future__ import annotations
@@ -12,9 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
-
-FINDING = "array<struct<rule string, severity string, detail string>>"
-
+from rowsmith.operators.corpus import host_of
 
 def finding(rule: str, severity: str, when: Column, detail: Column | str) -> Column:
     shown = F.lit(detail) if isinstance(detail, str) else detail.cast("string")
@@ -22,8 +22,16 @@ def finding(rule: str, severity: str, when: Column, detail: Column | str) -> Col
     return F.when(when, row)
 
 
-def placeholder_rule(phrases: list[str]) -> Callable[[Column], list[Column]]:
-    return lambda html: [finding("placeholder", "error", html.contains(p), f"still holds {p}") for p in phrases]
+Rule = Callable[[Column, dict[str, Column]], list[Column]]
+
+
+def part(parts: dict[str, Column], name: str, column: Column) -> Column:
+    parts[name] = column
+    return F.col(name)
+
+
+def placeholder_rule(phrases: list[str]) -> Rule:
+    return lambda html, parts: [finding("placeholder", "error", html.contains(p), f"still holds {p}") for p in phrases]
 
 
 def _inside(html: Column, pattern: str) -> tuple[Column, Column]:
@@ -31,10 +39,10 @@ def _inside(html: Column, pattern: str) -> tuple[Column, Column]:
     return html.rlike(pattern), T.js_trim(T.unescape_html(F.regexp_extract(html, pattern, 1)))
 
 
-def title_rule(longest: int = 62) -> Callable[[Column], list[Column]]:
-    def rule(html: Column) -> list[Column]:
+def title_rule(longest: int = 62) -> Rule:
+    def rule(html: Column, parts: dict[str, Column]) -> list[Column]:
         there, shown = _inside(html, r"(?s)<title>(.*?)</title>")
-        size = F.length(shown)
+        there, size = part(parts, "_has_title", there), part(parts, "_title_size", F.length(shown))
         return [
             finding("title", "error", ~there, "no title"),
             finding("title", "error", there & (size > longest), F.concat(F.lit("length "), size.cast("string"))),
@@ -43,10 +51,10 @@ def title_rule(longest: int = 62) -> Callable[[Column], list[Column]]:
     return rule
 
 
-def description_rule(shortest: int = 110, longest: int = 165) -> Callable[[Column], list[Column]]:
-    def rule(html: Column) -> list[Column]:
+def description_rule(shortest: int = 110, longest: int = 165) -> Rule:
+    def rule(html: Column, parts: dict[str, Column]) -> list[Column]:
         there, shown = _inside(html, r'(?s)<meta name="description" content="(.*?)"')
-        size = F.length(shown)
+        there, size = part(parts, "_has_desc", there), part(parts, "_desc_size", F.length(shown))
         return [
             finding("description", "error", ~there, "no description"),
             finding("description", "error", there & ~size.between(shortest, longest), F.concat(F.lit("length "), size.cast("string"))),
@@ -55,20 +63,20 @@ def description_rule(shortest: int = 110, longest: int = 165) -> Callable[[Colum
     return rule
 
 
-def heading_rule(html: Column) -> list[Column]:
-    n = F.regexp_count(html, F.lit("<h1>"))
+def heading_rule(html: Column, parts: dict[str, Column]) -> list[Column]:
+    n = part(parts, "_h1_count", F.regexp_count(html, F.lit("<h1>")))
     return [finding("h1", "error", n != 1, F.concat(n.cast("string"), F.lit(" headings")))]
 
 
-def canonical_rule(html: Column) -> list[Column]:
+def canonical_rule(html: Column, parts: dict[str, Column]) -> list[Column]:
     return [finding("canonical", "error", ~html.contains('rel="canonical"'), "no canonical tag")]
 
 
 JSON_LD = r'(?s)<script type="application/ld\+json">(.*?)</script>'
 
 
-def json_ld_rule(html: Column) -> list[Column]:
-    blocks = F.regexp_extract_all(html, F.lit(JSON_LD), F.lit(1))
+def json_ld_rule(html: Column, parts: dict[str, Column]) -> list[Column]:
+    blocks = part(parts, "_blocks", F.regexp_extract_all(html, F.lit(JSON_LD), F.lit(1)))
     bad = F.exists(blocks, lambda b: F.try_parse_json(b).isNull())
     return [
         finding("json_ld", "error", F.size(blocks) == 0, "no structured data"),
@@ -88,20 +96,19 @@ def _canonical(html: Column) -> Column:
     return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, 1))
 
 
-def article_rule(html: Column) -> list[Column]:
+def article_rule(html: Column, parts: dict[str, Column]) -> list[Column]:
     """Exactly one Article, saying what the page itself says."""
-    articles = _blocks_of(html, "Article")
+    articles = part(parts, "_articles", _blocks_of(html, "Article"))
     one = F.size(articles) == 1
     a = F.get(articles, F.lit(0))
     there, raw = html.rlike(r"(?s)<h1>(.*?)</h1>"), F.regexp_extract(html, r"(?s)<h1>(.*?)</h1>", 1)
-    heading = F.when(there, T.unescape_html(T.js_trim(F.regexp_replace(raw, r"\s+", " "))))
-    canon = _canonical(html)
+    heading = part(parts, "_heading", F.when(there, T.unescape_html(T.js_trim(F.regexp_replace(raw, r"\s+", " ")))))
+    canon = part(parts, "_canonical", _canonical(html))
     iso = r"^\d{4}-\d{2}-\d{2}$"
     day = lambda c: F.when(c.rlike(iso), F.try_to_date(c, "yyyy-MM-dd"))
     published, modified = day(a["datePublished"]), day(a["dateModified"])
-    printed = F.try_to_date(
-        F.regexp_extract(html, r"Updated (\d{1,2} [A-Z][a-z]+ \d{4})", 1), "d MMMM yyyy"
-    )
+    stamp = F.regexp_extract(html, r"Updated (\d{1,2} [A-Z][a-z]+ \d{4})", 1)
+    printed = part(parts, "_printed", F.try_to_date(stamp, "d MMMM yyyy"))
     dated = published.isNotNull() & modified.isNotNull()
     return [
         finding("article", "error", ~one, F.concat(F.size(articles).cast("string"), F.lit(" articles"))),
@@ -117,9 +124,10 @@ def article_rule(html: Column) -> list[Column]:
     ]
 
 
-def site_block_rule(html: Column) -> list[Column]:
+def site_block_rule(html: Column, parts: dict[str, Column]) -> list[Column]:
     """Exactly one WebSite block; its name starts the title, its url is canonical."""
-    sites = _blocks_of(html, "WebSite")
+    sites = part(parts, "_sites", _blocks_of(html, "WebSite"))
+    canon = part(parts, "_canonical", _canonical(html))
     one = F.size(sites) == 1
     s = F.get(sites, F.lit(0))
     title = T.unescape_html(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1))
@@ -127,25 +135,25 @@ def site_block_rule(html: Column) -> list[Column]:
     return [
         finding("site_block", "error", ~one, F.concat(F.size(sites).cast("string"), F.lit(" site blocks"))),
         finding("site_block", "error", one & ~named, "name does not start the title"),
-        finding("site_block", "error", one & named & ~s["url"].eqNullSafe(_canonical(html)), "url is not canonical"),
+        finding("site_block", "error", one & named & ~s["url"].eqNullSafe(canon), "url is not canonical"),
     ]
 
 
-def policy_rule(phrase: str = "Content-Security-Policy") -> Callable[[Column], list[Column]]:
-    return lambda html: [finding("policy", "error", ~html.contains(phrase), f"no {phrase}")]
+def policy_rule(phrase: str = "Content-Security-Policy") -> Rule:
+    return lambda html, parts: [finding("policy", "error", ~html.contains(phrase), f"no {phrase}")]
 
 
 # Calls that leave the page.
 NETWORK_CALLS = r"\bfetch\(|XMLHttpRequest|sendBeacon|new WebSocket|EventSource|importScripts"
 
 
-def network_rule(html: Column) -> list[Column]:
+def network_rule(html: Column, parts: dict[str, Column]) -> list[Column]:
     return [finding("network", "error", html.rlike(NETWORK_CALLS), F.regexp_extract(html, f"({NETWORK_CALLS})", 1))]
 
 
-def notice_rule(phrases: list[str]) -> Callable[[Column], list[Column]]:
-    def rule(html: Column) -> list[Column]:
-        lacking = F.array_compact(F.array(*[F.when(~html.contains(p), F.lit(p)) for p in phrases]))
+def notice_rule(phrases: list[str]) -> Rule:
+    def rule(html: Column, parts: dict[str, Column]) -> list[Column]:
+        lacking = part(parts, f"_lacking_{len(parts)}", F.array_compact(F.array(*[F.when(~html.contains(p), F.lit(p)) for p in phrases])))
         return [finding("notice", "error", F.size(lacking) > 0, F.concat(F.lit("lacks "), F.array_join(lacking, ", ")))]
 
     return rule
@@ -159,17 +167,19 @@ def version_stamps(html: Column) -> Column:
 HOSTILE = r"(?i)<script|<iframe|<[^>]*\son[a-z]+\s*=|javascript:"
 
 
-def hostile_rule(text: Column) -> list[Column]:
+def hostile_rule(text: Column, parts: dict[str, Column]) -> list[Column]:
     return [finding("hostile", "warning", text.rlike(HOSTILE), F.regexp_extract(text, f"({HOSTILE})", 1))]
 
 
-def audit(pages: DataFrame, rules: list[Callable[[Column], list[Column]]], key: str = "page_id", html: str = "html") -> DataFrame:
+def audit(pages: DataFrame, rules: list[Rule], key: str = "page_id", html: str = "html") -> DataFrame:
     """All rules over all pages in one pass: (key, rule, severity, detail)."""
-    found = [f for rule in rules for f in rule(F.col(html))]
-    return pages.select(key, F.inline(F.array_compact(F.array(*found))))
+    parts: dict[str, Column] = {}
+    found = [f for rule in rules for f in rule(F.col(html), parts)]
+    ready = pages.select(key, html, *[column.alias(name) for name, column in parts.items()])
+    return ready.select(key, F.inline(F.array_compact(F.array(*found))))
 
 
-# Rules that look beyond one page ------------------------------------------------
+# Rules that look beyond one page
 
 
 def page_path(url: Column) -> Column:
@@ -195,17 +205,15 @@ def resolve(base: Column, href: Column) -> Column:
 
 def links(pages: DataFrame) -> DataFrame:
     """Internal links: (page_id, host, href, target path)."""
-    host = F.regexp_extract("url", r"^[a-z]+://([^/?#:]+)", 1)
     hrefs = F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"#?:]+)(?:\?[^"]*)?"'), F.lit(1)))
-    out = pages.select("page_id", host.alias("host"), page_path(F.col("url")).alias("_base"), hrefs.alias("href"))
+    out = pages.select("page_id", host_of().alias("host"), page_path(F.col("url")).alias("_base"), hrefs.alias("href"))
     out = out.where(~F.col("href").startswith("//"))
     return out.select("page_id", "host", "href", resolve(F.col("_base"), F.col("href")).alias("target"))
 
 
 def known_paths(pages: DataFrame) -> DataFrame:
-    host = F.regexp_extract("url", r"^[a-z]+://([^/?#:]+)", 1)
     path = page_path(F.col("url"))
-    return pages.select(host.alias("host"), resolve(path, path).alias("target")).distinct()
+    return pages.select(host_of().alias("host"), resolve(path, path).alias("target")).distinct()
 
 
 def dead_links(pages: DataFrame) -> DataFrame:

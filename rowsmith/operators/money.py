@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith import dims
 from rowsmith.functions import money as M
 from rowsmith.operators import ordered
 
@@ -285,18 +284,23 @@ def allocate(
     """Split each group's whole amount by weight so the parts add up exactly.
 
     Everyone gets the floor; the leftover paise go to the largest remainders, ties
-    by ``order``. Whole-number arithmetic throughout.
+    by ``order``. Whole-number arithmetic throughout. A refund is split like the amount
+    without its sign; a group without any weight gets NULL.
     """
-    totals = df.groupBy(*by).agg(F.sum(weight).alias("_w"))
-    exact = df.join(totals, by).withColumn(
-        "_num", F.col(amount_paise).cast("decimal(19,0)") * F.col(weight).cast("decimal(19,0)")
-    )
-    total = F.col("_w").cast("decimal(19,0)")
-    floor = F.expr("cast(_num div cast(_w as decimal(19,0)) as bigint)")
-    exact = exact.withColumn("_floor", floor).withColumn("_rest", F.col("_num") % total)
-    spare = exact.groupBy(*by).agg((F.max(amount_paise) - F.sum("_floor")).alias("_spare"))
+    totals = df.groupBy(*by).agg(F.nullif(F.sum(F.col(weight).cast("long")), F.lit(0)).alias("_w"))
+    exact = df.join(totals, by).withColumn("_a", F.abs(F.col(amount_paise)).cast("long")).withColumn("_m", F.col(weight).cast("long"))
+    # amount * weight = (amount div total) * total * weight + (amount % total) * weight: the second
+    # product stays in 64 bits while the total weight is under 3e9; above that decimals take over.
+    wide = "cast(_a % _w as decimal(19,0)) * cast(_m as decimal(19,0))"
+    exact = exact.withColumn("_floor", F.expr(
+        f"(_a div _w) * _m + case when _w < 3000000000 then ((_a % _w) * _m) div _w else cast({wide} div cast(_w as decimal(19,0)) as bigint) end"
+    )).withColumn("_rest", F.expr(
+        f"case when _w < 3000000000 then ((_a % _w) * _m) % _w else cast({wide} % cast(_w as decimal(19,0)) as bigint) end"
+    ))
+    spare = exact.groupBy(*by).agg((F.max("_a") - F.sum("_floor")).alias("_spare"))
     placed = ordered.scan(
         exact, by, [F.col("_rest").desc(), *[F.col(c) for c in order]], position="_place", hot_rows=hot_rows
     ).join(spare, by)
     share = F.col("_floor") + F.when(F.col("_place") <= F.col("_spare"), 1).otherwise(0)
-    return placed.select(*df.columns, share.cast("long").alias("share_paise"))
+    signed = F.when(F.col(amount_paise) < 0, -share).otherwise(share)
+    return placed.select(*df.columns, signed.cast("long").alias("share_paise"))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from rowsmith.plans.lookups import HISTORY_SQL, _MONEY_SQL, CODES, pick, rates_history
+from rowsmith.plans.lookups import CODES, pick, rates_history
 from rowsmith.plans.registry import ORACLES, query, table
 from rowsmith.plans.texts import _DOC_STATS
 from rowsmith.session import scratch_dir

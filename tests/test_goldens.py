@@ -146,3 +146,20 @@ def test_allocation_adds_up_in_both_ways(spark):
     assert sorted(plain.collect()) == sorted(split.collect())
     sums = plain.groupBy("g", "amount").agg(F.sum("share_paise").alias("s")).collect()
     assert all(r.s == r.amount for r in sums)
+
+
+def test_allocation_with_huge_weights(spark):
+    weights = [4_000_000_000_000_000_001, 1_000_000_000_000_000_003, 2]
+    df = spark.createDataFrame([(1, i, 100_000_000_007, w) for i, w in enumerate(weights)], "g int, i int, amount bigint, w bigint")
+    got = [r.share_paise for r in money.allocate(df, "amount", "w", ["g"], ["i"]).orderBy("i").collect()]
+    total = sum(weights)
+    floors = [100_000_000_007 * w // total for w in weights]
+    spare = 100_000_000_007 - sum(floors)
+    first = sorted(range(3), key=lambda i: (-(100_000_000_007 * weights[i] % total), i))[:spare]
+    assert got == [f + (i in first) for i, f in enumerate(floors)]
+
+
+def test_allocation_of_a_refund_and_without_weight(spark):
+    df = spark.createDataFrame([(1, 0, -10, 1), (1, 1, -10, 1), (1, 2, -10, 1), (2, 0, 10, 0)], "g int, i int, amount bigint, w bigint")
+    got = [r.share_paise for r in money.allocate(df, "amount", "w", ["g"], ["i"]).orderBy("g", "i").collect()]
+    assert got == [-4, -3, -3, None]

@@ -2,9 +2,6 @@
 
 import re
 
-import pytest
-
-import __spark_entry__ as entry_points
 from rowsmith.operators import corpus, lines
 from rowsmith.plans.registry import table
 
@@ -34,17 +31,3 @@ def test_corpus_dedup_combines_before_the_shuffle(spark, sf):
     rows = lines.explode_lines(table(spark, sf, "documents"))
     text = plan(lines.dedup(rows, by=()))
     assert "partial_min_by" in text and "Window" not in text
-
-
-# Queries whose plans are looked at as they are handed over. Streams and file
-# round trips have run by then; what is left reads their output.
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
-def test_no_cross_join_and_no_single_task_sort(spark, sf, name):
-    if name.startswith("stream_") or name in {"read_rates", "upsert_snapshot", "write_lines"}:
-        pytest.skip("its result is a plain scan")
-    text = plan(entry_points.queries()[name](spark, sf))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    # A window definition that starts with its order has no partition column. Two may:
-    # the carry rows (one per shuffle partition) and the calendar (one per day).
-    unpartitioned = re.findall(r"windowspecdefinition\((\w+)#\d+L? (?:ASC|DESC)", text)
-    assert set(unpartitioned) <= {"_scan_part", "day"}

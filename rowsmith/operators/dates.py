@@ -72,9 +72,9 @@ def working_days(
 ) -> DataFrame:
     """Working days after ``a`` up to and including ``b``: two look-ups and a subtraction."""
     low, high = _date_span(df, F.col(a), F.col(b))
-    cal = working_calendar(df.sparkSession, low, high, weekend, holidays)
-    start = broadcast_if_small(cal.select(F.col("day").alias("_d1"), F.col("upto").alias("_n1")))
-    end = broadcast_if_small(cal.select(F.col("day").alias("_d2"), F.col("upto").alias("_n2")))
+    cal = broadcast_if_small(working_calendar(df.sparkSession, low, high, weekend, holidays))
+    start = cal.select(F.col("day").alias("_d1"), F.col("upto").alias("_n1"))
+    end = cal.select(F.col("day").alias("_d2"), F.col("upto").alias("_n2"))
     joined = df.join(start, F.col(a) == F.col("_d1"), "left").join(end, F.col(b) == F.col("_d2"), "left")
     count = F.greatest(F.col("_n2") - F.col("_n1"), F.lit(0))
     return joined.withColumn("working_days", count.cast("long")).drop("_d1", "_n1", "_d2", "_n2")
@@ -99,9 +99,9 @@ def add_working_days(
     # At least one working day in seven plus the holidays bounds how far ahead to look.
     off = holidays.count()
     ahead = high + timedelta(days=int(most) * 7 + off + 14)
-    cal = working_calendar(df.sparkSession, low, ahead, weekend, holidays)
-    start = broadcast_if_small(cal.select(F.col("day").alias("_d1"), F.col("upto").alias("_n1")))
-    goal = broadcast_if_small(cal.where("is_working = 1").select(F.col("day").alias("shifted"), F.col("upto").alias("_n2")))
+    cal = broadcast_if_small(working_calendar(df.sparkSession, low, ahead, weekend, holidays))
+    start = cal.select(F.col("day").alias("_d1"), F.col("upto").alias("_n1"))
+    goal = cal.where("is_working = 1").select(F.col("day").alias("shifted"), F.col("upto").alias("_n2"))
     joined = df.join(start, F.col(date) == F.col("_d1"), "left")
     return joined.join(goal, F.col("_n1") + F.col(n) == F.col("_n2"), "left").drop("_d1", "_n1", "_n2")
 

@@ -16,11 +16,13 @@ from rowsmith.session import broadcast_if_small
 
 
 def _side(df: DataFrame, **names: str) -> DataFrame:
-    return broadcast_if_small(df.select(*[F.col(src).alias(new) for new, src in names.items()]))
+    """Columns under new names; a broadcast hint on ``df`` holds for the result too."""
+    return df.select(*[F.col(src).alias(new) for new, src in names.items()])
 
 
 def convert_currency(df: DataFrame, amount: str, frm: str, to: str, rates: DataFrame) -> DataFrame:
     """amount / rate[from] * rate[to], through the base currency; unknown codes give NULL."""
+    rates = broadcast_if_small(rates)
     a = _side(rates, _fc="currency", _fr="rate")
     b = _side(rates, _tc="currency", _tr="rate")
     return (
@@ -55,7 +57,7 @@ def convert_asof(
     """
     if until is None:
         until = df.agg(F.max(F.to_date(date))).first()[0]
-    daily = rates_by_day(rates, until)
+    daily = broadcast_if_small(rates_by_day(rates, until))
     a = _side(daily, _fc="currency", _fr="rate", _fd="rate_date", _fday="day")
     b = _side(daily, _tc="currency", _tr="rate", _td="rate_date", _tday="day")
     day = F.to_date(date)
@@ -73,6 +75,7 @@ def convert_asof(
 
 def convert_units(df: DataFrame, amount: str, frm: str, to: str, units: DataFrame) -> DataFrame:
     """amount * size[from] / size[to] inside one kind; across kinds or unknown units NULL."""
+    units = broadcast_if_small(units)
     a = _side(units, _fk="kind", _fu="unit", _fs="size")
     b = _side(units, _tk="kind", _tu="unit", _ts="size")
     return (
@@ -86,6 +89,7 @@ def convert_units(df: DataFrame, amount: str, frm: str, to: str, units: DataFram
 
 def all_units(df: DataFrame, amount: str, frm: str, units: DataFrame) -> DataFrame:
     """One measurement in every unit of its kind."""
+    units = broadcast_if_small(units)
     a = _side(units, _fk="kind", _fu="unit", _fs="size")
     b = _side(units, _tk="kind", unit="unit", _ts="size")
     return (
@@ -97,8 +101,8 @@ def all_units(df: DataFrame, amount: str, frm: str, units: DataFrame) -> DataFra
 
 def kitchen_grams(df: DataFrame, amount: str, unit: str, ingredient: str, units: DataFrame, densities: DataFrame) -> DataFrame:
     """Grams of an ingredient measured by volume: litres times a thousand times its density."""
-    a = _side(units, _u="unit", _s="size")
-    b = _side(densities, _i="ingredient", _d="density")
+    a = _side(broadcast_if_small(units), _u="unit", _s="size")
+    b = _side(broadcast_if_small(densities), _i="ingredient", _d="density")
     return (
         df.join(a, F.col(unit) == F.col("_u"), "left").join(b, F.col(ingredient) == F.col("_i"), "left")
         .withColumn("grams", F.col(amount) * F.col("_s") * 1000.0 * F.col("_d"))
@@ -126,6 +130,7 @@ def convert_area(
     df: DataFrame, amount: str, frm: str, to: str, units: DataFrame, bigha_sqyd: Column | None = None
 ) -> DataFrame:
     """Land units through square feet. A bigha is converted only with a stated size."""
+    units = broadcast_if_small(units)
     a = _side(units, _fu="unit", _fs="sqft")
     b = _side(units, _tu="unit", _ts="sqft")
     bigha = bigha_sqyd.cast("double") * 9.0 if bigha_sqyd is not None else F.lit(None).cast("double")

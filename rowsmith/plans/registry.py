@@ -107,7 +107,12 @@ def query(name: str, sql: str | None = None):
     """Register a (spark, sf_dir) function under ``name`` with its checking SQL."""
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, sf: tidy(fn(spark, sf))
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            # The SQL side reads every time stamp as UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return tidy(fn(spark, sf))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = fill(sql)
         return fn

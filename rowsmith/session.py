@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def build_session(app: str = "rowsmith", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, AQE and Arrow on; the cluster's own settings win where given."""
     builder = (
@@ -40,9 +43,10 @@ def scratch_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="rowsmith-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="rowsmith-")
+    return _LOCAL_SCRATCH[app]
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

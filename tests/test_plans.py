@@ -2,7 +2,8 @@
 
 import re
 
-from rowsmith.operators import corpus, lines
+from rowsmith import dims, session
+from rowsmith.operators import corpus, lines, lookup
 from rowsmith.plans.registry import table
 
 
@@ -31,3 +32,30 @@ def test_corpus_dedup_combines_before_the_shuffle(spark, sf):
     rows = lines.explode_lines(table(spark, sf, "documents"))
     text = plan(lines.dedup(rows, by=()))
     assert "partial_min_by" in text and "Window" not in text
+
+
+def test_a_checked_lookup_is_broadcast_and_a_big_one_is_not(spark, monkeypatch):
+    df = spark.createDataFrame([(100.0, "INR", "JPY")], "amount double, f string, t string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = lookup.convert_currency(df, "amount", "f", "t", dims.rates(spark))
+        assert plan(small).count("BroadcastHashJoin") == 2
+        # The bound is an argument default, so it is lowered where it is asked.
+        monkeypatch.setattr(lookup, "broadcast_if_small", lambda side: session.broadcast_if_small(side, 5))
+        big = lookup.convert_currency(df, "amount", "f", "t", dims.rates(spark))
+        assert "BroadcastHashJoin" not in plan(big) and plan(big).count("SortMergeJoin") == 2
+        assert big.first().converted == small.first().converted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scratch_is_the_shared_folder_when_one_is_named(spark, tmp_path):
+    alone = session.scratch_dir(spark)
+    assert alone == session.scratch_dir(spark)
+    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
+    try:
+        assert session.scratch_dir(spark) == str(tmp_path)
+        session.materialise(spark.range(3), "probe").count()
+        assert [p.name for p in tmp_path.iterdir()][0].startswith("probe-")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import licenses, mixing, pii, quality
+from rowsmith.llm import decontaminate, licenses, mixing, ngramjoin, pii, quality, tokens
 from rowsmith.llm.common import documents, space_word_count, text_of
 from rowsmith.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+OP1_SQL = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}]+') AS words FROM documents),
+have AS (SELECT DISTINCT doc_id, array_to_string(words[i:i+4], ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+iw AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}]+') AS words FROM benchmark),
+want AS (SELECT DISTINCT item_id, array_to_string(words[i:i+4], ' ') AS g FROM (SELECT item_id, words, unnest(range(1, len(words) - 3)) AS i FROM iw)),
+m AS (SELECT item_id, count(*) AS n_item_shingles FROM want GROUP BY item_id)
+SELECT doc_id, item_id, n_item_shingles, count(*) AS n_shared, count(*) / n_item_shingles AS containment
+FROM have JOIN want USING (g) JOIN m USING (item_id) GROUP BY doc_id, item_id, n_item_shingles
+HAVING count(*) >= ceil(n_item_shingles * 0.8)"""
+
+
+@query("op1_decontamination", OP1_SQL)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @query("op2_pii")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find_spans(documents(spark, sf).select("doc_id", "text"))
@@ -103,3 +121,19 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     sized = docs.select("doc_id", "source", space_word_count(text_of(docs)).alias("n"))
     mixed = mixing.mix(sized, F.col("n"))
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.repeats")).alias("taken"))
+
+
+def public_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op5_tokens")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.read(tokens.write(documents(spark, sf), public_tokenizer(), end_id=0))
+
+
+@query("op10_ngram_jaccard")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return ngramjoin.join(documents(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import decontaminate, licenses, mixing, ngramjoin, pii, quality, tokens
+from rowsmith.llm import compact, decontaminate, licenses, linededup, mixing, ngramjoin, pii, quality, suffixes, tokens
 from rowsmith.llm.common import documents, space_word_count, text_of
 from rowsmith.llm.registry import ORACLES, QUERIES, query
 
@@ -137,3 +137,31 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_ngram_jaccard")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return ngramjoin.join(documents(spark, sf))
+
+
+OP6_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(range(len(s))) AS no, trim(unnest(s), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+o AS (SELECT line, min((doc_id, no)) AS f FROM l WHERE line <> '' GROUP BY line),
+p AS (
+  SELECT a.line, min(b.f) AS partner FROM o a JOIN o b ON length(b.line) BETWEEN length(a.line) - 1 AND length(a.line) + 1 AND b.f < a.f
+  WHERE length(a.line) >= 20 AND length(b.line) >= 20 AND levenshtein(a.line, b.line) = 1 GROUP BY a.line)
+SELECT doc_id, no AS line_no, coalesce(partner, f)[1] AS kept_doc_id, coalesce(partner, f)[2] AS kept_line_no,
+  CAST(CASE WHEN partner IS NULL THEN 0 ELSE 1 END AS BIGINT) AS distance
+FROM l JOIN o USING (line) LEFT JOIN p USING (line) WHERE partner IS NOT NULL OR (doc_id, no) <> f"""
+
+
+@query("op6_line_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return linededup.duplicates(documents(spark, sf))
+
+
+@query("op9_suffix_array")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.passages(documents(spark, sf))
+
+
+@query("op8_compact_windows")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return compact.passages(documents(spark, sf))

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window  # noqa: F401
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm.common import SHINGLE, SIMILARITY, content_words, shingle_hashes, small_batches, text_of
@@ -163,12 +163,8 @@ def verify_unit(nodes: np.ndarray, sets: list[np.ndarray], meets: np.ndarray, si
     return [(int(nodes[k]), int(links[k]), int(nodes[find(k)])) for k in np.flatnonzero(links)]
 
 
-def join(
-    df: DataFrame, threshold: float = SIMILARITY, recall: float = RECALL, n: int = SHINGLE,
-    doc_id: str = "doc_id", text: str = "text", block_grams: int = BLOCK_GRAMS,
-) -> DataFrame:
-    """One row per row of ``df``: doc_id, class_id (smallest id of the class), n_copies (rows with this very text),
-    n_links (different texts at or above the threshold)."""
+def _joined(df: DataFrame, threshold: float, recall: float, n: int, doc_id: str, text: str, block_grams: int) -> DataFrame:
+    """doc, h, rep (id and digest of the first text of the class), n_copies, n_links for every row."""
     bands, rows = band_plan(threshold, recall)
     signed = materialise(signatures(df, bands, rows, doc_id, text, n), "signatures")
     nodes = materialise(
@@ -255,6 +251,34 @@ def join(
         nodes.select("h", "node", "first", "n_copies").join(classes.withColumnRenamed("u", "node"), "node", "left").join(degrees, "node", "left")
         .select("h", "first", "n_copies", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    named = placed.groupBy("label").agg(F.min("first").alias("class_id"))
-    placed = placed.join(named, "label").select("h", "class_id", "n_copies", "n_links")
-    return signed.select("doc", "h").join(placed, "h").select(F.col("doc").alias(doc_id), "class_id", "n_copies", "n_links")
+    # The smallest id that is not NULL comes first, then the smaller digest.
+    rep = F.struct(F.col("first").isNull().alias("unnamed"), F.col("first").alias("doc"), "h")
+    named = placed.groupBy("label").agg(F.min(rep).alias("rep"))
+    placed = placed.join(named, "label").select("h", "rep", "n_copies", "n_links")
+    return signed.select("doc", "h").join(placed, "h")
+
+
+def join(
+    df: DataFrame, threshold: float = SIMILARITY, recall: float = RECALL, n: int = SHINGLE,
+    doc_id: str = "doc_id", text: str = "text", block_grams: int = BLOCK_GRAMS,
+) -> DataFrame:
+    """One row per row of ``df``: doc_id, class_id (smallest id of the class), n_copies (rows with this very text),
+    n_links (different texts at or above the threshold)."""
+    rows = _joined(df, threshold, recall, n, doc_id, text, block_grams)
+    return rows.select(F.col("doc").alias(doc_id), F.col("rep.doc").alias("class_id"), "n_copies", "n_links")
+
+
+def keep_first(
+    df: DataFrame, threshold: float = SIMILARITY, recall: float = RECALL, n: int = SHINGLE,
+    doc_id: str = "doc_id", text: str = "text", block_grams: int = BLOCK_GRAMS,
+) -> DataFrame:
+    """``df`` with one row of each class; columns as they were. Only rows that repeat id and text are shuffled whole."""
+    rows = _joined(df, threshold, recall, n, doc_id, text, block_grams)
+    first = F.col("doc").eqNullSafe(F.col("rep.doc")) & (F.col("h") == F.col("rep.h"))
+    fate = materialise(rows.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_n")), "fate")
+    mark = df.withColumn("_digest", F.unhex(F.md5(text_of(df, text))))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_digest") == F.col("_h"))
+    # What goes and what repeats are the short lists; every other row stays where it is.
+    single = mark.join(fate.where("not _first or _n > 1").select("_doc", "_h"), same, "left_anti")
+    repeated = mark.join(fate.where("_first and _n > 1").select("_doc", "_h"), same, "left_semi")
+    return single.unionByName(repeated.dropDuplicates([doc_id, "_digest"])).select(*df.columns)

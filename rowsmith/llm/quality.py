@@ -20,6 +20,8 @@ LINE_ENDS = ".!?…\"'”’»)]:;。！？"
 # Menus put short items between these.
 SEPARATORS = "[|»›•·]"
 ITEM_CHARS = 30
+# A line this long is a paragraph, however it ends.
+PARAGRAPH_CHARS = 300
 # Marks that stand after every word in shouted or garbled lines.
 MARKS = "[!?#$%&*|~^=<>{}]"
 BOILERPLATE = (
@@ -40,7 +42,7 @@ def line_passes(line: Column) -> Column:
     menu = let(F.regexp_count(line, F.lit(SEPARATORS)), lambda bars: (bars >= 2) & (F.length(line) <= (bars + 1) * ITEM_CHARS))
     stock = (F.length(line) <= BOILERPLATE_CHARS) & F.lower(line).rlike(BOILERPLATE)
     noisy = F.regexp_count(line, F.lit(MARKS)) * 2 > count_spaces(line) + 1
-    return ends & ~noisy & ~menu & ~stock
+    return (ends | (F.length(line) >= PARAGRAPH_CHARS)) & ~noisy & ~menu & ~stock
 
 
 def repeat_words(words: Column) -> Column:

@@ -60,7 +60,7 @@ def _line_rule() -> str:
     def count(pattern: str) -> str:
         return f"(length(l) - length(regexp_replace(l, '{pattern}', '', 'g')))"
 
-    return f"""(contains('{ends}', right(rtrim(l, {spaces}), 1))
+    return f"""((contains('{ends}', right(rtrim(l, {spaces}), 1)) OR length(l) >= {quality.PARAGRAPH_CHARS})
       AND NOT ({count(quality.SEPARATORS)} >= 2 AND length(l) <= {quality.ITEM_CHARS} * ({count(quality.SEPARATORS)} + 1))
       AND NOT (length(l) <= {quality.BOILERPLATE_CHARS} AND regexp_matches(lower(l), '{quality.BOILERPLATE}'))
       AND NOT ({count(quality.MARKS)} * 2 > length(l) - length(replace(l, ' ', '')) + 1))"""

@@ -103,3 +103,12 @@ def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, "a b c d e", "x", 3), (2, "a b c d e f", "y", 4)], "doc_id long, text string, h string, node int")
     assert ngramjoin.join(df).columns == ["doc_id", "class_id", "n_copies", "n_links"]
     assert ngramjoin.join(df).count() == 2
+
+
+def test_one_row_of_each_class_stays(spark):
+    near = " ".join(f"a{i}" for i in range(80))
+    rows = [(3, near), (1, near + " more"), (2, near), (2, near), (5, "x y z"), (5, "x y z"), (5, "other"), (None, near), (None, "lone"), (None, "lone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id * 2 as h", "text as grams")
+    kept = ngramjoin.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, near + " more"), (5, "x y z"), (5, "other"), (None, "lone")], key=str)

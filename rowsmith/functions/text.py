@@ -105,7 +105,7 @@ def line_key(line: Column | str, ignore_case: bool = True, trim: bool = True) ->
 def natural_key(line: Column | str, ignore_case: bool = True) -> Column:
     """Sort key under which "item2" comes before "item10".
 
-    Every run of digits gets its length in front (three places), leading zeros dropped,
+    Every run of digits gets its length in front (ten places), leading zeros dropped,
     so plain string order compares the numbers by size.
     """
     text = F.lower(_col(line)) if ignore_case else _col(line)
@@ -117,7 +117,7 @@ def natural_key(line: Column | str, ignore_case: bool = True) -> Column:
         rest = F.substring(part, F.length(digits) + F.lit(2), F.length(part))
         return F.when(
             F.instr(part, "\x02") > 0,
-            F.concat(F.lpad(F.length(digits).cast("string"), 3, "0"), digits, rest),
+            F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits, rest),
         ).otherwise(part)
 
     numbered = F.array_join(F.transform(parts, padded), "")
@@ -196,7 +196,8 @@ def search_pattern(needle: str, regex: bool = False, case: bool = False, word: b
     if regex:
         source = re.sub(r"(?<!\\)((?:\\\\)*)\\b", lambda m: m.group(1) + ASCII_EDGE, needle)
     else:
-        source = re.sub(r"([.*+?^${}()|\[\]\\])", r"\\\1", needle)
+        # Quoted as a whole; an end mark inside the needle is put between two quotes.
+        source = r"\Q" + needle.replace(r"\E", r"\E\\E\Q") + r"\E"
     if word:
         source = f"(?<!{WORD_CHAR})(?:{source})(?!{WORD_CHAR})"
     return source if case else f"(?iu){source}"
@@ -233,7 +234,8 @@ def recase(text: Column | str, style: str) -> Column:
         return F.array_join(F.transform(F.split(c, "\n", -1), _title_line), "\n")
     if style == "sentence":
         low = F.lower(c)
-        marked = F.regexp_replace(low, r"(\A\s*|[.!?]\s+|\n\s*)([a-z])", "$1\x01$2")
+        # A letter opens a sentence at the start of the text or of a line, or after an end mark and a space.
+        marked = F.regexp_replace(low, r"(?:\A|(?<=[.!?]\s)|(?<=\n))\s*+(?=[a-z])", "$0\x01")
         parts = F.split(marked, "\x01", -1)
         return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(capitalise(p))), "")
     if style == "alternate":

@@ -204,8 +204,10 @@ def resolve(base: Column, href: Column) -> Column:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Internal links: (page_id, host, href, target path)."""
-    hrefs = F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"#?:]+)(?:\?[^"]*)?"'), F.lit(1)))
+    """Internal links, script files and workers: (page_id, host, href, target path)."""
+    plain = F.regexp_extract_all("html", F.lit(r'(?:href|src)="([^"#?:]+)(?:\?[^"]*)?"'), F.lit(1))
+    workers = F.regexp_extract_all("html", F.lit(r"""new (?:Shared)?Worker\(["']([^"'#?:]+)"""), F.lit(1))
+    hrefs = F.explode(F.concat(plain, workers))
     out = pages.select("page_id", host_of().alias("host"), page_path(F.col("url")).alias("_base"), hrefs.alias("href"))
     out = out.where(~F.col("href").startswith("//"))
     return out.select("page_id", "host", "href", resolve(F.col("_base"), F.col("href")).alias("target"))
@@ -301,8 +303,13 @@ def version_counts(pages: DataFrame) -> DataFrame:
     )
 
 
+def unexpected_fields(raw: Column, known: tuple[str, ...] = ("date", "base", "rates")) -> Column:
+    """Top-level fields of a JSON text beyond the known ones."""
+    return F.array_except(F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")), F.array(*[F.lit(k) for k in known]))
+
+
 def rates_findings(snapshot: DataFrame, fewest: int = 20, needed: tuple[str, ...] = ("USD", "INR")) -> DataFrame:
-    """Checks of rate snapshots (date, base, rates map)."""
+    """Checks of rate snapshots (date, base, rates map); of the JSON text too where there is a column ``raw``."""
     codes, values = F.map_keys("rates"), F.map_values("rates")
     checks = [
         finding("rates", "error", F.col("date").isNull(), "no valid date"),
@@ -312,4 +319,6 @@ def rates_findings(snapshot: DataFrame, fewest: int = 20, needed: tuple[str, ...
         finding("rates", "error", F.exists(codes, lambda c: ~c.rlike("^[A-Z]{3}$")), "a code is not three capitals"),
         finding("rates", "error", F.exists(values, lambda v: v.isNull() | (v <= 0)), "a rate is not above zero"),
     ]
+    if "raw" in snapshot.columns:
+        checks.append(finding("rates", "error", F.size(unexpected_fields(F.col("raw"))) > 0, "extra fields"))
     return snapshot.select(F.col("date").cast("string").alias("date"), F.inline(F.array_compact(F.array(*checks))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
@@ -39,24 +39,73 @@ def collapse_blank(docs: DataFrame) -> DataFrame:
 def find_replace(
     docs: DataFrame, needle: str, repl: str, regex: bool = False, case: bool = False, word: bool = False
 ) -> DataFrame:
-    """Replaced text and the number of hits. An empty needle changes nothing."""
-    if needle == "":
-        return docs.withColumn("hits", F.lit(0).cast("long"))
+    """Replaced text, the number of hits, and a finding: a pattern that is bad or could hang changes no text and says
+    why. An empty needle changes nothing."""
+    none = F.lit(None).cast("string")
+    problem = pattern_problem(docs.sparkSession, needle) if regex else None
+    if needle == "" or problem:
+        return docs.withColumn("hits", F.lit(0).cast("long")).withColumn("finding", F.lit(problem) if problem else none)
     pattern = T.search_pattern(needle, regex, case, word)
     replacement = repl if regex else T.literal_replacement(repl)
     return docs.withColumn("hits", F.regexp_count("text", F.lit(pattern)).cast("long")).withColumn(
         "text", F.regexp_replace("text", pattern, replacement)
-    )
+    ).withColumn("finding", none)
+
+
+def _alternatives_overlap(body: str) -> bool:
+    """Whether two alternatives of a group may begin alike: the same first character, or one that is no plain character."""
+    depth, parts, at = 0, [""], 0
+    while at < len(body):
+        step = 2 if body[at] == "\\" else 1
+        piece = body[at : at + step]
+        depth += (piece in "([") - (piece in ")]") if step == 1 else 0
+        if piece == "|" and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += piece
+        at += step
+    firsts = [p[:1] for p in parts]
+    plain = all(f.isalnum() or f in " _-,;:" for f in firsts)
+    return len(parts) > 1 and (not plain or len(set(firsts)) < len(firsts))
+
+
+def repeats_without_end(pattern: str) -> str | None:
+    """Why a pattern may need time exponential in the text: a repeated group that holds a repetition, or alternatives
+    that can begin alike, at any depth."""
+    opened, at = [], 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            at += 2
+            continue
+        if c == "[":
+            end = pattern.find("]", at + 2)
+            at = end if end > 0 else len(pattern)
+        elif c == "(":
+            opened.append([at + 1, False, False])
+        elif c == ")" and opened:
+            start, repeats, overlaps = opened.pop()
+            body = re.sub(r"^\?(:|<\w+>|[imsux-]+:)", "", pattern[start:at])
+            overlaps = overlaps or _alternatives_overlap(body)
+            if re.match(r"[*+]|\{\d+,\d*\}", pattern[at + 1 :]):
+                if repeats:
+                    return "a repeated group holds a repetition"
+                if overlaps:
+                    return "a repeated group holds alternatives that can begin alike"
+                repeats = True
+            if opened:
+                opened[-1][1] |= repeats
+                opened[-1][2] |= overlaps
+        elif opened and re.match(r"[*+]|\{\d+,\d*\}", pattern[at:]):
+            opened[-1][1] = True
+        at += 1
+    return None
 
 
 def pattern_problem(spark, pattern: str) -> str | None:
-    """None for a pattern the engine accepts and can run safely, else what is wrong.
-
-    A group repeated inside a repeated group, like (a+)+, may need time exponential
-    in the text, so it is refused before it can hang a task.
-    """
-    if re.search(r"\([^()]*[+*][^()]*\)[+*{]", pattern):
-        return "a repeated group holds a repetition"
+    """None for a pattern the engine accepts and can run safely, else what is wrong."""
+    if problem := repeats_without_end(pattern):
+        return problem
     try:
         spark.range(1).select(F.lit("").rlike(pattern)).first()
     except Exception as error:
@@ -64,33 +113,37 @@ def pattern_problem(spark, pattern: str) -> str | None:
     return None
 
 
-# Two private-use characters that fence matches off; a text must not hold them itself.
-FENCE_OPEN, FENCE_CLOSE = "\ue000", "\ue001"
+def group_names(pattern: str) -> list[str | None]:
+    """The name of every capturing group in order, None where it has none."""
+    found = re.finditer(r"\\.|\[(?:\\.|[^\]])*\]|\(\?<([A-Za-z]\w*)>|(\()(?!\?)", pattern)
+    return [m.group(1) for m in found if m.group(1) or m.group(2)]
 
 
-def regex_matches(docs: DataFrame, pattern: str, groups: int = 0, limit: int | None = None) -> DataFrame:
+def regex_matches(docs: DataFrame, pattern: str, groups: int | None = None, limit: int | None = None, flags: str = "") -> DataFrame:
     """Every match with its number, start, text and groups; empty matches included.
 
-    Matches are fenced in the text, so the start of each is the length of all that
-    came before it: a running sum over the matches of one document.
+    The text is cut at its matches: what lies before a match and the matches before it give its start, inside the row.
+    ``flags`` are letters of i, m, s and x. A named group's column has its name. A pattern that is bad or could hang is
+    refused before any job runs.
     """
-    parts = [F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(g + 2)) for g in range(groups)]
-    fenced = F.regexp_replace("text", f"({pattern})", f"{FENCE_OPEN}$1{FENCE_CLOSE}")
-    found = docs.where(F.col("text").rlike(pattern)).select(
-        "doc_id", F.split(fenced, FENCE_OPEN, -1).alias("_cut"), *[p.alias(f"_g{i}") for i, p in enumerate(parts)]
-    )
-    found = found.withColumn("_lead", F.length(F.col("_cut")[0])).withColumn(
-        "_m", F.slice("_cut", 2, F.greatest(F.size("_cut") - 1, F.lit(0)))
-    )
-    zipped = F.posexplode(F.arrays_zip("_m", *[f"_g{i}" for i in range(groups)])).alias("_no", "_z")
-    rows = found.select("doc_id", "_lead", zipped)
-    match = F.substring_index("_z._m", FENCE_CLOSE, 1)
-    # Matches of one document, so the group is bounded by the text it came from.
-    w = Window.partitionBy("doc_id").orderBy("_no").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_lead") + F.coalesce(F.sum(F.length("_z._m") - 1).over(w), F.lit(0))
+    if problem := pattern_problem(docs.sparkSession, pattern):
+        raise ValueError(problem)
+    names = group_names(pattern)
+    names = names if groups is None else (names + [None] * groups)[:groups]
+    pattern = f"(?{flags}){pattern}" if flags else pattern
+    labels = [name or f"group_{i + 1}" for i, name in enumerate(names)]
+    parts = [F.regexp_extract_all("text", F.lit(pattern), F.lit(g)).alias(f"_g{g}") for g in range(len(names) + 1)]
+    found = docs.select("doc_id", F.split("text", pattern, -1).alias("_cut"), *parts).where(F.size("_g0") > 0)
+    # Cutting leaves out the empty piece before an empty match at the very start.
+    gaps = F.when(F.size("_cut") == F.size("_g0"), F.concat(F.array(F.lit("")), F.col("_cut"))).otherwise(F.col("_cut"))
+    steps = F.zip_with(F.slice(gaps, 2, F.size("_g0")), F.col("_g0"), lambda gap, match: F.length(gap) + F.length(match))
+    first = F.array(F.length(F.element_at(gaps, 1)).cast("long"))
+    starts = F.aggregate(F.slice(steps, 1, F.size("_g0") - 1), first, lambda done, step: F.array_append(done, F.element_at(done, -1) + step))
+    zipped = F.arrays_zip(starts.alias("start"), *[F.col(f"_g{g}") for g in range(len(names) + 1)])
+    rows = found.select("doc_id", F.posexplode(zipped).alias("_no", "_z"))
     out = rows.select(
-        "doc_id", F.col("_no").cast("long").alias("match_no"), start.cast("long").alias("start"),
-        match.alias("match"), *[F.col(f"_z._g{i}").alias(f"group_{i + 1}") for i in range(groups)],
+        "doc_id", F.col("_no").cast("long").alias("match_no"), F.col("_z.start").alias("start"), F.col("_z._g0").alias("match"),
+        *[F.col(f"_z._g{g + 1}").alias(label) for g, label in enumerate(labels)],
     )
     return out if limit is None else out.where(F.col("match_no") < limit)
 
@@ -101,10 +154,10 @@ def case_variants(df: DataFrame, column: str, style: str = "snake") -> DataFrame
     return spelled.groupBy("case_key").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("spellings"))
 
 
-def assign_slugs(df: DataFrame, title: str, key: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def assign_slugs(df: DataFrame, title: str, key: str, bounded: bool = False) -> DataFrame:
     """A URL slug per row; the second row with a slug gets -2, the third -3."""
     slugged = df.withColumn("_slug", F.coalesce(F.nullif(T.slug(title), F.lit("")), F.lit("untitled")))
-    placed = ordered.scan(slugged, ["_slug"], [F.col(key)], position="_copy", hot_rows=hot_rows)
+    placed = ordered.scan(slugged, ["_slug"], [F.col(key)], position="_copy", bounded=bounded)
     suffix = F.when(F.col("_copy") > 1, F.concat(F.lit("-"), F.col("_copy").cast("string"))).otherwise("")
     return placed.withColumn("slug", F.concat("_slug", suffix)).drop("_slug", "_copy")
 

@@ -68,7 +68,7 @@ def char_frequency(docs: DataFrame, unit: str = "char", by: tuple[str, ...] = ()
     return joined.withColumn("share_pct", 100.0 * F.col("n") / F.col("_total")).drop("_total")
 
 
-def numeric_summary(df: DataFrame, value: str, by: list[str], hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def numeric_summary(df: DataFrame, value: str, by: list[str], bounded: bool = False) -> DataFrame:
     """count, mean, median, modes, range and both standard deviations per group.
 
     Equal values are counted first; the median is read off running counts, so a
@@ -82,7 +82,7 @@ def numeric_summary(df: DataFrame, value: str, by: list[str], hot_rows: int = or
         F.stddev_pop("_v").alias("sd_pop"), F.stddev_samp("_v").alias("sd_samp"),
     )
     counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = ordered.scan(counts, by, [F.col("_v")], running={"_upto": "_n"}, hot_rows=hot_rows)
+    placed = ordered.scan(counts, by, [F.col("_v")], running={"_upto": "_n"}, bounded=bounded)
     placed = placed.join(
         counts.groupBy(*by).agg(F.sum("_n").alias("_all"), F.max("_n").alias("_peak")), by
     )
@@ -141,11 +141,17 @@ def invisible_audit(docs: DataFrame, by: tuple[str, ...] = ("source",)) -> DataF
 
 
 def unit_price(df: DataFrame, group: str, item: str, price: Column, base_qty: Column) -> DataFrame:
-    """Price per base unit; the cheapest of a group flagged, and whether it is the biggest pack."""
+    """Price per base unit with its rank in the group (equal prices share one), the cheapest and the biggest flagged."""
     priced = df.select(group, item, base_qty.alias("base_qty"), F.try_divide(price, base_qty).alias("unit_price"))
     best = priced.groupBy(group).agg(F.min("unit_price").alias("_best"), F.max("base_qty").alias("_most"))
+    # Ranks come from the list of different prices, so equal prices are one row of it.
+    steps = priced.where("unit_price is not null").groupBy(group, "unit_price").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = ordered.scan(steps, [group], [F.col("unit_price")], running={"_upto": "_n"}).select(
+        F.col(group).alias("_rg"), F.col("unit_price").alias("_rp"), (F.col("_upto") - F.col("_n") + 1).alias("rank")
+    )
+    priced = priced.join(ranked, F.col(group).eqNullSafe(F.col("_rg")) & (F.col("unit_price") == F.col("_rp")), "left")
     return priced.join(best, group).select(
-        group, item, "unit_price",
+        group, item, "unit_price", "rank",
         (F.col("unit_price") == F.col("_best")).alias("cheapest"),
         (F.col("base_qty") == F.col("_most")).alias("biggest"),
     )
@@ -240,21 +246,23 @@ def hardest_sentences(docs: DataFrame, worst: int = 3) -> DataFrame:
     )
 
 
-def set_fingerprint(df: DataFrame, name: Column, text: Column, by: tuple[str, ...] = ()) -> DataFrame:
+# Hashes gathered into one at each level of the tree.
+FAN_IN = 256
+
+
+def set_fingerprint(df: DataFrame, name: Column, text: Column, by: tuple[str, ...] = (), levels: int = 8) -> DataFrame:
     """One SHA-256 for a set of named texts, whatever the row order.
 
-    Rows are hashed one by one, gathered in 65,536 buckets by the hash's own first
-    four digits, and the bucket hashes are hashed again: no row ever holds more
-    than a bucket, whose share shrinks evenly because names are unique.
+    A tree over the hashes' own digits: rows that share the first ``levels`` hex digits are hashed together, then the
+    nodes that share two digits fewer, up to the root. Above the leaves no node has more than FAN_IN children; a leaf
+    holds the rows of one of 16^levels prefixes, a handful for billions of uniquely named rows.
     """
     entry = F.concat(name.cast("string"), F.lit(":"), F.sha2(text, 256))
-    rows = df.select(*by, F.sha2(entry, 256).alias("_h"))
-    buckets = rows.groupBy(*by, F.substring("_h", 1, 4).alias("_b")).agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list("_h")), ""), 256).alias("_h"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_b", "_h"))), lambda s: s["_h"]), "")
-    return buckets.groupBy(*by).agg(F.sha2(joined, 256).alias("fingerprint"), F.sum("_n").alias("texts"))
+    rows = df.select(*by, F.sha2(entry, 256).alias("_h")).withColumn("_p", F.substring("_h", 1, levels)).withColumn("_n", F.lit(1).cast("long"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_p", "_h"))), lambda s: s["_h"]), "")
+    for digits in range(levels, -1, -2):
+        rows = rows.groupBy(*by, F.substring("_p", 1, digits).alias("_p2")).agg(F.sha2(joined, 256).alias("_h"), F.sum("_n").alias("_n")).withColumnRenamed("_p2", "_p")
+    return rows.select(*by, F.col("_h").alias("fingerprint"), F.col("_n").alias("texts"))
 
 
 def version_drift(previous: DataFrame, current: DataFrame) -> DataFrame:

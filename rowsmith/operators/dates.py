@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions import calendar as C
-from rowsmith.session import broadcast_if_small
 
 
 def exact_age(df: DataFrame, born: str, asof: str, leap_day_to_march: bool = False) -> DataFrame:
@@ -48,36 +45,69 @@ def date_diff(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def working_calendar(spark, first, last, weekend: tuple[int, ...], holidays: DataFrame) -> DataFrame:
-    """(day, is_working, upto) for every day: ``upto`` counts working days so far.
+# Monday, and the working days of each week are counted from it.
+ORIGIN = "1970-01-05"
+
+
+def _weekday_rank(day: Column, weekend: tuple[int, ...]) -> Column:
+    """How many days outside the weekend lie between ORIGIN and ``day``, both included; negative before it."""
+    n = F.datediff(day, F.lit(ORIGIN).cast("date"))
+    upto = [sum(1 for k in range(r + 1) if k not in weekend) for r in range(7)]
+    return F.floor(n / 7) * upto[6] + F.element_at(F.array(*[F.lit(u) for u in upto]), (F.pmod(n, F.lit(7)) + 1).cast("int"))
+
+
+def _weekday_at(rank: Column, weekend: tuple[int, ...]) -> Column:
+    """The day outside the weekend with that rank."""
+    days = [k for k in range(7) if k not in weekend]
+    place = F.element_at(F.array(*[F.lit(k) for k in days]), (F.pmod(rank - 1, F.lit(len(days))) + 1).cast("int"))
+    return F.date_add(F.lit(ORIGIN).cast("date"), (F.floor((rank - 1) / len(days)) * 7 + place).cast("int"))
+
 
-    A table of days, a few tens of thousand rows at most, whatever the data size.
+def _steps(values: DataFrame, width: int) -> Column:
+    """One scalar: for each stretch of ``width`` numbers how many of ``values`` lie before it, and those inside it.
+
+    The list grows with the holidays, never with the dates that are asked for.
     """
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("day"))
-    off = holidays.select(F.col("day").alias("_off")).distinct()
-    marked = days.join(off, F.col("day") == F.col("_off"), "left")
-    working = F.when(F.weekday("day").isin(list(weekend)) | F.col("_off").isNotNull(), 0).otherwise(1)
-    w = Window.partitionBy(F.lit(0)).orderBy("day")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return marked.select("day", working.alias("is_working")).withColumn("upto", F.sum("is_working").over(upto))
+    cut = F.floor(F.col("v") / width)
+    boxes = values.groupBy(cut.alias("box")).agg(F.sort_array(F.collect_list("v")).alias("inside"))
+    every = values.agg(F.floor(F.min("v") / width).alias("a"), F.floor(F.max("v") / width).alias("b")).where("a is not null")
+    filled = every.select(F.explode(F.sequence("a", "b")).alias("box")).join(boxes, "box", "left")
+    listed = filled.agg(F.sort_array(F.collect_list(F.struct("box", F.coalesce("inside", F.array().cast("array<bigint>")).alias("inside")))).alias("l"))
+    # Running counts inside the one row.
+    start = F.array().cast("array<struct<box:bigint,before:bigint,inside:array<bigint>>>")
+    grown = F.aggregate(
+        "l", F.struct(F.lit(0).cast("bigint").alias("n"), start.alias("out")),
+        lambda acc, x: F.struct(
+            (acc["n"] + F.size(x["inside"])).alias("n"),
+            F.array_append(acc["out"], F.struct(x["box"].alias("box"), acc["n"].alias("before"), x["inside"].alias("inside"))).alias("out"),
+        ),
+    )
+    return listed.select(grown["out"].alias("s")).scalar()
+
 
+def _count_upto(steps: Column, value: Column, width: int) -> Column:
+    """How many of the listed numbers are at most ``value``."""
+    first = F.get(steps, F.lit(0))["box"]
+    at = F.floor(value / width) - first
+    box = F.get(steps, F.least(at, F.size(steps) - 1).cast("int"))
+    inside = box["before"] + F.size(F.filter(box["inside"], lambda v: v <= value))
+    return F.when((F.coalesce(F.size(steps), F.lit(0)) <= 0) | (at < 0), F.lit(0)).otherwise(inside)
 
-def _date_span(df: DataFrame, a: Column, b: Column) -> tuple:
-    low, high = df.agg(F.min(F.least(a, b)), F.max(F.greatest(a, b))).first()
-    return low, high
+
+def _free_weekdays(holidays: DataFrame, weekend: tuple[int, ...]) -> DataFrame:
+    """Holidays that are no weekend days anyway: (day, rank among weekdays)."""
+    days = holidays.select(F.col("day").cast("date").alias("day")).where(F.col("day").isNotNull() & ~F.weekday("day").isin(list(weekend))).distinct()
+    return days.withColumn("rank", _weekday_rank(F.col("day"), weekend).cast("long"))
 
 
 def working_days(
     df: DataFrame, a: str, b: str, holidays: DataFrame, weekend: tuple[int, ...] = (5, 6)
 ) -> DataFrame:
-    """Working days after ``a`` up to and including ``b``: two look-ups and a subtraction."""
-    low, high = _date_span(df, F.col(a), F.col(b))
-    cal = broadcast_if_small(working_calendar(df.sparkSession, low, high, weekend, holidays))
-    start = cal.select(F.col("day").alias("_d1"), F.col("upto").alias("_n1"))
-    end = cal.select(F.col("day").alias("_d2"), F.col("upto").alias("_n2"))
-    joined = df.join(start, F.col(a) == F.col("_d1"), "left").join(end, F.col(b) == F.col("_d2"), "left")
-    count = F.greatest(F.col("_n2") - F.col("_n1"), F.lit(0))
-    return joined.withColumn("working_days", count.cast("long")).drop("_d1", "_n1", "_d2", "_n2")
+    """Working days after ``a`` up to and including ``b``: weekdays in closed form less the holidays among them."""
+    listed = _steps(_free_weekdays(holidays, weekend).select(F.unix_date("day").cast("long").alias("v")), 366)
+    rank = lambda c: _weekday_rank(F.col(c), weekend) - _count_upto(F.col("_hol"), F.unix_date(c), 366)
+    out = df.withColumn("_hol", listed)
+    return out.withColumn("working_days", F.greatest(rank(b) - rank(a), F.lit(0)).cast("long")).drop("_hol")
 
 
 def shift_date(date: Column, n: Column, unit: str) -> Column:
@@ -94,16 +124,22 @@ def shift_date(date: Column, n: Column, unit: str) -> Column:
 def add_working_days(
     df: DataFrame, date: str, n: str, holidays: DataFrame, weekend: tuple[int, ...] = (5, 6)
 ) -> DataFrame:
-    """The n-th working day after ``date`` (n of 1 or more), looked up by its running number."""
-    low, high, most = df.agg(F.min(date), F.max(date), F.max(n)).first()
-    # At least one working day in seven plus the holidays bounds how far ahead to look.
-    off = holidays.count()
-    ahead = high + timedelta(days=int(most) * 7 + off + 14)
-    cal = broadcast_if_small(working_calendar(df.sparkSession, low, ahead, weekend, holidays))
-    start = cal.select(F.col("day").alias("_d1"), F.col("upto").alias("_n1"))
-    goal = cal.where("is_working = 1").select(F.col("day").alias("shifted"), F.col("upto").alias("_n2"))
-    joined = df.join(start, F.col(date) == F.col("_d1"), "left")
-    return joined.join(goal, F.col("_n1") + F.col(n) == F.col("_n2"), "left").drop("_d1", "_n1", "_n2")
+    """The n-th working day after ``date``, or before it where n is negative; n = 0 leaves the date as it is.
+
+    Weekdays are counted in closed form; a holiday moves the goal on by one, so the goal's rank among weekdays is its
+    rank among working days plus the holidays before it.
+    """
+    free = _free_weekdays(holidays, weekend)
+    by_day = _steps(free.select(F.unix_date("day").cast("long").alias("v")), 366)
+    # A holiday's rank among working days: its rank among weekdays less the holidays up to it.
+    placed = free.withColumn("_hol", by_day).select((F.col("rank") - _count_upto(F.col("_hol"), F.unix_date("day"), 366)).cast("long").alias("v"))
+    out = df.withColumn("_hol", by_day).withColumn("_gone", _steps(placed, 250))
+    rank = lambda day: _weekday_rank(day, weekend) - _count_upto(F.col("_hol"), F.unix_date(day), 366)
+    move = F.col(n).cast("long")
+    goal = F.when(move > 0, rank(F.col(date)) + move).otherwise(rank(F.date_sub(F.col(date), 1)) + move + 1)
+    out = out.withColumn("_goal", goal)
+    moved = _weekday_at(F.col("_goal") + _count_upto(F.col("_gone"), F.col("_goal") - 1, 250), weekend)
+    return out.withColumn("shifted", F.when(move == 0, F.col(date)).otherwise(moved)).drop("_hol", "_gone", "_goal")
 
 
 def iso_week(df: DataFrame, date: str) -> DataFrame:

@@ -113,7 +113,7 @@ def number_lines(lines: DataFrame, start: int = 1, step: int = 1, sep: str = ".
 
 
 def number_corpus_lines(
-    docs: DataFrame, start: int = 1, step: int = 1, sep: str = ". ", pad: int = 0, hot_rows: int = ordered.HOT_ROWS
+    docs: DataFrame, start: int = 1, step: int = 1, sep: str = ". ", pad: int = 0
 ) -> DataFrame:
     """One running number over all documents, in doc_id order.
 
@@ -121,7 +121,7 @@ def number_corpus_lines(
     document's offset where they lie.
     """
     sizes = docs.select("doc_id", F.size(T.split_lines("text")).cast("long").alias("_n"))
-    offsets = ordered.scan(sizes, [], [F.col("doc_id")], running={"_upto": "_n"}, hot_rows=hot_rows)
+    offsets = ordered.scan(sizes, [], [F.col("doc_id")], running={"_upto": "_n"})
     offsets = offsets.select("doc_id", (F.col("_upto") - F.col("_n")).alias("_offset"))
     lines = explode_lines(docs.join(offsets, "doc_id"), keep=("doc_id", "_offset"))
     number = F.lit(start) + F.lit(step) * (F.col("_offset") + F.col("line_no"))
@@ -170,66 +170,60 @@ def diff_lines(old: DataFrame, new: DataFrame, on: tuple[str, ...], text: str =
 
 
 def order_violations(
-    df: DataFrame, by: list[str], key: str, sequence: list[str], hot_rows: int = ordered.HOT_ROWS
+    df: DataFrame, by: list[str], key: str, sequence: list[str], bounded: bool = False
 ) -> DataFrame:
     """Rows that come before their predecessor in A-Z order, and the place they belong."""
-    split = ordered.needs_split(df, by, hot_rows)
     keyed = df.withColumn("_key", F.lower(key))
     seen = ordered.scan(
-        keyed, by, [F.col(c) for c in sequence], position="place", previous={"_before": "_key"}, split=split
+        keyed, by, [F.col(c) for c in sequence], position="place", previous={"_before": "_key"}, bounded=bounded
     )
-    wanted = ordered.scan(seen, by, [F.col("_key"), *[F.col(c) for c in sequence]], position="belongs_at", split=split)
+    wanted = ordered.scan(seen, by, [F.col("_key"), *[F.col(c) for c in sequence]], position="belongs_at", bounded=bounded)
     return wanted.where(F.col("_key") < F.col("_before")).select(
         *df.columns, F.col("_before").alias("previous_key"), "place", "belongs_at"
     )
 
 
-def streaks(df: DataFrame, by: list[str], order: list[str], value: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def streaks(df: DataFrame, by: list[str], order: list[str], value: str, bounded: bool = False) -> DataFrame:
     """Every run of the same outcome: outcome, length and the place it starts."""
-    split = ordered.needs_split(df, by, hot_rows)
     marked = ordered.scan(
         df.select(*by, *order, value), by, [F.col(c) for c in order],
-        position="_pos", previous={"_prev": value}, split=split,
+        position="_pos", previous={"_prev": value}, bounded=bounded,
     )
     marked = marked.withColumn("_starts", F.when(F.col(value).eqNullSafe(F.col("_prev")) & (F.col("_pos") > 1), 0).otherwise(1))
-    runs = ordered.scan(marked, by, [F.col("_pos")], running={"_run": "_starts"}, split=split)
+    runs = ordered.scan(marked, by, [F.col("_pos")], running={"_run": "_starts"}, bounded=bounded)
     return runs.groupBy(*by, "_run", value).agg(
         F.count(F.lit(1)).alias("length"), F.min("_pos").alias("starts_at")
     ).drop("_run")
 
 
-def longest_streak(df: DataFrame, by: list[str], order: list[str], value: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def longest_streak(df: DataFrame, by: list[str], order: list[str], value: str, bounded: bool = False) -> DataFrame:
     """The longest run per key; the earliest one when several are equally long."""
-    runs = streaks(df, by, order, value, hot_rows)
+    runs = streaks(df, by, order, value, bounded)
     best = F.max_by(F.struct(value, "length", "starts_at"), F.struct("length", -F.col("starts_at")))
     return runs.groupBy(*by).agg(best.alias("_best")).select(*by, "_best.*")
 
 
-def laps(
-    events: DataFrame, by: list[str], ts: str, tie: str, hot_rows: int = ordered.HOT_ROWS, split: bool | None = None
-) -> DataFrame:
+def laps(events: DataFrame, by: list[str], ts: str, tie: str, bounded: bool = False) -> DataFrame:
     """Microseconds since the previous event and since the first one, per key."""
     micros = events.select(*by, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"))
     out = ordered.scan(
         micros, by, [F.col("at_us"), F.col(tie)], position="lap_no", previous={"_prev": "at_us"},
-        hot_rows=hot_rows, split=split,
+        first={"_first": "at_us"}, bounded=bounded,
     )
     out = out.withColumn("lap_us", F.coalesce(F.col("at_us") - F.col("_prev"), F.lit(0)))
-    first = micros.groupBy(*by).agg(F.min("at_us").alias("_first"))
-    return out.join(first, by).select(
+    return out.select(
         *by, tie, "lap_no", "lap_us", (F.col("at_us") - F.col("_first")).alias("total_us")
     )
 
 
 def session_laps(
-    events: DataFrame, by: list[str], ts: str, tie: str, gap_seconds: int = 1800, hot_rows: int = ordered.HOT_ROWS
+    events: DataFrame, by: list[str], ts: str, tie: str, gap_seconds: int = 1800, bounded: bool = False
 ) -> DataFrame:
     """Laps grouped into sessions that end after ``gap_seconds`` without an event."""
-    split = ordered.needs_split(events, by, hot_rows)
-    timed = laps(events, by, ts, tie, split=split)
+    timed = laps(events, by, ts, tie, bounded)
     opens = F.when((F.col("lap_no") == 1) | (F.col("lap_us") >= gap_seconds * 1_000_000), 1).otherwise(0)
     marked = timed.withColumn("_opens", opens)
-    numbered = ordered.scan(marked, by, [F.col("lap_no")], running={"session_no": "_opens"}, split=split)
+    numbered = ordered.scan(marked, by, [F.col("lap_no")], running={"session_no": "_opens"}, bounded=bounded)
     within = F.when(F.col("_opens") == 0, F.col("lap_us"))
     return numbered.groupBy(*by, "session_no").agg(
         F.count(F.lit(1)).alias("events"),

@@ -1,8 +1,7 @@
 """Lookup joins: rates, units, nearest row, as-of, reconciliation.
 
-Lookup tables supplied by the caller are broadcast only after their row count
-was checked (``broadcast_if_small``); a bigger one is joined by a shuffle on the
-same equi-keys, so the result never depends on the choice.
+Lookup tables join on equal keys and carry no hint: Catalyst and AQE broadcast one whose bytes are few and shuffle a
+bigger one, so the result never depends on the choice.
 """
 
 from __future__ import annotations
@@ -12,17 +11,15 @@ from pyspark.sql import functions as F
 
 from rowsmith import dims
 from rowsmith.operators import ordered
-from rowsmith.session import broadcast_if_small
 
 
 def _side(df: DataFrame, **names: str) -> DataFrame:
-    """Columns under new names; a broadcast hint on ``df`` holds for the result too."""
+    """Columns under new names."""
     return df.select(*[F.col(src).alias(new) for new, src in names.items()])
 
 
 def convert_currency(df: DataFrame, amount: str, frm: str, to: str, rates: DataFrame) -> DataFrame:
     """amount / rate[from] * rate[to], through the base currency; unknown codes give NULL."""
-    rates = broadcast_if_small(rates)
     a = _side(rates, _fc="currency", _fr="rate")
     b = _side(rates, _tc="currency", _tr="rate")
     return (
@@ -32,50 +29,54 @@ def convert_currency(df: DataFrame, amount: str, frm: str, to: str, rates: DataF
     )
 
 
-def rates_by_day(rates: DataFrame, until) -> DataFrame:
-    """One row per currency and calendar day: the latest rate on or before it.
+def rates_by_month(rates: DataFrame) -> DataFrame:
+    """(currency, month, known): the month's rates by date, led by the latest one from before it.
 
-    Turns the as-of lookup into an equi-join. Its size is days times currencies,
-    whatever the number of rows that are converted.
+    Turns the as-of lookup into an equi-join on (currency, month). Its months are those between the first and the last
+    rate, whatever dates are asked for; ``known`` holds a month of rates and one more.
     """
     w = Window.partitionBy("currency").orderBy("rate_date")
-    last = F.coalesce(F.date_sub(F.lead("rate_date").over(w), 1), F.greatest(F.lit(until).cast("date"), "rate_date"))
-    spans = rates.select("currency", "rate", "rate_date", last.alias("_last"))
-    return spans.select("currency", "rate", "rate_date", F.explode(F.sequence("rate_date", "_last")).alias("day"))
+    last = F.coalesce(F.lead("rate_date").over(w), rates.agg(F.max("rate_date")).scalar())
+    spans = rates.select("currency", F.struct("rate_date", "rate").alias("r"), F.trunc("rate_date", "month").alias("_from"), F.trunc(last, "month").alias("_to"))
+    months = spans.select("currency", "r", F.explode(F.sequence("_from", "_to", F.expr("interval 1 month"))).alias("month"))
+    return months.groupBy("currency", "month").agg(F.sort_array(F.collect_list("r")).alias("known"))
 
 
-def convert_asof(
-    df: DataFrame, date: str, amount: str, frm: str, to: str, rates: DataFrame, stale_days: int = 4,
-    until=None,
-) -> DataFrame:
-    """Convert with the latest rates on or before the row's date.
-
-    ``until`` is the last date to expect; a batch looks it up, a stream has to say it.
+def convert_asof(df: DataFrame, date: str, amount: str, frm: str, to: str, rates: DataFrame, stale_days: int = 4) -> DataFrame:
+    """Convert with the latest rates on or before the row's date, however far after the last rate that is.
 
-    ``stale`` marks rows whose older rate lies more than ``stale_days`` back; rows
-    before the first rate get NULL.
+    ``stale`` marks rows whose older rate lies more than ``stale_days`` back; rows before the first rate get NULL.
     """
-    if until is None:
-        until = df.agg(F.max(F.to_date(date))).first()[0]
-    daily = broadcast_if_small(rates_by_day(rates, until))
-    a = _side(daily, _fc="currency", _fr="rate", _fd="rate_date", _fday="day")
-    b = _side(daily, _tc="currency", _tr="rate", _td="rate_date", _tday="day")
+    monthly = rates_by_month(rates)
+    a = _side(monthly, _fc="currency", _fk="known", _fm="month")
+    b = _side(monthly, _tc="currency", _tk="known", _tm="month")
     day = F.to_date(date)
-    joined = df.join(a, (F.col(frm) == F.col("_fc")) & (day == F.col("_fday")), "left").join(
-        b, (F.col(to) == F.col("_tc")) & (day == F.col("_tday")), "left"
+    # Every currency's spans end in the last month of all, so later dates are asked for there.
+    month = F.least(F.trunc(day, "month"), F.trunc(rates.agg(F.max("rate_date")).scalar(), "month"))
+    asked = df.withColumn("_day", day).withColumn("_month", F.when(F.col("_day").isNotNull(), month))
+    joined = asked.join(a, (F.col(frm) == F.col("_fc")) & (F.col("_month") == F.col("_fm")), "left").join(
+        b, (F.col(to) == F.col("_tc")) & (F.col("_month") == F.col("_tm")), "left"
     )
-    oldest = F.when(F.col("_fd").isNotNull() & F.col("_td").isNotNull(), F.least("_fd", "_td"))
+    at = lambda known: F.try_element_at(F.filter(known, lambda r: r["rate_date"] <= F.col("_day")), F.lit(-1))
+    joined = joined.withColumn("_f", at("_fk")).withColumn("_t", at("_tk"))
+    oldest = F.when(F.col("_f").isNotNull() & F.col("_t").isNotNull(), F.least("_f.rate_date", "_t.rate_date"))
     return (
-        joined.withColumn("converted", F.col(amount) / F.col("_fr") * F.col("_tr"))
+        joined.withColumn("converted", F.col(amount) / F.col("_f.rate") * F.col("_t.rate"))
         .withColumn("rate_date", oldest)
-        .withColumn("stale", F.datediff(day, oldest) > stale_days)
-        .drop("_fc", "_fr", "_fd", "_fday", "_tc", "_tr", "_td", "_tday")
+        .withColumn("stale", F.datediff("_day", oldest) > stale_days)
+        .drop("_fc", "_fk", "_fm", "_tc", "_tk", "_tm", "_f", "_t", "_day", "_month")
     )
 
 
+def known_units(units: DataFrame) -> DataFrame:
+    """The units whose id stands for one size only: an id that two kinds share converts to NULL, never to two rows."""
+    once = units.groupBy("unit").agg(F.first("kind").alias("kind"), F.first("size").alias("size"), F.count(F.lit(1)).alias("_n"))
+    return once.where("_n = 1").drop("_n")
+
+
 def convert_units(df: DataFrame, amount: str, frm: str, to: str, units: DataFrame) -> DataFrame:
-    """amount * size[from] / size[to] inside one kind; across kinds or unknown units NULL."""
-    units = broadcast_if_small(units)
+    """amount * size[from] / size[to] inside one kind; across kinds, unknown or ambiguous units NULL."""
+    units = known_units(units)
     a = _side(units, _fk="kind", _fu="unit", _fs="size")
     b = _side(units, _tk="kind", _tu="unit", _ts="size")
     return (
@@ -89,7 +90,7 @@ def convert_units(df: DataFrame, amount: str, frm: str, to: str, units: DataFram
 
 def all_units(df: DataFrame, amount: str, frm: str, units: DataFrame) -> DataFrame:
     """One measurement in every unit of its kind."""
-    units = broadcast_if_small(units)
+    units = known_units(units)
     a = _side(units, _fk="kind", _fu="unit", _fs="size")
     b = _side(units, _tk="kind", unit="unit", _ts="size")
     return (
@@ -101,8 +102,8 @@ def all_units(df: DataFrame, amount: str, frm: str, units: DataFrame) -> DataFra
 
 def kitchen_grams(df: DataFrame, amount: str, unit: str, ingredient: str, units: DataFrame, densities: DataFrame) -> DataFrame:
     """Grams of an ingredient measured by volume: litres times a thousand times its density."""
-    a = _side(broadcast_if_small(units), _u="unit", _s="size")
-    b = _side(broadcast_if_small(densities), _i="ingredient", _d="density")
+    a = _side(units, _u="unit", _s="size")
+    b = _side(densities, _i="ingredient", _d="density")
     return (
         df.join(a, F.col(unit) == F.col("_u"), "left").join(b, F.col(ingredient) == F.col("_i"), "left")
         .withColumn("grams", F.col(amount) * F.col("_s") * 1000.0 * F.col("_d"))
@@ -130,7 +131,6 @@ def convert_area(
     df: DataFrame, amount: str, frm: str, to: str, units: DataFrame, bigha_sqyd: Column | None = None
 ) -> DataFrame:
     """Land units through square feet. A bigha is converted only with a stated size."""
-    units = broadcast_if_small(units)
     a = _side(units, _fu="unit", _fs="sqft")
     b = _side(units, _tu="unit", _ts="sqft")
     bigha = bigha_sqyd.cast("double") * 9.0 if bigha_sqyd is not None else F.lit(None).cast("double")
@@ -143,35 +143,32 @@ def convert_area(
 
 
 def acres_from_record(text: Column) -> Column:
-    """"2.20" or "2-20" in a land record is 2 acres 20 guntha, that is 2.5 acres."""
+    """"2.20" or "2-20" in a land record is 2 acres 20 guntha, that is 2.5 acres.
+
+    An acre has 40 guntha: a record with 40 or more is no acre-guntha record and gives NULL.
+    """
     parts = F.split(text, r"[.-]")
     guntha = F.coalesce(F.get(parts, F.lit(1)).try_cast("double"), F.lit(0.0))
-    return parts[0].try_cast("double") + guntha / 40.0
+    return F.when(guntha < 40, parts[0].try_cast("double") + guntha / 40.0)
 
 
 def pace_minutes_per_km(metres_per_second: Column) -> Column:
     return F.try_divide(F.lit(1000.0 / 60.0), metres_per_second)
 
 
-CHART_ROWS = 1_000
-
-
 def nearest(
-    df: DataFrame, value: str, group: str, dim: DataFrame, dim_group: str, by: str, order: str,
-    chart_rows: int = CHART_ROWS, hot_rows: int = ordered.HOT_ROWS,
+    df: DataFrame, value: str, group: str, dim: DataFrame, dim_group: str, by: str, order: str, bounded: bool = False
 ) -> DataFrame:
     """The row of ``dim`` closest to ``value`` within the group; the earlier row on ties.
 
-    Adds the chart row's columns, ``gap``, ``off_chart`` and ``exact``. Every value is
-    given its lower and upper neighbour and compares two gaps. A small chart is
-    broadcast as spans between neighbouring rows; a bigger one is sorted together
-    with the values and carried along, so no value ever meets a whole chart.
+    Adds the chart row's columns, ``gap``, ``off_chart`` and ``exact``. Chart rows are sorted together with the values
+    and carried along, so every value meets its lower and its upper neighbour only, whatever the size of the chart.
+    A NULL group has no chart. ``bounded`` is the caller's word that one task can hold any group.
     """
     one = dim.groupBy(F.col(dim_group).alias("_g"), F.col(by).alias("_v")).agg(
         F.min_by(F.struct(*dim.columns), order).alias("_row")
     )
-    span = _neighbours_by_span if dim.count() <= chart_rows else _neighbours_by_sort
-    joined = span(df, value, group, one, hot_rows)
+    joined = _neighbours_by_sort(df, value, group, one.where("_g is not null"), bounded)
     v, lo, hi = F.col(value), F.col(f"_lo.{by}"), F.col(f"_hi.{by}")
     gap_lo, gap_hi = F.abs(lo - v), F.abs(hi - v)
     earlier = F.col(f"_hi.{order}") < F.col(f"_lo.{order}")
@@ -186,31 +183,16 @@ def nearest(
     )
 
 
-def _neighbours_by_span(df, value, group, one, _):
-    w = Window.partitionBy("_g").orderBy("_v")
-    up = one.select("_g", F.col("_v").alias("_from"), F.lead("_v").over(w).alias("_to"), F.col("_row").alias("_lo"), F.lead("_row").over(w).alias("_hi"))
-    # The span before the first row, which has no lower neighbour.
-    first = one.groupBy("_g").agg(F.min("_v").alias("_to"), F.min_by("_row", "_v").alias("_hi"))
-    below = first.select("_g", F.lit(None).cast("double").alias("_from"), "_to", F.lit(None).cast(up.schema["_lo"].dataType).alias("_lo"), "_hi")
-    v = F.col(value)
-    on = (
-        (F.col(group) == F.col("_g"))
-        & (F.col("_from").isNull() | (v >= F.col("_from"))) & (F.col("_to").isNull() | (v < F.col("_to")))
-    )
-    return df.join(F.broadcast(up.unionByName(below)), on, "left")
-
-
-def _neighbours_by_sort(df, value, group, one, hot_rows):
+def _neighbours_by_sort(df, value, group, one, bounded):
     columns = df.columns
     mine = df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), F.struct(*columns).alias("_data"), F.lit(None).cast(one.schema["_row"].dataType).alias("_row"))
     chart = one.select("_g", F.col("_v").cast("double").alias("_v"), F.lit(None).cast(mine.schema["_data"].dataType).alias("_data"), "_row")
     rows = mine.unionByName(chart).withColumn("_is_data", F.col("_data").isNotNull())
-    split = ordered.needs_split(rows, ["_g"], hot_rows)
     # A chart row of the same value counts as the lower neighbour, so it sorts first.
     tie = F.xxhash64(F.to_json("_data"))
-    rows = ordered.scan(rows, ["_g"], [F.col("_v"), F.col("_is_data"), tie], last_known={"_lo": "_row"}, split=split)
+    rows = ordered.scan(rows, ["_g"], [F.col("_v"), F.col("_is_data"), tie], last_known={"_lo": "_row"}, bounded=bounded)
     rows = ordered.scan(
-        rows, ["_g"], [F.col("_v").desc(), F.col("_is_data").desc(), tie], last_known={"_hi": "_row"}, split=split
+        rows, ["_g"], [F.col("_v").desc(), F.col("_is_data").desc(), tie], last_known={"_hi": "_row"}, bounded=bounded
     )
     return rows.where("_is_data").select("_data.*", "_lo", "_hi")
 
@@ -219,7 +201,6 @@ def neighbours(matched: DataFrame, dim: DataFrame, group: str, dim_group: str, o
     """The matched chart row and up to ``reach`` rows on either side of it."""
     around = matched.withColumn("_near", F.explode(F.sequence(F.col(order) - reach, F.col(order) + reach)))
     chart = dim.select(*[F.col(c).alias(f"near_{c}") for c in dim.columns])
-    chart = broadcast_if_small(chart)
     on = (F.col(group) == F.col(f"near_{dim_group}")) & (F.col("_near") == F.col(f"near_{order}"))
     return around.join(chart, on).drop("_near", f"near_{dim_group}").withColumn(
         "is_match", F.col(f"near_{order}") == F.col(order)
@@ -233,7 +214,7 @@ def slab_join(df: DataFrame, amount: str, regime: str, slabs: DataFrame) -> Data
     each row meets one array and is never multiplied by the number of brackets.
     """
     folded = slabs.groupBy(F.col("regime").alias("_r")).agg(F.collect_list(F.struct("lo", "hi", "rate")).alias("_s"))
-    joined = df.join(broadcast_if_small(folded), F.col(regime) == F.col("_r"), "left")
+    joined = df.join(folded, F.col(regime) == F.col("_r"), "left")
     slices = F.transform(
         F.sort_array("_s"),
         lambda s: F.greatest(F.lit(0.0), F.least(F.col(amount), s["hi"]) - s["lo"]) * s["rate"],

@@ -112,12 +112,12 @@ def simple_interest(df: DataFrame, unit: str = "years") -> DataFrame:
     return df.withColumn("interest", interest).withColumn("amount", p + F.col("interest"))
 
 
-def simple_interest_schedule(df: DataFrame, key: str, unit: str = "years", max_rows: int = 40) -> DataFrame:
-    """One row per year, the last one for a part year. The table shows 40 years at most."""
+def simple_interest_schedule(df: DataFrame, key: str, unit: str = "years") -> DataFrame:
+    """One row per year, the last one for a part year."""
     years = M.period_years(F.col("period"), unit)
     p, r = F.greatest(F.lit(0.0), F.col("principal")), F.greatest(F.lit(0.0), F.col("rate"))
     rows = df.select(key, p.alias("_p"), (p * r / 100.0).alias("_per_year"), years.alias("_t")).where("_t > 0 and _p > 0")
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.least(F.ceil("_t"), F.lit(max_rows)).cast("int"))).alias("year"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.ceil("_t").cast("int"))).alias("year"))
     y = F.col("year")
     return rows.select(
         key, "year", (y > F.col("_t")).alias("part_year"),
@@ -279,28 +279,24 @@ def salary_components(parts: DataFrame, key: str) -> DataFrame:
 
 
 def allocate(
-    df: DataFrame, amount_paise: str, weight: str, by: list[str], order: list[str], hot_rows: int = ordered.HOT_ROWS
+    df: DataFrame, amount_paise: str, weight: str, by: list[str], order: list[str], bounded: bool = True
 ) -> DataFrame:
     """Split each group's whole amount by weight so the parts add up exactly.
 
-    Everyone gets the floor; the leftover paise go to the largest remainders, ties
-    by ``order``. Whole-number arithmetic throughout. A refund is split like the amount
-    without its sign; a group without any weight gets NULL.
+    Everyone gets the floor; the leftover paise go to the largest remainders, ties by ``order``. Whole-number
+    arithmetic throughout. A refund is split like the amount without its sign; a group without any weight gets NULL.
+    A group is an order or an invoice and fits one task; ``bounded=False`` is for groups that need not.
     """
-    totals = df.groupBy(*by).agg(F.nullif(F.sum(F.col(weight).cast("long")), F.lit(0)).alias("_w"))
-    exact = df.join(totals, by).withColumn("_a", F.abs(F.col(amount_paise)).cast("long")).withColumn("_m", F.col(weight).cast("long"))
-    # amount * weight = (amount div total) * total * weight + (amount % total) * weight: the second
-    # product stays in 64 bits while the total weight is under 3e9; above that decimals take over.
-    wide = "cast(_a % _w as decimal(19,0)) * cast(_m as decimal(19,0))"
-    exact = exact.withColumn("_floor", F.expr(
-        f"(_a div _w) * _m + case when _w < 3000000000 then ((_a % _w) * _m) div _w else cast({wide} div cast(_w as decimal(19,0)) as bigint) end"
-    )).withColumn("_rest", F.expr(
-        f"case when _w < 3000000000 then ((_a % _w) * _m) % _w else cast({wide} % cast(_w as decimal(19,0)) as bigint) end"
-    ))
-    spare = exact.groupBy(*by).agg((F.max("_a") - F.sum("_floor")).alias("_spare"))
+    rows = df.withColumn("_a", F.abs(F.col(amount_paise)).cast("long")).withColumn("_m", F.col(weight).cast("long"))
+    keyed = ordered.scan(rows, by, [F.col(c) for c in order], total={"_all": "_m"}, bounded=bounded)
+    # amount * weight = (amount div total) * total * weight + (amount % total) * weight; decimals hold the last product.
+    left = "cast(_a % _all as decimal(19,0)) * cast(_m as decimal(19,0))"
+    keyed = keyed.withColumn("_all", F.nullif("_all", F.lit(0))).withColumn(
+        "_floor", F.expr(f"(_a div _all) * _m + cast({left} div cast(_all as decimal(19,0)) as bigint)")
+    ).withColumn("_rest", F.expr(f"cast({left} % cast(_all as decimal(19,0)) as bigint)"))
     placed = ordered.scan(
-        exact, by, [F.col("_rest").desc(), *[F.col(c) for c in order]], position="_place", hot_rows=hot_rows
-    ).join(spare, by)
-    share = F.col("_floor") + F.when(F.col("_place") <= F.col("_spare"), 1).otherwise(0)
+        keyed, by, [F.col("_rest").desc(), *[F.col(c) for c in order]], position="_place", total={"_given": "_floor"}, bounded=bounded
+    )
+    share = F.col("_floor") + F.when(F.col("_place") <= F.col("_a") - F.col("_given"), 1).otherwise(0)
     signed = F.when(F.col(amount_paise) < 0, -share).otherwise(share)
     return placed.select(*df.columns, signed.cast("long").alias("share_paise"))

@@ -1,30 +1,19 @@
 """Running values in key order that survive a key holding most of the rows.
 
-A plain window sends every row of one key to one task. Here the biggest key is
-measured first. While it fits, the plain window is the cheapest plan. Past the
-bound the rows are range-partitioned on (key, order), so a hot key spans many
-partitions; each partition computes its own running values, and only one
-carry row per partition boundary travels between them.
+A plain window sends every row of one key to one task. That is right where the caller knows a key to be bounded (an
+order, a document, a page) and says so. Else the rows are range-partitioned on (key, order), so a hot key spans many
+partitions; each partition computes its own values, and only one carry row per partition border travels between them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from rowsmith.session import materialise
 
-HOT_ROWS = 5_000_000
-
-
-def biggest_group(df: DataFrame, keys: list[str]) -> int:
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return top or 0
-
-
-def needs_split(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether some key has more rows than one task should sort."""
-    return not keys or biggest_group(df, keys) > hot_rows
+EXACT = (ST.ByteType, ST.ShortType, ST.IntegerType, ST.LongType, ST.DecimalType)
 
 
 def scan(
@@ -36,8 +25,9 @@ def scan(
     previous: dict[str, str] | None = None,
     running: dict[str, str] | None = None,
     last_known: dict[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
-    split: bool | None = None,
+    first: dict[str, str] | None = None,
+    total: dict[str, str] | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add ordered columns per key. ``order`` must be total (end in a unique column).
 
@@ -45,20 +35,25 @@ def scan(
     previous    {new: source}  value of the row before, NULL on the first row
     running     {new: source}  sum of this and all earlier rows
     last_known  {new: source}  latest non-NULL value up to this row
+    first       {new: source}  value of the key's first row
+    total       {new: source}  sum over all rows of the key
 
-    ``split`` is the answer of ``needs_split`` when the caller already asked.
+    ``bounded`` is the caller's word that one task can hold any key. Sums are taken of whole numbers and decimals only:
+    floating sums would depend on where the partitions end.
     """
-    previous, running, last_known = previous or {}, running or {}, last_known or {}
-    if split is None:
-        split = needs_split(df, keys, hot_rows)
-    if not split:
-        return _with_windows(df, keys, order, position, previous, running, last_known)
-    return _split_scan(df, keys, order, position, previous, running, last_known)
+    wanted = {"previous": previous or {}, "running": running or {}, "last_known": last_known or {}, "first": first or {}, "total": total or {}}
+    for source in [*wanted["running"].values(), *wanted["total"].values()]:
+        if not isinstance(df.schema[source].dataType, EXACT):
+            raise ValueError(f"{source} must be a whole number or a decimal")
+    if bounded and keys:
+        return _with_windows(df, keys, order, position, **wanted)
+    return _split_scan(df, keys, order, position, **wanted)
 
 
-def _with_windows(df, part_by, order, position, previous, running, last_known):
+def _with_windows(df, part_by, order, position, previous, running, last_known, first, total):
     w = Window.partitionBy(*part_by).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*part_by)
     added = {}
     if position:
         added[position] = F.row_number().over(w).cast("long")
@@ -68,10 +63,14 @@ def _with_windows(df, part_by, order, position, previous, running, last_known):
         added[new] = F.sum(src).over(upto)
     for new, src in last_known.items():
         added[new] = F.last(src, ignorenulls=True).over(upto)
+    for new, src in first.items():
+        added[new] = F.first(src).over(upto)
+    for new, src in total.items():
+        added[new] = F.sum(src).over(whole)
     return df.select("*", *[expr.alias(new) for new, expr in added.items()])
 
 
-def _split_scan(df, keys, order, position, previous, running, last_known):
+def _split_scan(df, keys, order, position, previous, running, last_known, first, total):
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
@@ -79,33 +78,39 @@ def _split_scan(df, keys, order, position, previous, running, last_known):
         "_scan_part", F.spark_partition_id()
     )
     local = materialise(
-        _with_windows(ranged, ["_scan_part", *keys], order, "_scan_row", previous, running, last_known), "scan"
+        _with_windows(ranged, ["_scan_part", *keys], order, "_scan_row", previous, running, last_known, first, total), "scan"
     )
 
-    # One row per (partition, key). A key that reaches partition p from an earlier
-    # one is the first key of p, so at most n rows survive the filter below: that
-    # bound is what allows the broadcast.
+    # One row per (partition, key). A key that spans partitions is the first or the last
+    # key of each, so at most 2n rows survive the filter below: that bound is what allows
+    # the broadcast.
     edge = local.groupBy("_scan_part", *keys).agg(
         F.count(F.lit(1)).alias("_scan_count"),
         *[F.max_by(src, "_scan_row").alias(f"_scan_tail_{new}") for new, src in previous.items()],
         *[F.max_by(new, "_scan_row").alias(f"_scan_sum_{new}") for new in running],
         *[F.max_by(new, "_scan_row").alias(f"_scan_known_{new}") for new in last_known],
+        *[F.max_by(new, "_scan_row").alias(f"_scan_first_{new}") for new in first],
+        *[F.max(new).alias(f"_scan_total_{new}") for new in total],
     )
     # Without keys there is one edge row per partition, so one group of n rows.
     by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_scan_part")
     before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    every = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = edge.select(
         "_scan_part",
         *keys,
         F.sum("_scan_count").over(before).alias("_scan_before"),
+        F.count(F.lit(1)).over(every).alias("_scan_spans"),
+        *[F.first(f"_scan_first_{new}").over(every).alias(f"_scan_first_{new}") for new in first],
+        *[F.sum(f"_scan_total_{new}").over(every).alias(f"_scan_total_{new}") for new in total],
         *[F.lag(f"_scan_tail_{new}").over(by_key).alias(f"_scan_tail_{new}") for new in previous],
         *[F.sum(f"_scan_sum_{new}").over(before).alias(f"_scan_sum_{new}") for new in running],
         *[
             F.last(f"_scan_known_{new}", ignorenulls=True).over(before).alias(f"_scan_known_{new}")
             for new in last_known
         ],
-    ).where("_scan_before > 0")
-    carry = carry.select(
+    )
+    carry = carry.where("_scan_spans > 1").select(
         *[F.col(c).alias(f"_scan_c_{c}") for c in ["_scan_part", *keys]],
         *[c for c in carry.columns if c not in ("_scan_part", *keys)],
     )
@@ -117,8 +122,9 @@ def _split_scan(df, keys, order, position, previous, running, last_known):
     out = [F.col(c) for c in columns]
     if position:
         out.append((F.col("_scan_row") + F.coalesce("_scan_before", F.lit(0))).cast("long").alias(position))
+    came = F.col("_scan_before").isNotNull()
     for new in previous:
-        out.append(F.when(F.col("_scan_row") == 1, F.col(f"_scan_tail_{new}")).otherwise(F.col(new)).alias(new))
+        out.append(F.when((F.col("_scan_row") == 1) & came, F.col(f"_scan_tail_{new}")).otherwise(F.col(new)).alias(new))
     for new in running:
         carried = F.col(f"_scan_sum_{new}")
         out.append(
@@ -129,4 +135,9 @@ def _split_scan(df, keys, order, position, previous, running, last_known):
         )
     for new in last_known:
         out.append(F.coalesce(F.col(new), F.col(f"_scan_known_{new}")).alias(new))
+    for new in first:
+        out.append(F.when(came, F.col(f"_scan_first_{new}")).otherwise(F.col(new)).alias(new))
+    for new in total:
+        spans = F.col("_scan_spans").isNotNull()
+        out.append(F.when(spans, F.col(f"_scan_total_{new}")).otherwise(F.col(new)).alias(new))
     return joined.select(*out)

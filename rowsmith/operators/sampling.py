@@ -5,6 +5,8 @@ Randomness is a hash of (seed, id), never ``rand``, whose values depend on the p
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +22,10 @@ def draw(df: DataFrame, key: str, seed: str, k: int) -> DataFrame:
     return df.withColumn("ticket", ticket(seed, F.col(key))).orderBy("ticket", key).limit(k)
 
 
-def shuffle(df: DataFrame, key: str, seed: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def shuffle(df: DataFrame, key: str, seed: str) -> DataFrame:
     """A permutation: ``place`` is each row's position in it."""
     tagged = df.withColumn("ticket", ticket(seed, F.col(key)))
-    return ordered.scan(tagged, [], [F.col("ticket"), F.col(key)], position="place", hot_rows=hot_rows)
+    return ordered.scan(tagged, [], [F.col("ticket"), F.col(key)], position="place")
 
 
 def pick(n: int, *ids: Column) -> Column:
@@ -47,6 +49,14 @@ def sample_range(spark: SparkSession, lo: int, hi: int, k: int, repeat: bool, se
     if k > hi - lo + 1:
         raise ValueError("cannot draw more different numbers than there are")
     pool = spark.range(lo, hi + 1).withColumnRenamed("id", "value")
+    # The k smallest tickets lie under a bound that leaves a little more than k: only those are put in order.
+    share = (k + 6 * math.sqrt(k) + 30) / (hi - lo + 1)
+    while share < 1:
+        under = pool.where(ticket(seed, F.col("value")) < f"{int(share * 16**15):015x}")
+        if under.count() >= k:
+            pool = under
+            break
+        share *= 2
     return shuffle(pool, "value", seed).where(F.col("place") <= k).select(F.col("place").alias("draw_no"), "value")
 
 
@@ -56,9 +66,6 @@ def draws_per_row(df: DataFrame, key: str, k: int, lo: int, hi: int, seed: str)
     return rows.withColumn("value", pick(hi - lo + 1, F.lit(seed), F.col(key), F.col("draw_no")) + lo)
 
 
-MAX_COPIES = 100_000
-
-
 def replicated_chars(df: DataFrame, n: int, text: str = "text", sep: str = "\n", number: bool = False) -> int:
     """How many characters ``replicate`` would make, before making any."""
     digits = sum(n - 10 ** (d - 1) + 1 for d in range(1, len(str(n)) + 1))
@@ -67,12 +74,13 @@ def replicated_chars(df: DataFrame, n: int, text: str = "text", sep: str = "\n",
 
 
 def replicate(
-    df: DataFrame, n: int, text: str = "text", number: bool = False, max_chars: int | None = None, sep: str = "\n"
-) -> DataFrame:
-    """n copies of every row, numbered "1. " on request. Refused when n is not a whole
-    number from 1 to 100,000 or the copies would pass ``max_chars``."""
-    if n != int(n) or not 1 <= n <= MAX_COPIES:
-        raise ValueError(f"copies must be a whole number from 1 to {MAX_COPIES}")
+    df: DataFrame, n: int, text: str = "text", number: bool = False, max_chars: int | None = None, sep: str = "\n",
+    max_copies: int | None = None,
+) -> DataFrame:
+    """n copies of every row, numbered "1. " on request. Refused when n is not a whole number from 1 on, or the copies
+    would pass ``max_copies`` or ``max_chars`` where those are given."""
+    if n != int(n) or n < 1 or (max_copies is not None and n > max_copies):
+        raise ValueError("copies must be a whole number from 1" + (f" to {max_copies}" if max_copies else ""))
     if max_chars is not None and replicated_chars(df, n, text, sep, number) > max_chars:
         raise ValueError(f"that would make more than {max_chars} characters")
     rows = df.select("*", F.explode(F.sequence(F.lit(1), F.lit(int(n)))).alias("copy_no"))
@@ -88,17 +96,13 @@ def repeat_text(text: Column, n: int, sep: str = "\n", number: bool = False, tra
     return F.concat(joined, F.lit(sep)) if trailing else joined
 
 
-# The words placeholder text is made of, and its usual first words.
+# Words placeholder text is made of, and its first words.
 PLACEHOLDER_WORDS = (
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod "
-    "tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis "
-    "nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis "
-    "aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur "
-    "excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt "
-    "mollit anim id est laborum curabitur pretium tincidunt lacus nulla gravida orci "
-    "a odio nullam varius turpis et commodo pharetra est eros suscipit"
+    "amber basin cedar delta ember fjord grove harbour inlet juniper kelp lagoon meadow nectar orchard pebble quarry "
+    "ridge summit thicket upland valley willow yarrow zephyr breeze canyon dune estuary fern glacier heath island moss "
+    "prairie reef spring tundra wetland"
 ).split()
-OPENER = "Lorem ipsum dolor sit amet, consectetur adipiscing elit"
+OPENER = "Amber basin cedar delta, ember fjord grove harbour"
 
 
 def _sentence(seed: str, key: Column, no: Column) -> Column:
@@ -112,7 +116,7 @@ def _sentence(seed: str, key: Column, no: Column) -> Column:
         return F.when((n > 11) & (i == comma), F.concat(w, F.lit(","))).otherwise(w)
 
     text = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), word), " ")
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 1_000_000), F.lit("."))
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, F.lit(2), F.length(text)), F.lit("."))
 
 
 def placeholder_text(df: DataFrame, key: str, seed: str, unit: str = "paragraph", classic: bool = False) -> DataFrame:

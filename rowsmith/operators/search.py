@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.operators import ordered
+from rowsmith.session import materialise
 
 
 def keyword_search(
@@ -36,9 +37,7 @@ def used_categories(domain: DataFrame, df: DataFrame, category: str, order: str
     return domain.join(used, category, "left_semi").orderBy(order)
 
 
-def related(
-    df: DataFrame, key: str, category: str, sort: str, n: int = 3, hot_rows: int = ordered.HOT_ROWS
-) -> DataFrame:
+def related(df: DataFrame, key: str, category: str, sort: str, n: int = 3, bounded: bool = False) -> DataFrame:
     """The next ``n`` rows of the same category in A-Z order, walking round at the end.
 
     A category with fewer than n + 1 rows is topped up from the start of the whole
@@ -46,9 +45,11 @@ def related(
     row, so a big category is never paired with itself.
     """
     slim = df.select(key, category, F.lower(sort).alias("_sort"))
-    placed = ordered.scan(slim, [category], [F.col("_sort"), F.col(key)], position="_pos", hot_rows=hot_rows)
-    sizes = slim.groupBy(category).agg(F.count(F.lit(1)).alias("_size"))
-    placed = placed.join(sizes, category)
+    slim = slim.withColumn("_one", F.lit(1).cast("long"))
+    # Place and size of the category come from one scan; the wider result is read three times below.
+    placed = ordered.scan(slim, [category], [F.col("_sort"), F.col(key)], position="_pos", total={"_size": "_one"}, bounded=bounded)
+    if bounded:
+        placed = materialise(placed, "related")
     steps = F.when(F.col("_size") > 1, F.sequence(F.lit(1), F.least(F.lit(n), F.col("_size") - 1).cast("int")))
     wanted = placed.select(
         F.col(key).alias("item"), category, F.col("_size"), F.col("_pos").alias("_from"), F.explode(steps).alias("step")
@@ -60,7 +61,7 @@ def related(
     # A thin category has at most n rows, so the first 2n rows of the whole list
     # always hold n rows of other categories.
     entry = F.struct("_sort", F.col(key).alias("related"), F.col(category).alias("cat"))
-    head = slim.orderBy("_sort", key).limit(2 * n).agg(F.sort_array(F.collect_list(entry)))
+    head = placed.orderBy("_sort", key).limit(2 * n).agg(F.sort_array(F.collect_list(entry)))
     thin = placed.where(F.col("_size") <= n).select(F.col(key).alias("item"), category, "_size", head.scalar().alias("_head"))
     others = F.filter("_head", lambda x: x["cat"] != F.col(category))
     topped = thin.select("item", "_size", F.posexplode(F.slice(others, 1, n)).alias("_i", "_x")).where(

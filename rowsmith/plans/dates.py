@@ -72,11 +72,13 @@ def _(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), *moved)
 
 
-@query("add_working_days", f"""WITH {_HOLIDAYS.format(off='6, 7')}, o AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS a, 1 + o_orderkey % 30 AS n FROM orders)
-SELECT id, CAST(g.d AS VARCHAR) AS shifted FROM o JOIN cal s ON s.d = a JOIN cal g ON g.w = 1 AND g.upto = s.upto + n""")
+# Signed moves: forward from the day itself, back from the day before it.
+@query("add_working_days", f"""WITH {_HOLIDAYS.format(off='6, 7')}, o AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS a, o_orderkey % 61 - 30 AS n FROM orders),
+m AS (SELECT id, n, a, CASE WHEN n > 0 THEN s.upto + n ELSE p.upto + n + 1 END AS goal FROM o JOIN cal s ON s.d = a JOIN cal p ON p.d = a - 1)
+SELECT id, CAST(CASE WHEN n = 0 THEN a ELSE g.d END AS VARCHAR) AS shifted FROM m JOIN cal g ON g.w = 1 AND g.upto = goal""")
 def _(spark, sf):
     k = F.col("o_orderkey")
-    rows = table(spark, sf, "orders").select(k.alias("id"), F.to_date("o_orderdate").alias("a"), (1 + k % 30).alias("n"))
+    rows = table(spark, sf, "orders").select(k.alias("id"), F.to_date("o_orderdate").alias("a"), (k % 61 - 30).alias("n"))
     return dates.add_working_days(rows, "a", "n", _holidays(spark, sf)).select("id", "shifted")
 
 

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from rowsmith.operators import audit, clean, lines
+from rowsmith.functions import text as T
+from rowsmith.operators import audit, clean, lines, ordered
 from rowsmith.plans.lookups import HISTORY_SQL, rates_history
 from rowsmith.plans.registry import query, table
-from rowsmith.session import scratch_dir
+from rowsmith.session import scratch_path
 from rowsmith.sources import readers, writers
 
 
 def _fresh(spark, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return scratch_path(spark, label)
 
 
 @query("read_csv_table", """SELECT doc_id, lang, md5('"' || text || '", x') AS text_md5 FROM documents""")
@@ -80,7 +79,8 @@ def _(spark, sf):
 
 @query("rates_validity", f"""WITH {HISTORY_SQL}, d AS (SELECT DISTINCT rate_date AS date FROM hist),
 x AS (SELECT CAST(date AS VARCHAR) AS date, unnest([CASE WHEN month(date) = 2 THEN 'wrong base' END, CASE WHEN month(date) = 3 THEN 'too few currencies' END, CASE WHEN month(date) IN (3, 4) THEN 'no USD' END,
-  CASE WHEN month(date) = 3 THEN 'no INR' END, CASE WHEN month(date) = 5 THEN 'a code is not three capitals' END, CASE WHEN month(date) = 6 THEN 'a rate is not above zero' END]) AS detail FROM d)
+  CASE WHEN month(date) = 3 THEN 'no INR' END, CASE WHEN month(date) = 5 THEN 'a code is not three capitals' END, CASE WHEN month(date) = 6 THEN 'a rate is not above zero' END,
+  CASE WHEN month(date) = 7 THEN 'extra fields' END]) AS detail FROM d)
 SELECT date, 'rates' AS rule, 'error' AS severity, detail FROM x WHERE detail IS NOT NULL""")
 def _(spark, sf):
     month = F.month("date")
@@ -88,7 +88,9 @@ def _(spark, sf):
     r = F.when(month == 3, F.map_filter("rates", lambda c, v: c < "H")).when(month == 4, F.map_filter("rates", lambda c, v: c != "USD"))
     r = r.when(month == 5, F.transform_keys("rates", lambda c, v: F.when(c == "SEK", "Sek").otherwise(c)))
     r = r.when(month == 6, F.transform_values("rates", lambda c, v: F.when(c == "SEK", 0.0).otherwise(v)))
-    return audit.rates_findings(broken.withColumn("rates", r.otherwise(F.col("rates"))))
+    broken = broken.withColumn("rates", r.otherwise(F.col("rates")))
+    raw = F.to_json(F.struct(F.col("date").cast("string").alias("date"), "base", "rates", F.when(month == 7, "x").alias("note")))
+    return audit.rates_findings(broken.withColumn("raw", raw))
 
 
 # January is written a second time with doubled rates: only its dates change.
@@ -101,12 +103,20 @@ def _(spark, sf):
     return readers.read_rate_history(spark, path)
 
 
-@query("write_lines", "WITH @LINES@ SELECT line, count(*) AS n FROM lines GROUP BY line")
+# The order is the point: a line's place in its file, after the files whose names come before. Lines that differ in case
+# only are ordered by doc_id and line number, so every place is settled.
+@query("write_lines", """WITH @LINES@, k AS (SELECT line, @NATURAL@ AS key, doc_id, line_no FROM lines)
+SELECT line, CAST(row_number() OVER (ORDER BY key, doc_id, line_no) AS BIGINT) AS place FROM k""")
 def _(spark, sf):
     path = _fresh(spark, "lines")
     rows = lines.explode_lines(table(spark, sf, "documents"))
-    writers.write_lines(rows, path, lines.sort_order("az"))
-    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+    writers.write_lines(rows, path, [T.natural_key("line"), F.col("doc_id"), F.col("line_no")])
+    back = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.split("value", "\n").alias("all"))
+    # A file ends in a line break, so the last piece is empty. One count per file goes before.
+    held = back.select("file", F.slice("all", 1, F.size("all") - 1).alias("all"), (F.size("all") - 1).cast("long").alias("n"))
+    files = ordered.scan(held.select("file", "n"), [], [F.col("file")], running={"upto": "n"})
+    placed = held.drop("n").join(files, "file").select((F.col("upto") - F.col("n")).alias("base"), F.posexplode("all").alias("at", "line"))
+    return placed.select("line", (F.col("base") + F.col("at") + 1).alias("place"))
 
 
 @query("read_pages", "SELECT page_id, url, length(html) AS chars, octet_length(encode(html)) AS bytes FROM pages")
@@ -114,7 +124,11 @@ def _(spark, sf):
     return readers.read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", F.length("html").alias("chars"), F.octet_length("html").alias("bytes"))
 
 
-@query("read_files_binary")
+@query("read_files_binary", "SELECT n_nationkey, CAST(length(n_name) + 1 AS BIGINT) AS length, sha256(n_name || chr(10)) AS digest FROM nation")
 def _(spark, sf):
-    files = readers.read_files(spark, f"{sf}/*.parquet")
-    return files.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "length", clean.digest(F.col("content")).alias("digest"))
+    path = _fresh(spark, "nations")
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("value"))
+    nation.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    files = readers.read_files(spark, f"{path}/*/*.txt")
+    key = F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("long")
+    return files.select(key.alias("n_nationkey"), "length", clean.digest(F.col("content")).alias("digest"))

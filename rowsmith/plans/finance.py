@@ -8,12 +8,11 @@ from rowsmith import dims
 from rowsmith.functions import money as M
 from rowsmith.operators import money
 from rowsmith.plans.registry import query, rounded, table
-from rowsmith.session import broadcast_if_small, spread
 
 
 def _loans(spark, sf):
     k = F.col("o_orderkey")
-    return spread(table(spark, sf, "orders"), "o_orderkey").select(
+    return table(spark, sf, "orders").select(
         k.alias("loan_id"), F.col("o_totalprice").alias("principal"),
         F.when(k % 97 == 0, 0.0).otherwise(6 + (k % 90) / 10.0).alias("annual_rate"), (1 + k % 30).alias("years"),
     )
@@ -121,7 +120,7 @@ def _(spark, sf):
 
 
 @query("simple_interest_schedule", f"""WITH {_DEPOSITS}, t AS (SELECT id, greatest(0, principal) AS p, greatest(0, principal) * greatest(0, rate) / 100 AS py, period / 12.0e0 AS t FROM d WHERE period > 0 AND principal > 0),
-y AS (SELECT *, unnest(range(1, least(CAST(ceil(t) AS BIGINT), 40) + 1)) AS year FROM t)
+y AS (SELECT *, unnest(range(1, CAST(ceil(t) AS BIGINT) + 1)) AS year FROM t)
 SELECT id, year, year > t AS part_year, py * least(1, t - (year - 1)) AS interest, p + py * least(year, t) AS balance FROM y""")
 def _(spark, sf):
     return money.simple_interest_schedule(_deposits(spark, sf), "id", "months")
@@ -174,10 +173,10 @@ def _(spark, sf):
 
 def _sales(spark, sf):
     """Line items with the seller's and the buyer's state. Only the needed columns are joined."""
-    lines = spread(table(spark, sf, "lineitem"), "l_orderkey")
+    lines = table(spark, sf, "lineitem")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    buyers = broadcast_if_small(table(spark, sf, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("buyer_state")))
-    sellers = broadcast_if_small(table(spark, sf, "supplier").select(F.col("s_suppkey"), F.col("s_nationkey").alias("seller_state")))
+    buyers = table(spark, sf, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("buyer_state"))
+    sellers = table(spark, sf, "supplier").select(F.col("s_suppkey"), F.col("s_nationkey").alias("seller_state"))
     rate = F.element_at(F.array(F.lit(0), F.lit(5), F.lit(18), F.lit(40)), (F.col("l_partkey") % 4 + 1).cast("int"))
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -256,7 +255,7 @@ def _(spark, sf):
   FROM lineitem JOIN part ON l_partkey = p_partkey), s AS (SELECT p_brand, CAST(sum(price) AS DOUBLE) AS revenue, CAST(sum(cost) AS DOUBLE) AS cost FROM x GROUP BY 1)
 SELECT p_brand, revenue, cost, round(revenue - cost, 4) AS profit, round((revenue - cost) * 100 / revenue, 6) AS margin_pct, round((revenue - cost) * 100 / cost, 6) AS markup_pct FROM s""")
 def _(spark, sf):
-    part = broadcast_if_small(table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice"))
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
     sold = table(spark, sf, "lineitem").select("l_partkey", "l_extendedprice", "l_quantity").join(part, F.col("l_partkey") == F.col("p_partkey"))
     money2 = lambda c: F.col(c).cast("decimal(18,2)")
     out = money.margin_by(sold, money2("l_extendedprice"), money2("l_quantity") * money2("p_retailprice"), ["p_brand"])

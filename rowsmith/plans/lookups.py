@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from rowsmith import dims
 from rowsmith.operators import corpus, lines, lookup
 from rowsmith.plans.registry import query, rounded, table
-from rowsmith.session import spread
 
 
 def dbl(x: float) -> str:
@@ -140,10 +139,11 @@ def _(spark, sf):
     return lookup.convert_area(rows, "amount", "frm", "to", dims.area_units(spark), size).drop("amount")
 
 
-@query("split_acre_guntha", """SELECT p_partkey, p_size + (p_partkey % 40) / 40.0e0 AS acres, (p_size + (p_partkey % 40) / 40.0e0) * 43560.0e0 AS sqft FROM part""")
+@query("split_acre_guntha", """WITH a AS (SELECT p_partkey, CASE WHEN p_partkey % 50 < 40 THEN p_size + (p_partkey % 50) / 40.0e0 END AS acres FROM part)
+SELECT p_partkey, acres, acres * 43560.0e0 AS sqft FROM a""")
 def _(spark, sf):
     k = F.col("p_partkey")
-    record = F.concat(F.col("p_size").cast("string"), F.when(k % 2 == 0, ".").otherwise("-"), F.lpad((k % 40).cast("string"), 2, "0"))
+    record = F.concat(F.col("p_size").cast("string"), F.when(k % 2 == 0, ".").otherwise("-"), F.lpad((k % 50).cast("string"), 2, "0"))
     rows = table(spark, sf, "part").select("p_partkey", lookup.acres_from_record(record).alias("acres"))
     return rows.withColumn("sqft", F.col("acres") * dims.ACRE_SQFT)
 
@@ -247,12 +247,20 @@ def _(spark, sf):
     return corpus.modes(table(spark, sf, "events"), "value", ["event_type"])
 
 
-@query("approx_quartiles")
+# An approximate quartile is right if its rank is off by at most one part in the accuracy.
+@query("approx_quartiles", "SELECT event_type, true AS q1_good, true AS q2_good, true AS q3_good FROM events GROUP BY event_type")
 def _(spark, sf):
-    q = F.percentile_approx("value", [0.25, 0.5, 0.75], 10000)
-    return table(spark, sf, "events").groupBy("event_type").agg(q.alias("q")).select(
-        "event_type", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(3)]
+    events, accuracy, wanted = table(spark, sf, "events"), 1000, (0.25, 0.5, 0.75)
+    found = events.groupBy("event_type").agg(F.percentile_approx("value", list(wanted), accuracy).alias("q"), F.count("value").alias("n"))
+    ranked = events.join(found, "event_type").groupBy("event_type", "n").agg(
+        *[F.count(F.when(F.col("value") < F.col("q")[i], 1)).alias(f"under{i}") for i in range(3)],
+        *[F.count(F.when(F.col("value") <= F.col("q")[i], 1)).alias(f"upto{i}") for i in range(3)],
     )
+    slack = F.col("n") / accuracy + 1
+    return ranked.select("event_type", *[
+        ((F.col(f"under{i}") <= p * F.col("n") + slack) & (F.col(f"upto{i}") >= p * F.col("n") - slack)).alias(f"q{i + 1}_good")
+        for i, p in enumerate(wanted)
+    ])
 
 
 _REVENUE = "sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))"
@@ -265,14 +273,14 @@ def _revenue():
 @query("share_of_total", f"""WITH t AS (SELECT l_returnflag, l_linestatus, CAST({_REVENUE} AS DOUBLE) AS amount FROM lineitem GROUP BY ALL)
 SELECT l_returnflag, l_linestatus, amount, round(amount * 100.0 / sum(amount) OVER (PARTITION BY l_returnflag), 6) AS share_pct FROM t""")
 def _(spark, sf):
-    out = corpus.share_of_total(spread(table(spark, sf, "lineitem"), "l_orderkey"), _revenue(), ["l_returnflag", "l_linestatus"], ["l_returnflag"])
+    out = corpus.share_of_total(table(spark, sf, "lineitem"), _revenue(), ["l_returnflag", "l_linestatus"], ["l_returnflag"])
     return rounded(out, 6, "share_pct")
 
 
 @query("share_of_grand_total", f"""WITH t AS (SELECT l_suppkey, CAST({_REVENUE} AS DOUBLE) AS amount FROM lineitem GROUP BY ALL)
 SELECT l_suppkey, amount, round(amount * 100.0 / (SELECT sum(amount) FROM t), 6) AS share_pct FROM t""")
 def _(spark, sf):
-    return rounded(corpus.share_of_total(spread(table(spark, sf, "lineitem"), "l_orderkey"), _revenue(), ["l_suppkey"]), 6, "share_pct")
+    return rounded(corpus.share_of_total(table(spark, sf, "lineitem"), _revenue(), ["l_suppkey"]), 6, "share_pct")
 
 
 @query("percent_change", """WITH m AS (SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM orders GROUP BY ALL),
@@ -295,7 +303,7 @@ _WEIGHTS = [(u, s) for k, u, s in dims.UNITS if k == "weight"]
 @query("unit_price_rank", "WITH " + values("w", "unit, size", _WEIGHTS) + f""",
 p AS (SELECT p_brand, p_partkey, p_retailprice, p_size * size AS q FROM part JOIN w ON unit = {pick_sql('p_partkey', [u for u, _ in _WEIGHTS])})
 SELECT p_brand, p_partkey, p_retailprice / q AS unit_price, p_retailprice / q = min(p_retailprice / q) OVER (PARTITION BY p_brand) AS cheapest,
-  q = max(q) OVER (PARTITION BY p_brand) AS biggest FROM p""")
+  q = max(q) OVER (PARTITION BY p_brand) AS biggest, rank() OVER (PARTITION BY p_brand ORDER BY p_retailprice / q) AS rank FROM p""")
 def _(spark, sf):
     size = F.element_at(F.create_map(*[x for u, s in _WEIGHTS for x in (F.lit(u), F.lit(s))]), pick(F.col("p_partkey"), [u for u, _ in _WEIGHTS]))
     return corpus.unit_price(table(spark, sf, "part"), "p_brand", "p_partkey", F.col("p_retailprice"), F.col("p_size") * size)

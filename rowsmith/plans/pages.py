@@ -153,7 +153,8 @@ def _(spark, sf):
 PIECES["PATHS"] = """known AS (SELECT DISTINCT @HOST@ AS host, CASE WHEN p = '' THEN '/' ELSE regexp_replace(p, '/+$', '') END AS target
   FROM (SELECT url, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS p FROM pages))"""
 # Every relative address in these pages is already absolute on its host.
-PIECES["LINKS"] = """links AS (SELECT page_id, @HOST@ AS host, unnest(regexp_extract_all(html, 'href="([^"#?:]+)(?:\\?[^"]*)?"', 1)) AS href FROM rich)"""
+PIECES["LINKS"] = """links AS (SELECT page_id, @HOST@ AS host, unnest(list_concat(regexp_extract_all(html, '(?:href|src)="([^"#?:]+)(?:\\?[^"]*)?"', 1),
+  regexp_extract_all(html, 'new (?:Shared)?Worker\\(["'']([^"''#?:]+)', 1))) AS href FROM rich)"""
 
 
 @query("dead_links", """WITH @RICH@, @PATHS@, @LINKS@ SELECT page_id, host, href FROM links WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.host = links.host AND k.target = href)""")

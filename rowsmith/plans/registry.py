@@ -9,19 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from rowsmith.functions import text as T
-from rowsmith.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-# Tables whose rows are heavy work each, and the key that spreads them when they come in few pieces.
-HEAVY = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return spread(df, HEAVY[name]) if name in HEAVY else df
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -87,7 +81,7 @@ PIECES["KEY"] = "lower(regexp_replace(line, '^@WS@+|@WS@+$', '', 'g'))"
 PIECES["NATURAL"] = """array_to_string(list_transform(
     string_split(regexp_replace(lower(line), '0*(\\d+)', chr(1) || '\\1' || chr(2), 'g'), chr(1)),
     lambda p: CASE WHEN contains(p, chr(2))
-      THEN lpad(CAST(strpos(p, chr(2)) - 1 AS VARCHAR), 3, '0') || replace(p, chr(2), '') ELSE p END), '')"""
+      THEN lpad(CAST(strpos(p, chr(2)) - 1 AS VARCHAR), 10, '0') || replace(p, chr(2), '') ELSE p END), '')"""
 PIECES["MARKED_SENTENCES"] = "regexp_replace(text, '[.!?]+(@WS@|$)', chr(10) || '\\1', 'g')"
 PIECES["WORDS"] = "len(list_filter(regexp_split_to_array(text, '@WS@+'), lambda p: regexp_matches(p, '[\\p{L}\\p{N}]')))"
 PIECES["SENTENCE_LIST"] = "list_filter(regexp_split_to_array(@MARKED_SENTENCES@, '\\n+'), lambda p: regexp_matches(p, '@NON_WS@'))"

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from rowsmith.plans.lookups import CODES, pick, rates_history
-from rowsmith.plans.registry import ORACLES, query, table
+from rowsmith.plans.registry import ORACLES, query, rounded, table
 from rowsmith.plans.texts import _DOC_STATS
-from rowsmith.session import scratch_dir
+from rowsmith.session import scratch_path
 from rowsmith.streaming import jobs
 
 
@@ -20,30 +18,44 @@ def _(spark, sf):
     return jobs.drain(jobs.doc_stats(jobs.table_stream(spark, sf, "documents")))
 
 
-@query("stream_line_dedup", "WITH @LINES@ SELECT DISTINCT @KEY@ AS key FROM lines")
+def pieces(spark, sf: str, name: str, key: str, n: int = 4):
+    """A table as a stream of ``n`` files, one per micro-batch, rows dealt by hash: no batch is in order."""
+    path = scratch_path(spark, name)
+    rows = table(spark, sf, name)
+    for k in range(n):
+        rows.where(F.pmod(F.xxhash64(key), F.lit(n)) == k).coalesce(1).write.parquet(f"{path}/part={k}")
+    schema = rows.schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/part=*")
+
+
+@query("stream_line_dedup", "WITH @LINES@, k AS (SELECT @KEY@ AS key, doc_id, line_no, line FROM lines) "
+       "SELECT key, doc_id, line_no, line FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, line_no) = 1")
 def _(spark, sf):
-    docs = jobs.table_stream(spark, sf, "documents")
     at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id"))
-    return jobs.drain(jobs.line_dedup(docs.withColumn("at", at), "at", "36500 days")).select("key")
+    store = jobs.FirstLines(scratch_path(spark, "first"), "at", compact_every=2)
+    jobs.drain_batches(pieces(spark, sf, "documents", "doc_id").withColumn("at", at), store.merge)
+    return store.rows(spark).select("key", "doc_id", F.col("line_no").cast("long"), "line")
 
 
 @query("stream_latest_wins", """SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY user_id""")
 def _(spark, sf):
-    store = jobs.LatestWins(f"{scratch_dir(spark)}/latest-{uuid.uuid4().hex}", "user_id", "event_id", ["event_type", "value"])
-    jobs.drain_batches(jobs.table_stream(spark, sf, "events"), store.merge)
+    store = jobs.LatestWins(scratch_path(spark, "latest"), "user_id", "event_id", ["event_type", "value"], compact_every=2)
+    jobs.drain_batches(pieces(spark, sf, "events", "event_id"), store.merge)
     return store.latest(spark)
 
 
 @query("stream_rates_join", ORACLES["rates_asof"])
 def _(spark, sf):
-    orders = jobs.table_stream(spark, sf, "orders")
-    rows = orders.select(
+    rows = pieces(spark, sf, "orders", "o_orderkey").select(
         "o_orderkey", F.col("o_totalprice").alias("amount"), F.to_date("o_orderdate").alias("d"),
         pick(F.col("o_orderkey"), CODES + ["XXX"]).alias("frm"), pick(F.floor(F.col("o_orderkey") / 7), CODES).alias("to"),
     )
-    until = table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate"))).first()[0]
-    out = jobs.convert_with_rates(rows, "d", "amount", "frm", "to", rates_history(spark, sf), until)
-    return jobs.drain(out.select("o_orderkey", "converted", "rate_date", "stale"))
+    job = jobs.RatesJoin(
+        scratch_path(spark, "converted"), lambda: rates_history(spark, sf), "d", "amount", "frm", "to",
+        ["o_orderkey", "converted", "rate_date", "stale"],
+    )
+    jobs.drain_batches(rows, job.merge)
+    return job.rows(spark)
 
 
 _TUMBLE = """w AS (SELECT event_type, date_trunc('day', ts) AS s, count(*) AS n FROM events GROUP BY ALL)
@@ -77,20 +89,23 @@ def _(spark, sf):
 
 @query("stream_sessions", """WITH l AS (SELECT user_id, ts, event_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS lap FROM events),
 s AS (SELECT *, sum(CASE WHEN lap IS NULL OR lap >= 1800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM l),
-g AS (SELECT user_id, no, min(ts) AS a, max(ts) + INTERVAL 30 MINUTE AS b, count(*) AS events FROM s GROUP BY ALL)
-SELECT strftime(a, '%Y-%m-%d %H:%M:%S') AS start, strftime(b, '%Y-%m-%d %H:%M:%S') AS "end", user_id, events FROM g WHERE b <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+g AS (SELECT user_id, no, min(ts) AS a, max(ts) + INTERVAL 30 MINUTE AS b, count(*) AS events, max(epoch_us(ts)) - min(epoch_us(ts)) AS length_us FROM s GROUP BY ALL)
+SELECT strftime(a, '%Y-%m-%d %H:%M:%S') AS start, strftime(b, '%Y-%m-%d %H:%M:%S') AS "end", user_id, events, length_us,
+  CASE WHEN events > 1 THEN round(length_us / CAST(events - 1 AS DOUBLE), 3) END AS mean_lap_us FROM g WHERE b <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def _(spark, sf):
-    return jobs.drain(jobs.sessions(jobs.table_stream(spark, sf, "events"), ["user_id"], "ts"))
+    out = jobs.drain(jobs.sessions(jobs.table_stream(spark, sf, "events"), ["user_id"], "ts"))
+    return rounded(out, 3, "mean_lap_us")
 
 
 @query("stream_streaks", ORACLES["longest_streak"])
 def _(spark, sf):
-    store = jobs.Streaks(f"{scratch_dir(spark)}/streaks-{uuid.uuid4().hex}", "user_id", ["ts", "event_id"], "event_type")
+    # Batches out of order by design; the delay reaches over the whole month of events.
+    store = jobs.Streaks(scratch_path(spark, "streaks"), "user_id", "ts", "event_id", "event_type", "40 days", compact_every=2)
     last = []
 
     def merge(batch, batch_id):
         store.merge(batch, batch_id)
         last.append(batch_id)
 
-    jobs.drain_batches(jobs.table_stream(spark, sf, "events"), merge)
+    jobs.drain_batches(pieces(spark, sf, "events", "event_id"), merge)
     return store.longest(spark, last[-1])

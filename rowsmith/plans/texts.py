@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowsmith.functions import text as T
 from rowsmith.operators import clean, corpus, lines, search
 from rowsmith.plans.registry import pasted, query, rounded, table
+from rowsmith.sources import readers
 
 
 def _docs(spark, sf):
@@ -22,7 +23,7 @@ def _lines(spark, sf, *keep):
 
 @query("read_documents", "SELECT doc_id, lang, source, length(text) AS chars, length(text) = n_chars AS as_stated FROM documents")
 def _(spark, sf):
-    return _docs(spark, sf).select(
+    return readers.read_documents(spark, f"{sf}/documents.parquet").select(
         "doc_id", "lang", "source", F.length("text").alias("chars"), (F.length("text") == F.col("n_chars")).alias("as_stated")
     )
 
@@ -255,9 +256,16 @@ def _(spark, sf):
     return corpus.hardest_sentences(_docs(spark, sf))
 
 
-@query("set_fingerprint", """WITH h AS (SELECT source, sha256(CAST(doc_id AS VARCHAR) || ':' || sha256(text)) AS h FROM documents),
-b AS (SELECT source, substr(h, 1, 4) AS b, sha256(string_agg(h, '' ORDER BY h)) AS h, count(*) AS n FROM h GROUP BY ALL)
-SELECT source, sha256(string_agg(h, '' ORDER BY b)) AS fingerprint, CAST(sum(n) AS BIGINT) AS texts FROM b GROUP BY source""")
+_LEVELS = "".join(
+    f""",
+t{d} AS (SELECT source, substr(p, 1, {d}) AS p, sha256(string_agg(h, '' ORDER BY p, h)) AS h, sum(n) AS n FROM t{d + 2} GROUP BY source, substr(p, 1, {d}))"""
+    for d in (8, 6, 4, 2, 0)
+)
+
+
+@query("set_fingerprint", f"""WITH e AS (SELECT source, sha256(CAST(doc_id AS VARCHAR) || ':' || sha256(text)) AS h FROM documents),
+t10 AS (SELECT source, substr(h, 1, 8) AS p, h, 1 AS n FROM e){_LEVELS}
+SELECT source, h AS fingerprint, CAST(n AS BIGINT) AS texts FROM t0""")
 def _(spark, sf):
     return corpus.set_fingerprint(_docs(spark, sf), F.col("doc_id"), F.col("text"), ("source",))
 
@@ -358,6 +366,29 @@ def _(spark, sf):
     return clean.regex_matches(_docs(spark, sf), r"[0-9]+")
 
 
+# The checking engine has no back-references: letters doubled, one by one.
+_DOUBLED = " UNION ALL ".join(f"SELECT doc_id, '{c}' AS letter, len(regexp_extract_all(text, '{c}{c}')) AS n FROM documents" for c in "abcdefghijklmnopqrstuvwxyz")
+
+
+@query("regex_back_reference", f"""SELECT doc_id, letter, CAST(n AS BIGINT) AS n FROM ({_DOUBLED}) WHERE n > 0""")
+def _(spark, sf):
+    found = clean.regex_matches(_docs(spark, sf), r"(?<letter>[a-z])\1")
+    return found.groupBy("doc_id", "letter").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("regex_any_character", """WITH d AS (SELECT doc_id, replace(text, ' ', chr(57344)) AS t FROM documents), e AS (SELECT doc_id, string_split(t, chr(57344)) AS c FROM d),
+x AS (SELECT doc_id, c, unnest(range(1, len(c))) AS i FROM e)
+SELECT doc_id, i - 1 AS match_no, CAST(list_sum(list_transform(c[1:i], lambda p: length(p))) + i - 1 AS BIGINT) AS start FROM x""")
+def _(spark, sf):
+    docs = _docs(spark, sf).withColumn("text", F.replace("text", F.lit(" "), F.lit("\ue000")))
+    return clean.regex_matches(docs, "\ue000").drop("match")
+
+
+@query("find_replace_refused", """SELECT doc_id, CAST(0 AS BIGINT) AS hits, md5(text) AS text_md5, 'a repeated group holds a repetition' AS finding FROM documents""")
+def _(spark, sf):
+    return clean.find_replace(_docs(spark, sf), "((a|b)+c?)+$", "x", regex=True).select("doc_id", "hits", F.md5("text").alias("text_md5"), "finding")
+
+
 @query("case_key", """WITH p AS (SELECT replace(p_name, ' ', CASE p_partkey % 3 WHEN 0 THEN '_' WHEN 1 THEN '-' ELSE ' ' END) AS n, p_partkey FROM part),
 v AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN upper(n) ELSE n END AS name FROM p),
 k AS (SELECT name, array_to_string(list_filter(regexp_split_to_array(lower(replace(regexp_replace(regexp_replace(name, '([A-Z]+)([A-Z][a-z])', '\\1 \\2', 'g'), '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '''', '')), '[^\\p{L}\\p{M}\\p{N}]+'), lambda w: w <> ''), '_') AS case_key FROM v)
@@ -393,6 +424,7 @@ def _(spark, sf):
     )
 
 
+# The checking engine has no SHA-384 or SHA-512; tests hold these against the published vectors.
 @query("content_hash_long")
 def _(spark, sf):
     text = F.col("text")

@@ -1,4 +1,4 @@
-"""Session settings, shared scratch space and broadcast bounds."""
+"""Session settings and shared scratch space."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only after its row count was checked against this bound.
-BROADCAST_ROWS = 200_000
-
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -49,32 +44,23 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name below this application's own scratch folder, which goes when the application ends."""
+    app = f"{scratch_dir(spark)}/rowsmith-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(app)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return f"{app}/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
-    Cuts the lineage, so a lost executor re-reads files instead of re-running a
-    range shuffle whose sampled bounds could come out differently.
+    Cuts the lineage, so a lost executor re-reads files instead of re-running a range shuffle whose sampled bounds could
+    come out differently; and Catalyst knows the size of what it reads, so it broadcasts by bytes.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when it holds at most ``rows`` rows; else leave the join to a shuffle.
-
-    A plain count: spread over the cluster, and read from file footers for a bare table.
-    """
-    return F.broadcast(df) if df.count() <= rows else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input that comes in fewer pieces than there are cores.
-
-    A table of many files is returned as it is: it never pays for this shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df

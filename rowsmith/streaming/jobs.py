@@ -6,14 +6,12 @@ time-zone-free type the event files are read with.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
-from rowsmith.operators import corpus, lines, lookup, ordered
-from rowsmith.session import scratch_dir
+from rowsmith.operators import corpus, lines, lookup
+from rowsmith.session import scratch_path
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1000) -> DataFrame:
@@ -26,7 +24,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: i
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over everything available into a parquet sink and read that."""
     spark = stream.sparkSession
-    base = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "stream")
     query = (
         stream.writeStream.format("parquet").outputMode(mode)
         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
@@ -38,7 +36,7 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
 
 def drain_batches(stream: DataFrame, merge) -> None:
     """Run a stream to its end, handing each micro-batch and its number to ``merge``."""
-    base = f"{scratch_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    base = scratch_path(stream.sparkSession, "stream")
     query = (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/state")
         .trigger(availableNow=True).start()
@@ -55,23 +53,6 @@ def doc_stats(docs: DataFrame) -> DataFrame:
     return corpus.doc_stats(docs)
 
 
-def line_dedup(docs: DataFrame, ts: str, horizon: str, ignore_case: bool = True, trim: bool = True) -> DataFrame:
-    """The first copy of a line wins for as long as the horizon remembers it.
-
-    Copies that meet inside one Arrow batch are thinned before the shuffle, so a
-    line most documents share does not send every copy to the task of its key.
-    """
-    rows = lines.explode_lines(docs, keep=("doc_id", ts))
-    keyed = rows.withColumn("key", T.line_key("line", ignore_case, trim))
-
-    def thin(batches):
-        for batch in batches:
-            yield batch.sort_values(ts, kind="stable").drop_duplicates("key")
-
-    thinned = keyed.mapInPandas(thin, keyed.schema)
-    return thinned.withWatermark(ts, horizon).dropDuplicatesWithinWatermark(["key"])
-
-
 def window_counts(
     events: DataFrame, ts: str, width: str, by: list[str], slide: str | None = None, delay: str = "1 hour"
 ) -> DataFrame:
@@ -84,63 +65,133 @@ def window_counts(
 
 
 def sessions(events: DataFrame, by: list[str], ts: str, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
+    """Sessions with the number of events, their length and the mean lap between two events."""
     timed = event_time(events, ts).withWatermark(ts, delay)
-    return timed.groupBy(F.session_window(ts, gap), *by).agg(F.count(F.lit(1)).alias("events")).select(
-        F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "events"
-    )
+    length = F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))
+    return timed.groupBy(F.session_window(ts, gap), *by).agg(
+        F.count(F.lit(1)).alias("events"), length.alias("length_us"),
+        F.try_divide(length, F.count(F.lit(1)) - 1).alias("mean_lap_us"),
+    ).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "events", "length_us", "mean_lap_us")
+
 
+def folders(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the finished ``kind=<n>`` folders below ``path``, ascending."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS"))
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in (found or []))
 
-def convert_with_rates(events: DataFrame, date: str, amount: str, frm: str, to: str, rates: DataFrame, until) -> DataFrame:
-    """Rows converted on arrival by a slowly changing rates table (stream-static join)."""
-    return lookup.convert_asof(events, date, amount, frm, to, rates, until=until)
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
-class LatestWins:
-    """Keep the value with the highest sequence number per key, whatever order results arrive in.
 
-    Each micro-batch is reduced to one row per key and written to its own folder,
-    so a replayed batch overwrites itself. ``latest`` merges the folders.
+class KeyedStore:
+    """One best row per key over all micro-batches, whatever order rows arrive in.
+
+    Each batch is reduced to one row per key and written to its own folder, so only changed keys are written and a
+    replayed batch overwrites itself. Every ``compact_every`` batches the folders are merged into one base and the older
+    ones go, so no more than that many folders are ever read.
     """
 
-    def __init__(self, path: str, key: str, seq: str, values: list[str]):
-        self.path, self.key, self.seq, self.values = path, key, seq, values
+    def __init__(self, path: str, key: str, order: list[str], values: list[str], newest: bool, compact_every: int = 10):
+        self.path, self.key, self.order, self.values = path, key, order, values
+        self.newest, self.compact_every = newest, compact_every
 
-    def _newest(self, df: DataFrame) -> DataFrame:
-        best = F.max_by(F.struct(*self.values), F.col(self.seq))
-        return df.groupBy(self.key).agg(F.max(self.seq).alias(self.seq), best.alias("_v")).select(self.key, self.seq, "_v.*")
+    def _best(self, df: DataFrame) -> DataFrame:
+        pick = F.max_by if self.newest else F.min_by
+        columns = [c for c in [*self.order, *self.values] if c != self.key]
+        best = pick(F.struct(*columns), F.struct(*self.order))
+        return df.groupBy(self.key).agg(best.alias("_v")).select(self.key, "_v.*")
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        self._newest(batch.select(self.key, self.seq, *self.values)).write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch_id}"
-        )
+        spark = batch.sparkSession
+        columns = list(dict.fromkeys([self.key, *self.order, *self.values]))
+        self._best(batch.select(*columns)).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if batch_id and batch_id % self.compact_every == 0:
+            old = [(kind, n) for kind in ("batch", "base") for n in folders(spark, self.path, kind) if n <= batch_id]
+            self._read(spark, batch_id).write.mode("overwrite").parquet(f"{self.path}/base={batch_id}")
+            for kind, n in old:
+                if (kind, n) != ("base", batch_id):
+                    remove(spark, f"{self.path}/{kind}={n}")
+
+    def _read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        bases = folders(spark, self.path, "base")
+        base = bases[-1:]
+        batches = [n for n in folders(spark, self.path, "batch") if not base or n > base[0] or n == upto]
+        paths = [f"{self.path}/base={n}" for n in base] + [f"{self.path}/batch={n}" for n in batches]
+        return self._best(spark.read.parquet(*paths))
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark)
+
+    def empty(self, spark: SparkSession) -> bool:
+        return not folders(spark, self.path, "base") and not folders(spark, self.path, "batch")
+
+
+class LatestWins(KeyedStore):
+    """Keep the values with the highest sequence number per key."""
+
+    def __init__(self, path: str, key: str, seq: str, values: list[str], compact_every: int = 10):
+        super().__init__(path, key, [seq], values, newest=True, compact_every=compact_every)
 
     def latest(self, spark: SparkSession) -> DataFrame:
-        return self._newest(spark.read.option("basePath", self.path).parquet(f"{self.path}/batch=*").drop("batch"))
+        return self.rows(spark)
 
 
-class Streaks:
-    """The longest run of the same outcome per key over a stream that arrives in order.
+class FirstLines(KeyedStore):
+    """Line de-duplication over a stream of documents: the first copy by (time, doc_id, line_no) is kept."""
 
-    Runs inside a micro-batch come from the batch operator, which splits a hot key;
-    only one row per key (its open run and its best run) is carried on. State number
-    b is built from state b - 1, so a replayed batch gives the same state again.
-    """
+    def __init__(self, path: str, ts: str, ignore_case: bool = True, trim: bool = True, compact_every: int = 10):
+        super().__init__(path, "key", [ts, "doc_id", "line_no"], ["line"], newest=False, compact_every=compact_every)
+        self.ts, self.ignore_case, self.trim = ts, ignore_case, trim
+
+    def merge(self, batch: DataFrame, batch_id: int) -> None:
+        rows = lines.explode_lines(batch, keep=("doc_id", self.ts))
+        super().merge(rows.withColumn("key", T.line_key("line", self.ignore_case, self.trim)), batch_id)
 
-    def __init__(self, path: str, by: str, order: list[str], value: str, hot_rows: int = ordered.HOT_ROWS):
-        self.path, self.by, self.order, self.value, self.hot_rows = path, by, order, value, hot_rows
 
-    def _state(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        return spark.read.parquet(f"{self.path}/state={batch_id}") if batch_id >= 0 else None
+class RatesJoin:
+    """Rows converted batch by batch; ``rates`` is called for each, so a running stream sees new rates."""
+
+    def __init__(self, path: str, rates, date: str, amount: str, frm: str, to: str, columns: list[str]):
+        self.path, self.rates, self.how, self.columns = path, rates, (date, amount, frm, to), columns
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        spark, by, value = batch.sparkSession, self.by, self.value
-        runs = lines.streaks(batch, [by], self.order, value, self.hot_rows)
-        old = self._state(spark, batch_id - 1)
-        if old is None:
-            run = f"struct<value:{batch.schema[value].dataType.simpleString()},length:bigint,starts_at:bigint>"
-            old = runs.limit(0).select(
-                by, F.lit(0).cast("long").alias("rows"), F.lit(None).cast(run).alias("open"), F.lit(None).cast(run).alias("best")
-            )
+        out = lookup.convert_asof(batch, *self.how, self.rates())
+        out.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(*[f"{self.path}/batch={n}" for n in folders(spark, self.path, "batch")])
+
+
+class Streaks:
+    """The longest run of the same outcome per key over a stream whose rows may be ``delay`` late.
+
+    Rows newer than the watermark (the latest time seen less the delay) wait in a buffer; once the watermark has passed
+    them they are folded, in order, into one row per key: its open run and its best run. Rows older than the watermark
+    are counted and left out. A batch writes its buffer and its changed keys under its number, so a replay overwrites
+    them.
+    """
+
+    def __init__(self, path: str, by: str, ts: str, tie: str, value: str, delay: str = "1 hour", compact_every: int = 10):
+        self.path, self.by, self.ts, self.tie, self.value, self.delay = path, by, ts, tie, value, delay
+        self.state = KeyedStore(f"{path}/state", by, ["batch_no"], ["rows", "open", "best"], newest=True, compact_every=compact_every)
+
+    def _marks(self, spark: SparkSession, batch_id: int):
+        path = f"{self.path}/marks/batch={batch_id}"
+        return spark.read.parquet(path).first() if batch_id >= 0 else None
+
+    def _fold(self, spark: SparkSession, closed: DataFrame, batch_id: int) -> DataFrame:
+        by, value = self.by, self.value
+        runs = lines.streaks(closed, [by], [self.ts, self.tie], value)
+        run = f"struct<value:{closed.schema[value].dataType.simpleString()},length:bigint,starts_at:bigint>"
+        if self.state.empty(spark):
+            old = runs.limit(0).select(by, F.lit(0).cast("long").alias("rows"), F.lit(None).cast(run).alias("open"), F.lit(None).cast(run).alias("best"))
+        else:
+            # A replayed batch must not see what it wrote the first time.
+            old = self._before(spark, batch_id).select(by, "rows", "open", "best")
         ends = runs.groupBy(by).agg(F.max("starts_at").alias("_last"), F.sum("length").alias("_rows"))
         seen = runs.join(ends, by).join(old.withColumnRenamed("rows", "_before"), by, "left")
         before = F.coalesce("_before", F.lit(0))
@@ -157,13 +208,44 @@ class Streaks:
             F.max(F.when(F.col("starts_at") == F.col("_last"), F.col("_run"))).alias("open"),
             F.max_by("_run", rank).alias("_new"),
         )
-        merged = fresh.join(old.select(by, F.col("best").alias("_old")), by, "left").select(
-            by, "rows", "open",
+        return fresh.join(old.select(by, F.col("best").alias("_old")), by, "left").select(
+            by, F.lit(batch_id).cast("long").alias("batch_no"), "rows", "open",
             F.when(F.col("_old.length") >= F.col("_new.length"), F.col("_old")).otherwise(F.col("_new")).alias("best"),
         )
-        kept = old.join(fresh.select(by), by, "left_anti")
-        merged.unionByName(kept).write.mode("overwrite").parquet(f"{self.path}/state={batch_id}")
+
+    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return KeyedStore._best(self.state, self._versions(spark).where(F.col("batch_no") < batch_id))
+
+    def _versions(self, spark: SparkSession) -> DataFrame:
+        path = self.state.path
+        return spark.read.parquet(*[f"{path}/{kind}={n}" for kind in ("base", "batch") for n in folders(spark, path, kind)])
+
+    def merge(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(self.by, F.col(self.ts).cast("timestamp").alias(self.ts), self.tie, self.value)
+        last = self._marks(spark, batch_id - 1)
+        late = 0
+        if last is not None:
+            late = last.late + rows.where(F.col(self.ts) < F.lit(last.mark)).count()
+            rows = rows.where(F.col(self.ts) >= F.lit(last.mark)).unionByName(spark.read.parquet(f"{self.path}/buffer/batch={batch_id - 1}"))
+        top = rows.agg(F.max(self.ts).alias("t")).select((F.col("t") - F.expr(f"interval {self.delay}")).alias("mark"))
+        mark = top.first().mark or (last.mark if last is not None else None)
+        if last is not None and mark is not None:
+            mark = max(mark, last.mark)
+        closed = rows.where(F.col(self.ts) < F.lit(mark))
+        self.state.merge(self._fold(spark, closed, batch_id), batch_id)
+        rows.where(F.col(self.ts) >= F.lit(mark)).write.mode("overwrite").parquet(f"{self.path}/buffer/batch={batch_id}")
+        spark.createDataFrame([(mark, late)], "mark timestamp, late long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
+        for kind in ("buffer", "marks"):
+            remove(spark, f"{self.path}/{kind}/batch={batch_id - 2}")
+
+    def late(self, spark: SparkSession, batch_id: int) -> int:
+        return self._marks(spark, batch_id).late
 
     def longest(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        best = self._state(spark, batch_id).select(self.by, "best.*")
-        return best.withColumnRenamed("value", self.value)
+        """The answer so far, with the rows that still wait counted in order."""
+        waiting = spark.read.parquet(f"{self.path}/buffer/batch={batch_id}")
+        folded = self._fold(spark, waiting, batch_id + 1)
+        kept = self.state.rows(spark).join(folded.select(self.by), self.by, "left_anti")
+        best = folded.unionByName(kept.select(*folded.columns)).select(self.by, "best.*")
+        return best.where("length is not null").withColumnRenamed("value", self.value)

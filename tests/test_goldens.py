@@ -142,7 +142,7 @@ def test_allocation_adds_up_in_both_ways(spark):
     rows = [(g, i, 10_001 + g, 1 + (i * g) % 7) for g in range(1, 6) for i in range(9)]
     df = spark.createDataFrame(rows, "g int, i int, amount bigint, w bigint")
     plain = money.allocate(df, "amount", "w", ["g"], ["i"])
-    split = money.allocate(df, "amount", "w", ["g"], ["i"], hot_rows=0)
+    split = money.allocate(df, "amount", "w", ["g"], ["i"], bounded=False)
     assert sorted(plain.collect()) == sorted(split.collect())
     sums = plain.groupBy("g", "amount").agg(F.sum("share_paise").alias("s")).collect()
     assert all(r.s == r.amount for r in sums)

@@ -4,9 +4,10 @@ import re
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowsmith import dims, session
-from rowsmith.operators import corpus, lines, lookup
+from rowsmith.operators import clean, corpus, lines, lookup, money
 from rowsmith.plans.registry import table
 
 
@@ -37,14 +38,12 @@ def test_corpus_dedup_combines_before_the_shuffle(spark, sf):
     assert "partial_min_by" in text and "Window" not in text
 
 
-def test_a_checked_lookup_is_broadcast_and_a_big_one_is_not(spark, monkeypatch):
+def test_a_small_lookup_is_broadcast_and_a_big_one_is_not(spark):
     df = spark.createDataFrame([(100.0, "INR", "JPY")], "amount double, f string, t string")
+    small = lookup.convert_currency(df, "amount", "f", "t", dims.rates(spark))
+    assert plan(small).count("BroadcastHashJoin") == 2
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = lookup.convert_currency(df, "amount", "f", "t", dims.rates(spark))
-        assert plan(small).count("BroadcastHashJoin") == 2
-        # The bound is an argument default, so it is lowered where it is asked.
-        monkeypatch.setattr(lookup, "broadcast_if_small", lambda side: session.broadcast_if_small(side, 5))
         big = lookup.convert_currency(df, "amount", "f", "t", dims.rates(spark))
         assert "BroadcastHashJoin" not in plan(big) and plan(big).count("SortMergeJoin") == 2
         assert big.first().converted == small.first().converted
@@ -52,6 +51,21 @@ def test_a_checked_lookup_is_broadcast_and_a_big_one_is_not(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_allocation_is_one_shuffle(spark, sf):
+    items = table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("long")).withColumn("amount", F.lit(1000))
+    text = plan(money.allocate(items, "amount", "l_quantity", ["l_orderkey"], ["l_linenumber", "l_partkey"]))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan") == 1
+
+
+def test_match_starts_need_no_shuffle(spark, sf):
+    assert "Exchange" not in plan(clean.regex_matches(table(spark, sf, "documents"), "[0-9]+"))
+
+
+def test_scratch_goes_with_the_application(spark):
+    path = session.scratch_path(spark, "x")
+    assert spark.sparkContext.applicationId in path and path != session.scratch_path(spark, "x")
+
+
 def test_scratch_is_the_shared_folder_when_one_is_named(spark):
     def cluster(folder):
         context = SimpleNamespace(master="yarn", applicationId="app-1")

@@ -1,17 +1,15 @@
 """Streams against their batch forms, over several micro-batches."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from rowsmith.operators import corpus, lines
 from rowsmith.plans.registry import table
-from rowsmith.session import scratch_dir
+from rowsmith.session import scratch_path
 from rowsmith.streaming import jobs
 
 
 def folder(spark):
-    return f"{scratch_dir(spark)}/in-{uuid.uuid4().hex}"
+    return scratch_path(spark, "in")
 
 
 def in_pieces(spark, df, n, order):
@@ -37,21 +35,32 @@ def test_doc_stats_stream_equals_batch(spark, sf):
 
 
 def test_streaks_over_batches_equal_one_batch(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    whole = lines.longest_streak(events, ["user_id"], ["ts", "event_id"], "event_type")
-    for hot in (10**9, 0):
-        store = jobs.Streaks(folder(spark), "user_id", ["ts", "event_id"], "event_type", hot)
-        last = replay(spark, events, 4, lambda r: (r.ts, r.event_id), store.merge)
+    events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    whole = lines.longest_streak(events, ["user_id"], ["ts", "event_id"], "event_type", bounded=True)
+    # In order with a short delay, and out of order with one that reaches over everything.
+    for delay, order in (("1 hour", lambda r: (r.ts, r.event_id)), ("60 days", lambda r: (r.event_id % 2, r.event_id))):
+        store = jobs.Streaks(folder(spark), "user_id", "ts", "event_id", "event_type", delay, compact_every=2)
+        last = replay(spark, events, 3, order, store.merge)
         assert sorted(store.longest(spark, last).select(whole.columns).collect()) == sorted(whole.collect())
+        assert store.late(spark, last) == 0
+
+
+def test_late_rows_are_counted_and_left_out(spark):
+    mk = lambda *rows: spark.createDataFrame(rows, "u int, s int, id int, v string").selectExpr("u", "timestamp_seconds(s) as ts", "id", "v")
+    store = jobs.Streaks(folder(spark), "u", "ts", "id", "v", "100 seconds")
+    store.merge(mk((1, 0, 1, "a"), (1, 10, 2, "a"), (1, 5000, 3, "b")), 0)
+    store.merge(mk((1, 20, 4, "a"), (1, 4950, 5, "b"), (1, 9000, 6, "b")), 1)
+    assert store.late(spark, 1) == 1
+    assert [tuple(r) for r in store.longest(spark, 1).select("u", "v", "length", "starts_at").collect()] == [(1, "b", 3, 3)]
 
 
 def test_a_replayed_batch_changes_nothing(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    store = jobs.Streaks(folder(spark), "user_id", ["ts", "event_id"], "event_type")
+    events = table(spark, sf, "events").where("user_id < 5").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    store = jobs.Streaks(folder(spark), "user_id", "ts", "event_id", "event_type")
     pieces, _ = in_pieces(spark, events, 3, lambda r: (r.ts, r.event_id))
     for batch_id in (0, 1, 1, 2, 2):
         store.merge(pieces[batch_id], batch_id)
-    whole = lines.longest_streak(events, ["user_id"], ["ts", "event_id"], "event_type")
+    whole = lines.longest_streak(events, ["user_id"], ["ts", "event_id"], "event_type", bounded=True)
     assert sorted(store.longest(spark, 2).select(whole.columns).collect()) == sorted(whole.collect())
 
 
@@ -64,14 +73,33 @@ def test_latest_wins_out_of_order(spark):
     assert sorted(map(tuple, store.latest(spark).collect())) == [("a", 5, "new"), ("b", 3, "b3")]
 
 
-def test_line_dedup_over_batches(spark):
-    base = folder(spark)
-    for n, text in enumerate(["a\nb\nA", "b\nc", "c\nd\nd"]):
-        spark.createDataFrame([(n, text)], "doc_id bigint, text string").coalesce(1).write.parquet(f"{base}/part{n}")
-    stream = spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 1).parquet(f"{base}/part*")
-    stamped = stream.withColumn("at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")))
-    out = jobs.drain(jobs.line_dedup(stamped, "at", "1 hour"))
-    assert sorted(r.key for r in out.collect()) == ["a", "b", "c", "d"]
+def test_old_batches_are_merged_away(spark):
+    store = jobs.LatestWins(folder(spark), "k", "seq", ["v"], compact_every=3)
+    for n in range(8):
+        store.merge(spark.createDataFrame([("a", n, f"v{n}"), (f"k{n}", 0, "x")], "k string, seq int, v string"), n)
+    assert jobs.folders(spark, store.path, "base") == [6] and jobs.folders(spark, store.path, "batch") == [7]
+    rows = {r.k: r.v for r in store.latest(spark).collect()}
+    assert rows == {"a": "v7", **{f"k{n}": "x" for n in range(8)}}
+
+
+def test_the_first_line_wins_whatever_the_order_of_batches(spark):
+    mk = lambda d, t: spark.createDataFrame([(d, t)], "doc_id bigint, text string").withColumn("at", F.timestamp_seconds("doc_id"))
+    store = jobs.FirstLines(folder(spark), "at", compact_every=2)
+    for n, (d, text) in enumerate([(2, "b\nc"), (3, "c\nd\nd"), (1, "x\nB\nA")]):
+        store.merge(mk(d, text), n)
+    got = sorted((r.key, r.doc_id, r.line_no, r.line) for r in store.rows(spark).collect())
+    assert got == [("a", 1, 2, "A"), ("b", 1, 1, "B"), ("c", 2, 1, "c"), ("d", 3, 1, "d"), ("x", 1, 0, "x")]
+
+
+def test_a_running_stream_sees_new_rates(spark):
+    known = [("2024-01-01", "USD", 1.0), ("2024-01-01", "EUR", 2.0)]
+    rates = lambda: spark.createDataFrame(known, "rate_date string, currency string, rate double").withColumn("rate_date", F.to_date("rate_date"))
+    job = jobs.RatesJoin(folder(spark), rates, "d", "amount", "f", "t", ["id", "converted"])
+    mk = lambda i, d: spark.createDataFrame([(i, d, 10.0, "USD", "EUR")], "id int, d string, amount double, f string, t string")
+    job.merge(mk(1, "2024-01-05"), 0)
+    known.append(("2024-01-04", "EUR", 3.0))
+    job.merge(mk(2, "2024-01-05"), 1)
+    assert sorted((r.id, r.converted) for r in job.rows(spark).collect()) == [(1, 20.0), (2, 30.0)]
 
 
 def test_windows_closed_by_the_watermark(spark, sf):

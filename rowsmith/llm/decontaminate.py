@@ -71,4 +71,4 @@ def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how)
     """``docs`` without those that hold an item; columns as they were."""
     # Written, so that Catalyst knows its size and broadcasts it only if it is small.
     leaked = materialise(find(docs, items, doc_id=doc_id, **how).select(F.col(doc_id).alias("_leaked")).distinct(), "leaks")
-    return docs.join(leaked, F.col(doc_id).eqNullSafe(F.col("_leaked")), "left_anti")
+    return docs.join(leaked, docs[doc_id].eqNullSafe(leaked["_leaked"]), "left_anti")

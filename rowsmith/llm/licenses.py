@@ -131,21 +131,22 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into: str =
 
     A text in which a phrase stands scores 1; else the score is the best containment found.
     """
-    keyed = df.withColumn("_t", text_of(df, text)).withColumn("_h", F.md5("_t"))
-    found = similarity_join(keyed.select(F.col(doc_id).alias("_i"), "_h", "_t"), ["_i", "_h"], "_t")
+    # The row travels as one field, so no column of it can clash with one of these.
+    keyed = df.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_i"), text_of(df, text).alias("_t")).withColumn("_h", F.md5("_t"))
+    found = similarity_join(keyed.select("_i", "_h", "_t"), ["_i", "_h"], "_t")
     found = found.groupBy(F.col("_i").alias("_fi"), F.col("_h").alias("_fh")).agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_best"))
 
     def base(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n"), phrase_places(w).alias("p"))
 
     marked = keyed.withColumn("_b", let(license_words(F.col("_t")), base)).drop("_t")
-    joined = marked.join(found, F.col(doc_id).eqNullSafe(F.col("_fi")) & (F.col("_h") == F.col("_fh")), "left")
+    joined = marked.join(found, F.col("_i").eqNullSafe(F.col("_fi")) & (F.col("_h") == F.col("_fh")), "left")
     places = F.col("_b.p")
     starts = F.transform(places, lambda p: p["start"].cast("long"))
     base_labels = F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"])))
     labels = F.array_sort(F.array_union(base_labels, F.coalesce("_labels", F.array().cast("array<string>"))))
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        "_row.*",
         F.struct(
             F.col("_b.n").alias("n_words"),
             F.size(places).cast("long").alias("n_base"),

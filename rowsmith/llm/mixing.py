@@ -66,7 +66,8 @@ def mix(
     sizes, each at most ``most`` times its own size.
     """
     drawing = F.struct(F.col(source).alias("source"), ticket(seed, F.col(doc_id)).alias("ticket"), F.col(doc_id).alias("id"), size.cast("long").alias("size"))
-    rows = df.select("*", drawing.alias("_m"))
+    # The row travels as one field, so no column of it can clash with one of these.
+    rows = df.select(F.struct("*").alias("_row"), drawing.alias("_m"))
     bucket = (F.col("_m.ticket") / F.lit(2**48 // BUCKETS)).cast("int")
     # The figures alone are written once, so the texts are read for them only once.
     slim = materialise(rows.select("_m").withColumn("_bucket", bucket), "mix")
@@ -110,7 +111,7 @@ def mix(
     placed = rows.join(plan, F.col("_m.source").eqNullSafe(F.col("_source")), "left")
     drawn = (bucket < F.col("_last")) | F.coalesce((bucket == F.col("_last")) & (key <= F.col("_cut")), F.lit(False))
     return placed.select(
-        *[F.col(c) for c in df.columns],
+        "_row.*",
         F.struct(
             F.col("_m.size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
             (F.col("_whole") + F.when(drawn, 1).otherwise(0)).alias("repeats"),

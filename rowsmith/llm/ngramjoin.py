@@ -276,9 +276,10 @@ def keep_first(
     rows = _joined(df, threshold, recall, n, doc_id, text, block_grams)
     first = F.col("doc").eqNullSafe(F.col("rep.doc")) & (F.col("h") == F.col("rep.h"))
     fate = materialise(rows.groupBy(F.col("doc").alias("_doc"), F.col("h").alias("_h")).agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_n")), "fate")
-    mark = df.withColumn("_digest", F.unhex(F.md5(text_of(df, text))))
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_digest") == F.col("_h"))
+    # The row travels as one field, so no column of it can clash with one of these.
+    mark = df.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_id"), F.unhex(F.md5(text_of(df, text))).alias("_digest"))
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_digest") == F.col("_h"))
     # What goes and what repeats are the short lists; every other row stays where it is.
     single = mark.join(fate.where("not _first or _n > 1").select("_doc", "_h"), same, "left_anti")
     repeated = mark.join(fate.where("_first and _n > 1").select("_doc", "_h"), same, "left_semi")
-    return single.unionByName(repeated.dropDuplicates([doc_id, "_digest"])).select(*df.columns)
+    return single.unionByName(repeated.dropDuplicates(["_id", "_digest"])).select("_row.*")

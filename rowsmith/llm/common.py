@@ -75,6 +75,18 @@ def shingle_strings(words: Column, n: int = SHINGLE) -> Column:
     )
 
 
+# Values a hashed pre-filter tells apart: that many rows of 8 bytes at most are broadcast, however many keys there are.
+FILTER_CELLS = 2**20
+
+
+def may_match(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """Rows of ``df`` whose key may be among the wanted ones: none that is goes missing, and most others leave before a
+    shuffle would carry them. The broadcast side has FILTER_CELLS rows at most, by construction."""
+    cell = lambda k: F.pmod(F.xxhash64(k), F.lit(FILTER_CELLS)).cast("int")
+    cells = wanted.select(cell(wanted_key).alias("_cell")).distinct()
+    return df.withColumn("_own_cell", cell(key)).join(F.broadcast(cells), F.col("_own_cell") == F.col("_cell"), "left_semi").drop("_own_cell")
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Whole long texts travel to Python in batches of at most ``rows``, so a batch of the longest texts still fits."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

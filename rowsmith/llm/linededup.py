@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import SPACES, small_batches, text_of
+from rowsmith.llm.common import SPACES, may_match, small_batches, text_of
 from rowsmith.session import materialise
 
 MIN_CHARS = 20
@@ -74,17 +74,19 @@ def duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
     spark = df.sparkSession
     lines = lines_of(df, doc_id, text)
     length = F.length("line")
-    keyed = lines.select("doc", "no", "h", length.alias("n"), *[F.when(length >= min_chars, k).alias(f"k{i}") for i, k in enumerate(half_keys(F.col("line"), length))])
+    keyed = lines.select("doc", "no", "h", *[F.when(length >= min_chars, k).alias(f"k{i}") for i, k in enumerate(half_keys(F.col("line"), length))])
     first = F.min(F.struct("doc", "no")).alias("first")
-    distinct = materialise(keyed.groupBy("h").agg(first, F.max("n").alias("n"), *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]), "lines")
-
-    halves = distinct.where("k0 is not null").select("h", F.explode(F.array("k0", "k1", "k2", "k3")).alias("k"))
-    shared = halves.groupBy("k").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("k")
-    able = halves.join(shared, "k").select("h").distinct()
-    wanted = distinct.join(able, "h").select("h", "first")
+    distinct = materialise(keyed.groupBy("h").agg(first, *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]), "lines")
+
+    # A line's four keys differ from each other, so a key that counts two is of two lines.
+    short = distinct.where("k0 is not null").withColumn("s", F.xxhash64("h"))
+    halves = short.select("s", F.explode(F.array("k0", "k1", "k2", "k3")).alias("k"))
+    shared = halves.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
+    able = halves.join(shared, "k").select("s").distinct()
+    wanted = materialise(short.join(able, "s").select("h", "first"), "wanted")
     # The text of each such line, from its first place.
     texts = materialise(
-        lines.join(wanted.withColumnRenamed("h", "wh"), (F.col("h") == F.col("wh")) & F.struct("doc", "no").eqNullSafe(F.col("first")))
+        may_match(lines, F.col("h"), wanted, F.col("h")).join(wanted.withColumnRenamed("h", "wh"), (F.col("h") == F.col("wh")) & F.struct("doc", "no").eqNullSafe(F.col("first")))
         .select("h", "first", "line").dropDuplicates(["h"]),
         "texts",
     )
@@ -138,6 +140,9 @@ def duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
 def drop_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``df`` with the duplicate lines cut out of its texts; columns as they were."""
     gone = duplicates(df, doc_id, text, **how).groupBy(F.col(doc_id).alias("_gd")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = df.join(gone, F.col(doc_id).eqNullSafe(F.col("_gd")), "left")
-    left = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains("_gone", i.cast("long")))
-    return joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))).select(*df.columns)
+    rows = df.select(F.struct("*").alias("_row"), F.col(doc_id).cast("long").alias("_id"))
+    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gd")), "left")
+    whole = F.col("_row").getField(text)
+    left = F.filter(F.split(whole, "\n"), lambda _, i: ~F.array_contains("_gone", i.cast("long")))
+    cut = F.when(F.col("_gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
+    return joined.select(F.col("_row").withField(text, cut).alias("_row")).select("_row.*")

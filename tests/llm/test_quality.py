@@ -49,9 +49,10 @@ def test_line_rules(spark):
 
 
 def test_verdict_and_cleaned_text(spark):
-    prose = "\n".join(f"Line {i} tells of a river that runs past mill number {i} and down to the sea." for i in range(6))
+    prose = "\n".join(" ".join(f"{w}{i}" for w in "a line of words that stand in no other line here".split()) + "." for i in range(6))
     menu = "Home | News | Shop | Help | Mail | Maps"
-    rows = [(1, prose + "\n" + menu + "\n\nThe end is near.", 9, "x"), (2, prose + ("\n" + menu) * 30, 9, "x"), (3, "short.", 9, "x"), (4, None, 9, "x")]
+    menus = "".join(f"\nHome{k} | News{k} | Shop{k} | Help{k} | Mail{k} | Maps{k}" for k in range(30))
+    rows = [(1, prose + "\n" + menu + "\n\nThe end is near.", 9, "x"), (2, prose + menus, 9, "x"), (3, "short.", 9, "x"), (4, None, 9, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, quality string").withColumn("_quality", F.lit(1))
     kept = quality.clean(df)
     assert kept.columns == df.columns

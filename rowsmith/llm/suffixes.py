@@ -3,13 +3,13 @@
 1. Suffixes are kept at minimiser positions only: the smallest seed hash (SEED words) of every window, chosen by
    content, so a passage of MIN_WORDS words that stands in two documents keeps the same suffix in both.
 2. Suffixes whose seed stands once are dropped (partial aggregate), the rest get CONTEXT words to both sides.
-3. They are sorted over the cluster by range partitions, once by what follows and once by what precedes, ties by
-   document, so a passage that a third of all rows share spreads over many tasks. Neighbours with one seed are compared
+3. They are sorted over the cluster by range partitions, by what follows and by what precedes, ties by document, so a
+   passage that a third of all rows share spreads over many tasks. Neighbours with one seed are compared
    and the match is extended word by word to the left and to the right; the two rows at each partition border are
    compared afterwards.
 4. Matches on one diagonal of a pair that touch are one passage.
 
-Words are compared by 32-bit hashes, seeds by 64-bit ones. Each passage is linked to a neighbour that shares it, so
+Words are compared by 24-bit hashes, seeds by 64-bit ones. Each passage is linked to a neighbour that shares it, so
 copies are chains, not pairs; a passage that is longer than CONTEXT words may be reported in overlapping parts that name
 different neighbours. Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage;
 repeats inside one document and rows that share an id are not reported; a NULL id is an id of its own.
@@ -29,7 +29,9 @@ from rowsmith.session import materialise
 
 MIN_WORDS = 50
 SEED = 8
-CONTEXT = 64
+CONTEXT = 60
+# Bytes a word's hash takes in a context: these rows are what is shuffled most.
+BYTES = 3
 NO_ID = -(2**63)
 
 
@@ -89,7 +91,7 @@ def _contexts(df: DataFrame, kept: DataFrame, doc_id: str, text: str, context: i
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, edges = lists(batch.column("words"))
-            words = words.astype(np.uint32).astype(">u4")
+            words = words.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :]
             seeds, borders = lists(batch.column("seeds"))
             places, _ = lists(batch.column("places"))
             rows = np.repeat(np.arange(batch.num_rows), np.diff(borders))
@@ -112,18 +114,18 @@ def _contexts(df: DataFrame, kept: DataFrame, doc_id: str, text: str, context: i
 def _matrix(column: pa.Array, context: int) -> tuple[np.ndarray, np.ndarray]:
     """Words of each row, filled up with zeros, and how many there are."""
     raw = column.to_pylist()
-    sizes = np.array([len(b) // 4 for b in raw], np.int64)
-    flat = np.frombuffer(b"".join(b.ljust(context * 4, b"\0") for b in raw), ">u4").reshape(len(raw), context)
+    sizes = np.array([len(b) // BYTES for b in raw], np.int64)
+    flat = np.frombuffer(b"".join(b.ljust(context * BYTES, b"\0") for b in raw), np.uint8).reshape(len(raw), context, BYTES)
     return flat, sizes
 
 
 def _equal_run(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    differ = a != b
+    differ = (a != b).any(axis=2)
     run = np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
     return np.minimum(run, np.minimum(na, nb))
 
 
-FOUND = "edge boolean, doc long, seed long, pos int, ahead binary, back binary, start int, stop int, other long, other_start int"
+FOUND = "edge boolean, doc long, seed long, pos int, ahead binary, back binary, turn int, start int, stop int, other long, other_start int"
 
 
 def _neighbours(context: int, min_words: int, with_edges: bool):
@@ -156,11 +158,15 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
             schema = batch.schema
             doc = rows.column("doc").fill_null(NO_ID).to_numpy()
             seed, pos = rows.column("seed").to_numpy(), rows.column("pos").to_numpy().astype(np.int64)
-            left, right = pairs_of(seed, doc)
+            # A seed of the second order is none of the first.
+            left, right = pairs_of(seed ^ -rows.column("turn").to_numpy().astype(np.int64), doc)
             ahead, n_ahead = _matrix(rows.column("ahead"), context)
             back, n_back = _matrix(rows.column("back"), context)
-            after = _equal_run(ahead[left], ahead[right], n_ahead[left], n_ahead[right])
-            before = _equal_run(back[left], back[right], n_back[left], n_back[right])
+            # In the second order the columns have changed places.
+            swapped = rows.column("turn").to_numpy()[left] == 1
+            one = _equal_run(ahead[left], ahead[right], n_ahead[left], n_ahead[right])
+            two = _equal_run(back[left], back[right], n_back[left], n_back[right])
+            after, before = np.where(swapped, two, one), np.where(swapped, one, two)
             good = after + before >= min_words
             left, right, after, before = left[good], right[good], after[good], before[good]
             if len(left):
@@ -168,7 +174,7 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(len(left), bool)), rows.column("doc").take(pa.array(right)), none.cast(pa.int64()), none.cast(pa.int32()),
-                        none.cast(pa.binary()), none.cast(pa.binary()), pa.array((pos[right] - before).astype(np.int32)),
+                        none.cast(pa.binary()), none.cast(pa.binary()), none.cast(pa.int32()), pa.array((pos[right] - before).astype(np.int32)),
                         pa.array((pos[right] + after).astype(np.int32)), rows.column("doc").take(pa.array(left)), pa.array((pos[left] - before).astype(np.int32)),
                     ],
                     names=[f.split()[0] for f in FOUND.split(", ")],
@@ -184,19 +190,28 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
     def edge(row: pa.RecordBatch) -> pa.RecordBatch:
         none = pa.nulls(1)
         return pa.RecordBatch.from_arrays(
-            [pa.array([True]), *[row.column(c) for c in ("doc", "seed", "pos", "ahead", "back")], none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int32())],
+            [pa.array([True]), *[row.column(c) for c in ("doc", "seed", "pos", "ahead", "back", "turn")], none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int32())],
             names=[f.split()[0] for f in FOUND.split(", ")],
         )
 
     return compare
 
 
-def _sorted_matches(rows: DataFrame, order: list[str], context: int, min_words: int) -> DataFrame:
+def _sorted_matches(rows: DataFrame, context: int, min_words: int) -> DataFrame:
+    """Matches of neighbours, in the order of what follows and in the order of what precedes."""
+    both = F.explode(F.array(
+        F.struct(F.lit(0).alias("turn"), F.col("ahead").alias("first"), F.col("back").alias("then")),
+        F.struct(F.lit(1).alias("turn"), F.col("back").alias("first"), F.col("ahead").alias("then")),
+    )).alias("o")
+    # Ties by place before document: rows of one looping text do not stand together.
+    order = ["turn", "seed", "first", "then", "pos", "doc"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    turned = rows.select("doc", "pos", "seed", both).select("o.turn", "seed", "o.first", "o.then", "doc", "pos")
+    # Which of the two is ahead does not matter to a comparison: a run is counted on both sides.
+    ranged = turned.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc", "seed", "pos", F.col("first").alias("ahead"), F.col("then").alias("back"), "turn")
     found = materialise(ranged.mapInArrow(_neighbours(context, min_words, True), FOUND), "neighbours")
-    # Two rows per partition: where one ends and the next begins.
-    borders = found.where("edge").select("doc", "seed", "pos", "ahead", "back").coalesce(1).sortWithinPartitions(*order)
+    # Two rows per partition: where one ends and the next begins. They are brought together by a shuffle of just those.
+    borders = found.where("edge").select("doc", "seed", "pos", "ahead", "back", "turn").repartition(1).sortWithinPartitions("turn", "seed", "ahead", "back", "pos", "doc")
     met = borders.mapInArrow(_neighbours(context, min_words, False), FOUND)
     columns = ("doc", "start", "stop", "other", "other_start")
     return found.where("not edge").select(*columns).unionByName(met.where("not edge").select(*columns))
@@ -231,10 +246,7 @@ def passages(
     kept = materialise(_suffixes(df, doc_id, text, min_words, seed), "suffixes")
     often = kept.groupBy("seed").agg(F.min(F.coalesce("doc", F.lit(NO_ID))).alias("low"), F.max(F.coalesce("doc", F.lit(NO_ID))).alias("high")).where("low <> high").select("seed")
     shared = kept.join(often, "seed")
-    rows = materialise(_contexts(df, shared, doc_id, text, context), "contexts")
-    matches = _sorted_matches(rows, ["seed", "ahead", "back", "doc", "pos"], context, min_words).unionByName(
-        _sorted_matches(rows, ["seed", "back", "ahead", "doc", "pos"], context, min_words)
-    )
+    matches = _sorted_matches(_contexts(df, shared, doc_id, text, context), context, min_words)
     found = merged(matches.withColumns({c: F.coalesce(c, F.lit(NO_ID)) for c in ("doc", "other")}))
     back = {c: F.when(F.col(c) != NO_ID, F.col(c)) for c in ("doc", "other")}
     return found.select(

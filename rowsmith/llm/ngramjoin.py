@@ -99,14 +99,14 @@ def signatures(df: DataFrame, bands: int, rows: int, doc_id: str, text: str, n:
     return base.mapInArrow(sign, "doc long, h binary, grams long, bands array<long>")
 
 
-def _links(sets: list[np.ndarray], meets: np.ndarray, side: np.ndarray, group: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+def _links(sets: list[np.ndarray], meets: np.ndarray, side: np.ndarray, group: int, threshold: float, split: bool) -> Iterator[tuple[int, np.ndarray]]:
     """For each member its later partners in the unit: owned by this group, and at the threshold when verified.
 
-    ``meets`` has the group of each member by band (0: none), ``side`` the block of each member.
+    ``meets`` has the group of each member by band (0: none), ``side`` the block of each member; in a unit of two blocks
+    (``split``) only members of different blocks are pairs, even if all that are there lie in one.
     """
     sizes = np.array([len(s) for s in sets])
     lead = int(np.argmax(meets[0] == group))
-    split = side.min() != side.max()
     ids = postings = bounds = None
     for i in range(len(sets) - 1):
         others = np.arange(i + 1, len(sets))
@@ -139,7 +139,7 @@ def _links(sets: list[np.ndarray], meets: np.ndarray, side: np.ndarray, group: i
             yield i, good
 
 
-def verify_unit(nodes: np.ndarray, sets: list[np.ndarray], meets: np.ndarray, side: np.ndarray, group: int, threshold: float):
+def verify_unit(nodes: np.ndarray, sets: list[np.ndarray], meets: np.ndarray, side: np.ndarray, group: int, threshold: float, split: bool):
     """(node, links, smallest node of the local component) of each member with a link."""
     order = np.argsort(nodes, kind="stable")
     nodes, meets, side, sets = nodes[order], meets[order], side[order], [sets[k] for k in order]
@@ -151,7 +151,7 @@ def verify_unit(nodes: np.ndarray, sets: list[np.ndarray], meets: np.ndarray, si
             k = root[k]
         return k
 
-    for i, partners in _links(sets, meets, side, group, threshold):
+    for i, partners in _links(sets, meets, side, group, threshold, split):
         links[i] += len(partners)
         links[partners] += 1
         top = find(i)
@@ -218,7 +218,7 @@ def _joined(df: DataFrame, threshold: float, recall: float, n: int, doc_id: str,
                 out.extend(
                     verify_unit(
                         np.array([n for n, _ in members]), [m[2] for _, m in members], np.array([m[1] for _, m in members]),
-                        np.array([m[0] for _, m in members]), key[0], threshold,
+                        np.array([m[0] for _, m in members]), key[0], threshold, key[1] != key[2],
                     )
                 )
 

@@ -84,6 +84,18 @@ def test_against_all_pairs(spark, block_grams):
     assert all(a[3] <= b[3] for a, b in zip(mine, right))
 
 
+@pytest.mark.parametrize("texts", [2, 3])
+def test_texts_longer_than_a_block_are_linked_once(spark, texts):
+    rng = random.Random(8)
+    # Many groups of few texts: some have all their members in one block.
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{rng.randrange(3000)}" for _ in range(200)]
+        rows += [(10 * g + k, edited(rng, base, k)) for k in range(texts)]
+    for block_grams in (40, 150, 250):
+        assert result(spark, rows, block_grams=block_grams) == brute(rows)
+
+
 def test_the_table_against_all_pairs(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in df.collect()]

@@ -7,10 +7,13 @@
    passage that a third of all rows share spreads over many tasks. Neighbours with one seed are compared
    and the match is extended word by word to the left and to the right; the two rows at each partition border are
    compared afterwards.
-4. Matches on one diagonal of a pair that touch are one passage.
+4. Neighbours in one order may share less of a passage than rows further off, when its halves are frequent. So every
+   stretch of exactly MIN_WORDS words around a kept seed is also named by a 64-bit hash and linked to the first
+   document that has it (the first document to the last).
+5. Matches on one diagonal of a pair that touch are one passage.
 
-Words are compared by 24-bit hashes, seeds by 64-bit ones. Each passage is linked to a neighbour that shares it, so
-copies are chains, not pairs; a passage that is longer than CONTEXT words may be reported in overlapping parts that name
+Words are compared by 24-bit hashes, seeds and stretches by 64-bit ones. Each passage is linked to a neighbour that
+shares it and to the first document of each of its stretches, so copies are chains and stars, not pairs; a passage that is longer than CONTEXT words may be reported in overlapping parts that name
 different neighbours. Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage;
 repeats inside one document and rows that share an id are not reported; a NULL id is an id of its own.
 """
@@ -217,6 +220,72 @@ def _sorted_matches(rows: DataFrame, context: int, min_words: int) -> DataFrame:
     return found.where("not edge").select(*columns).unionByName(met.where("not edge").select(*columns))
 
 
+def stretch_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """One 64-bit hash per ``width`` neighbouring word hashes: stretches of 1, 2, 4, ... words put together."""
+
+    def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        x = (left * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED)) ^ right
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(29))
+
+    n = len(words) - width + 1
+    part, size, out, done = words.view(np.uint64), 1, None, 0
+    while True:
+        if width & size:
+            piece = part[done : done + n]
+            out = piece if out is None else joined(out, piece)
+            done += size
+        if done == width:
+            return out.view(np.int64)
+        part, size = joined(part[:-size], part[size:]), 2 * size
+
+
+def _stretches(df: DataFrame, kept: DataFrame, doc_id: str, text: str, min_words: int, seed: int) -> DataFrame:
+    """name, doc, start of every stretch of ``min_words`` words that holds a kept seed."""
+    words = F.transform(content_words(F.col("t")), lambda w: F.xxhash64(w))
+    base = df.select(F.col(doc_id).cast("long").alias("id"), text_of(df, text).alias("t"))
+    wanted = kept.groupBy("doc").agg(F.collect_list("pos").alias("places"))
+    joined = base.join(wanted, F.col("id").eqNullSafe(F.col("doc"))).select(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "places", words.alias("words"))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, edges = lists(batch.column("words"))
+            places, borders = lists(batch.column("places"))
+            docs = batch.column("doc").to_numpy()
+            for row in range(batch.num_rows):
+                own = words[edges[row] : edges[row + 1]]
+                n = len(own) - min_words + 1
+                if n < 1:
+                    continue
+                at = places[borders[row] : borders[row + 1]].astype(np.int64)
+                steps = np.zeros(n + 1, np.int64)
+                np.add.at(steps, np.clip(at + seed - min_words, 0, n), 1)
+                np.add.at(steps, np.clip(at + 1, 0, n), -1)
+                starts = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
+                if len(starts):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(stretch_hashes(own, min_words)[starts]), pa.array(np.full(len(starts), docs[row])), pa.array(starts.astype(np.int32))],
+                        names=["name", "doc", "start"],
+                    )
+
+    return joined.mapInArrow(name, "name long, doc long, start int")
+
+
+def _equal_stretches(stretches: DataFrame, min_words: int) -> DataFrame:
+    """Each stretch that stands in two documents beside the first document that has it, in the first beside the last."""
+    # Whole numbers only, so a hash aggregate with a map-side part; places come with the rows of the two documents.
+    ends = stretches.groupBy("name").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
+    both = materialise(stretches.join(ends, "name"), "stretches")
+    low = both.where("doc = low").groupBy("name").agg(F.min("start").alias("low_start"))
+    high = both.where("doc = high").groupBy("name").agg(F.min("start").alias("high_start"))
+    met = both.join(low, "name").join(high, "name")
+    first = F.col("doc") == F.col("low")
+    return met.select(
+        "doc", "start", (F.col("start") + min_words).cast("int").alias("stop"),
+        F.when(first, F.col("high")).otherwise(F.col("low")).alias("other"), F.when(first, F.col("high_start")).otherwise(F.col("low_start")).alias("other_start"),
+    )
+
+
 def merged(matches: DataFrame) -> DataFrame:
     """Touching matches of one pair on one diagonal as one passage; each pair in one direction."""
     turned = matches.select(
@@ -247,7 +316,8 @@ def passages(
     often = kept.groupBy("seed").agg(F.min(F.coalesce("doc", F.lit(NO_ID))).alias("low"), F.max(F.coalesce("doc", F.lit(NO_ID))).alias("high")).where("low <> high").select("seed")
     shared = kept.join(often, "seed")
     matches = _sorted_matches(_contexts(df, shared, doc_id, text, context), context, min_words)
-    found = merged(matches.withColumns({c: F.coalesce(c, F.lit(NO_ID)) for c in ("doc", "other")}))
+    matches = matches.withColumns({c: F.coalesce(c, F.lit(NO_ID)) for c in ("doc", "other")})
+    found = merged(matches.unionByName(_equal_stretches(_stretches(df, shared, doc_id, text, min_words, seed), min_words)))
     back = {c: F.when(F.col(c) != NO_ID, F.col(c)) for c in ("doc", "other")}
     return found.select(
         back["doc"].alias(doc_id), F.col("start").cast("long").alias("start_word"), F.col("stop").cast("long").alias("end_word"),

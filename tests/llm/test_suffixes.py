@@ -63,6 +63,29 @@ def test_every_shared_passage_is_met_and_right(spark):
     assert mine == truth
 
 
+def test_passages_whose_halves_are_frequent_are_met(spark):
+    rng = random.Random(4)
+    made = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    rows, pairs, d = [], [], 0
+    for g in range(12):
+        x, y, z = made(20), made(20), made(20)
+        for _ in range(20):
+            rows += [(d, " ".join(made(20) + y + z + made(20))), (d + 1, " ".join(made(20) + x + y + made(20)))]
+            d += 2
+        pairs.append((10_000 + g, 20_000 + g))
+        rows += [(k, " ".join(made(20) + x + y + z + made(20))) for k in pairs[-1]]
+    found = suffixes.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.other_id, r.doc_id, r.start_word, r.end_word, r.other_start) for r in found) == [(a, b, 20, 80, 20) for a, b in pairs]
+
+
+def test_stretch_hashes_tell_stretches_apart():
+    x = np.random.default_rng(2).integers(0, 5, 3000)
+    for width in (1, 7, 50):
+        names = suffixes.stretch_hashes(x, width).tolist()
+        stretches = [tuple(x[k : k + width]) for k in range(len(x) - width + 1)]
+        assert len(names) == len(stretches) and len(set(zip(names, stretches))) == len(set(names)) == len(set(stretches))
+
+
 def test_minimisers_are_chosen_by_content():
     rng = np.random.default_rng(1)
     x = rng.integers(-(2**63), 2**63 - 1, 400)

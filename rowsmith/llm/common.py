@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,19 @@ def space_words(text: Column) -> Column:
     return F.array_remove(F.split(one_space(text), " "), "")
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case and every other character as it is (``replace`` is far cheaper than ``translate``)."""
+    for letter in string.ascii_uppercase:
+        text = F.replace(text, F.lit(letter), F.lit(letter.lower()))
+    return text
+
+
+def refuse_clash(df: DataFrame, into: str) -> None:
+    """A result is never written over a column of the input, nor beside one of its name."""
+    if into.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the input already has a column {into!r}: name another one for the result")
+
+
 def count_spaces(text: Column) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))
 

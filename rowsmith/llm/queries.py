@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import compact, decontaminate, licenses, linededup, mixing, ngramjoin, pii, quality, suffixes, tokens
+from rowsmith.llm import chosenpath, compact, decontaminate, fim, licenses, linededup, mixing, ngramjoin, pii, quality, resample, suffixes, tokens
 from rowsmith.llm.common import documents, space_word_count, text_of
 from rowsmith.llm.registry import ORACLES, QUERIES, query
 
@@ -165,3 +165,56 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_compact_windows")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return compact.passages(documents(spark, sf))
+
+
+OP11_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i+3], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS inter FROM g a JOIN g b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY u, v),
+links AS (
+  SELECT u, v FROM shared JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * inter >= 80 * (a.n + b.n - inter)),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM w UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(v) AS component_id, w.doc_id = min(v) AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN reach ON u = w.doc_id GROUP BY w.doc_id"""
+
+
+@query("op11_chosen_path", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return chosenpath.components(documents(spark, sf))
+
+
+@query("op12_resampling")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = resample.resample(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return drawn.select("doc_id", "draw.*")
+
+
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
+    regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u FROM documents),
+h AS (
+  SELECT doc_id, text, u, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle, array_to_string(u[hi + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    cut = fim.transform(documents(spark, sf).select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )

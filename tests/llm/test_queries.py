@@ -23,5 +23,5 @@ def test_query(spark, sf, con, name):
 
 def test_all_are_registered():
     known = entry_points.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(known) and set(queries.ORACLES) <= set(entry_points.oracle_sql())

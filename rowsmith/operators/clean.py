@@ -216,12 +216,3 @@ def bulk_rewrite(docs: DataFrame, rules: list[tuple[str, str]], text: str = "tex
             text, F.replace(F.col(text), F.lit(find), F.lit(repl))
         )
     return out.withColumn("changed", F.col(text) != F.col("_old")).drop("_old")
-
-
-def rule_hits(docs: DataFrame, rules: list[tuple[str, str]], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Which rule hits which document and how often, on the text as written."""
-    hits = F.array(*[
-        F.struct(F.lit(find).alias("find"), F.lit(repl).alias("replace_by"), literal_count(F.col(text), find).alias("hits"))
-        for find, repl in longest_first(rules)
-    ])
-    return docs.select(key, F.inline(F.filter(hits, lambda h: h["hits"] > 0)))

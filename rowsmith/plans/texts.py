@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
-from rowsmith.operators import clean, corpus, lines, search
+from rowsmith.operators import clean, corpus, lines, rules, search
 from rowsmith.plans.registry import pasted, query, rounded, table
 from rowsmith.sources import readers
 
@@ -471,7 +471,49 @@ def _(spark, sf):
 h AS (SELECT doc_id, find, replace_by, CAST((length(text) - length(replace(text, find, ''))) / length(find) AS BIGINT) AS hits FROM documents, r)
 SELECT doc_id, find, replace_by, hits FROM h WHERE hits > 0""")
 def _(spark, sf):
-    return clean.rule_hits(_docs(spark, sf), _RULES)
+    return rules.rule_hits(_docs(spark, sf), spark.createDataFrame(_RULES, "find string, replace_by string"))
+
+
+# Rules read from a table: every longer word of the benchmark, and the first words of every item.
+_RULE_TABLE = """w AS (SELECT string_split(text, ' ') AS l FROM benchmark),
+r AS (SELECT find, '{' || length(find) || '}' AS replace_by FROM (
+  SELECT DISTINCT find FROM (SELECT unnest(l) AS find FROM w UNION ALL SELECT array_to_string(l[1:3], ' ') FROM w) WHERE length(find) > 5))"""
+
+
+def _rule_table(spark, sf):
+    split = F.split("text", " ")
+    found = table(spark, sf, "benchmark").select(F.explode(F.concat(split, F.array(F.array_join(F.slice(split, 1, 3), " ")))).alias("find"))
+    return found.where(F.length("find") > 5).distinct().withColumn("replace_by", F.format_string("{%d}", F.length("find")))
+
+
+@query("rules_from_table", "WITH " + _RULE_TABLE + """,
+h AS (SELECT doc_id, find, replace_by, CAST((length(text) - length(replace(text, find, ''))) / length(find) AS BIGINT) AS hits FROM documents, r)
+SELECT doc_id, find, replace_by, hits FROM h WHERE hits > 0""")
+def _(spark, sf):
+    return rules.rule_hits(_docs(spark, sf), _rule_table(spark, sf))
+
+
+# An alternation takes its first alternative that fits: longest first is leftmost-longest.
+@query("rewrite_from_table", "WITH " + _RULE_TABLE + """,
+p AS (SELECT string_agg(regexp_escape(find), '|' ORDER BY length(find) DESC, find) AS p FROM r),
+m AS (SELECT doc_id, text, regexp_extract_all(text, p) AS h, regexp_split_to_array(text, p) AS gaps FROM documents, p),
+o AS (SELECT doc_id, text, len(h) AS edits, CASE WHEN len(h) = 0 THEN text ELSE
+  array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: gaps[i] || CASE WHEN i <= len(h) THEN '{' || length(h[i]) || '}' ELSE '' END), '') END AS t FROM m)
+SELECT doc_id, edits, edits > 0 AS changed, md5(t) AS text_md5 FROM o""")
+def _(spark, sf):
+    out = rules.apply_rules(_docs(spark, sf), _rule_table(spark, sf))
+    return out.select("doc_id", "edits", "changed", F.md5("text").alias("text_md5"))
+
+
+# Forbidden phrases from a table: the beginnings of part names right after a tag, in every page that holds one.
+@query("forbidden_phrases", """WITH f AS (SELECT DISTINCT '>' || upper(left(p_name, 1)) || substr(p_name, 2, 3) AS find, p_type AS replace_by FROM part),
+r AS (SELECT find, min(replace_by) AS replace_by FROM f GROUP BY find),
+h AS (SELECT page_id, find, CAST((length(html) - length(replace(html, find, ''))) / length(find) AS BIGINT) AS hits FROM pages, r)
+SELECT page_id, find, hits FROM h WHERE hits > 0""")
+def _(spark, sf):
+    find = F.concat(F.lit(">"), F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 3))
+    phrases = table(spark, sf, "part").select(find.alias("find"), F.col("p_type").alias("replace_by")).distinct()
+    return rules.rule_hits(table(spark, sf, "pages"), phrases, "page_id", "html").drop("replace_by")
 
 
 @query("html_to_text", """WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g') AS x FROM pages),

@@ -6,7 +6,9 @@ time-zone-free type the event files are read with.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
@@ -21,27 +23,61 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: i
     return reader.parquet(f"{folder}/{name}.parquet*")
 
 
+class Sink:
+    """Where a stream's rows and its progress are kept between runs."""
+
+    def __init__(self, spark: SparkSession, mode: str = "append"):
+        self.path, self.mode = scratch_path(spark, "stream"), mode
+
+    def run(self, stream: DataFrame):
+        """Everything that is there by now, into a parquet folder; the finished query."""
+        query = (
+            stream.writeStream.format("parquet").outputMode(self.mode)
+            .option("path", f"{self.path}/out").option("checkpointLocation", f"{self.path}/state")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return query
+
+    def merge(self, stream: DataFrame, merge) -> None:
+        """Everything that is there by now, each micro-batch and its number handed to ``merge``."""
+        query = (
+            stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{self.path}/state")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+
+    def rows(self, spark: SparkSession, schema) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{self.path}/out")
+
+
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over everything available into a parquet sink and read that."""
-    spark = stream.sparkSession
-    base = scratch_path(spark, "stream")
-    query = (
-        stream.writeStream.format("parquet").outputMode(mode)
-        .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    sink = Sink(stream.sparkSession, mode)
+    sink.run(stream)
+    return sink.rows(stream.sparkSession, stream.schema)
 
 
-def drain_batches(stream: DataFrame, merge) -> None:
-    """Run a stream to its end, handing each micro-batch and its number to ``merge``."""
-    base = scratch_path(stream.sparkSession, "stream")
-    query = (
-        stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+def deliveries(spark: SparkSession, rows: DataFrame, number: Column) -> tuple[DataFrame, Iterator[int]]:
+    """A table that arrives in parts: the stream of what has arrived, and an iterator that delivers the next part.
+
+    The table is read once and written by parts, each in as many files as the table has partitions; a part arrives by
+    one rename. Parts arrive in the order of their numbers.
+    """
+    base, (part, incoming) = scratch_path(spark, "parts"), ("part", "in")
+    rows.withColumn(part, number.cast("long")).write.partitionBy(part).parquet(f"{base}/held")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop(f"{base}/{incoming}"))
+    held = [f.getPath() for f in store.globStatus(hadoop(f"{base}/held/{part}=*"))]
+    by_number = sorted((int(p.getName().split("=")[1]), p) for p in held)
+
+    def arrive() -> Iterator[int]:
+        for n, path in by_number:
+            store.rename(path, hadoop(f"{base}/{incoming}/{n}"))
+            yield n
+
+    return spark.readStream.schema(rows.schema).parquet(f"{base}/{incoming}/*"), arrive()
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -74,6 +110,17 @@ def sessions(events: DataFrame, by: list[str], ts: str, gap: str = "30 minutes",
     ).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "events", "length_us", "mean_lap_us")
 
 
+def dedup_lines(docs: DataFrame, ts: str, horizon: str, ignore_case: bool = True, trim: bool = True) -> DataFrame:
+    """The first copy of every line over a stream; a later copy within ``horizon`` of it is dropped.
+
+    Spark forgets a line once the watermark has passed its time and the horizon, so the state holds the lines of about two
+    horizons, not all that ever came; a line that comes again after that is kept again.
+    """
+    timed = event_time(docs, ts).withWatermark(ts, horizon)
+    keyed = lines.explode_lines(timed, keep=("doc_id", ts)).withColumn("key", T.line_key("line", ignore_case, trim))
+    return keyed.dropDuplicatesWithinWatermark(["key"])
+
+
 def folders(spark: SparkSession, path: str, kind: str) -> list[int]:
     """Numbers of the finished ``kind=<n>`` folders below ``path``, ascending."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -164,88 +211,3 @@ class RatesJoin:
 
     def rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(*[f"{self.path}/batch={n}" for n in folders(spark, self.path, "batch")])
-
-
-class Streaks:
-    """The longest run of the same outcome per key over a stream whose rows may be ``delay`` late.
-
-    Rows newer than the watermark (the latest time seen less the delay) wait in a buffer; once the watermark has passed
-    them they are folded, in order, into one row per key: its open run and its best run. Rows older than the watermark
-    are counted and left out. A batch writes its buffer and its changed keys under its number, so a replay overwrites
-    them.
-    """
-
-    def __init__(self, path: str, by: str, ts: str, tie: str, value: str, delay: str = "1 hour", compact_every: int = 10):
-        self.path, self.by, self.ts, self.tie, self.value, self.delay = path, by, ts, tie, value, delay
-        self.state = KeyedStore(f"{path}/state", by, ["batch_no"], ["rows", "open", "best"], newest=True, compact_every=compact_every)
-
-    def _marks(self, spark: SparkSession, batch_id: int):
-        path = f"{self.path}/marks/batch={batch_id}"
-        return spark.read.parquet(path).first() if batch_id >= 0 else None
-
-    def _fold(self, spark: SparkSession, closed: DataFrame, batch_id: int) -> DataFrame:
-        by, value = self.by, self.value
-        runs = lines.streaks(closed, [by], [self.ts, self.tie], value)
-        run = f"struct<value:{closed.schema[value].dataType.simpleString()},length:bigint,starts_at:bigint>"
-        if self.state.empty(spark):
-            old = runs.limit(0).select(by, F.lit(0).cast("long").alias("rows"), F.lit(None).cast(run).alias("open"), F.lit(None).cast(run).alias("best"))
-        else:
-            # A replayed batch must not see what it wrote the first time.
-            old = self._before(spark, batch_id).select(by, "rows", "open", "best")
-        ends = runs.groupBy(by).agg(F.max("starts_at").alias("_last"), F.sum("length").alias("_rows"))
-        seen = runs.join(ends, by).join(old.withColumnRenamed("rows", "_before"), by, "left")
-        before = F.coalesce("_before", F.lit(0))
-        joins_on = (F.col("starts_at") == 1) & F.col("open.value").eqNullSafe(F.col(value)) & F.col("open").isNotNull()
-        run = F.struct(
-            F.col(value).alias("value"),
-            (F.col("length") + F.when(joins_on, F.col("open.length")).otherwise(0)).alias("length"),
-            F.when(joins_on, F.col("open.starts_at")).otherwise(F.col("starts_at") + before).alias("starts_at"),
-        )
-        seen = seen.withColumn("_run", run)
-        rank = F.struct(F.col("_run.length"), -F.col("_run.starts_at"))
-        fresh = seen.groupBy(by).agg(
-            F.max(before + F.col("_rows")).alias("rows"),
-            F.max(F.when(F.col("starts_at") == F.col("_last"), F.col("_run"))).alias("open"),
-            F.max_by("_run", rank).alias("_new"),
-        )
-        return fresh.join(old.select(by, F.col("best").alias("_old")), by, "left").select(
-            by, F.lit(batch_id).cast("long").alias("batch_no"), "rows", "open",
-            F.when(F.col("_old.length") >= F.col("_new.length"), F.col("_old")).otherwise(F.col("_new")).alias("best"),
-        )
-
-    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return KeyedStore._best(self.state, self._versions(spark).where(F.col("batch_no") < batch_id))
-
-    def _versions(self, spark: SparkSession) -> DataFrame:
-        path = self.state.path
-        return spark.read.parquet(*[f"{path}/{kind}={n}" for kind in ("base", "batch") for n in folders(spark, path, kind)])
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select(self.by, F.col(self.ts).cast("timestamp").alias(self.ts), self.tie, self.value)
-        last = self._marks(spark, batch_id - 1)
-        late = 0
-        if last is not None:
-            late = last.late + rows.where(F.col(self.ts) < F.lit(last.mark)).count()
-            rows = rows.where(F.col(self.ts) >= F.lit(last.mark)).unionByName(spark.read.parquet(f"{self.path}/buffer/batch={batch_id - 1}"))
-        top = rows.agg(F.max(self.ts).alias("t")).select((F.col("t") - F.expr(f"interval {self.delay}")).alias("mark"))
-        mark = top.first().mark or (last.mark if last is not None else None)
-        if last is not None and mark is not None:
-            mark = max(mark, last.mark)
-        closed = rows.where(F.col(self.ts) < F.lit(mark))
-        self.state.merge(self._fold(spark, closed, batch_id), batch_id)
-        rows.where(F.col(self.ts) >= F.lit(mark)).write.mode("overwrite").parquet(f"{self.path}/buffer/batch={batch_id}")
-        spark.createDataFrame([(mark, late)], "mark timestamp, late long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/batch={batch_id}")
-        for kind in ("buffer", "marks"):
-            remove(spark, f"{self.path}/{kind}/batch={batch_id - 2}")
-
-    def late(self, spark: SparkSession, batch_id: int) -> int:
-        return self._marks(spark, batch_id).late
-
-    def longest(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The answer so far, with the rows that still wait counted in order."""
-        waiting = spark.read.parquet(f"{self.path}/buffer/batch={batch_id}")
-        folded = self._fold(spark, waiting, batch_id + 1)
-        kept = self.state.rows(spark).join(folded.select(self.by), self.by, "left_anti")
-        best = folded.unionByName(kept.select(*folded.columns)).select(self.by, "best.*")
-        return best.where("length is not null").withColumnRenamed("value", self.value)

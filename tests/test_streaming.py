@@ -1,67 +1,170 @@
 """Streams against their batch forms, over several micro-batches."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from rowsmith.functions import text as T
 from rowsmith.operators import corpus, lines
 from rowsmith.plans.registry import table
 from rowsmith.session import scratch_path
-from rowsmith.streaming import jobs
+from rowsmith.streaming import jobs, keyed
 
 
 def folder(spark):
     return scratch_path(spark, "in")
 
 
-def in_pieces(spark, df, n, order):
-    """``df`` written as n folders in order, read back as a stream of one folder per batch."""
-    base = folder(spark)
-    rows = df.collect()
-    rows.sort(key=order)
-    size = -(-len(rows) // n)
-    batches = [rows[i * size : (i + 1) * size] for i in range(n)]
-    return [spark.createDataFrame(b, df.schema).coalesce(1) for b in batches if b], base
-
-
-def replay(spark, df, n, order, handle):
-    pieces, base = in_pieces(spark, df, n, order)
-    for batch_id, piece in enumerate(pieces):
-        handle(piece, batch_id)
-    return len(pieces) - 1
-
-
 def test_doc_stats_stream_equals_batch(spark, sf):
     stream = jobs.drain(jobs.doc_stats(jobs.table_stream(spark, sf, "documents")))
     assert sorted(stream.collect()) == sorted(corpus.doc_stats(table(spark, sf, "documents")).collect())
 
 
-def test_streaks_over_batches_equal_one_batch(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    whole = lines.longest_streak(events, ["user_id"], ["ts", "event_id"], "event_type", bounded=True)
-    # In order with a short delay, and out of order with one that reaches over everything.
-    for delay, order in (("1 hour", lambda r: (r.ts, r.event_id)), ("60 days", lambda r: (r.event_id % 2, r.event_id))):
-        store = jobs.Streaks(folder(spark), "user_id", "ts", "event_id", "event_type", delay, compact_every=2)
-        last = replay(spark, events, 3, order, store.merge)
-        assert sorted(store.longest(spark, last).select(whole.columns).collect()) == sorted(whole.collect())
-        assert store.late(spark, last) == 0
+# A watermark starts at 1970, so what is told in seconds here starts later.
+START_US = 10**15
+
+
+def outcomes(spark, rows, parts):
+    """Events (u, seconds, id, v) delivered in parts: the state session, the stream and the deliveries."""
+    session = keyed.state_session(spark)
+    events = session.createDataFrame([(*r, n) for r, n in zip(rows, parts)], "u int, s double, id long, v string, n int")
+    timed = events.select("u", F.timestamp_micros((F.col("s") * 1_000_000).cast("long") + START_US).alias("ts"), "id", "v", "n")
+    return session, *jobs.deliveries(session, timed, F.col("n"))
+
+
+def run_parts(session, stream, arrive, twice=()):
+    """All parts one by one; those in ``twice`` fail once before they are committed, and run again. Late rows too."""
+    sink, late = jobs.Sink(session), 0
+    for n in arrive:
+        late += keyed.late_rows(sink.run(stream))
+        if n in twice:
+            forget_last_commit(session, sink.path)
+            sink.run(stream)
+    return sink.rows(session, stream.schema), late
+
+
+def forget_last_commit(session, path):
+    """Make the last batch look unfinished, as if the driver had died before it was committed."""
+    hadoop = session._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(path).getFileSystem(session._jsc.hadoopConfiguration())
+    commits = [f.getPath() for f in store.globStatus(hadoop(f"{path}/state/commits/[0-9]*"))]
+    last = max(commits, key=lambda c: int(c.getName()))
+    store.delete(last, False)
+    store.delete(hadoop(f"{path}/state/commits/.{last.getName()}.crc"), False)
+
+
+def runs_of(rows, upto):
+    """(u, v, length, starts_at) of every run that another value ends, over the rows up to a time, in plain Python."""
+    out = []
+    for u in sorted({r[0] for r in rows}):
+        mine = [r[3] for r in sorted((r for r in rows if r[0] == u and r[1] <= upto), key=lambda r: (r[1], r[2]))]
+        start = 0
+        for k in range(1, len(mine)):
+            if mine[k] != mine[start]:
+                out.append((u, mine[start], k - start, start + 1))
+                start = k
+    return sorted(out, key=repr)
+
+
+def test_closed_runs_equal_the_batch_whatever_the_order_inside_the_delay(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(3), float(rng.randrange(0, 5000)), k, rng.choice(["a", "b", None])) for k in range(300)]
+    # Each row arrives in the part of its time or, at most 400 seconds later, the next.
+    parts = [int(r[1] // 1000) + (rng.random() < 0.3 and r[1] % 1000 > 700) for r in rows]
+    session, stream, arrive = outcomes(spark, rows, parts)
+    runs = keyed.closed_runs(stream, "u", "ts", "id", "v", "500 seconds")
+    got, late = run_parts(session, runs, arrive)
+    upto = max(r[1] for r in rows) - 500
+    assert late == 0 and sorted((tuple(r) for r in got.collect()), key=repr) == runs_of(rows, upto)
+
+
+@pytest.mark.parametrize("twice", [(0,), (1,), (2,), (0, 1, 2)])
+def test_a_batch_that_runs_again_changes_nothing(spark, twice):
+    # One outcome over three batches: what the earlier ones counted must be neither lost nor counted again.
+    rows = [(1, float(100 * k), k, "a") for k in range(9)] + [(1, 900.0, 9, "b"), (1, 5000.0, 10, "b")]
+    session, stream, arrive = outcomes(spark, rows, [0] * 3 + [1] * 3 + [2] * 5)
+    got, _ = run_parts(session, keyed.closed_runs(stream, "u", "ts", "id", "v", "10 seconds"), arrive, twice)
+    assert [tuple(r) for r in got.collect()] == [(1, "a", 9, 1)]
 
 
 def test_late_rows_are_counted_and_left_out(spark):
-    mk = lambda *rows: spark.createDataFrame(rows, "u int, s int, id int, v string").selectExpr("u", "timestamp_seconds(s) as ts", "id", "v")
-    store = jobs.Streaks(folder(spark), "u", "ts", "id", "v", "100 seconds")
-    store.merge(mk((1, 0, 1, "a"), (1, 10, 2, "a"), (1, 5000, 3, "b")), 0)
-    store.merge(mk((1, 20, 4, "a"), (1, 4950, 5, "b"), (1, 9000, 6, "b")), 1)
-    assert store.late(spark, 1) == 1
-    assert [tuple(r) for r in store.longest(spark, 1).select("u", "v", "length", "starts_at").collect()] == [(1, "b", 3, 3)]
-
-
-def test_a_replayed_batch_changes_nothing(spark, sf):
-    events = table(spark, sf, "events").where("user_id < 5").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    store = jobs.Streaks(folder(spark), "user_id", "ts", "event_id", "event_type")
-    pieces, _ = in_pieces(spark, events, 3, lambda r: (r.ts, r.event_id))
-    for batch_id in (0, 1, 1, 2, 2):
-        store.merge(pieces[batch_id], batch_id)
-    whole = lines.longest_streak(events, ["user_id"], ["ts", "event_id"], "event_type", bounded=True)
-    assert sorted(store.longest(spark, 2).select(whole.columns).collect()) == sorted(whole.collect())
+    rows = [(1, 0.0, 1, "a"), (1, 10.0, 2, "a"), (1, 5000.0, 3, "b"), (1, 20.0, 4, "a"), (1, 4950.0, 5, "b"), (1, 9000.0, 6, "c"), (1, None, 7, "c")]
+    session, stream, arrive = outcomes(spark, rows, [0, 0, 0, 1, 1, 1, 1])
+    got, late = run_parts(session, keyed.closed_runs(stream, "u", "ts", "id", "v", "100 seconds"), arrive)
+    # The last two rows still wait, or are open: only the first run has ended.
+    assert late == 1 and [tuple(r) for r in got.collect()] == [(1, "a", 2, 1)]
+
+
+def laps_of(rows, gap, upto):
+    out = []
+    for u in sorted({r[0] for r in rows}):
+        mine = sorted((r[1], r[2]) for r in rows if r[0] == u)
+        sessions = []
+        for at, tie in mine:
+            if sessions and at - sessions[-1][-1][0] < gap:
+                sessions[-1].append((at, tie))
+            else:
+                sessions.append([(at, tie)])
+        for one in sessions:
+            if one[-1][0] + gap <= upto:
+                out += [(u, one[0][0], tie, k + 1, at - one[max(k - 1, 0)][0], at - one[0][0]) for k, (at, tie) in enumerate(one)]
+    return sorted(out)
+
+
+def test_laps_of_closed_sessions_equal_the_batch(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(4), float(rng.randrange(0, 20_000)), k, None) for k in range(250)]
+    parts = [int(r[1] // 4000) + (rng.random() < 0.3 and r[1] % 4000 > 3800) for r in rows]
+    session, stream, arrive = outcomes(spark, rows, parts)
+    laps = keyed.session_laps(stream, "u", "ts", "id", 90, "300 seconds")
+    got, late = run_parts(session, laps, arrive, twice=(2,))
+    us = lambda s: int(s * 1_000_000)
+    found = got.select("u", F.unix_micros("session") - START_US, "id", "lap_no", "lap_us", "total_us").collect()
+    want = [(u, us(a), tie, no, us(lap), us(total)) for u, a, tie, no, lap, total in laps_of(rows, 90, max(r[1] for r in rows) - 300)]
+    assert late == 0 and sorted(tuple(r) for r in found) == want
+
+
+def test_the_callers_session_keeps_its_state_store(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    assert keyed.state_session(spark).conf.get(name) == keyed.ROCKS and spark.conf.get(name) == before
+
+
+def test_line_dedup_forgets_lines_beyond_the_horizon(spark):
+    # Every delivery has 50 lines of its own and one line that all have.
+    rows = [(part, "\n".join([f"line {part} {k}" for k in range(50)] + [" Always There "]), part) for part in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part int").withColumn("at", F.timestamp_seconds(10**9 + F.col("part") * 3600))
+    stream, arrive = jobs.deliveries(spark, docs, F.col("part"))
+    first = jobs.dedup_lines(stream, "at", "1 hour")
+    sink, states = jobs.Sink(spark), []
+    for _ in arrive:
+        states.append(sink.run(first).recentProgress[-1].stateOperators[0].numRowsTotal)
+    got = sink.rows(spark, first.schema)
+    assert got.where("key like 'line%'").count() == 400
+    # Within two hours the line is known; from the third on it is new.
+    assert sorted(r.doc_id for r in got.where("key = 'always there'").collect()) == [0, 3, 6]
+    assert max(states) <= 3 * 51
+
+
+def test_inside_the_horizon_line_dedup_equals_the_batch(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("at", F.timestamp_seconds(10**9 + F.col("doc_id")))
+    stream, arrive = jobs.deliveries(spark, docs, F.pmod("doc_id", F.lit(3)))
+    first, sink = jobs.dedup_lines(stream, "at", "1 day"), jobs.Sink(spark)
+    for _ in arrive:
+        sink.run(first)
+    batch = lines.dedup(lines.explode_lines(docs), "first", by=())
+    keys = lambda df: sorted(r[0] for r in df.collect())
+    assert keys(sink.rows(spark, first.schema).select("key")) == keys(batch.select(T.line_key("line")))
+
+
+def test_deliveries_hold_every_row_once(spark, sf):
+    events = table(spark, sf, "events")
+    stream, arrive = jobs.deliveries(spark, events, F.pmod("event_id", F.lit(3)))
+    sink, seen = jobs.Sink(spark), []
+    for n in arrive:
+        sink.merge(stream, lambda batch, batch_id: seen.append((batch_id, batch.count(), batch.agg(F.max(F.pmod("event_id", F.lit(3)))).first()[0])))
+    assert [s[2] for s in seen if s[1]] == [0, 1, 2] and sum(s[1] for s in seen) == events.count()
 
 
 def test_latest_wins_out_of_order(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
 from rowsmith.operators import ordered
+from rowsmith.session import materialise
 
 
 def with_sizes(docs: DataFrame, cleaned: Column, text: str = "text") -> DataFrame:
@@ -155,11 +156,30 @@ def case_variants(df: DataFrame, column: str, style: str = "snake") -> DataFrame
 
 
 def assign_slugs(df: DataFrame, title: str, key: str, bounded: bool = False) -> DataFrame:
-    """A URL slug per row; the second row with a slug gets -2, the third -3."""
-    slugged = df.withColumn("_slug", F.coalesce(F.nullif(T.slug(title), F.lit("")), F.lit("untitled")))
-    placed = ordered.scan(slugged, ["_slug"], [F.col(key)], position="_copy", bounded=bounded)
+    """A URL slug per row, no two alike: the first row with a slug keeps it, the others take -2, -3 and so on in the order
+    of ``key``, leaving out the numbers that make another title's own slug ("a", "a", "a 2": a, a-3, a-2).
+
+    A slug with a number splits into slug and number in one way only, so numbered slugs clash with own slugs alone, and
+    the free numbers of a slug follow from the taken ones without trying: the j-th free number is j + 1 and the count of
+    taken numbers before it. That count is a running sum over both, so a slug of any number of rows or takers is spread.
+    """
+    slugged = df.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.coalesce(F.nullif(T.slug(title), F.lit("")), F.lit("untitled")).alias("_slug"))
+    placed = materialise(ordered.scan(slugged, ["_slug"], [F.col("_key")], position="_copy", bounded=bounded), "slugs")
+    own, again = placed.where("_copy = 1").select("_slug"), placed.where("_copy > 1")
+    ending = F.regexp_extract("_slug", r"\A(.+)-([1-9][0-9]{0,17})\z", 2)
+    taken = own.where(ending != "").select(F.regexp_extract("_slug", r"\A(.+)-[1-9][0-9]{0,17}\z", 1).alias("_slug"), ending.cast("long").alias("_n"))
+    taken = taken.where("_n > 1").join(placed.where("_copy = 2").select("_slug"), "_slug", "left_semi")
+    taken = materialise(ordered.scan(taken, ["_slug"], [F.col("_n")], position="_i", bounded=bounded), "taken")
+    # A taken number n, the i-th of its slug, comes before the j-th free one if n - i + 1 is j + 1 at most.
+    marks = taken.select("_slug", (F.col("_n") - F.col("_i") + 1).alias("_at"), F.lit(1).alias("_taken"), F.lit(None).cast(placed.schema["_row"].dataType).alias("_row"))
+    asked = again.join(taken.select("_slug").distinct(), "_slug", "left_semi")
+    both = marks.unionByName(asked.select("_slug", F.col("_copy").alias("_at"), F.lit(0).alias("_taken"), "_row"))
+    counted = ordered.scan(both, ["_slug"], [F.col("_at"), F.col("_taken").desc(), F.xxhash64("_row")], running={"_before": "_taken"}, bounded=bounded)
+    shifted = counted.where("_taken = 0").select("_row", "_slug", (F.col("_at") + F.col("_before")).alias("_copy"))
+    plain = placed.where("_copy = 1").unionByName(again.join(taken.select("_slug").distinct(), "_slug", "left_anti"))
+    numbered = plain.select("_row", "_slug", "_copy").unionByName(shifted)
     suffix = F.when(F.col("_copy") > 1, F.concat(F.lit("-"), F.col("_copy").cast("string"))).otherwise("")
-    return placed.withColumn("slug", F.concat("_slug", suffix)).drop("_slug", "_copy")
+    return numbered.select("_row.*", F.concat("_slug", suffix).alias("slug"))
 
 
 # Digest names and whether a name is too weak to trust.

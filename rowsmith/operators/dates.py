@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import calendar as C
@@ -72,17 +72,11 @@ def _steps(values: DataFrame, width: int) -> Column:
     boxes = values.groupBy(cut.alias("box")).agg(F.sort_array(F.collect_list("v")).alias("inside"))
     every = values.agg(F.floor(F.min("v") / width).alias("a"), F.floor(F.max("v") / width).alias("b")).where("a is not null")
     filled = every.select(F.explode(F.sequence("a", "b")).alias("box")).join(boxes, "box", "left")
-    listed = filled.agg(F.sort_array(F.collect_list(F.struct("box", F.coalesce("inside", F.array().cast("array<bigint>")).alias("inside")))).alias("l"))
-    # Running counts inside the one row.
-    start = F.array().cast("array<struct<box:bigint,before:bigint,inside:array<bigint>>>")
-    grown = F.aggregate(
-        "l", F.struct(F.lit(0).cast("bigint").alias("n"), start.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["n"] + F.size(x["inside"])).alias("n"),
-            F.array_append(acc["out"], F.struct(x["box"].alias("box"), acc["n"].alias("before"), x["inside"].alias("inside"))).alias("out"),
-        ),
-    )
-    return listed.select(grown["out"].alias("s")).scalar()
+    inside = F.coalesce("inside", F.array().cast("array<bigint>"))
+    # One row a stretch: about a row a year.
+    earlier = Window.partitionBy(F.lit(0)).orderBy("box").rowsBetween(Window.unboundedPreceding, -1)
+    counted = filled.select("box", F.coalesce(F.sum(F.size(inside)).over(earlier), F.lit(0)).alias("before"), inside.alias("inside"))
+    return counted.agg(F.sort_array(F.collect_list(F.struct("box", "before", "inside")))).scalar()
 
 
 def _count_upto(steps: Column, value: Column, width: int) -> Column:

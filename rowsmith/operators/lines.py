@@ -66,10 +66,13 @@ def dedup_stats(
 
 
 def sort_order(order: str, ignore_case: bool = True, ties: tuple[str, ...] = ("doc_id", "line_no")) -> list[Column]:
-    """Sort expressions for one of the orders a line list can be put in."""
+    """Sort expressions for one of the orders a line list can be put in.
+
+    Letters go by the Unicode collation, so an accented line stands among its base letters. Ignoring case ignores accents
+    too; else accents and case decide between lines of the same letters.
+    """
     line = F.col("line")
-    # Letters first without regard to case, then upper-case forms as a stable tie-break.
-    az = [T.natural_key(line, True)] + ([] if ignore_case else [T.natural_key(line, False)])
+    az = [F.collate(T.natural_key(line, ignore_case), "UNICODE_CI_AI" if ignore_case else "UNICODE")]
     asc, desc = [F.col(c).asc() for c in ties], [F.col(c).desc() for c in ties]
     number, size = T.first_number(line), F.length(line)
     orders = {
@@ -90,9 +93,11 @@ def sort_lines(lines: DataFrame, order: str = "az", ignore_case: bool = True) ->
     return lines.orderBy(*sort_order(order, ignore_case))
 
 
-def rank_lines(lines: DataFrame, order: str = "az", ignore_case: bool = True, by: str = "doc_id") -> DataFrame:
-    """The place of every line inside its document (``place`` starts at 1)."""
-    w = Window.partitionBy(by).orderBy(*sort_order(order, ignore_case))
+def rank_lines(
+    lines: DataFrame, order: str = "az", ignore_case: bool = True, by: str = "doc_id", ties: tuple[str, ...] = ("doc_id", "line_no")
+) -> DataFrame:
+    """The place of every line inside its document, or another group that one task can hold (``place`` starts at 1)."""
+    w = Window.partitionBy(by).orderBy(*sort_order(order, ignore_case, ties))
     return lines.withColumn("place", F.row_number().over(w).cast("long"))
 
 

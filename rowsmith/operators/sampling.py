@@ -5,8 +5,6 @@ Randomness is a hash of (seed, id), never ``rand``, whose values depend on the p
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,24 +38,55 @@ def pick(n: int, *ids: Column) -> Column:
     return result % n
 
 
+ROUNDS = 4
+# After w walks a place is still outside the range with probability under 2**-w.
+WALKS = 128
+
+
+def permuted(place: Column, n: int, *salt: Column) -> Column:
+    """The image of ``place`` (0 to n - 1) under a permutation of 0 to n - 1 that the salt chooses.
+
+    A Feistel network over the least power of two that holds n: two halves of its bits, each round xors one with a hash of
+    the other. An image outside the range is permuted again until it lies inside, which is a permutation of the range too.
+    Nothing is listed or remembered, so k different numbers of a range cost k images, whatever the size of the range.
+    """
+    if not 0 < n < 2**62:
+        raise ValueError("a range has 1 to 2**62 - 1 numbers")
+    bits = max(2, (n - 1).bit_length())
+    right = bits // 2
+    masks = F.array(F.lit((1 << (bits - right)) - 1).cast("long"), F.lit((1 << right) - 1).cast("long"))
+
+    def one(state: Column, round_no: Column) -> Column:
+        words = F.concat_ws(":", *[s.cast("string") for s in salt], round_no.cast("string"), state["r"].cast("string"))
+        hashed = F.conv(F.substring(F.sha2(words, 256), 1, 12), 16, 10).cast("long")
+        # The halves change places, so the one that is mixed has the left size in even rounds, the right size in odd ones.
+        mask = F.get(masks, F.pmod(round_no, F.lit(2)))
+        return F.struct(state["r"].alias("l"), state["l"].bitwiseXOR(hashed.bitwiseAND(mask)).alias("r"))
+
+    def network(x: Column) -> Column:
+        halves = F.struct(F.shiftright(x, right).alias("l"), x.bitwiseAND(F.lit((1 << right) - 1).cast("long")).alias("r"))
+        done = lambda s: F.shiftleft(s["l"], right).bitwiseOR(s["r"])
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), halves, one, done)
+
+    first = network(place.cast("long"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first, lambda x, _: F.when(x < F.lit(n), x).otherwise(network(x)))
+
+
 def sample_range(spark: SparkSession, lo: int, hi: int, k: int, repeat: bool, seed: str) -> DataFrame:
     """k whole numbers from lo to hi, with or without repeats: (draw_no, value)."""
-    if repeat:
-        return spark.range(1, k + 1).select(
-            F.col("id").alias("draw_no"), (pick(hi - lo + 1, F.lit(seed), F.col("id")) + lo).alias("value")
-        )
+    if not repeat and k > hi - lo + 1:
+        raise ValueError("cannot draw more different numbers than there are")
+    draws = spark.range(1, k + 1).withColumnRenamed("id", "draw_no")
+    value = pick(hi - lo + 1, F.lit(seed), F.col("draw_no")) if repeat else permuted(F.col("draw_no") - 1, hi - lo + 1, F.lit(seed))
+    return draws.select("draw_no", (value + lo).alias("value"))
+
+
+def different_per_row(df: DataFrame, key: str, k: int, lo: int, hi: int, seed: str) -> DataFrame:
+    """k different numbers from lo to hi for every row: (key, draw_no, value)."""
     if k > hi - lo + 1:
         raise ValueError("cannot draw more different numbers than there are")
-    pool = spark.range(lo, hi + 1).withColumnRenamed("id", "value")
-    # The k smallest tickets lie under a bound that leaves a little more than k: only those are put in order.
-    share = (k + 6 * math.sqrt(k) + 30) / (hi - lo + 1)
-    while share < 1:
-        under = pool.where(ticket(seed, F.col("value")) < f"{int(share * 16**15):015x}")
-        if under.count() >= k:
-            pool = under
-            break
-        share *= 2
-    return shuffle(pool, "value", seed).where(F.col("place") <= k).select(F.col("place").alias("draw_no"), "value")
+    rows = df.select(key, F.explode(F.sequence(F.lit(1).cast("long"), F.lit(k).cast("long"))).alias("draw_no"))
+    return rows.withColumn("value", permuted(F.col("draw_no") - 1, hi - lo + 1, F.lit(seed), F.col(key)) + lo)
 
 
 def draws_per_row(df: DataFrame, key: str, k: int, lo: int, hi: int, seed: str) -> DataFrame:

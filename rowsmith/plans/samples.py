@@ -18,13 +18,36 @@ def _(spark, sf):
     return sampling.shuffle(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "s7").select("o_orderkey", "place")
 
 
-@query("sample_range", """WITH b AS (SELECT max(o_orderkey) AS hi, (SELECT count(*) FROM customer) AS k FROM orders),
-d AS (SELECT v AS value, row_number() OVER (ORDER BY sha256('r1:' || CAST(v AS VARCHAR)), v) AS draw_no FROM (SELECT unnest(range(0, hi + 1)) AS v FROM b))
-SELECT draw_no, value FROM d WHERE draw_no <= (SELECT k FROM b)""")
+def _walk(start: str, n: int, salt: str, key: str) -> str:
+    """The permutation once more, step by step: ``start`` gives (key, i) rows, the result is (key, i, x)."""
+    bits = max(2, (n - 1).bit_length())
+    right, left = bits // 2, bits - bits // 2
+    hashed = f"CAST(('0x' || substr(sha256({salt} || ':' || CAST(round AS VARCHAR) || ':' || CAST(r AS VARCHAR)), 1, 12)) AS BIGINT)"
+    value = f"((l << {right}) | r)"
+    return f"""s AS ({start}),
+walk AS (
+  SELECT {key}, i, CAST(0 AS BIGINT) AS round, i >> {right} AS l, i & {(1 << right) - 1} AS r, false AS done FROM s
+  UNION ALL
+  SELECT {key}, i, round2, CASE WHEN round2 = 0 THEN v >> {right} ELSE l2 END, CASE WHEN round2 = 0 THEN v & {(1 << right) - 1} ELSE r2 END, round2 = 0 AND v < {n}
+  FROM (SELECT {key}, i, (round + 1) % 4 AS round2, r AS l2, xor(l, {hashed} & CASE WHEN round % 2 = 0 THEN {(1 << left) - 1} ELSE {(1 << right) - 1} END) AS r2,
+    (r << {right}) | xor(l, {hashed} & CASE WHEN round % 2 = 0 THEN {(1 << left) - 1} ELSE {(1 << right) - 1} END) AS v FROM walk WHERE NOT done)),
+x AS (SELECT {key}, i, {value} AS x FROM walk WHERE done)"""
+
+
+_FAR = 10**15
+
+
+# As many different numbers of a range of 1e15 as there are customers; the range itself is never listed.
+@query("sample_range", "WITH RECURSIVE " + _walk("SELECT CAST(0 AS BIGINT) AS k, unnest(range(0, count(*))) AS i FROM customer", _FAR, "'r1'", "k")
+       + " SELECT i + 1 AS draw_no, x + 7 AS value FROM x")
 def _(spark, sf):
-    hi = table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
-    k = table(spark, sf, "customer").count()
-    return sampling.sample_range(spark, 0, hi, k, False, "r1")
+    return sampling.sample_range(spark, 7, 6 + _FAR, table(spark, sf, "customer").count(), False, "r1")
+
+
+@query("different_per_row", "WITH RECURSIVE " + _walk("SELECT c_custkey AS k, unnest(range(0, 6)) AS i FROM customer", 49, "'lotto:' || CAST(k AS VARCHAR)", "k")
+       + " SELECT k AS c_custkey, i + 1 AS draw_no, x + 1 AS value FROM x")
+def _(spark, sf):
+    return sampling.different_per_row(table(spark, sf, "customer"), "c_custkey", 6, 1, 49, "lotto")
 
 
 def _pick(n: int, key: str) -> str:

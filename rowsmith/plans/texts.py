@@ -100,12 +100,12 @@ _RANK = """WITH @LINES@, n AS (SELECT doc_id, line_no, line, @NATURAL@ AS nk,
 SELECT doc_id, line_no, line, row_number() OVER (PARTITION BY doc_id ORDER BY {order}) AS place FROM n"""
 
 _ORDERS = {
-    "az": "nk, line_no",
-    "za": "nk DESC, line_no DESC",
+    "az": "nk COLLATE icu_noaccent, line_no",
+    "za": "nk COLLATE icu_noaccent DESC, line_no DESC",
     "num-asc": "num ASC NULLS LAST, line_no",
     "num-desc": "num DESC NULLS LAST, line_no",
-    "len-asc": "len, nk, line_no",
-    "len-desc": "len DESC, nk, line_no",
+    "len-asc": "len, nk COLLATE icu_noaccent, line_no",
+    "len-desc": "len DESC, nk COLLATE icu_noaccent, line_no",
     "reverse": "line_no DESC",
 }
 
@@ -121,7 +121,7 @@ for _name, _sql in _ORDERS.items():
 
 
 @query("top_k_lines", """WITH @LINES@, n AS (SELECT doc_id, line_no, line, @NATURAL@ AS nk FROM lines)
-SELECT doc_id, line_no, line FROM n ORDER BY length(line) DESC, nk, doc_id, line_no LIMIT 20""")
+SELECT doc_id, line_no, line FROM n ORDER BY length(line) DESC, nk COLLATE icu_noaccent, doc_id, line_no LIMIT 20""")
 def _(spark, sf):
     return lines.top_lines(_lines(spark, sf), "len-desc", 20)
 
@@ -175,6 +175,14 @@ def _(spark, sf):
     return lines.diff_lines(*_turns(spark, sf), ("conv_id", "turn"))
 
 
+# Words in the order of their language: with case and accents told apart at the end of the comparison.
+@query("sort_words_by_language", """WITH w AS (SELECT lang, unnest(regexp_extract_all(text, '[\\p{L}]+')) AS line FROM documents), d AS (SELECT DISTINCT lang, line FROM w)
+SELECT lang, line, row_number() OVER (PARTITION BY lang ORDER BY line COLLATE en, line) AS place FROM d""")
+def _(spark, sf):
+    words = _docs(spark, sf).select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("line")).distinct()
+    return lines.rank_lines(words, "az", ignore_case=False, by="lang", ties=("line",))
+
+
 # Counting -------------------------------------------------------------------------
 
 _DOC_STATS = """SELECT doc_id, lang, source, @WORDS@ AS words, length(text) AS chars, length(regexp_replace(text, '@WS@', '', 'g')) AS chars_solid,
@@ -415,6 +423,19 @@ def _(spark, sf):
     return clean.assign_slugs(titled, "title", "p_partkey").select("p_partkey", "slug")
 
 
+# Brands, some with a number behind: their numbers are taken by the brand's own copies otherwise.
+@query("slug_assign_clashing", """WITH t AS (SELECT p_partkey, lower(replace(p_brand || CASE WHEN p_partkey % 3 = 0 THEN ' ' || CAST(p_partkey % 11 AS VARCHAR) ELSE '' END, '#', '-')) AS t FROM part),
+b AS (SELECT p_partkey, replace(t, ' ', '-') AS b FROM t),
+c AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY p_partkey) AS n FROM b),
+free AS (SELECT o.b, s.k, row_number() OVER (PARTITION BY o.b ORDER BY s.k) + 1 AS n FROM (SELECT b, max(n) AS most FROM c GROUP BY b) o, range(2, (SELECT max(n) + 20 FROM c)) s(k)
+  WHERE s.k <= o.most + 20 AND o.b || '-' || CAST(s.k AS VARCHAR) NOT IN (SELECT b FROM b))
+SELECT p_partkey, CASE WHEN c.n = 1 THEN c.b ELSE c.b || '-' || CAST(free.k AS VARCHAR) END AS slug FROM c LEFT JOIN free ON free.b = c.b AND free.n = c.n""")
+def _(spark, sf):
+    number = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" "), F.col("p_partkey") % 11)).otherwise("")
+    titled = table(spark, sf, "part").select("p_partkey", F.concat("p_brand", number).alias("title"))
+    return clean.assign_slugs(titled, "title", "p_partkey").select("p_partkey", "slug")
+
+
 @query("content_hash", "SELECT doc_id, sha1(text) AS sha1, sha256(text) AS sha256, upper(sha256(text)) AS sha256_upper FROM documents")
 def _(spark, sf):
     text = F.col("text")
@@ -505,15 +526,16 @@ def _(spark, sf):
     return out.select("doc_id", "edits", "changed", F.md5("text").alias("text_md5"))
 
 
-# Forbidden phrases from a table: the beginnings of part names right after a tag, in every page that holds one.
-@query("forbidden_phrases", """WITH f AS (SELECT DISTINCT '>' || upper(left(p_name, 1)) || substr(p_name, 2, 3) AS find, p_type AS replace_by FROM part),
-r AS (SELECT find, min(replace_by) AS replace_by FROM f GROUP BY find),
+# Forbidden phrases from a table: every link text that stands in some page, looked for in all of them.
+@query("forbidden_phrases", """WITH f AS (SELECT DISTINCT unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS find FROM pages),
+r AS (SELECT find FROM f WHERE length(find) > 4),
 h AS (SELECT page_id, find, CAST((length(html) - length(replace(html, find, ''))) / length(find) AS BIGINT) AS hits FROM pages, r)
 SELECT page_id, find, hits FROM h WHERE hits > 0""")
 def _(spark, sf):
-    find = F.concat(F.lit(">"), F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 3))
-    phrases = table(spark, sf, "part").select(find.alias("find"), F.col("p_type").alias("replace_by")).distinct()
-    return rules.rule_hits(table(spark, sf, "pages"), phrases, "page_id", "html").drop("replace_by")
+    pages = table(spark, sf, "pages")
+    found = pages.select(F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), F.lit(1))).alias("find"))
+    phrases = found.where(F.length("find") > 4).distinct().withColumn("replace_by", F.lit(""))
+    return rules.rule_hits(pages, phrases, "page_id", "html").drop("replace_by")
 
 
 @query("html_to_text", """WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g') AS x FROM pages),

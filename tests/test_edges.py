@@ -127,10 +127,27 @@ def test_fingerprint_does_not_depend_on_order_and_sees_changes(spark):
     assert one(df).fingerprint != one(df.withColumn("text", F.when(F.col("id") == 77, "x").otherwise(F.col("text")))).fingerprint
 
 
-def test_sampled_numbers_are_the_smallest_tickets(spark):
-    got = [r.value for r in sampling.sample_range(spark, 10, 5000, 40, False, "s").orderBy("draw_no").collect()]
+def test_drawn_rows_have_the_smallest_tickets(spark):
+    got = [r.id for r in sampling.draw(spark.range(10, 5001), "id", "s", 40).collect()]
     ranked = sorted(range(10, 5001), key=lambda v: (hashlib.sha256(f"s:{v}".encode()).hexdigest(), v))
     assert got == ranked[:40]
+
+
+def test_sampled_numbers_are_images_of_their_places(spark):
+    def image(x, n, salt):
+        bits = max(2, (n - 1).bit_length())
+        right = bits // 2
+        while True:
+            left, low = x >> right, x & ((1 << right) - 1)
+            for round_no in range(4):
+                hashed = int(hashlib.sha256(f"{salt}:{round_no}:{low}".encode()).hexdigest()[:12], 16)
+                left, low = low, left ^ (hashed & ((1 << (bits - right if round_no % 2 == 0 else right)) - 1))
+            x = left << right | low
+            if x < n:
+                return x
+
+    got = [r.value for r in sampling.sample_range(spark, 10, 5000, 40, False, "s").orderBy("draw_no").collect()]
+    assert got == [10 + image(k, 4991, "s") for k in range(40)]
     assert sampling.sample_range(spark, 1, 5, 5, False, "s").count() == 5
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
-from rowsmith.operators import clean, corpus, lines, rules, search
+from rowsmith.operators import clean, corpus, diffs, lines, rules, search
 from rowsmith.plans.registry import pasted, query, rounded, table
 from rowsmith.sources import readers
 
@@ -175,6 +175,35 @@ def _(spark, sf):
     return lines.diff_lines(*_turns(spark, sf), ("conv_id", "turn"))
 
 
+def _edited(spark, sf):
+    """Documents and a later version of each: the first line goes to the end, every seventh goes, every eleventh is respaced."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    split = T.split_lines("text")
+    kept = F.filter(F.transform(split, lambda l, i: F.when(i % 7 == 3, None).when(i % 11 == 5, F.replace(l, F.lit(" "), F.lit("  "))).otherwise(l)), lambda l: l.isNotNull())
+    moved = F.when(F.size("l") > 0, F.concat(F.slice("l", 2, F.size("l")), F.slice("l", 1, 1))).otherwise(F.col("l"))
+    return docs, docs.select("doc_id", kept.alias("l")).select("doc_id", F.array_join(moved, "\n").alias("text"))
+
+
+# A patience diff has no SQL form: tests/test_diffs.py holds it against dynamic programming and by applying the hunks.
+@query("text_diff_hunks")
+def _(spark, sf):
+    found = diffs.hunks(*_edited(spark, sf), ("doc_id",))
+    return found.withColumns({c: F.array_join(c, "\n") for c in ("removed", "added")})
+
+
+@query("text_diff_moves")
+def _(spark, sf):
+    return diffs.moves(diffs.hunks(*_edited(spark, sf), ("doc_id",)), ("doc_id",))
+
+
+@query("text_diff_patched", """WITH l AS (SELECT doc_id, CASE WHEN text = '' THEN [] ELSE string_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10)) END AS l FROM documents),
+k AS (SELECT doc_id, list_transform(list_filter(range(len(l)), lambda i: i % 7 <> 3), lambda i: CASE WHEN i % 11 = 5 THEN replace(l[i + 1], ' ', '  ') ELSE l[i + 1] END) AS l FROM l)
+SELECT doc_id, md5(array_to_string(list_concat(l[2:], l[1:1]), chr(10))) AS text_md5 FROM k""")
+def _(spark, sf):
+    old, new = _edited(spark, sf)
+    return diffs.patch(old, diffs.hunks(old, new, ("doc_id",)), ("doc_id",)).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 # Words in the order of their language: with case and accents told apart at the end of the comparison.
 @query("sort_words_by_language", """WITH w AS (SELECT lang, unnest(regexp_extract_all(text, '[\\p{L}]+')) AS line FROM documents), d AS (SELECT DISTINCT lang, line FROM w)
 SELECT lang, line, row_number() OVER (PARTITION BY lang ORDER BY line COLLATE en, line) AS place FROM d""")

@@ -190,12 +190,10 @@ def order_violations(
 
 def streaks(df: DataFrame, by: list[str], order: list[str], value: str, bounded: bool = False) -> DataFrame:
     """Every run of the same outcome: outcome, length and the place it starts."""
-    marked = ordered.scan(
-        df.select(*by, *order, value), by, [F.col(c) for c in order],
-        position="_pos", previous={"_prev": value}, bounded=bounded,
+    runs = ordered.scan(
+        df.select(*by, *order, value), by, [F.col(c) for c in order], position="_pos",
+        runs={"_run": (value, lambda was, now: ~was.eqNullSafe(now))}, bounded=bounded,
     )
-    marked = marked.withColumn("_starts", F.when(F.col(value).eqNullSafe(F.col("_prev")) & (F.col("_pos") > 1), 0).otherwise(1))
-    runs = ordered.scan(marked, by, [F.col("_pos")], running={"_run": "_starts"}, bounded=bounded)
     return runs.groupBy(*by, "_run", value).agg(
         F.count(F.lit(1)).alias("length"), F.min("_pos").alias("starts_at")
     ).drop("_run")
@@ -225,11 +223,13 @@ def session_laps(
     events: DataFrame, by: list[str], ts: str, tie: str, gap_seconds: int = 1800, bounded: bool = False
 ) -> DataFrame:
     """Laps grouped into sessions that end after ``gap_seconds`` without an event."""
-    timed = laps(events, by, ts, tie, bounded)
-    opens = F.when((F.col("lap_no") == 1) | (F.col("lap_us") >= gap_seconds * 1_000_000), 1).otherwise(0)
-    marked = timed.withColumn("_opens", opens)
-    numbered = ordered.scan(marked, by, [F.col("lap_no")], running={"session_no": "_opens"}, bounded=bounded)
-    within = F.when(F.col("_opens") == 0, F.col("lap_us"))
+    gap = gap_seconds * 1_000_000
+    timed = events.select(*by, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"))
+    numbered = ordered.scan(
+        timed, by, [F.col("at_us"), F.col(tie)], previous={"_prev": "at_us"}, runs={"session_no": ("at_us", lambda was, now: now - was >= gap)}, bounded=bounded
+    )
+    lap = F.col("at_us") - F.col("_prev")
+    within = F.when(lap < gap, lap)
     return numbered.groupBy(*by, "session_no").agg(
         F.count(F.lit(1)).alias("events"),
         F.coalesce(F.sum(within), F.lit(0)).alias("length_us"),

@@ -190,10 +190,8 @@ def _neighbours_by_sort(df, value, group, one, bounded):
     rows = mine.unionByName(chart).withColumn("_is_data", F.col("_data").isNotNull())
     # A chart row of the same value counts as the lower neighbour, so it sorts first.
     tie = F.xxhash64(F.to_json("_data"))
-    rows = ordered.scan(rows, ["_g"], [F.col("_v"), F.col("_is_data"), tie], last_known={"_lo": "_row"}, bounded=bounded)
-    rows = ordered.scan(
-        rows, ["_g"], [F.col("_v").desc(), F.col("_is_data").desc(), tie], last_known={"_hi": "_row"}, bounded=bounded
-    )
+    order = [F.col("_v"), F.col("_is_data"), tie]
+    rows = ordered.scan(rows, ["_g"], order, last_known={"_lo": "_row"}, next_known={"_hi": "_row"}, bounded=bounded)
     return rows.where("_is_data").select("_data.*", "_lo", "_hi")
 
 

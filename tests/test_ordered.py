@@ -140,3 +140,52 @@ def test_result_does_not_depend_on_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] == seen[1] == seen[2]
+
+
+def brute_runs(rows, keyed, column, breaks):
+    """(id, run number, next known v) by walking each key in order."""
+    by_key = {}
+    for r in sorted(rows, key=lambda r: (r.t, r.id)):
+        by_key.setdefault(r.k if keyed else 0, []).append(r)
+    out = []
+    for mine in by_key.values():
+        run, was, numbers = 0, None, []
+        for i, r in enumerate(mine):
+            now = getattr(r, column)
+            run += i == 0 or bool(breaks(was, now))
+            was = now
+            numbers.append(run)
+        known, back = None, []
+        for r in reversed(mine):
+            known = known if r.v is None else r.v
+            back.append(known)
+        out += [(r.id, n, k) for r, n, k in zip(mine, numbers, reversed(back))]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_runs_and_next_known(spark, bounded, keyed):
+    df = skewed(spark)
+    keys = ["k"] if keyed else []
+    got = ordered.scan(
+        df, keys, [F.col("t"), F.col("id")], next_known={"next": "v"}, bounded=bounded,
+        runs={"run": ("s", lambda was, now: ~was.eqNullSafe(now)), "jump": ("t", lambda was, now: now - was >= 2)},
+    )
+    rows = df.collect()
+    assert sorted((r.id, r.run, r.next) for r in got.collect()) == brute_runs(rows, keyed, "s", lambda a, b: a != b)
+    assert sorted((r.id, r.jump, r.next) for r in got.collect()) == brute_runs(rows, keyed, "t", lambda a, b: b - a >= 2)
+
+
+def test_one_run_over_many_partitions(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("k"), "id", F.when(F.col("id") == 4321, "b").otherwise("a").alias("s"))
+    best = lines.longest_streak(df, ["k"], ["id"], "s").first()
+    assert (best.s, best.length, best.starts_at) == ("a", 4321, 1)
+
+
+def test_streaks_and_sessions_take_one_range_sort(spark, tmp_path):
+    df = skewed(spark).withColumn("ts", F.timestamp_seconds(F.col("t") * 600))
+    before = set(glob.glob(f"{scratch_dir(spark)}/*/scan-*"))
+    lines.longest_streak(df, ["k"], ["t", "id"], "s").collect()
+    lines.session_laps(df, ["k"], "ts", "id").collect()
+    assert len(set(glob.glob(f"{scratch_dir(spark)}/*/scan-*")) - before) == 2

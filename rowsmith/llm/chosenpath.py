@@ -262,7 +262,9 @@ def verified(units: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, perce
     needed = materialise(wanted.join(nodes.select("node", "h", "first"), "node"), "needed")
     # Most texts meet no other: they leave before any shuffle.
     asked = may_match(texts, F.coalesce("doc", F.lit(-1)), needed, F.coalesce("first", F.lit(-1))).select("doc", sequence(F.col("t")).alias("w"))
-    sets = asked.select("doc", F.unhex(F.md5(F.concat_ws(" ", "w"))).alias("own"), shingle_set(F.col("w"), n).alias("grams"))
+    # Known not to be NULL, or a test for that would be computed for every text before the others leave.
+    own = F.coalesce(F.unhex(F.md5(F.concat_ws(" ", "w"))), F.lit(b""))
+    sets = asked.select("doc", own.alias("own"), shingle_set(F.col("w"), n).alias("grams"))
     held = (
         sets.join(needed, F.col("doc").eqNullSafe(F.col("first")) & (F.col("own") == F.col("h")))
         .select("node", F.explode("units").alias("u"), "grams").select("u.*", "node", "grams")

@@ -62,6 +62,15 @@ def test_corner_cases(spark):
     assert decontaminate.drop_leaks(d, i.where("item_id = 3")).count() == 7
 
 
+def test_a_clean_row_is_not_dropped_for_another_rows_text(spark):
+    item = "one two three four five six"
+    docs = [(None, "x " + item), (None, "clean and without an id"), (7, item), (7, "clean under a shared id"), (8, None), (8, item)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in decontaminate.drop_leaks(d, i).collect()), key=str)
+    assert kept == sorted([(None, "clean and without an id"), (7, "clean under a shared id"), (8, None)], key=str)
+
+
 def test_plan(spark, sf):
     plan = queries.QUERIES["op1_decontamination"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

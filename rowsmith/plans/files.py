@@ -25,6 +25,48 @@ def _(spark, sf):
     return back.select("doc_id", "lang", F.md5("text").alias("text_md5"))
 
 
+# A file of text lines, some with a word for a number, a cell too few, a cell too many or a quote that is never closed.
+_CSV_LINES = """l AS (SELECT doc_id, CASE WHEN doc_id % 13 = 5 THEN 'word' WHEN doc_id % 7 = 3 THEN 'few' WHEN doc_id % 5 = 2 THEN 'many' WHEN doc_id % 11 = 1 THEN 'quote' ELSE 'good' END AS kind,
+  lang, n_chars FROM documents),
+w AS (SELECT doc_id, lang, n_chars, kind, CASE kind WHEN 'word' THEN doc_id || ',' || lang || ',n/a' WHEN 'few' THEN doc_id || ',' || lang WHEN 'many' THEN doc_id || ',' || lang || ',' || n_chars || ',x'
+  WHEN 'quote' THEN doc_id || ',"' || lang || ',' || n_chars ELSE doc_id || ',"' || lang || ', ""' || doc_id || '""' || '",' || n_chars END AS record FROM l)"""
+
+
+@query("csv_quarantine", "WITH " + _CSV_LINES + """
+SELECT kind = 'good' AS good, CASE WHEN kind = 'good' THEN doc_id END AS doc_id, CASE WHEN kind = 'good' THEN lang || ', "' || doc_id || '"' END AS lang,
+  CASE WHEN kind = 'good' THEN n_chars END AS n_chars, CASE WHEN kind <> 'good' THEN record END AS record FROM w""")
+def _(spark, sf):
+    d, cell = F.col("doc_id"), lambda *parts: F.concat(*[F.lit(p) if p in (",", ',"', ",n/a", ",x", ', ""', '""",') else F.col(p).cast("string") for p in parts])
+    line = (
+        F.when(d % 13 == 5, cell("doc_id", ",", "lang", ",n/a")).when(d % 7 == 3, cell("doc_id", ",", "lang")).when(d % 5 == 2, cell("doc_id", ",", "lang", ",", "n_chars", ",x"))
+        .when(d % 11 == 1, cell("doc_id", ',"', "lang", ",", "n_chars")).otherwise(cell("doc_id", ',"', "lang", ', ""', "doc_id", '""",', "n_chars"))
+    )
+    path = _fresh(spark, "csv")
+    table(spark, sf, "documents").select(line.alias("value")).write.text(path)
+    rows, quarantine = readers.read_csv_checked(spark, path, "doc_id BIGINT, lang STRING, n_chars BIGINT", header=False, multi_line=False)
+    rows = rows.select(F.lit(True).alias("good"), "doc_id", "lang", "n_chars", F.lit(None).cast("string").alias("record"))
+    return rows.unionByName(quarantine.select(F.lit(False).alias("good"), "record"), allowMissingColumns=True)
+
+
+# One file per brand, each an array of records; sizes are numbers or text, and not every record has every field.
+@query("read_json_array", """SELECT p_partkey AS id, p_name AS what_name, CASE WHEN p_partkey % 3 = 0 THEN p_size END AS what_box_size,
+  CASE WHEN p_partkey % 2 = 0 THEN '"' || p_size || '"' ELSE CAST(p_size AS VARCHAR) END AS size, CASE WHEN p_partkey % 4 = 1 THEN '["' || p_brand || '",' || p_size || ']' END AS tags FROM part""")
+def _(spark, sf):
+    p = F.col("p_partkey")
+    box = F.when(p % 3 == 0, F.struct(F.col("p_size").alias("size")))
+    common = [F.col("p_partkey").alias("id"), F.struct(F.col("p_name").alias("name"), box.alias("box")).alias("what")]
+    number = F.to_json(F.struct(*common, F.col("p_size").alias("size")))
+    text = F.to_json(F.struct(*common, F.col("p_size").cast("string").alias("size")))
+    # The tags hold a text and a number, so they are put in by hand.
+    tags = F.concat(F.lit(',"tags":["'), "p_brand", F.lit('",'), F.col("p_size").cast("string"), F.lit("]}"))
+    record = F.when(p % 2 == 0, text).otherwise(number)
+    record = F.when(p % 4 == 1, F.concat(F.substring(record, F.lit(1), F.length(record) - 1), tags)).otherwise(record)
+    path = _fresh(spark, "arrays")
+    arrays = table(spark, sf, "part").groupBy("p_brand").agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]")).alias("value"))
+    arrays.repartition("p_brand").write.partitionBy("p_brand").text(path)
+    return readers.flatten_variant(readers.read_json_array(spark, f"{path}/*/*.txt"), sep="_")
+
+
 @query("flatten_json", """SELECT c_custkey AS id, c_name AS who_name, n_name AS who_home_nation, n_regionkey AS who_home_region, '["' || c_mktsegment || '","' || n_name || '"]' AS tags
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def _(spark, sf):

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from rowsmith.operators import audit, clean, lines
@@ -98,3 +99,41 @@ def test_rates_appended_once_per_date(spark, tmp_path):
         writers.append_rates(mk((2, "USD", 9.0), (3, "USD", 3.0)), path)
     got = readers.read_rate_history(spark, path).select(F.dayofmonth("rate_date"), "rate").collect()
     assert sorted(map(tuple, got)) == [(1, 1.0), (2, 9.0), (3, 3.0)]
+
+
+BROKEN = 'id,lang,n\n1,en,3\n2,de,abc\n3,fr\n4,es,5,6\n5,"x ""y"" z",\n6,"two\nlines",7\n7,"never closed,3\n8,en,4\n'
+
+
+def test_csv_quarantine(spark, tmp_path):
+    put(tmp_path / "a.csv", BROKEN)
+    rows, held = readers.read_csv_checked(spark, str(tmp_path), "id int, lang string, n int")
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "en", 3), (5, 'x "y" z', None), (6, "two\nlines", 7)]
+    # A quote that is never closed takes the rest of its file with it, into one record.
+    assert sorted(r.record for r in held.collect()) == ["2,de,abc", "3,fr", "4,es,5,6", '7,"never closed,3\n8,en,4']
+    assert {r.file.rsplit("/", 1)[1] for r in held.collect()} == {"a.csv"}
+
+
+def test_csv_quarantine_line_by_line_adds_up(spark, tmp_path):
+    put(tmp_path / "a.csv", BROKEN)
+    rows, held = readers.read_csv_checked(spark, str(tmp_path), "id int, lang string, n int", multi_line=False)
+    assert rows.count() + held.count() == len(BROKEN.splitlines()) - 1
+    assert sorted(r.id for r in rows.collect()) == [1, 5, 8]
+
+
+def test_json_records_of_mixed_shape(spark, tmp_path):
+    put(tmp_path / "a.json", '[{"id":1,"size":3,"box":{"kind":"x","w":1.5}},{"id":2,"size":"12","tags":["a",1],"odd key":true,"n":null},{"id":3,"box":null}]')
+    put(tmp_path / "b.json", '[{"id":4,"size":{"a":1}}]')
+    put(tmp_path / "c.json", '{"id":5}')
+    records = readers.read_json_array(spark, str(tmp_path))
+    assert records.count() == 5
+    flat = readers.flatten_variant(records)
+    assert sorted(flat.columns) == ["box.kind", "box.w", "id", "n", "odd key", "size", "tags"]
+    rows = {r.id: r.asDict() for r in flat.collect()}
+    assert [rows[k]["size"] for k in range(1, 6)] == ["3", '"12"', None, '{"a":1}', None]
+    assert rows[2]["tags"] == '["a",1]' and rows[2]["odd key"] is True and rows[1]["box.kind"] == "x" and float(rows[1]["box.w"]) == 1.5
+
+
+def test_records_that_are_no_objects(spark, tmp_path):
+    put(tmp_path / "a.json", "[1, 2]")
+    with pytest.raises(ValueError, match="no objects"):
+        readers.flatten_variant(readers.read_json_array(spark, str(tmp_path)))

@@ -278,18 +278,46 @@ def slug(text: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(plain, r"[^a-z0-9]+", "-"), r"\A-+|-+\z", "")
 
 
-# Entities in the order they are decoded; the ampersand comes last.
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+# Entities and the characters they stand for.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "nbsp": "\u00a0", "copy": "©", "reg": "®", "trade": "™", "middot": "·",
+    "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "sbquo": "‚", "ldquo": "“", "rdquo": "”", "bdquo": "„",
+    "laquo": "«", "raquo": "»", "euro": "€", "pound": "£", "yen": "¥", "cent": "¢", "sect": "§", "para": "¶", "deg": "°", "plusmn": "±",
+    "times": "×", "divide": "÷", "frac12": "½", "frac14": "¼", "frac34": "¾", "sup2": "²", "sup3": "³", "micro": "µ", "minus": "−", "larr": "←",
+    "rarr": "→", "uarr": "↑", "darr": "↓", "szlig": "ß", "agrave": "à", "aacute": "á", "acirc": "â", "atilde": "ã", "auml": "ä", "aring": "å",
+    "aelig": "æ", "ccedil": "ç", "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë", "igrave": "ì", "iacute": "í", "icirc": "î", "iuml": "ï",
+    "ntilde": "ñ", "ograve": "ò", "oacute": "ó", "ocirc": "ô", "otilde": "õ", "ouml": "ö", "oslash": "ø", "ugrave": "ù", "uacute": "ú", "ucirc": "û",
+    "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "Eacute": "É", "Ntilde": "Ñ", "shy": "\u00ad", "zwnj": "\u200c", "zwj": "\u200d",
+}
+
+
+def _code_point(digits: Column, base: int) -> Column:
+    """The character of a number; a number that is none, or half of a pair, is U+FFFD."""
+    n = F.conv(digits, base, 10).cast("long")
+    good = ((n > 0) & (n < 0xD800)) | ((n > 0xDFFF) & (n <= 0x10FFFF))
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(good, n).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
 
 
 def unescape_html(text: Column | str) -> Column:
-    out = _col(text)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Entities decoded once, by name or by number; what is no entity stays."""
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def piece(part: Column, i: Column) -> Column:
+        """What follows an ampersand."""
+        name = F.substring_index(part, ";", 1)
+        ended = F.contains(part, F.lit(";")) & (F.length(name) <= 8)
+        decimal, hexadecimal = name.rlike(r"\A#[0-9]{1,7}\z"), name.rlike(r"\A#[xX][0-9A-Fa-f]{1,6}\z")
+        char = (
+            F.when(ended & decimal, _code_point(F.substr(name, F.lit(2)), 10))
+            .when(ended & hexadecimal, _code_point(F.substr(name, F.lit(3)), 16))
+            .when(ended, F.try_element_at(known, name))
+        )
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when(i == 0, part).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part)))
+
+    whole = _col(text)
+    decoded = F.array_join(F.transform(F.split(whole, "&"), piece), "")
+    return F.when(F.contains(whole, F.lit("&")), decoded).otherwise(whole)
 
 
 def escape_html(text: Column | str) -> Column:

@@ -258,25 +258,6 @@ def tick_mismatches(marked: DataFrame, key: str, flag: str, members: DataFrame)
     return both.withColumn("is_member", F.coalesce("_in", F.lit(False))).drop("_in").where(F.col(flag) != F.col("is_member"))
 
 
-def unlabelled_controls(pages: DataFrame) -> DataFrame:
-    """Inputs, selects and text areas nothing names: no label for, aria text or label around.
-
-    Labels do not nest, so what is left after cutting label elements out has no label around it.
-    """
-    outside = F.regexp_replace("html", r"(?is)<label\b.*?</label>", "")
-    controls = F.regexp_extract_all(outside, F.lit(r"(?is)<(?:input|select|textarea)\b[^>]*>"), F.lit(0))
-    named = F.regexp_extract_all("html", F.lit(r'(?is)<label\b[^>]*\bfor="([^"]*)"'), F.lit(1))
-    attr = lambda c, a: F.regexp_extract(c, rf'(?i)\s{a}="\s*([^"]*?)\s*"', 1)
-    rows = pages.select("page_id", named.alias("_named"), F.posexplode(controls).alias("_no", "control"))
-    c = F.col("control")
-    bad = (
-        (F.lower(attr(c, "type")) != "hidden")
-        & (attr(c, "aria-label") == "") & (attr(c, "aria-labelledby") == "")
-        & ~((attr(c, "id") != "") & F.array_contains("_named", attr(c, "id")))
-    )
-    return rows.where(bad).select("page_id", F.col("_no").cast("long").alias("control_no"), attr(c, "id").alias("control_id"))
-
-
 def ad_policy(pages: DataFrame, denied: DataFrame, key: str, marker: str) -> DataFrame:
     """Pages on the deny-list must not carry the marker; every other page exactly once."""
     n = F.regexp_count("html", F.lit(marker)).cast("long")

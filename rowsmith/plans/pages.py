@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
-from rowsmith.operators import audit, corpus, lines, sets
+from rowsmith.operators import audit, corpus, lines, sets, tags
 from rowsmith.plans.registry import PIECES, query, rounded, table
 
 # The driver's pages have a plain head. This view gives most of them the tags the
@@ -203,7 +203,19 @@ def _(spark, sf):
 @query("unlabelled_controls", """SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 1 ELSE 1 END AS control_no, CASE WHEN page_id % 4 = 0 THEN 'z' ELSE 't' END AS control_id
 FROM pages WHERE page_id % 4 IN (0, 2) AND contains(html, '<meta charset="utf-8">')""")
 def _(spark, sf):
-    return audit.unlabelled_controls(rich(spark, sf))
+    return tags.unlabelled_controls(rich(spark, sf))
+
+
+# In these pages no tag stands in a script or style, and every attribute is quoted.
+@query("tag_stream", """WITH @RICH@, b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?s)(<(script|style|title)[^>]*>).*?(</(script|style|title)>)', '\\1', 'g') AS t FROM rich),
+t AS (SELECT page_id, unnest(regexp_extract_all(t, '<([a-z][a-z0-9]*)[^>]*>')) AS tag FROM b)
+SELECT page_id, regexp_extract(tag, '<([a-z0-9]+)', 1) AS name, count(*) AS n, CAST(sum(len(regexp_extract_all(tag, ' [a-z-]+="'))) AS BIGINT) AS attributes,
+  CAST(sum(length(regexp_extract(tag, 'href="([^"]*)"', 1))) AS BIGINT) AS href_chars FROM t GROUP BY ALL""")
+def _(spark, sf):
+    stream = tags.tag_stream(rich(spark, sf)).where("not closing")
+    return stream.groupBy("page_id", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("attributes")).alias("attributes"), F.sum(F.length(F.coalesce(F.col("attributes")["href"], F.lit("")))).alias("href_chars")
+    )
 
 
 @query("allow_deny_policy", """WITH x AS (SELECT page_id, @HOST@ LIKE 'm.%' AS denied, len(regexp_extract_all(html, 'class="ad"')) AS n FROM pages)

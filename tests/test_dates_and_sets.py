@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowsmith.functions import calendar as C
-from rowsmith.operators import audit, dates, lines, lookup, sampling, sets
+from rowsmith.operators import audit, dates, lines, lookup, sampling, sets, tags
 
 
 def pairs(spark, *rows):
@@ -113,7 +113,7 @@ def test_links(spark):
 
 def test_unlabelled(spark):
     html = '<label for="a">A</label><input id="a"><label>B <input id="b"></label><input id="c"><input type="HIDDEN"><textarea aria-label=" "></textarea><select aria-labelledby="h"></select>'
-    got = audit.unlabelled_controls(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
+    got = tags.unlabelled_controls(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
     assert sorted(r.control_id for r in got) == ["", "c"]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
+from rowsmith.functions.patterns import slow_on_some_text
 from rowsmith.operators import ordered
 from rowsmith.session import materialise
 
@@ -70,9 +71,12 @@ def _alternatives_overlap(body: str) -> bool:
     return len(parts) > 1 and (not plain or len(set(firsts)) < len(firsts))
 
 
+ALIKE = "a repeated group holds alternatives that can begin alike"
+
+
 def repeats_without_end(pattern: str) -> str | None:
-    """Why a pattern may need time exponential in the text: a repeated group that holds a repetition, or alternatives
-    that can begin alike, at any depth."""
+    """What in the shape of a pattern stands for repetition in repetition: a repeated group that holds a repetition, or
+    alternatives that can begin alike, at any depth."""
     opened, at = [], 0
     while at < len(pattern):
         c = pattern[at]
@@ -92,7 +96,7 @@ def repeats_without_end(pattern: str) -> str | None:
                 if repeats:
                     return "a repeated group holds a repetition"
                 if overlaps:
-                    return "a repeated group holds alternatives that can begin alike"
+                    return ALIKE
                 repeats = True
             if opened:
                 opened[-1][1] |= repeats
@@ -105,8 +109,15 @@ def repeats_without_end(pattern: str) -> str | None:
 
 def pattern_problem(spark, pattern: str) -> str | None:
     """None for a pattern the engine accepts and can run safely, else what is wrong."""
-    if problem := repeats_without_end(pattern):
-        return problem
+    slow = slow_on_some_text(pattern)
+    if slow == "exponential":
+        # The shape of the pattern says it more plainly, where it does.
+        return repeats_without_end(pattern) or "one text can be matched in exponentially many ways"
+    if slow:
+        return "more than two repetitions behind one another can take the same text"
+    # No loss of time by itself, but each such choice is remembered by the engine, as deep as the text is long.
+    if (shape := repeats_without_end(pattern)) == ALIKE:
+        return shape
     try:
         spark.range(1).select(F.lit("").rlike(pattern)).first()
     except Exception as error:

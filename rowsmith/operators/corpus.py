@@ -82,9 +82,8 @@ def numeric_summary(df: DataFrame, value: str, by: list[str], bounded: bool = Fa
         F.stddev_pop("_v").alias("sd_pop"), F.stddev_samp("_v").alias("sd_samp"),
     )
     counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = ordered.scan(counts, by, [F.col("_v")], running={"_upto": "_n"}, bounded=bounded)
-    placed = placed.join(
-        counts.groupBy(*by).agg(F.sum("_n").alias("_all"), F.max("_n").alias("_peak")), by
+    placed = ordered.scan(
+        counts, by, [F.col("_v")], running={"_upto": "_n"}, total={"_all": "_n"}, highest={"_peak": "_n"}, bounded=bounded
     )
     # The middle rows are number lo and hi (the same one when the count is odd).
     lo, hi = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
@@ -96,7 +95,11 @@ def numeric_summary(df: DataFrame, value: str, by: list[str], bounded: bool = Fa
         F.min(F.when(F.col("_n") == F.col("_peak"), F.col("_v"))).alias("lowest_mode"),
         F.max("_peak").alias("mode_count"),
     )
-    return moments.join(middle, by)
+    named = middle.withColumnsRenamed({c: f"_of_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & moments[c].eqNullSafe(named[f"_of_{c}"])
+    return moments.join(named, same).drop(*[f"_of_{c}" for c in by])
 
 
 def modes(df: DataFrame, value: str, by: list[str]) -> DataFrame:

@@ -30,6 +30,7 @@ def scan(
     next_known: dict[str, str] | None = None,
     first: dict[str, str] | None = None,
     total: dict[str, str] | None = None,
+    highest: dict[str, str] | None = None,
     runs: dict[str, tuple[str, Callable[[Column, Column], Column]]] | None = None,
     bounded: bool = False,
 ) -> DataFrame:
@@ -42,6 +43,7 @@ def scan(
     next_known  {new: source}  earliest non-NULL value from this row on
     first       {new: source}  value of the key's first row
     total       {new: source}  sum over all rows of the key
+    highest     {new: source}  largest value of all rows of the key
     runs        {new: (source, breaks)}  1-based number of the run, where ``breaks`` of the value before and this row's
                                value says that a new one begins; NULL says that none does
 
@@ -50,7 +52,7 @@ def scan(
     """
     wanted = {
         "previous": previous or {}, "running": running or {}, "last_known": last_known or {}, "next_known": next_known or {},
-        "first": first or {}, "total": total or {}, "runs": runs or {},
+        "first": first or {}, "total": total or {}, "highest": highest or {}, "runs": runs or {},
     }
     for source in [*wanted["running"].values(), *wanted["total"].values()]:
         if not isinstance(df.schema[source].dataType, EXACT):
@@ -60,7 +62,7 @@ def scan(
     return _split_scan(df, keys, order, position, **wanted)
 
 
-def _with_windows(df, part_by, order, position, previous, running, last_known, next_known, first, total, runs):
+def _with_windows(df, part_by, order, position, previous, running, last_known, next_known, first, total, highest, runs):
     w = Window.partitionBy(*part_by).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     columns = df.columns
@@ -83,6 +85,8 @@ def _with_windows(df, part_by, order, position, previous, running, last_known, n
         added[new] = F.first(src).over(upto)
     for new, src in total.items():
         added[new] = F.sum(src).over(whole)
+    for new, src in highest.items():
+        added[new] = F.max(src).over(whole)
     for new in runs:
         added[new] = F.sum(f"_scan_breaks_{new}").over(upto)
     if next_known:
@@ -95,7 +99,7 @@ def _with_windows(df, part_by, order, position, previous, running, last_known, n
     return out.select("*", *[F.last(src, ignorenulls=True).over(back).alias(new) for new, src in next_known.items()]).drop("_scan_back")
 
 
-def _split_scan(df, keys, order, position, previous, running, last_known, next_known, first, total, runs):
+def _split_scan(df, keys, order, position, previous, running, last_known, next_known, first, total, highest, runs):
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
@@ -103,7 +107,7 @@ def _split_scan(df, keys, order, position, previous, running, last_known, next_k
         "_scan_part", F.spark_partition_id()
     )
     local = materialise(
-        _with_windows(ranged, ["_scan_part", *keys], order, "_scan_row", previous, running, last_known, next_known, first, total, runs), "scan"
+        _with_windows(ranged, ["_scan_part", *keys], order, "_scan_row", previous, running, last_known, next_known, first, total, highest, runs), "scan"
     )
 
     # A key that spans partitions is the first or the last key of each. Only the rows of those keys are grouped, into two
@@ -122,6 +126,7 @@ def _split_scan(df, keys, order, position, previous, running, last_known, next_k
         *[F.max_by(new, "_scan_row").alias(f"_scan_known_{new}") for new in last_known],
         *[F.max_by(new, "_scan_row").alias(f"_scan_first_{new}") for new in first],
         *[F.max(new).alias(f"_scan_total_{new}") for new in total],
+        *[F.max(new).alias(f"_scan_highest_{new}") for new in highest],
         *[F.min_by(new, "_scan_row").alias(f"_scan_next_{new}") for new in next_known],
         *[F.max(new).alias(f"_scan_runs_{new}") for new in runs],
         *[F.min_by(src, "_scan_row").alias(f"_scan_head_{new}") for new, (src, _) in runs.items()],
@@ -147,6 +152,7 @@ def _split_scan(df, keys, order, position, previous, running, last_known, next_k
         F.count(F.lit(1)).over(every).alias("_scan_spans"),
         *[F.first(f"_scan_first_{new}").over(every).alias(f"_scan_first_{new}") for new in first],
         *[F.sum(f"_scan_total_{new}").over(every).alias(f"_scan_total_{new}") for new in total],
+        *[F.max(f"_scan_highest_{new}").over(every).alias(f"_scan_highest_{new}") for new in highest],
         *[F.lag(f"_scan_tail_{new}").over(by_key).alias(f"_scan_tail_{new}") for new in previous],
         *[F.sum(f"_scan_sum_{new}").over(before).alias(f"_scan_sum_{new}") for new in running],
         *[
@@ -190,4 +196,6 @@ def _split_scan(df, keys, order, position, previous, running, last_known, next_k
     for new in total:
         spans = F.col("_scan_spans").isNotNull()
         out.append(F.when(spans, F.col(f"_scan_total_{new}")).otherwise(F.col(new)).alias(new))
+    for new in highest:
+        out.append(F.coalesce(F.col(f"_scan_highest_{new}"), F.col(new)).alias(new))
     return joined.select(*out)

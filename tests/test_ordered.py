@@ -189,3 +189,18 @@ def test_streaks_and_sessions_take_one_range_sort(spark, tmp_path):
     lines.longest_streak(df, ["k"], ["t", "id"], "s").collect()
     lines.session_laps(df, ["k"], "ts", "id").collect()
     assert len(set(glob.glob(f"{scratch_dir(spark)}/*/scan-*")) - before) == 2
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_highest_and_total_of_the_whole_key(spark, bounded):
+    df = skewed(spark)
+    got = ordered.scan(df, ["k"], [F.col("t"), F.col("id")], highest={"top": "v"}, total={"all": "v"}, bounded=bounded).collect()
+    for r in got:
+        mine = [x.v for x in got if x.k == r.k and x.v is not None]
+        assert (r.top, r["all"]) == (max(mine), sum(mine)) if mine else (None, None)
+
+
+def test_a_group_without_a_name_has_a_summary(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, v double")
+    got = {r.k: (r.n, r.median) for r in corpus.numeric_summary(df, "v", ["k"]).collect()}
+    assert got == {None: (2, 2.0), "a": (1, 2.0)}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import SPACES, count_spaces, let, one_space, text_of
+from rowsmith.llm.common import SPACES, count_spaces, let, one_space, refuse_clash, text_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -86,13 +86,8 @@ def repeat_words(words: Column) -> Column:
     return let(let(words, hashed), of)
 
 
-def judge(df: DataFrame, text: str = "text", into: str = "quality") -> DataFrame:
-    """``df`` with a struct column ``into``: figures, verdict and the cleaned text.
-
-    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, clean_text (the lines that
-    pass, in order), n_lines, n_lines_failed, kept.
-    """
-    whole = text_of(df, text)
+def judgement(whole: Column) -> Column:
+    """The figures, the verdict and the cleaned text of one text as a struct."""
 
     def chars(rows: Column) -> Column:
         return F.aggregate(rows, F.lit(0), lambda n, line: n + F.length(line))
@@ -124,7 +119,17 @@ def judge(df: DataFrame, text: str = "text", into: str = "quality") -> DataFrame
         words = F.array_remove(F.split(spaced, " "), "")
         return let(F.split(whole, "\n"), lambda lines: let(words, lambda w: figures(lines, spaced, w)))
 
-    return df.withColumn(into, let(one_space(whole), split))
+    return let(one_space(whole), split)
+
+
+def judge(df: DataFrame, text: str = "text", into: str = "quality") -> DataFrame:
+    """``df`` with a struct column ``into``: figures, verdict and the cleaned text.
+
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, clean_text (the lines that
+    pass, in order), n_lines, n_lines_failed, kept. A column of that name is refused.
+    """
+    refuse_clash(df, into)
+    return df.withColumn(into, judgement(text_of(df, text)))
 
 
 def clean(df: DataFrame, text: str = "text") -> DataFrame:
@@ -132,8 +137,10 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
     mark = "_quality"
     while mark in df.columns:
         mark += "_"
-    kept = judge(df, text, mark).where(F.col(mark)["kept"])
-    out = {text: F.col(mark)["clean_text"]}
+    # A list of one judgement or none: what is kept and what is read of it come from one evaluation.
+    passed = F.filter(F.array(judgement(text_of(df, text))), lambda q: q["kept"])
+    kept = df.withColumn(mark, F.explode(F.transform(passed, lambda q: q["clean_text"])))
+    out = {text: F.col(mark)}
     if "n_chars" in df.columns:
-        out["n_chars"] = F.length(F.col(mark)["clean_text"]).cast(df.schema["n_chars"].dataType)
+        out["n_chars"] = F.length(F.col(mark)).cast(df.schema["n_chars"].dataType)
     return kept.withColumns(out).select(*df.columns)

@@ -5,6 +5,8 @@ import re
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from rowsmith.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,3 +66,15 @@ def test_no_shuffle_and_no_python(spark):
     df = quality.judge(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_cleaning_judges_a_text_once(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    mark = quality.BOILERPLATE
+    plans = [df._jdf.queryExecution().optimizedPlan().toString().count(mark) for df in (quality.judge(docs), quality.clean(docs))]
+    assert plans[0] == plans[1] >= 1
+
+
+def test_a_column_of_the_results_name_is_refused(spark):
+    with pytest.raises(ValueError, match="already has a column"):
+        quality.judge(spark.createDataFrame([("t", 1)], "text string, quality int"))

@@ -22,18 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import small_batches, text_of
+from rowsmith.llm.common import text_of
 from rowsmith.session import materialise, scratch_dir
 
 NO_ID = -(2**63)
-# Word pieces are remembered up to this many, and only short ones.
+# Pieces remembered by a worker: two generations of this many at most, and only short ones.
 MEMO_PIECES = 400_000
 MEMO_CHARS = 48
+# Bytes of text encoded in one go; a longer text is one go by itself.
+GO_BYTES = 8_000_000
 READ_ROWS = 20_000
 
 
@@ -53,16 +56,24 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 65536
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         splitter = self.tokenizer.pre_tokenizer
-        # Only where the file says it splits at byte level may a plain word go straight to the model.
-        self.direct = type(splitter).__name__ == "ByteLevel" and not splitter.add_prefix_space and self.tokenizer.normalizer is None
+        # Only where the file says it splits at byte level by the usual pattern, and no added token is made of what a plain
+        # word is made of, may a plain word go straight to the model.
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.direct = (
+            type(splitter).__name__ == "ByteLevel" and not splitter.add_prefix_space and splitter.use_regex
+            and self.tokenizer.normalizer is None and not any(self.PLAIN.fullmatch(content) for content in added)
+        )
         # Byte-level vocabularies spell a byte that has no visible Latin-1 character as the next free one from 256 on.
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         unseen = [b for b in range(256) if b not in seen]
         self.spelling = {b: 256 + n for n, b in enumerate(unseen)}
+        self.space = chr(self.spelling[32])
 
     def model_ids(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.spelling)
+        # Of the bytes of an ASCII word only the space has another spelling.
+        spelled = piece.replace(" ", self.space) if piece.isascii() else piece.encode().decode("latin-1").translate(self.spelling)
         return self.packed([token.id for token in self.tokenizer.model.tokenize(spelled)])
 
     def plain(self, piece: str) -> bytes | None:
@@ -70,34 +81,83 @@ class Encoder:
         found = self.PLAIN.fullmatch(piece) if self.direct else None
         if not found:
             return None
-        ids = b""
-        for part in found.groups():
-            if part:
-                if part not in self.memo:
-                    self.memo[part] = self.model_ids(part)
-                ids += self.memo[part]
+        word, marks = found.groups()
+        return self.short(word) + self.short(marks) if marks else self.model_ids(word)
+
+    def short(self, part: str) -> bytes:
+        ids = self.recall(part)
+        if ids is None:
+            ids = self.memo[part] = self.model_ids(part)
+        return ids
+
+    def recall(self, piece: str) -> bytes | None:
+        ids = self.memo.get(piece)
+        if ids is None and (ids := self.older.get(piece)) is not None:
+            # What is met again outlives the generation it came from.
+            self.memo[piece] = ids
         return ids
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype="<u4").tobytes() if self.wide else array("H", ids).tobytes()
 
-    def pieces(self, text: str) -> list[str]:
-        if self.CLOSE.search(text):
-            return self.CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + piece for piece in rest]]
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces."""
+        if len(self.memo) > MEMO_PIECES:
+            self.older, self.memo = self.memo, {}
+        found = [self.recall(piece) for piece in pieces]
+        rest = []
+        for k, piece in enumerate(pieces):
+            if found[k] is None and (plain := self.plain(piece)) is not None:
+                found[k] = plain
+                if len(piece) <= MEMO_CHARS:
+                    self.memo[piece] = plain
+            elif found[k] is None:
+                rest.append(k)
+        for k, coded in zip(rest, self.tokenizer.encode_batch_fast([pieces[k] for k in rest], add_special_tokens=False)):
+            found[k] = self.packed(coded.ids)
+            if len(pieces[k]) <= MEMO_CHARS:
+                self.memo[pieces[k]] = found[k]
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(text) for text in texts]
-        memo = self.memo
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
-        fresh = {piece for pieces in cut for piece in pieces if piece not in memo}
-        here = {piece: ids for piece in fresh if len(piece) <= MEMO_CHARS and (ids := self.plain(piece)) is not None}
-        rest = [piece for piece in fresh if piece not in here]
-        here.update(zip(rest, (self.packed(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
-        memo.update((piece, ids) for piece, ids in here.items() if len(piece) <= MEMO_CHARS)
-        return [b"".join([memo[p] if p in memo else here[p] for p in pieces]) for pieces in cut]
+        """The ids of each text."""
+        end = self.packed([0])
+        ids, counts = self.encode_column(pa.array(texts, pa.string()), end)
+        ends = np.cumsum(counts)
+        return [ids[last - n : last - 1].tobytes() for last, n in zip(ends.tolist(), counts.tolist())]
+
+    def encode_column(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each text); each text ends in ``end``.
+
+        The texts are cut at their spaces and the different pieces numbered at once; only a piece that is new goes through
+        Python, and the ids of the others are gathered by number.
+        """
+        whole = texts.to_pylist()
+        near = [bool(self.CLOSE.search(text)) for text in whole]
+        # Such a text is cut with care and stands as one piece here.
+        plain = pa.array(["" if close else text for text, close in zip(whole, near)], pa.large_string()) if any(near) else texts.cast(pa.large_string())
+        cut = pc.split_pattern(plain, " ")
+        starts = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        codes, later = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), [" " + piece for piece in coded.dictionary.to_pylist()]
+        heads = [self.CUT.split(text) if close else [text.split(" ", 1)[0]] for text, close in zip(whole, near)]
+        different = list({piece for head in heads for piece in head})
+        known = dict(zip(different, self.ids_of(different)))
+        entries = self.ids_of(later) + [b"".join([known[piece] for piece in head]) for head in heads] + [end]
+        # One entry a piece; the first of a text has its own, and one more ends it.
+        n, docs = len(later), len(whole)
+        codes[starts[:-1]] = n + np.arange(docs)
+        places = np.arange(len(codes)) + np.repeat(np.arange(docs), np.diff(starts))
+        order = np.full(len(codes) + docs, n + docs, np.int64)
+        order[places] = codes
+        width = len(end)
+        flat = np.frombuffer(b"".join(entries), "<u4" if self.wide else "<u2")
+        sizes = np.array([len(e) for e in entries], np.int64) // width
+        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        taken = sizes[order]
+        ends = np.cumsum(taken)
+        ids = flat[np.arange(ends[-1]) + np.repeat(first[order] - (ends - taken), taken)]
+        return ids, np.diff(np.concatenate([[0], ends[starts[1:] + np.arange(docs)]]))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -110,6 +170,17 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def goes(texts: pa.Array) -> Iterator[pa.Array]:
+    """A column in slices of GO_BYTES of text, one text at least."""
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        before = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, before + GO_BYTES, "right")))
+        yield texts.slice(first, last - first)
+        first = last
+
+
 def write(df: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 0, files: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write ``df`` in ascending order of ``doc_id``; the manifest: part, base, n_docs, n_tokens, wide, path.
 
@@ -117,7 +188,6 @@ def write(df: DataFrame, tokenizer: str, folder: str | None = None, end_id: int
     ``files`` to the number of shuffle partitions.
     """
     spark = df.sparkSession
-    small_batches(spark, 200)
     folder = folder or f"{scratch_dir(spark)}/tokens-{uuid.uuid4().hex}"
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -136,11 +206,12 @@ def write(df: DataFrame, tokenizer: str, folder: str | None = None, end_id: int
                 store.create_dir(root)
                 streams = {kind: store.open_output_stream(f"{root}/{name}.{kind}") for kind in ("bin", "idx", "ids")}
                 streams["idx"].write(np.zeros(1, "<i8").tobytes())
-            coded = [ids + end for ids in coder.encode(batch.column("text").to_pylist())]
-            ends = at + np.cumsum([len(ids) // width for ids in coded], dtype="<i8")
-            at, n_docs = int(ends[-1]), n_docs + len(coded)
-            streams["bin"].write(b"".join(coded))
-            streams["idx"].write(ends.astype("<i8").tobytes())
+            for part in goes(batch.column("text")):
+                ids, counts = coder.encode_column(part, end)
+                ends = at + np.cumsum(counts, dtype="<i8")
+                at, n_docs = int(ends[-1]), n_docs + len(counts)
+                streams["bin"].write(ids.tobytes())
+                streams["idx"].write(ends.astype("<i8").tobytes())
             streams["ids"].write(np.array([NO_ID if i is None else i for i in batch.column("id").to_pylist()], "<i8").tobytes())
         if streams:
             for stream in streams.values():

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -58,3 +59,27 @@ def test_the_table(spark, sf, library):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in queries.QUERIES["op5_tokens"](spark, sf).collect()), key=lambda r: r[1])
     assert got == expected(library, rows)
+
+
+def test_a_small_memo_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 5)
+    monkeypatch.setattr(tokens, "GO_BYTES", 40)
+    rng = random.Random(5)
+    texts = ["", "one"] + [" ".join(rng.choice(["alpha", "beta,", "gamma", "x  y", "Delta.\n", "été", "a" * 60]) for _ in range(rng.randrange(0, 30))) for _ in range(300)]
+    coder, end, got = tokens.Encoder(queries.public_tokenizer()), b"\0\0", []
+    for part in tokens.goes(pa.array(texts)):
+        ids, counts = coder.encode_column(part, end)
+        got += [row.tolist() for row in np.split(ids, np.cumsum(counts)[:-1])]
+    assert got == [e.ids + [0] for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(coder.memo) + len(coder.older) < 300
+
+
+def test_words_go_straight_to_the_model_only_where_the_file_allows(tmp_path):
+    import json
+
+    made = json.load(open(queries.public_tokenizer()))
+    assert tokens.Encoder(queries.public_tokenizer()).direct
+    for change in ({"pre_tokenizer": made["pre_tokenizer"] | {"use_regex": False}}, {"pre_tokenizer": made["pre_tokenizer"] | {"add_prefix_space": True}}, {"normalizer": {"type": "NFC"}}):
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(made | change))
+        assert not tokens.Encoder(str(path)).direct

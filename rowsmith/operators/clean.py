@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowsmith.functions import text as T
 from rowsmith.functions.patterns import slow_on_some_text
 from rowsmith.operators import ordered
+from rowsmith.operators.rules import apply_rules
 from rowsmith.session import materialise
 
 
@@ -236,11 +237,14 @@ def longest_first(rules: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return sorted((r for r in rules if r[0]), key=lambda r: -len(r[0]))
 
 
-def bulk_rewrite(docs: DataFrame, rules: list[tuple[str, str]], text: str = "text") -> DataFrame:
-    """Apply literal replacements one after another, longest first.
+def bulk_rewrite(docs: DataFrame, rules: list[tuple[str, str]] | DataFrame, text: str = "text") -> DataFrame:
+    """Literal replacements, longest first; adds ``edits`` and ``changed``.
 
-    Adds ``edits`` and ``changed``. One projection per rule, all in one stage.
+    A handful of rules is applied one after another, one projection each, all in one stage. A table of rules
+    (find, replace_by) of any length is applied in one pass, see ``rules.apply_rules``.
     """
+    if isinstance(rules, DataFrame):
+        return apply_rules(docs, rules, text)
     out = docs.withColumn("_old", F.col(text)).withColumn("edits", F.lit(0).cast("long"))
     for find, repl in longest_first(rules):
         out = out.withColumn("edits", F.col("edits") + literal_count(F.col(text), find)).withColumn(

@@ -59,7 +59,7 @@ def _(spark, sf):
 
 @query("stream_latest_wins", """SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY user_id""")
 def _(spark, sf):
-    store = jobs.LatestWins(scratch_path(spark, "latest"), "user_id", "event_id", ["event_type", "value"], compact_every=2)
+    store = jobs.LatestWins(scratch_path(spark, "latest"), "user_id", "event_id", ["event_type", "value"], compact_every=2, buckets=4)
     in_parts(spark, table(spark, sf, "events"), dealt("event_id"), store.merge)
     return store.latest(spark)
 

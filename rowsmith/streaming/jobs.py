@@ -121,12 +121,13 @@ def dedup_lines(docs: DataFrame, ts: str, horizon: str, ignore_case: bool = True
     return keyed.dropDuplicatesWithinWatermark(["key"])
 
 
-def folders(spark: SparkSession, path: str, kind: str) -> list[int]:
-    """Numbers of the finished ``kind=<n>`` folders below ``path``, ascending."""
+def folders(spark: SparkSession, path: str, kind: str, mark: str = "/_SUCCESS") -> list[int]:
+    """Numbers of the finished ``kind=<n>`` folders below ``path``, ascending; of all of them without a mark."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS"))
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in (found or []))
+    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*{mark}"))
+    named = [f.getPath().getParent() if mark else f.getPath() for f in (found or [])]
+    return sorted(int(where.getName().split("=")[1]) for where in named)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -138,13 +139,16 @@ class KeyedStore:
     """One best row per key over all micro-batches, whatever order rows arrive in.
 
     Each batch is reduced to one row per key and written to its own folder, so only changed keys are written and a
-    replayed batch overwrites itself. Every ``compact_every`` batches the folders are merged into one base and the older
-    ones go, so no more than that many folders are ever read.
+    replayed batch overwrites itself. Every ``compact_every`` batches the folders are merged into the base and go, so no
+    more than that many are ever read. The base lies in ``buckets`` of keys: a merge writes the buckets anew that have
+    changed, and leaves the others in the base they are in.
     """
 
-    def __init__(self, path: str, key: str, order: list[str], values: list[str], newest: bool, compact_every: int = 10):
+    def __init__(
+        self, path: str, key: str, order: list[str], values: list[str], newest: bool, compact_every: int = 10, buckets: int = 1
+    ):
         self.path, self.key, self.order, self.values = path, key, order, values
-        self.newest, self.compact_every = newest, compact_every
+        self.newest, self.compact_every, self.buckets = newest, compact_every, buckets
 
     def _best(self, df: DataFrame) -> DataFrame:
         pick = F.max_by if self.newest else F.min_by
@@ -152,36 +156,59 @@ class KeyedStore:
         best = pick(F.struct(*columns), F.struct(*self.order))
         return df.groupBy(self.key).agg(best.alias("_v")).select(self.key, "_v.*")
 
+    def _write(self, df: DataFrame, folder: str) -> None:
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets))
+        df.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+
+    def _buckets(self, spark: SparkSession, kind: str, numbers: list[int]) -> dict[int, list[tuple[int, str]]]:
+        """{bucket: [(number, folder)]} of the finished folders of a kind."""
+        found: dict[int, list[tuple[int, str]]] = {}
+        for n in numbers:
+            for bucket in folders(spark, f"{self.path}/{kind}={n}", "bucket", ""):
+                found.setdefault(bucket, []).append((n, f"{self.path}/{kind}={n}/bucket={bucket}"))
+        return found
+
+    def _current(self, spark: SparkSession, buckets: set[int] | None = None) -> list[str]:
+        """The folders that hold the store: the latest base of each bucket, and the batches since the latest of all."""
+        bases = folders(spark, self.path, "base")
+        batches = [n for n in folders(spark, self.path, "batch") if not bases or n > bases[-1]]
+        base, since = self._buckets(spark, "base", bases), self._buckets(spark, "batch", batches)
+        latest = [max(held)[1] for bucket, held in base.items() if buckets is None or bucket in buckets]
+        return latest + [path for bucket, held in since.items() if buckets is None or bucket in buckets for _, path in held]
+
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = list(dict.fromkeys([self.key, *self.order, *self.values]))
-        self._best(batch.select(*columns)).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-        if batch_id and batch_id % self.compact_every == 0:
-            old = [(kind, n) for kind in ("batch", "base") for n in folders(spark, self.path, kind) if n <= batch_id]
-            self._read(spark, batch_id).write.mode("overwrite").parquet(f"{self.path}/base={batch_id}")
-            for kind, n in old:
-                if (kind, n) != ("base", batch_id):
-                    remove(spark, f"{self.path}/{kind}={n}")
-
-    def _read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         bases = folders(spark, self.path, "base")
-        base = bases[-1:]
-        batches = [n for n in folders(spark, self.path, "batch") if not base or n > base[0] or n == upto]
-        paths = [f"{self.path}/base={n}" for n in base] + [f"{self.path}/batch={n}" for n in batches]
-        return self._best(spark.read.parquet(*paths))
+        if bases and batch_id <= bases[-1]:
+            # Run again after it was merged: the base has these rows.
+            return
+        self._write(self._best(batch.select(*columns)), f"batch={batch_id}")
+        if batch_id and batch_id % self.compact_every == 0:
+            batches = [n for n in folders(spark, self.path, "batch") if n <= batch_id]
+            touched = set(self._buckets(spark, "batch", batches))
+            if not touched:
+                return
+            old = self._buckets(spark, "base", bases)
+            self._write(self._best(spark.read.parquet(*self._current(spark, touched))), f"base={batch_id}")
+            for n in batches:
+                remove(spark, f"{self.path}/batch={n}")
+            for bucket in touched:
+                for _, path in old.get(bucket, []):
+                    remove(spark, path)
+            for n in bases:
+                if not folders(spark, f"{self.path}/base={n}", "bucket", ""):
+                    remove(spark, f"{self.path}/base={n}")
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark)
-
-    def empty(self, spark: SparkSession) -> bool:
-        return not folders(spark, self.path, "base") and not folders(spark, self.path, "batch")
+        return self._best(spark.read.parquet(*self._current(spark)))
 
 
 class LatestWins(KeyedStore):
     """Keep the values with the highest sequence number per key."""
 
-    def __init__(self, path: str, key: str, seq: str, values: list[str], compact_every: int = 10):
-        super().__init__(path, key, [seq], values, newest=True, compact_every=compact_every)
+    def __init__(self, path: str, key: str, seq: str, values: list[str], compact_every: int = 10, buckets: int = 1):
+        super().__init__(path, key, [seq], values, newest=True, compact_every=compact_every, buckets=buckets)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         return self.rows(spark)

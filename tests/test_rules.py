@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rowsmith.operators import rules
+from rowsmith.operators import clean, rules
 
 
 def settle(text, table):
@@ -115,3 +115,9 @@ def test_the_rarest_run_is_the_anchor(spark):
     assert (row.find, row.at) == ("the zeb", 0)
     docs = spark.createDataFrame([("the ze the ze the ze he zeb",)], "t string")
     assert rules.anchors(known, docs).first().at == 1
+
+
+def test_bulk_rewrite_takes_a_table_too(spark):
+    docs, pairs = frames(spark, ["see https://acme.org of acme"], [("acme", "x"), ("https://acme.org", "https://y.net")])
+    row = clean.bulk_rewrite(docs, pairs).first()
+    assert (row.text, row.edits, row.changed) == ("see https://y.net of x", 2, True)

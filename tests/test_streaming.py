@@ -185,6 +185,22 @@ def test_old_batches_are_merged_away(spark):
     assert rows == {"a": "v7", **{f"k{n}": "x" for n in range(8)}}
 
 
+def test_only_touched_buckets_are_written_anew(spark):
+    store = jobs.LatestWins(folder(spark), "k", "seq", ["v"], compact_every=2, buckets=8)
+    mk = lambda n, keys: spark.createDataFrame([(k, n, f"v{n}") for k in keys], "k int, seq int, v string")
+    for n, keys in enumerate([range(40), [1], range(40), [1], [1]]):
+        store.merge(mk(n, keys), n)
+    # The last merge touched one bucket: the others are still in the base before it, and nothing stands twice.
+    held = [p.rsplit("/", 2)[1:] for p in store._current(spark)]
+    assert len(held) == 8 and [base for base, _ in held].count("base=4") == 1 and {base for base, _ in held} == {"base=2", "base=4"}
+    want = {k: "v2" for k in range(40)} | {1: "v4"}
+    assert {r.k: r.v for r in store.latest(spark).collect()} == want
+    # A batch that is run again, merged or not, changes nothing.
+    for n, keys in ((4, [1]), (3, [1]), (5, [2]), (5, [2])):
+        store.merge(mk(n, keys), n)
+    assert {r.k: r.v for r in store.latest(spark).collect()} == want | {2: "v5"}
+
+
 def test_the_first_line_wins_whatever_the_order_of_batches(spark):
     mk = lambda d, t: spark.createDataFrame([(d, t)], "doc_id bigint, text string").withColumn("at", F.timestamp_seconds("doc_id"))
     store = jobs.FirstLines(folder(spark), "at", compact_every=2)

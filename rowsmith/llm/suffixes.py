@@ -1,21 +1,28 @@
 """Substring de-duplication by a sparse suffix array over the whole corpus.
 
 1. Suffixes are kept at minimiser positions only: the smallest seed hash (SEED words) of every window, chosen by
-   content, so a passage of MIN_WORDS words that stands in two documents keeps the same suffix in both.
+   content, so a passage of MIN_WORDS words that stands in two documents keeps the same suffix in both. Where one seed
+   comes again and again (a text of one repeated word), every few of its places are kept, and the ends of the run.
 2. Suffixes whose seed stands once are dropped (partial aggregate), the rest get CONTEXT words to both sides.
-3. They are sorted over the cluster by range partitions, by what follows and by what precedes, ties by document, so a
+3. They are sorted over the cluster by range partitions, by what follows, then by what precedes, ties by document, so a
    passage that a third of all rows share spreads over many tasks. Neighbours with one seed are compared
    and the match is extended word by word to the left and to the right; the two rows at each partition border are
    compared afterwards.
-4. Neighbours in one order may share less of a passage than rows further off, when its halves are frequent. So every
+4. Neighbours may share less of a passage than rows further off, when its halves are frequent. So every
    stretch of exactly MIN_WORDS words around a kept seed is also named by a 64-bit hash and linked to the first
    document that has it (the first document to the last).
 5. Matches on one diagonal of a pair that touch are one passage.
 
-Words are compared by 24-bit hashes, seeds and stretches by 64-bit ones. Each passage is linked to a neighbour that
-shares it and to the first document of each of its stretches, so copies are chains and stars, not pairs; a passage that is longer than CONTEXT words may be reported in overlapping parts that name
-different neighbours. Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage;
-repeats inside one document and rows that share an id are not reported; a NULL id is an id of its own.
+A document is an id and a text: it goes by a 64-bit hash of both, and its id is looked up for the result. Words are
+compared by 24-bit hashes, seeds and stretches by 64-bit ones. Each passage is linked to a neighbour that
+shares it and to the first document of each of its stretches, so copies are chains and stars, not pairs. A passage longer
+than CONTEXT words is reported whole where one partner shares all of it, because its stretches lie on one diagonal; else
+in overlapping parts that name different partners.
+
+Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage; repeats inside one document and
+rows that repeat id and text are not reported; rows that share an id, or have none, and differ in text are documents of
+their own; ``other_id`` is the smaller id, NULL the smallest; very long texts are taken whole; an empty table gives no
+passages; other columns do not take part.
 """
 
 from __future__ import annotations
@@ -24,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import content_words, shingle_hashes, small_batches, text_of
+from rowsmith.llm.common import content_words, shingle_hashes, text_of
 from rowsmith.session import materialise
 
 MIN_WORDS = 50
@@ -58,6 +65,25 @@ def minimisers(seeds: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(highest == seeds)
 
 
+def thinned(places: np.ndarray, seeds: np.ndarray, width: int) -> np.ndarray:
+    """``places`` without most of those where the same seed stands close by: a window of ``width`` that held one still does.
+
+    Of places of one seed that follow within half a window, the first, the last and one every quarter of a window stay.
+    """
+    order = np.lexsort((places, seeds))
+    p, s = places[order], seeds[order]
+    opens = np.concatenate([[True], (s[1:] != s[:-1]) | (p[1:] - p[:-1] >= width // 2)])
+    start = p[np.flatnonzero(opens)][np.cumsum(opens) - 1]
+    box = (p - start) // max(1, width // 4)
+    stays = opens | np.concatenate([[True], box[1:] != box[:-1]]) | np.concatenate([opens[1:], [True]])
+    return np.sort(p[stays])
+
+
+def document(df: DataFrame, doc_id: str, text: str) -> Column:
+    """A document's key: rows of one id and one text are one document."""
+    return F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.md5(text_of(df, text)))
+
+
 def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Flat values and the borders of each row's list in them."""
     edges = column.offsets.to_numpy().astype(np.int64)
@@ -66,7 +92,8 @@ def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 def _suffixes(df: DataFrame, doc_id: str, text: str, min_words: int, seed: int) -> DataFrame:
     """doc, seed, pos of every kept suffix."""
-    base = df.select(F.col(doc_id).cast("long").alias("doc"), shingle_hashes(content_words(text_of(df, text)), seed).alias("seeds"))
+    base = df.select(document(df, doc_id, text).alias("doc"), shingle_hashes(content_words(text_of(df, text)), seed).alias("seeds"))
+    width = min_words - seed + 1
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +101,8 @@ def _suffixes(df: DataFrame, doc_id: str, text: str, min_words: int, seed: int)
             rows, seeds, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for row in range(batch.num_rows):
                 own = values[edges[row] : edges[row + 1]]
-                at = minimisers(own, min_words - seed + 1)
+                at = minimisers(own, width)
+                at = thinned(at, own[at], width) if len(at) else at
                 rows.append(np.full(len(at), row))
                 seeds.append(own[at])
                 places.append(at)
@@ -87,9 +115,10 @@ def _suffixes(df: DataFrame, doc_id: str, text: str, min_words: int, seed: int)
 def _contexts(df: DataFrame, kept: DataFrame, doc_id: str, text: str, context: int) -> DataFrame:
     """doc, seed, pos, ahead (words from pos on) and back (words before pos, nearest first) as sortable bytes."""
     words = F.transform(content_words(F.col("t")), lambda w: F.xxhash64(w))
-    base = df.select(F.col(doc_id).cast("long").alias("id"), text_of(df, text).alias("t"))
-    wanted = kept.groupBy("doc").agg(F.collect_list(F.struct("seed", "pos")).alias("at"))
-    joined = base.join(wanted, F.col("id").eqNullSafe(F.col("doc"))).select("doc", F.col("at.seed").alias("seeds"), F.col("at.pos").alias("places"), words.alias("words"))
+    base = df.select(document(df, doc_id, text).alias("own"), text_of(df, text).alias("t"))
+    # Rows that repeat id and text bring their places more than once.
+    wanted = kept.groupBy("doc").agg(F.collect_set(F.struct("seed", "pos")).alias("at"))
+    joined = base.join(wanted, F.col("own") == F.col("doc")).select("doc", F.col("at.seed").alias("seeds"), F.col("at.pos").alias("places"), words.alias("words"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +157,7 @@ def _equal_run(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     return np.minimum(run, np.minimum(na, nb))
 
 
-FOUND = "edge boolean, doc long, seed long, pos int, ahead binary, back binary, turn int, start int, stop int, other long, other_start int"
+FOUND = "edge boolean, doc long, seed long, pos int, ahead binary, back binary, start int, stop int, other long, other_start int"
 
 
 def _neighbours(context: int, min_words: int, with_edges: bool):
@@ -159,17 +188,13 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
             rows = table.to_batches()[0]
             first_batch = schema is None
             schema = batch.schema
-            doc = rows.column("doc").fill_null(NO_ID).to_numpy()
+            doc = rows.column("doc").to_numpy()
             seed, pos = rows.column("seed").to_numpy(), rows.column("pos").to_numpy().astype(np.int64)
-            # A seed of the second order is none of the first.
-            left, right = pairs_of(seed ^ -rows.column("turn").to_numpy().astype(np.int64), doc)
+            left, right = pairs_of(seed, doc)
             ahead, n_ahead = _matrix(rows.column("ahead"), context)
             back, n_back = _matrix(rows.column("back"), context)
-            # In the second order the columns have changed places.
-            swapped = rows.column("turn").to_numpy()[left] == 1
-            one = _equal_run(ahead[left], ahead[right], n_ahead[left], n_ahead[right])
-            two = _equal_run(back[left], back[right], n_back[left], n_back[right])
-            after, before = np.where(swapped, two, one), np.where(swapped, one, two)
+            after = _equal_run(ahead[left], ahead[right], n_ahead[left], n_ahead[right])
+            before = _equal_run(back[left], back[right], n_back[left], n_back[right])
             good = after + before >= min_words
             left, right, after, before = left[good], right[good], after[good], before[good]
             if len(left):
@@ -177,7 +202,7 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(len(left), bool)), rows.column("doc").take(pa.array(right)), none.cast(pa.int64()), none.cast(pa.int32()),
-                        none.cast(pa.binary()), none.cast(pa.binary()), none.cast(pa.int32()), pa.array((pos[right] - before).astype(np.int32)),
+                        none.cast(pa.binary()), none.cast(pa.binary()), pa.array((pos[right] - before).astype(np.int32)),
                         pa.array((pos[right] + after).astype(np.int32)), rows.column("doc").take(pa.array(left)), pa.array((pos[left] - before).astype(np.int32)),
                     ],
                     names=[f.split()[0] for f in FOUND.split(", ")],
@@ -193,7 +218,7 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
     def edge(row: pa.RecordBatch) -> pa.RecordBatch:
         none = pa.nulls(1)
         return pa.RecordBatch.from_arrays(
-            [pa.array([True]), *[row.column(c) for c in ("doc", "seed", "pos", "ahead", "back", "turn")], none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int32())],
+            [pa.array([True]), *[row.column(c) for c in ("doc", "seed", "pos", "ahead", "back")], none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int32())],
             names=[f.split()[0] for f in FOUND.split(", ")],
         )
 
@@ -201,20 +226,14 @@ def _neighbours(context: int, min_words: int, with_edges: bool):
 
 
 def _sorted_matches(rows: DataFrame, context: int, min_words: int) -> DataFrame:
-    """Matches of neighbours, in the order of what follows and in the order of what precedes."""
-    both = F.explode(F.array(
-        F.struct(F.lit(0).alias("turn"), F.col("ahead").alias("first"), F.col("back").alias("then")),
-        F.struct(F.lit(1).alias("turn"), F.col("back").alias("first"), F.col("ahead").alias("then")),
-    )).alias("o")
+    """Matches of neighbours in the order of what follows."""
     # Ties by place before document: rows of one looping text do not stand together.
-    order = ["turn", "seed", "first", "then", "pos", "doc"]
+    order = ["seed", "ahead", "back", "pos", "doc"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    turned = rows.select("doc", "pos", "seed", both).select("o.turn", "seed", "o.first", "o.then", "doc", "pos")
-    # Which of the two is ahead does not matter to a comparison: a run is counted on both sides.
-    ranged = turned.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc", "seed", "pos", F.col("first").alias("ahead"), F.col("then").alias("back"), "turn")
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc", "seed", "pos", "ahead", "back")
     found = materialise(ranged.mapInArrow(_neighbours(context, min_words, True), FOUND), "neighbours")
     # Two rows per partition: where one ends and the next begins. They are brought together by a shuffle of just those.
-    borders = found.where("edge").select("doc", "seed", "pos", "ahead", "back", "turn").repartition(1).sortWithinPartitions("turn", "seed", "ahead", "back", "pos", "doc")
+    borders = found.where("edge").select("doc", "seed", "pos", "ahead", "back").repartition(1).sortWithinPartitions(*order)
     met = borders.mapInArrow(_neighbours(context, min_words, False), FOUND)
     columns = ("doc", "start", "stop", "other", "other_start")
     return found.where("not edge").select(*columns).unionByName(met.where("not edge").select(*columns))
@@ -241,11 +260,11 @@ def stretch_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def _stretches(df: DataFrame, kept: DataFrame, doc_id: str, text: str, min_words: int, seed: int) -> DataFrame:
-    """name, doc, start of every stretch of ``min_words`` words that holds a kept seed."""
+    """name, doc, start of every stretch of ``min_words`` words that holds a kept seed, and whether it stood there before."""
     words = F.transform(content_words(F.col("t")), lambda w: F.xxhash64(w))
-    base = df.select(F.col(doc_id).cast("long").alias("id"), text_of(df, text).alias("t"))
-    wanted = kept.groupBy("doc").agg(F.collect_list("pos").alias("places"))
-    joined = base.join(wanted, F.col("id").eqNullSafe(F.col("doc"))).select(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "places", words.alias("words"))
+    base = df.select(document(df, doc_id, text).alias("own"), text_of(df, text).alias("t"))
+    wanted = kept.groupBy("doc").agg(F.collect_set("pos").alias("places"))
+    joined = base.join(wanted, F.col("own") == F.col("doc")).select("doc", "places", words.alias("words"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,22 +282,24 @@ def _stretches(df: DataFrame, kept: DataFrame, doc_id: str, text: str, min_words
                 np.add.at(steps, np.clip(at + 1, 0, n), -1)
                 starts = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
                 if len(starts):
+                    names = stretch_hashes(own, min_words)[starts]
+                    again = np.ones(len(names), bool)
+                    again[np.unique(names, return_index=True)[1]] = False
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(stretch_hashes(own, min_words)[starts]), pa.array(np.full(len(starts), docs[row])), pa.array(starts.astype(np.int32))],
-                        names=["name", "doc", "start"],
+                        [pa.array(names), pa.array(np.full(len(starts), docs[row])), pa.array(starts.astype(np.int32)), pa.array(again)],
+                        names=["name", "doc", "start", "again"],
                     )
 
-    return joined.mapInArrow(name, "name long, doc long, start int")
+    return joined.mapInArrow(name, "name long, doc long, start int, again boolean")
 
 
 def _equal_stretches(stretches: DataFrame, min_words: int) -> DataFrame:
     """Each stretch that stands in two documents beside the first document that has it, in the first beside the last."""
-    # Whole numbers only, so a hash aggregate with a map-side part; places come with the rows of the two documents.
-    ends = stretches.groupBy("name").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-    both = materialise(stretches.join(ends, "name"), "stretches")
-    low = both.where("doc = low").groupBy("name").agg(F.min("start").alias("low_start"))
-    high = both.where("doc = high").groupBy("name").agg(F.min("start").alias("high_start"))
-    met = both.join(low, "name").join(high, "name")
+    # Whole numbers only, so a hash aggregate with a map-side part; a document's first place stands for it.
+    ends = stretches.where("not again").groupBy("name").agg(
+        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min_by("start", "doc").alias("low_start"), F.max_by("start", "doc").alias("high_start")
+    )
+    met = stretches.join(ends.where("low <> high"), "name")
     first = F.col("doc") == F.col("low")
     return met.select(
         "doc", "start", (F.col("start") + min_words).cast("int").alias("stop"),
@@ -311,16 +332,22 @@ def passages(
     words that stand in both documents; ``other_id`` is the smaller id."""
     if context < min_words + seed:
         raise ValueError("context must reach over min_words and a seed")
-    small_batches(df.sparkSession)
     kept = materialise(_suffixes(df, doc_id, text, min_words, seed), "suffixes")
-    often = kept.groupBy("seed").agg(F.min(F.coalesce("doc", F.lit(NO_ID))).alias("low"), F.max(F.coalesce("doc", F.lit(NO_ID))).alias("high")).where("low <> high").select("seed")
+    often = kept.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("seed")
     shared = kept.join(often, "seed")
     matches = _sorted_matches(_contexts(df, shared, doc_id, text, context), context, min_words)
-    matches = matches.withColumns({c: F.coalesce(c, F.lit(NO_ID)) for c in ("doc", "other")})
-    found = merged(matches.unionByName(_equal_stretches(_stretches(df, shared, doc_id, text, min_words, seed), min_words)))
-    back = {c: F.when(F.col(c) != NO_ID, F.col(c)) for c in ("doc", "other")}
-    return found.select(
-        back["doc"].alias(doc_id), F.col("start").cast("long").alias("start_word"), F.col("stop").cast("long").alias("end_word"),
-        back["other"].alias("other_id"), (F.col("start") - F.col("shift")).cast("long").alias("other_start"),
-        (F.col("stop") - F.col("start")).cast("long").alias("n_words"),
+    stretches = materialise(_stretches(df, shared, doc_id, text, min_words, seed), "stretches")
+    found = materialise(merged(matches.unionByName(_equal_stretches(stretches, min_words))), "found")
+    ids = df.select(document(df, doc_id, text).alias("key"), F.col(f"`{doc_id}`").cast("long").alias("id")).distinct()
+    named = found.join(ids.select(F.col("key").alias("doc"), F.col("id").alias("doc_id")), "doc").join(ids.select(F.col("key").alias("other"), F.col("id").alias("other_id")), "other")
+    # The smaller id is the other one; NULL is the smallest.
+    rank = lambda c: F.coalesce(F.col(c), F.lit(NO_ID))
+    turn = rank("doc_id") < rank("other_id")
+    other_start = F.col("start") - F.col("shift")
+    pick = lambda a, b: F.when(turn, b).otherwise(a)
+    n = F.col("stop") - F.col("start")
+    begin = pick(F.col("start"), other_start)
+    return named.select(
+        pick(F.col("doc_id"), F.col("other_id")).alias(doc_id), begin.cast("long").alias("start_word"), (begin + n).cast("long").alias("end_word"),
+        pick(F.col("other_id"), F.col("doc_id")).alias("other_id"), pick(other_start, F.col("start")).cast("long").alias("other_start"), n.cast("long").alias("n_words"),
     )

@@ -103,3 +103,50 @@ def test_corner_cases(spark):
     # A text of one word over and over matches on many diagonals; together they cover it.
     assert {w for r in got if r[0] == 6 for w in range(r[1], r[2])} == set(range(400))
     assert suffixes.passages(df.where("doc_id = 99")).count() == 0
+
+
+def reported(spark, rows):
+    found = suffixes.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return sorted((tuple(r) for r in found), key=str)
+
+
+def test_rows_without_an_id_and_rows_that_share_one(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, "a b " + passage), (None, passage + " c"), (None, "nothing of it")]
+    assert [(r[0], r[3], r[5]) for r in reported(spark, rows)] == [(None, None, 60)]
+    rows = [(7, "a b " + passage), (7, passage + " c"), (7, passage + " c"), (8, "z " * 20)]
+    assert [(r[0], r[3], r[5]) for r in reported(spark, rows)] == [(7, 7, 60)]
+    rows = [(2, "a b " + passage), (5, passage + " c"), (3, "x " + passage)]
+    assert {(r[0], r[3]) for r in reported(spark, rows)} >= {(5, 2)} and all(r[0] > r[3] for r in reported(spark, rows))
+
+
+def test_a_passage_longer_than_the_context_is_whole(spark):
+    passage = " ".join(f"p{i}" for i in range(400))
+    assert reported(spark, [(1, "a b " + passage + " c"), (2, passage + " d e")]) == [(2, 0, 400, 1, 2, 400)]
+    # Three documents, one of which has the first half only: the halves name different partners, together they cover it.
+    half = " ".join(f"p{i}" for i in range(200))
+    found = reported(spark, [(1, "a " + half + " b"), (2, "c " + passage), (3, "d " + passage)])
+    assert {w for r in found if r[0] == 3 for w in range(r[1], r[2])} == set(range(1, 401))
+
+
+def test_few_places_of_a_repeated_word_are_kept():
+    seeds = np.zeros(5000, np.int64)
+    at = suffixes.minimisers(seeds, 43)
+    kept = suffixes.thinned(at, seeds[at], 43)
+    assert len(at) == 5000 and len(kept) <= 5000 / 10 + 2 and kept[0] == 0 and kept[-1] == 4999
+
+
+def test_a_window_with_a_kept_place_keeps_one():
+    rng = np.random.default_rng(5)
+    for period in (1, 2, 3, 7, 15, 25, 60):
+        loop = rng.integers(-(2**63), 2**63 - 1, period)
+        seeds = np.concatenate([rng.integers(-(2**63), 2**63 - 1, 70), np.resize(loop, 400), rng.integers(-(2**63), 2**63 - 1, 70)])
+        at = suffixes.minimisers(seeds, 43)
+        kept = set(suffixes.thinned(at, seeds[at], 43).tolist())
+        for i in range(len(seeds) - 42):
+            assert kept & set(range(i, i + 43)), (period, i)
+
+
+def test_empty_and_clashing(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, doc string, seed int, key int")
+    assert suffixes.passages(df).count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.functions import calendar as C
@@ -73,10 +73,11 @@ def _steps(values: DataFrame, width: int) -> Column:
     every = values.agg(F.floor(F.min("v") / width).alias("a"), F.floor(F.max("v") / width).alias("b")).where("a is not null")
     filled = every.select(F.explode(F.sequence("a", "b")).alias("box")).join(boxes, "box", "left")
     inside = F.coalesce("inside", F.array().cast("array<bigint>"))
-    # One row a stretch: about a row a year.
-    earlier = Window.partitionBy(F.lit(0)).orderBy("box").rowsBetween(Window.unboundedPreceding, -1)
-    counted = filled.select("box", F.coalesce(F.sum(F.size(inside)).over(earlier), F.lit(0)).alias("before"), inside.alias("inside"))
-    return counted.agg(F.sort_array(F.collect_list(F.struct("box", "before", "inside")))).scalar()
+    listed = filled.agg(F.sort_array(F.collect_list(F.struct("box", inside.alias("inside")))).alias("l"))
+    # Running counts of the stretches, about one a year.
+    sizes = F.transform("l", lambda x: F.size(x["inside"]).cast("long"))
+    before = lambda i: F.aggregate(F.slice(sizes, 1, i), F.lit(0).cast("long"), lambda n, x: n + x)
+    return listed.select(F.transform("l", lambda x, i: F.struct(x["box"].alias("box"), before(i).alias("before"), x["inside"].alias("inside")))).scalar()
 
 
 def _count_upto(steps: Column, value: Column, width: int) -> Column:

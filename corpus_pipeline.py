@@ -2,6 +2,9 @@
 
 Rules, near duplicates, benchmark leaks, mixture, token files. The first four return the columns of ``documents``; the
 last writes the token files and returns what it reads back from them.
+
+NULL and empty texts fail the rules; ties, repeated rows, rows without an id and very long texts are treated as the stages'
+modules say; columns beyond those of ``documents`` pass through the first four; an empty table gives no token rows.
 """
 
 from __future__ import annotations

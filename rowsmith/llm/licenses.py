@@ -5,7 +5,8 @@ order, rarest first. A template is found in a text when the text holds at least
 two share a token among the template's first ``m - need + 1`` (prefix filter), the text has ``need`` template tokens
 at all (length filter), and what follows the shared token on both sides can still reach ``need`` (positional filter).
 Survivors are verified by intersection. Defined results: NULL and empty texts have no words and no labels; rows with
-equal id and text are labelled alike, each on its own row; other columns pass through.
+equal id and text are labelled alike, each on its own row; other columns pass through, and a column that has the result's name is refused; very
+long texts are scanned whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import SHINGLE, SIMILARITY, let, shingle_hashes, text_of
+from rowsmith.llm.common import SHINGLE, SIMILARITY, let, refuse_clash, shingle_hashes, text_of
 
 # Phrases that name a license, and their labels.
 PHRASES = {"mit": ("mit", "license"), "apache": ("apache", "license"), "gpl": ("general", "public", "license")}
@@ -131,6 +132,7 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", into: str =
 
     A text in which a phrase stands scores 1; else the score is the best containment found.
     """
+    refuse_clash(df, into)
     # The row travels as one field, so no column of it can clash with one of these.
     keyed = df.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_i"), text_of(df, text).alias("_t")).withColumn("_h", F.md5("_t"))
     found = similarity_join(keyed.select("_i", "_h", "_t"), ["_i", "_h"], "_t")

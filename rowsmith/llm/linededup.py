@@ -14,7 +14,8 @@ alphabet and line length, because equal lines are one row by then.
 
 Defined results: NULL and empty texts have no lines; lines without a word are never dropped; lines under MIN_CHARS
 characters are only compared for equality; outer white space does not count; a row repeated under its id is the same
-document, so its lines are the same lines and not duplicates of each other.
+document, so its lines are the same lines and not duplicates of each other; very long lines and texts are compared whole;
+an empty table has no duplicates.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ documents of the fractional repetition are those with the smallest seeded hash:
 the bucket in which a source's target ends, and only that bucket's documents are put in order. No source, however
 large, is ordered in one task. Defined results: NULL text has size 0; a source whose sizes are all 0 gets target 0;
 the NULL source comes last; rows that share an id share their draw, and rows
-that are equal in id and size are drawn together.
+that are equal in id and size are drawn together; very long texts count whole; an empty table gives an empty table; a column
+that has the result's name is refused.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowsmith.llm.common import refuse_clash
 from rowsmith.session import materialise
 
 BUCKETS = 4096
@@ -65,6 +67,7 @@ def mix(
     Sources take ``weights`` in code-point order, NULL last, repeating; together they want ``share`` times all
     sizes, each at most ``most`` times its own size.
     """
+    refuse_clash(df, into)
     drawing = F.struct(F.col(source).alias("source"), ticket(seed, F.col(doc_id)).alias("ticket"), F.col(doc_id).alias("id"), size.cast("long").alias("size"))
     # The row travels as one field, so no column of it can clash with one of these.
     rows = df.select(F.struct("*").alias("_row"), drawing.alias("_m"))

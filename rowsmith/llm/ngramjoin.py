@@ -10,7 +10,8 @@
 5. Classes are the connected components of the links.
 
 Defined results: NULL is read as empty; texts of under five words have no n-gram and link to nothing, but equal texts
-share a class; rows that share an id keep their own texts; a NULL id stands alone unless its text says otherwise.
+share a class; rows that share an id keep their own texts; a NULL id stands alone unless its text says otherwise; very
+long texts are compared whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -2,7 +2,8 @@
 
 Every scan is linear in the text: no pattern here can restart inside a run it has already read. Defined results:
 NULL and empty texts have no spans; offsets count code points, ends are exclusive; repeated rows are scanned alike;
-other columns pass through.
+other columns pass through, and a column that has the result's name is refused; very long texts are scanned whole; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import small_batches, text_of
+from rowsmith.llm.common import refuse_clash, small_batches, text_of
 
 # Order of kinds at equal starts.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
@@ -150,6 +151,7 @@ def scan(text: str) -> list[tuple[str, int, int, float]]:
 
 def find_spans(df: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     """``df`` with an array of (kind, start, end, score)."""
+    refuse_clash(df, into)
     small_batches(df.sparkSession)
 
     @F.pandas_udf(SPAN)

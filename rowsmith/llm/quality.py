@@ -1,7 +1,8 @@
 """Line-first quality rules: judge each line, drop the failures, then judge what is left of the document.
 
 Only built-in expressions inside one row: no shuffle, no Python. Defined results: a NULL or empty text has no
-words, loses nothing and is not kept; repeated rows are judged alike; other columns pass through.
+words, loses nothing and is not kept; repeated rows are judged alike; other columns pass through; very long texts
+are judged whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations

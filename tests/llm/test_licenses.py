@@ -3,7 +3,10 @@
 import random
 import re
 
-from rowsmith.llm import licenses, queries
+import pytest
+from pyspark.sql import functions as F
+
+from rowsmith.llm import licenses, mixing, pii, queries
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -78,3 +81,12 @@ def test_empty_table_and_clashing_names(spark):
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.QUERIES["op3_licenses"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("made,name", [
+    (lambda df: licenses.scan(df), "license"), (lambda df: pii.find_spans(df), "spans"), (lambda df: mixing.mix(df, F.length("text")), "MIX"),
+])
+def test_a_column_of_the_results_name_is_refused(spark, made, name):
+    df = spark.createDataFrame([(1, "t", "s", "x")], f"doc_id long, text string, source string, {name} string")
+    with pytest.raises(ValueError, match="already has a column"):
+        made(df)

@@ -75,3 +75,9 @@ def test_token_files(stages):
 
 def test_run_gives_the_last_stage(spark, sf, stages):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).collect())) == sorted(map(tuple, stages[5].collect()))
+
+
+def test_an_empty_table_goes_through_all_stages(spark, sf, tmp_path):
+    spark.read.parquet(f"{sf}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -181,6 +181,9 @@ def assign_slugs(df: DataFrame, title: str, key: str, bounded: bool = False) ->
     ending = F.regexp_extract("_slug", r"\A(.+)-([1-9][0-9]{0,17})\z", 2)
     taken = own.where(ending != "").select(F.regexp_extract("_slug", r"\A(.+)-[1-9][0-9]{0,17}\z", 1).alias("_slug"), ending.cast("long").alias("_n"))
     taken = taken.where("_n > 1").join(placed.where("_copy = 2").select("_slug"), "_slug", "left_semi")
+    numbered = F.concat("_slug", F.when(F.col("_copy") > 1, F.concat(F.lit("-"), F.col("_copy").cast("string"))).otherwise("")).alias("slug")
+    if taken.isEmpty():
+        return placed.select("_row.*", numbered)
     taken = materialise(ordered.scan(taken, ["_slug"], [F.col("_n")], position="_i", bounded=bounded), "taken")
     # A taken number n, the i-th of its slug, comes before the j-th free one if n - i + 1 is j + 1 at most.
     marks = taken.select("_slug", (F.col("_n") - F.col("_i") + 1).alias("_at"), F.lit(1).alias("_taken"), F.lit(None).cast(placed.schema["_row"].dataType).alias("_row"))
@@ -189,9 +192,7 @@ def assign_slugs(df: DataFrame, title: str, key: str, bounded: bool = False) ->
     counted = ordered.scan(both, ["_slug"], [F.col("_at"), F.col("_taken").desc(), F.xxhash64("_row")], running={"_before": "_taken"}, bounded=bounded)
     shifted = counted.where("_taken = 0").select("_row", "_slug", (F.col("_at") + F.col("_before")).alias("_copy"))
     plain = placed.where("_copy = 1").unionByName(again.join(taken.select("_slug").distinct(), "_slug", "left_anti"))
-    numbered = plain.select("_row", "_slug", "_copy").unionByName(shifted)
-    suffix = F.when(F.col("_copy") > 1, F.concat(F.lit("-"), F.col("_copy").cast("string"))).otherwise("")
-    return numbered.select("_row.*", F.concat("_slug", suffix).alias("slug"))
+    return plain.select("_row", "_slug", "_copy").unionByName(shifted).select("_row.*", numbered)
 
 
 # Digest names and whether a name is too weak to trust.

@@ -40,6 +40,42 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Numbers added up one after another; beyond that a list is cut into blocks of as many.
+SUM_BLOCK = 16
+
+
+def running_sums(numbers: Column) -> Column:
+    """Sum of each number of an array and those before it, as an array.
+
+    Blocks of SUM_BLOCK are summed one number after another, what lies before a block by doubling the reach, so a list of n
+    numbers takes about n copies and additions (n / SUM_BLOCK * log n for the blocks), never one copy of the list per number.
+    """
+
+    def along(block: Column) -> Column:
+        return F.aggregate(block, F.array().cast("array<bigint>"), lambda done, x: F.array_append(done, F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0).cast("long")) + x))
+
+    def before(totals: Column) -> Column:
+        rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(totals).cast("double"))).cast("int"))
+        reached = F.aggregate(
+            rounds, totals, lambda sums, k: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+        )
+        return F.zip_with(reached, totals, lambda upto, own: upto - own)
+
+    def joined(blocks: Column) -> Column:
+        whole = F.array(F.transform(blocks, lambda b: F.element_at(b, -1)))
+        first = F.element_at(F.transform(whole, before), 1)
+        return F.flatten(F.zip_with(blocks, first, lambda block, start: F.transform(block, lambda x: x + start)))
+
+    def cut(values: Column) -> Column:
+        number = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / SUM_BLOCK).cast("int"))
+        blocks = F.transform(number, lambda b: along(F.slice(values, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
+        return F.element_at(F.transform(F.array(blocks), joined), 1)
+
+    # Each list is named once here and handed on, so that it is not made again for every number.
+    once = lambda values: F.when(F.size(values) <= SUM_BLOCK, along(values)).otherwise(cut(values))
+    return F.element_at(F.transform(F.array(numbers), once), 1)
+
+
 def unify_newlines(text: Column | str) -> Column:
     return F.regexp_replace(_col(text), r"\r\n?", "\n")
 

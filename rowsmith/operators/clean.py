@@ -146,16 +146,16 @@ def regex_matches(docs: DataFrame, pattern: str, groups: int | None = None, limi
     pattern = f"(?{flags}){pattern}" if flags else pattern
     labels = [name or f"group_{i + 1}" for i, name in enumerate(names)]
     parts = [F.regexp_extract_all("text", F.lit(pattern), F.lit(g)).alias(f"_g{g}") for g in range(len(names) + 1)]
-    found = docs.select("doc_id", F.split("text", pattern, -1).alias("_cut"), *parts).where(F.size("_g0") > 0)
+    # A text without a match has no rows; a filter for it would search every text twice.
+    found = docs.select("doc_id", F.split("text", pattern, -1).alias("_cut"), *parts)
     # Cutting leaves out the empty piece before an empty match at the very start.
     gaps = F.when(F.size("_cut") == F.size("_g0"), F.concat(F.array(F.lit("")), F.col("_cut"))).otherwise(F.col("_cut"))
-    steps = F.zip_with(F.slice(gaps, 2, F.size("_g0")), F.col("_g0"), lambda gap, match: F.length(gap) + F.length(match))
-    first = F.array(F.length(F.element_at(gaps, 1)).cast("long"))
-    starts = F.aggregate(F.slice(steps, 1, F.size("_g0") - 1), first, lambda done, step: F.array_append(done, F.element_at(done, -1) + step))
-    zipped = F.arrays_zip(starts.alias("start"), *[F.col(f"_g{g}") for g in range(len(names) + 1)])
+    steps = F.zip_with(F.slice(gaps, 1, F.size("_g0")), F.col("_g0"), lambda gap, match: (F.length(gap) + F.length(match)).cast("long"))
+    zipped = F.arrays_zip(T.running_sums(steps).alias("stop"), *[F.col(f"_g{g}") for g in range(len(names) + 1)])
     rows = found.select("doc_id", F.posexplode(zipped).alias("_no", "_z"))
+    start = F.col("_z.stop") - F.length("_z._g0")
     out = rows.select(
-        "doc_id", F.col("_no").cast("long").alias("match_no"), F.col("_z.start").alias("start"), F.col("_z._g0").alias("match"),
+        "doc_id", F.col("_no").cast("long").alias("match_no"), start.alias("start"), F.col("_z._g0").alias("match"),
         *[F.col(f"_z._g{g + 1}").alias(label) for g, label in enumerate(labels)],
     )
     return out if limit is None else out.where(F.col("match_no") < limit)

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import hashlib
+import itertools
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +158,18 @@ def test_long_digests_equal_the_published_vectors(spark):
     row = df.select(clean.digest(F.col("text"), "SHA-384").alias("a"), clean.digest(F.col("text"), "SHA-512").alias("b")).first()
     assert row.a == "cb00753f45a35e8bb5a03d699ac65007272c32ab0eded1631a8b605a43ff5bed8086072ba1e7cc2358baeca134c825a7"
     assert row.b.startswith("ddaf35a193617abacc417349ae20413112e6fa4e89a97ea20a9eeee64b55d39a2192992a274fc1a836ba3c23a3feebbd")
+
+
+def test_running_sums_of_any_length(spark):
+    lists = [[7 * k % 11 for k in range(n)] for n in (0, 1, 15, 16, 17, 32, 33, 256, 257, 3000)]
+    df = spark.createDataFrame([(numbers,) for numbers in [*lists, None]], "a array<bigint>")
+    got = [r.b for r in df.select(T.running_sums(F.col("a")).alias("b")).collect()]
+    assert got == [*[list(itertools.accumulate(numbers)) for numbers in lists], None]
+
+
+def test_a_text_of_many_matches_takes_no_square_of_them(spark):
+    # With one copy of the list per match this takes minutes.
+    df = spark.createDataFrame([(1, "ab " * 150_000)], "doc_id int, text string")
+    began = time.monotonic()
+    row = clean.regex_matches(df, " ").agg(F.count(F.lit(1)).alias("n"), F.max("start").alias("last"), F.sum("start").alias("all")).first()
+    assert tuple(row) == (150_000, 449_999, sum(range(2, 450_000, 3))) and time.monotonic() - began < 20

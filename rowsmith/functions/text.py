@@ -133,6 +133,25 @@ def tally_words(text: Column | str) -> Column:
     return F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(STOP_WORDS))
 
 
+def commonest(words: Column, k: int) -> Column:
+    """The ``k`` commonest of a list of words, as (word, n); ties go to the word met first. One sort, inside the row."""
+
+    def counted(ordered: Column) -> Column:
+        word = lambda at: F.get(ordered, at)["word"]
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda at: (at == 0) | (word(at) != word(at - 1)))
+        return F.element_at(F.transform(F.array(starts), lambda s: tallied(ordered, s)), 1)
+
+    def tallied(ordered: Column, starts: Column) -> Column:
+        # Sorted by falling count, then by first place; the word is read off the place it starts at.
+        entry = lambda at, i: F.struct((at - F.coalesce(F.get(starts, i + 1), F.size(ordered))).alias("less"), F.get(ordered, at)["pos"].alias("pos"), at.alias("at"))
+        best = F.slice(F.sort_array(F.transform(starts, entry)), 1, k)
+        return F.transform(best, lambda e: F.struct(F.get(ordered, e["at"])["word"].alias("word"), (-e["less"]).cast("long").alias("n")))
+
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos"))))
+    return F.element_at(F.transform(F.array(placed), counted), 1)
+
+
 def line_key(line: Column | str, ignore_case: bool = True, trim: bool = True) -> Column:
     key = js_trim(line) if trim else _col(line)
     return F.lower(key) if ignore_case else key

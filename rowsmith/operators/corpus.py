@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions import text as T
 from rowsmith.operators import ordered
+from rowsmith.session import materialise
 
 
 def doc_stats(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -34,10 +35,24 @@ def corpus_rollup(docs: DataFrame, by: tuple[str, ...] = ("lang", "source")) ->
 def top_words(docs: DataFrame, k: int = 5, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The k commonest words per group; ties go to the word met first.
 
-    With ``by=()`` the ranking is over the corpus and ties are alphabetical. A
-    document's words are tallied inside the partition before anything is shuffled,
-    and the per-group limit is applied before the ranking shuffle.
+    With ``by=()`` the ranking is over the corpus and ties are alphabetical. A text that is a group of its own is ranked
+    inside its row and never shuffled: only the keys are, to tell those that stand in one row. Where a group has several
+    rows, its words are tallied inside the partition first, and the per-group limit is applied before the ranking shuffle.
     """
+    if "doc_id" not in by:
+        return _top_of_groups(docs, k, by)
+    named = docs.select(*by, "text")
+    again = materialise(named.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(c).alias(f"_of_{c}") for c in by]), "again")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    alone = named.join(again, same, "left_anti").select(*by, F.posexplode(T.commonest(T.tally_words("text"), k)).alias("_place", "_w"))
+    ranked = alone.select(*by, (F.col("_place") + 1).cast("long").alias("place"), F.col("_w.word").alias("word"), F.col("_w.n").alias("n"))
+    return ranked.unionByName(_top_of_groups(named.join(again, same, "left_semi"), k, by))
+
+
+def _top_of_groups(docs: DataFrame, k: int, by: tuple[str, ...]) -> DataFrame:
+    """``top_words`` of groups of any number of rows."""
     words = docs.select(*by, *([] if "doc_id" in by else ["doc_id"]), F.posexplode(T.tally_words("text")).alias("_pos", "word"))
     if not by:
         tally = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

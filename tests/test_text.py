@@ -1,5 +1,7 @@
 """Edge texts, and brute force in plain Python for what SQL cannot say."""
 
+import collections
+import random
 import re
 
 import pytest
@@ -179,3 +181,25 @@ def test_html(spark):
     assert one(spark, T.html_to_text, page) == "a &lt; b c"
     assert one(spark, T.escape_html, "<a href=\"x\">'&") == "&lt;a href=&quot;x&quot;&gt;&#39;&amp;"
     assert one(spark, T.squeeze_html, "<ul> <!-- c --> <li>a b</li>\n</ul>") == "<ul><li>a b</li></ul>"
+
+
+def test_top_words_of_ids_that_repeat_or_are_null(spark):
+    rows = [(1, "cat cat dog"), (1, "ant dog dog cat"), (2, "zebra ant ant zebra bee"), (None, "owl owl bat"), (None, "bat bat"), (3, None), (4, ""), (5, "the ox")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.place): (r.word, r.n) for r in corpus.top_words(df, 2).collect()}
+    assert got == {(1, 1): ("cat", 3), (1, 2): ("dog", 3), (2, 1): ("zebra", 2), (2, 2): ("ant", 2), (None, 1): ("bat", 3), (None, 2): ("owl", 2)}
+
+
+def test_words_of_a_text_of_its_own_are_not_shuffled(spark, sf):
+    found = corpus.top_words(spark.read.parquet(f"{sf}/documents.parquet"), 5)
+    assert found.count() and found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # No group has several rows, so the side that tallies by shuffle has no input.
+    assert "isFinalPlan=true" in final and "EmptyRelation" in final
+
+
+def test_commonest_against_python(spark):
+    rng = random.Random(8)
+    lists = [[rng.choice("abcdefgh") for _ in range(n)] for n in (0, 1, 2, 5, 40, 300)]
+    got = spark.createDataFrame([(x,) for x in [*lists, None]], "w array<string>").select(T.commonest(F.col("w"), 3).alias("c")).collect()
+    assert got[-1].c is None and [[tuple(x) for x in r.c] for r in got[:-1]] == [collections.Counter(x).most_common(3) for x in lists]

@@ -79,6 +79,18 @@ def test_closed_runs_equal_the_batch_whatever_the_order_inside_the_delay(spark):
     assert late == 0 and sorted((tuple(r) for r in got.collect()), key=repr) == runs_of(rows, upto)
 
 
+def test_state_grows_with_buckets_and_not_with_keys(spark):
+    rng = random.Random(9)
+    rows = [(rng.randrange(-1, 200), float(rng.randrange(0, 3000)), k, rng.choice(["a", "b"])) for k in range(1500)]
+    session, stream, arrive = outcomes(spark, [(None if u < 0 else u, *rest) for u, *rest in rows], [int(r[1] // 1500) for r in rows])
+    runs, sink, state = keyed.closed_runs(stream, "u", "ts", "id", "v", "10 seconds", buckets=3), jobs.Sink(session), []
+    for _ in arrive:
+        state += [op.numRowsTotal for p in sink.run(runs).recentProgress for op in p.stateOperators]
+    got = [(-1 if u is None else u, *rest) for u, *rest in sink.rows(session, runs.schema).collect()]
+    # A timer, where it stands, what waits and what is open: a few rows a bucket.
+    assert sorted(got, key=repr) == runs_of(rows, max(r[1] for r in rows) - 10) and max(state) <= 30
+
+
 @pytest.mark.parametrize("twice", [(0,), (1,), (2,), (0, 1, 2)])
 def test_a_batch_that_runs_again_changes_nothing(spark, twice):
     # One outcome over three batches: what the earlier ones counted must be neither lost nor counted again.

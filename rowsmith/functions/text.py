@@ -138,7 +138,7 @@ def commonest(words: Column, k: int) -> Column:
 
     def counted(ordered: Column) -> Column:
         word = lambda at: F.get(ordered, at)["word"]
-        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1)).otherwise(F.array().cast("array<int>"))
+        places = F.when(F.size(ordered) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.size(ordered) - 1))
         starts = F.filter(places, lambda at: (at == 0) | (word(at) != word(at - 1)))
         return F.element_at(F.transform(F.array(starts), lambda s: tallied(ordered, s)), 1)
 

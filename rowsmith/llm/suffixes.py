@@ -9,8 +9,8 @@
    and the match is extended word by word to the left and to the right; the two rows at each partition border are
    compared afterwards.
 4. Neighbours may share less of a passage than rows further off, when its halves are frequent. So every
-   stretch of exactly MIN_WORDS words around a kept seed is also named by a 64-bit hash and linked to the first
-   document that has it (the first document to the last).
+   stretch of exactly MIN_WORDS words around a kept seed is also named by a 64-bit hash and linked to the document of the
+   smallest id that has it (that one to the last): each document but the first of a passage has a row under its own id.
 5. Matches on one diagonal of a pair that touch are one passage.
 
 A document is an id and a text: it goes by a 64-bit hash of both, and its id is looked up for the result. Words are
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import content_words, shingle_hashes, text_of
+from rowsmith.llm.common import content_words, text_of
 from rowsmith.session import materialise
 
 MIN_WORDS = 50
@@ -92,15 +92,16 @@ def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 def _suffixes(df: DataFrame, doc_id: str, text: str, min_words: int, seed: int) -> DataFrame:
     """doc, seed, pos of every kept suffix."""
-    base = df.select(document(df, doc_id, text).alias("doc"), shingle_hashes(content_words(text_of(df, text)), seed).alias("seeds"))
+    words = F.transform(content_words(text_of(df, text)), lambda w: F.xxhash64(w))
+    base = df.select(document(df, doc_id, text).alias("doc"), words.alias("words"))
     width = min_words - seed + 1
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, edges = lists(batch.column("seeds"))
+            values, edges = lists(batch.column("words"))
             rows, seeds, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for row in range(batch.num_rows):
-                own = values[edges[row] : edges[row + 1]]
+                own = stretch_hashes(values[edges[row] : edges[row + 1]], seed)
                 at = minimisers(own, width)
                 at = thinned(at, own[at], width) if len(at) else at
                 rows.append(np.full(len(at), row))
@@ -109,7 +110,7 @@ def _suffixes(df: DataFrame, doc_id: str, text: str, min_words: int, seed: int)
             docs = batch.column("doc").take(pa.array(np.concatenate(rows)))
             yield pa.RecordBatch.from_arrays([docs, pa.array(np.concatenate(seeds)), pa.array(np.concatenate(places).astype(np.int32))], names=["doc", "seed", "pos"])
 
-    return base.where(F.size("seeds") > 0).mapInArrow(keep, "doc long, seed long, pos int")
+    return base.where(F.size("words") >= seed).mapInArrow(keep, "doc long, seed long, pos int")
 
 
 def _contexts(df: DataFrame, kept: DataFrame, doc_id: str, text: str, context: int) -> DataFrame:
@@ -260,17 +261,17 @@ def stretch_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def _stretches(df: DataFrame, kept: DataFrame, doc_id: str, text: str, min_words: int, seed: int) -> DataFrame:
-    """name, doc, start of every stretch of ``min_words`` words that holds a kept seed, and whether it stood there before."""
+    """name, id, doc, start of every stretch of ``min_words`` words that holds a kept seed."""
     words = F.transform(content_words(F.col("t")), lambda w: F.xxhash64(w))
-    base = df.select(document(df, doc_id, text).alias("own"), text_of(df, text).alias("t"))
+    base = df.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("id"), document(df, doc_id, text).alias("own"), text_of(df, text).alias("t"))
     wanted = kept.groupBy("doc").agg(F.collect_set("pos").alias("places"))
-    joined = base.join(wanted, F.col("own") == F.col("doc")).select("doc", "places", words.alias("words"))
+    joined = base.join(wanted, F.col("own") == F.col("doc")).select("id", "doc", "places", words.alias("words"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, edges = lists(batch.column("words"))
             places, borders = lists(batch.column("places"))
-            docs = batch.column("doc").to_numpy()
+            ids, docs = batch.column("id").to_numpy(), batch.column("doc").to_numpy()
             for row in range(batch.num_rows):
                 own = words[edges[row] : edges[row + 1]]
                 n = len(own) - min_words + 1
@@ -283,23 +284,20 @@ def _stretches(df: DataFrame, kept: DataFrame, doc_id: str, text: str, min_words
                 starts = np.flatnonzero(np.cumsum(steps[:-1]) > 0)
                 if len(starts):
                     names = stretch_hashes(own, min_words)[starts]
-                    again = np.ones(len(names), bool)
-                    again[np.unique(names, return_index=True)[1]] = False
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names), pa.array(np.full(len(starts), docs[row])), pa.array(starts.astype(np.int32)), pa.array(again)],
-                        names=["name", "doc", "start", "again"],
+                        [pa.array(names), pa.array(np.full(len(starts), ids[row])), pa.array(np.full(len(starts), docs[row])), pa.array(starts.astype(np.int32))],
+                        names=["name", "id", "doc", "start"],
                     )
 
-    return joined.mapInArrow(name, "name long, doc long, start int, again boolean")
+    return joined.mapInArrow(name, "name long, id long, doc long, start int")
 
 
 def _equal_stretches(stretches: DataFrame, min_words: int) -> DataFrame:
-    """Each stretch that stands in two documents beside the first document that has it, in the first beside the last."""
-    # Whole numbers only, so a hash aggregate with a map-side part; a document's first place stands for it.
-    ends = stretches.where("not again").groupBy("name").agg(
-        F.min("doc").alias("low"), F.max("doc").alias("high"), F.min_by("start", "doc").alias("low_start"), F.max_by("start", "doc").alias("high_start")
-    )
-    met = stretches.join(ends.where("low <> high"), "name")
+    """Each stretch that stands in two documents beside the document of the smallest id that has it, in that one beside the last."""
+    # One shuffle: these rows are the most of all, and neither written nor joined.
+    same = Window.partitionBy("name").orderBy("id", "doc", "start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = {"low": F.first("doc"), "low_start": F.first("start"), "high": F.last("doc"), "high_start": F.last("start")}
+    met = stretches.select("*", *[end.over(same).alias(c) for c, end in ends.items()]).where("low <> high")
     first = F.col("doc") == F.col("low")
     return met.select(
         "doc", "start", (F.col("start") + min_words).cast("int").alias("stop"),
@@ -336,7 +334,7 @@ def passages(
     often = kept.groupBy("seed").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("seed")
     shared = kept.join(often, "seed")
     matches = _sorted_matches(_contexts(df, shared, doc_id, text, context), context, min_words)
-    stretches = materialise(_stretches(df, shared, doc_id, text, min_words, seed), "stretches")
+    stretches = _stretches(df, shared, doc_id, text, min_words, seed)
     found = materialise(merged(matches.unionByName(_equal_stretches(stretches, min_words))), "found")
     ids = df.select(document(df, doc_id, text).alias("key"), F.col(f"`{doc_id}`").cast("long").alias("id")).distinct()
     named = found.join(ids.select(F.col("key").alias("doc"), F.col("id").alias("doc_id")), "doc").join(ids.select(F.col("key").alias("other"), F.col("id").alias("other_id")), "other")

@@ -150,3 +150,12 @@ def test_a_window_with_a_kept_place_keeps_one():
 def test_empty_and_clashing(spark):
     df = spark.createDataFrame([], "doc_id long, text string, doc string, seed int, key int")
     assert suffixes.passages(df).count() == 0
+
+
+def test_each_document_but_the_first_of_a_passage_has_a_row(spark):
+    rng = random.Random(12)
+    made = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    passages = [made(52) for _ in range(4)]
+    rows = [(100 * g + k, " ".join(made(30) + passage + made(30))) for g, passage in enumerate(passages) for k in range(25)]
+    assert {r[0] for r in reported(spark, rows)} == {d for d, _ in rows if d % 100}
+    assert {r[3] for r in reported(spark, rows)} >= {0, 100, 200, 300}

@@ -3,48 +3,50 @@
 1. Under each of HASHES functions the shingle hashes of a text form a Cartesian tree: the least one in a stretch splits
    it. Each node is a compact window (l, c, r): every passage inside [l, r] that holds c has the shingle at c as its
    min-hash. Windows shorter than the shortest passage are not made, so a text of n words has about 2n / MIN_WORDS.
-2. Windows whose min-hash stands in one document only are dropped (partial aggregate). In what is left, the shortest
-   passages at neighbouring places that have the same min-hashes are one run; a run is named by every NEED, every
-   NEED + 1 and all of its min-hashes, so passages that share a frequent line meet apart from those that share more.
-3. Each name joins its runs to three centres (first and last document, and one drawn by hash): never all pairs, yet all
-   of up to three documents. What a pair shares on one diagonal is a candidate, and is verified on the words: matching
-   shingles are aligned, the stretch of MIN_WORDS words or more with the largest surplus over the similarity is cut
-   out, then what is left on both sides, until none has a Jaccard similarity of THRESHOLD on its five-word shingles.
+2. The functions go in bands of NEED. Where the windows of a band overlap, the shortest passages at neighbouring places that
+   have the same min-hashes are one run, named by them. Names are brought together by one shuffle, and what stands in one
+   document only leaves there.
+3. Each name joins its runs to the one of the smallest id (that one to the last). What a pair shares on one diagonal is a
+   candidate, and is verified on the words: matching shingles are aligned, the stretch of MIN_WORDS words or more with the
+   largest surplus over the similarity is cut out, then what is left on both sides, until none has a Jaccard similarity of
+   THRESHOLD on its five-word shingles.
+   Runs of a name with the same words are joined to the first of them, which stands for them.
+4. A run whose shared shingle lies in no passage verified with its partner meets all other runs of its name. So of two runs of a name that are alike, both are linked to the first one or they are compared: no pair is left
+   out. Of equal texts the one of the smallest id takes part, the others are linked to it as a whole. Words are verified by 32-bit hashes.
 
 Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage; repeats inside one document
-and rows that share an id are not reported; each NULL id is an id of its own, and rows that share an id keep their texts;
-very long texts are taken whole; an empty table has no passages.
+and rows that repeat id and text are not reported; rows that share an id, or have none, and differ in text are documents of
+their own; ``other_id`` is the smaller id, NULL the smallest; very long texts are taken whole; an empty table has no passages.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm.common import SHINGLE, SIMILARITY, content_words, shingle_hashes, small_batches, text_of
-from rowsmith.llm.suffixes import NO_ID, lists
+from rowsmith.llm.common import SHINGLE, SIMILARITY, content_words, may_match, small_batches, text_of
+from rowsmith.llm.suffixes import NO_ID, lists, sliding_min
 from rowsmith.session import materialise
 
 MIN_WORDS = 50
-HASHES = 5
+# Five bands of two functions: a passage of similarity 0.8 keeps a name with probability 0.994.
+HASHES = 10
 NEED = 2
 SEED = 8
 # How far two diagonals of one passage may lie apart: words put in or left out.
 SLACK = 24
-# Where two whole numbers share a 64-bit field, and a function and a tag of the text one half of it.
+# Where two whole numbers share a 64-bit field.
 FIELD = 2**32
-TAGS, FUNCTIONS = 2**22, 2**8
 
 
-def tag_of(text: Column) -> Column:
-    """Tells rows apart that share an id."""
-    return F.xxhash64(text).bitwiseAND(F.lit(TAGS - 1)).cast("int")
+def identity(df: DataFrame, doc_id: str, text: str) -> list[Column]:
+    """id and text of a document, as two whole numbers."""
+    return [F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.md5(text_of(df, text))).alias("doc")]
 
 
 def salts(hashes: int) -> np.ndarray:
@@ -58,73 +60,96 @@ def drawn(values: np.ndarray, salt: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def windows_of(order: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of every node of the Cartesian tree whose stretch has at least ``least`` places."""
-    found, open_ = [], [(0, len(order) - 1)]
-    while open_:
-        low, high = open_.pop()
-        if high - low + 1 < least:
-            continue
-        at = low + int(order[low : high + 1].argmin())
-        found.append((low, at, high))
-        open_.append((low, at - 1))
-        open_.append((at + 1, high))
-    return found
+def windows(order: np.ndarray, edges: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """l, c, r, by c, of every node of the Cartesian trees of texts laid end to end whose stretch has ``least`` places."""
+    if len(order) < least:
+        return (np.empty(0, np.int64),) * 3
+    # Only the least place of some ``least`` neighbours has such a stretch, and what bounds a stretch has a wider one.
+    low = sliding_min(order, least)
+    none = np.zeros(least - 1, order.dtype)
+    at = np.flatnonzero(~sliding_min(~np.concatenate([none, low, none]), least) == order)
+    v, row = order[at], np.searchsorted(edges, at, "right") - 1
+    n = len(at)
+    # The nearest place before that is no larger, and behind that is smaller: each step skips what was skipped before.
+    before, behind = np.arange(-1, n - 1), np.append(np.arange(1, n + 1), n)
+    before[np.append(True, row[1:] != row[:-1])] = -1
+    behind[:-1][np.append(row[1:] != row[:-1], True)] = n
+    go = np.arange(n)
+    while len(go := go[(before[go] >= 0) & (v[before[go]] > v[go])]):
+        before[go] = before[before[go]]
+    go = np.arange(n)
+    while len(go := go[(behind[go] < n) & (v[np.minimum(behind[go], n - 1)] >= v[go])]):
+        behind[go] = behind[behind[go]]
+    l = np.where(before >= 0, at[before] + 1, edges[row])
+    r = np.where(behind[:-1] < n, at[np.minimum(behind[:-1], n - 1)] - 1, edges[row + 1] - 1)
+    wide = r - l + 1 >= least
+    return l[wide], at[wide], r[wide]
 
 
-def _windows(df: DataFrame, doc_id: str, text: str, min_words: int, hashes: int) -> DataFrame:
-    least = min_words - SHINGLE + 1
-    base = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), tag_of(text_of(df, text)).alias("tag"), shingle_hashes(content_words(text_of(df, text))).alias("v"))
+def windows_of(order: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """``windows`` of one text."""
+    return list(zip(*(x.tolist() for x in windows(order, np.array([0, len(order)]), least))))
+
+
+def name_runs(values: np.ndarray, edges: np.ndarray, least: int, hashes: int, need: int):
+    """(name, row, c, start, stop, hash) for every band of ``need`` functions: the runs of shortest passages, by first places,
+    that have the same min-hashes; ``stop`` is the last place, c where the first min-hash lies, the hash that of all shingles."""
+    salt = salts(hashes)
+    # Sums of values times powers of an odd number: a difference, moved back to the power 0, is the hash of a stretch.
+    base = 0x9E3779B97F4A7C15
+    power, back = (np.multiply.accumulate(np.append(np.uint64(1), np.full(len(values), x, np.uint64))) for x in (base, pow(base, -1, 2**64)))
+    total = np.append(np.uint64(0), np.cumsum(values.view(np.uint64) * power[:-1], dtype=np.uint64))
+    for band in range(hashes // need):
+        parts = []
+        for f in range(band * need, (band + 1) * need):
+            order = drawn(values, salt[f])
+            l, c, r = windows(order, edges, least)
+            parts.append((np.maximum(l, c - least + 1), np.minimum(c, r - least + 1), c, order[c]))
+        start = np.sort(np.concatenate([part[0] for part in parts]))
+        if not len(start):
+            continue
+        start = start[np.append(True, start[1:] != start[:-1])]
+        own = [np.searchsorted(part[0], start, "right") - 1 for part in parts]
+        stop = np.min([part[1][k] for part, k in zip(parts, own)], axis=0)
+        stop = np.minimum(stop, np.append(start[1:] - 1, stop[-1]))
+        name = np.full(len(start), band + 1, np.uint64)
+        for part, k in zip(parts, own):
+            name = (name ^ part[3][k]) * np.uint64(0x9E3779B97F4A7C15)
+            name ^= name >> np.uint64(29)
+        row = np.searchsorted(edges, start, "right") - 1
+        # A loop has the same min-hashes again and again: one run.
+        at = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (row[1:] != row[:-1])))
+        last = np.append(at[1:], len(start)) - 1
+        row, first, end = row[at], start[at], stop[last]
+        held = (total[end + least] - total[first]) * back[first]
+        yield name[at].view(np.int64), row, parts[0][2][own[0][at]] - edges[row], first - edges[row], end - edges[row], held.view(np.int64)
+
+
+def _runs(df: DataFrame, doc_id: str, text: str, least: int, hashes: int, need: int) -> DataFrame:
+    """name, id, doc, c, the first and last place and the hash of the shingles of every run."""
+    words = F.transform(content_words(text_of(df, text)), lambda w: F.xxhash64(w))
+    base = df.select(*identity(df, doc_id, text), words.alias("w")).where(F.size("w") >= least + SHINGLE - 1)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawing = salts(hashes)
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, edges = lists(batch.column("v"))
-            docs, tags = batch.column("doc").to_numpy(), batch.column("tag").to_numpy().astype(np.int64)
-            out, size = [], 0
-            for row in range(batch.num_rows):
-                own = values[edges[row] : edges[row + 1]]
-                for f in range(hashes):
-                    order = drawn(own, drawing[f])
-                    if cut := windows_of(order, least):
-                        lcr = np.array(cut, np.int32)
-                        out.append((np.full(len(cut), docs[row]), np.full(len(cut), tags[row] * FUNCTIONS + f, np.int64), order[lcr[:, 1]].view(np.int64), lcr))
-                        size += len(cut)
-                if out and (size > 50_000 or row == batch.num_rows - 1):
-                    lcr = np.concatenate([o[3] for o in out]).astype(np.int64)
-                    doc, f, key = (np.concatenate([o[k] for o in out]) for k in range(3))
-                    # Two numbers to a field: these rows are what is shuffled most.
-                    columns = [doc, key, f * FIELD + lcr[:, 1], lcr[:, 0] * FIELD + lcr[:, 2]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc", "key", "fc", "lr"])
-                    out, size = [], 0
-
-    return base.where(F.size("v") >= least).mapInArrow(make, "doc long, key long, fc long, lr long")
-
-
-def name_runs(keys: np.ndarray, f: np.ndarray, lcr: np.ndarray, least: int, need: int, hashes: int):
-    """(name, start, stop, c) of every run of shortest passages, by first places, that has the same min-hashes under
-    ``need`` functions, under ``need + 1``, or under all; ``stop`` is the last place, c where the first min-hash lies."""
-    first = np.maximum(lcr[:, 0], lcr[:, 1] - least + 1)
-    last = np.minimum(lcr[:, 1], lcr[:, 2] - least + 1)
-    edges = np.unique(np.concatenate([first, last + 1]))
-    grid = np.full((hashes, len(edges)), -1, np.int64)
-    for k, (g, i, j) in enumerate(zip(f.tolist(), np.searchsorted(edges, first).tolist(), np.searchsorted(edges, last + 1).tolist())):
-        grid[g, i:j] = k
-    for many in sorted({need, min(need + 1, hashes), hashes}):
-        for chosen in combinations(range(hashes), many):
-            own = grid[list(chosen)]
-            new = np.concatenate([[True], (own[:, 1:] != own[:, :-1]).any(axis=0)])
-            at = np.flatnonzero(new)
-            stop = np.append(edges[at[1:]], edges[-1] + 1) - 1
-            own = own[:, at]
-            full = (own >= 0).all(axis=0)
-            if not full.any():
+            words, edges = lists(batch.column("w"))
+            if not len(words):
                 continue
-            name = np.full(int(full.sum()), sum(2**g for g in chosen), np.uint64)
-            for row in own[:, full]:
-                name = (name ^ keys[row].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-                name ^= name >> np.uint64(29)
-            yield name.view(np.int64), edges[at][full], stop[full], lcr[own[0, full], 1]
+            # Shingles that reach into the next text leave.
+            stays = np.ones(len(words), bool)
+            for k in range(1, SHINGLE):
+                stays[edges[1:] - k] = False
+            values = shingles(words.view(np.uint64))
+            values = values[stays[: len(values)]].view(np.int64)
+            places = edges - (SHINGLE - 1) * np.arange(len(edges))
+            for names, row, c, start, stop, held in name_runs(values, places, least, hashes, need):
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), batch.column("id").take(take), batch.column("doc").take(take), pa.array(c.astype(np.int32)), pa.array(start * FIELD + stop), pa.array(held)],
+                    names=["name", "id", "doc", "c", "run", "held"],
+                )
+
+    return base.mapInArrow(name, "name long, id long, doc long, c int, run long, held long")
 
 
 def best_run(hit: np.ndarray, threshold: float) -> tuple[int, int]:
@@ -188,10 +213,9 @@ def best_pair(i: np.ndarray, j: np.ndarray, least: int, threshold: float) -> tup
     if gain[last] + base >= -1e-9:
         return int(np.flatnonzero(rise[: full[last] + 1] == lowest[full[last]])[-1]), last
     best, found = -1e-9, None
-    for d in range(min(n, 2 * least)):
+    # Fewer shared places do not do even for the shortest stretches.
+    for d in range(max(0, int(np.ceil(2 * least * threshold / (1 + threshold) - 1e-9)) - 1), min(n, 2 * least)):
         spans = [x[d:] - x[: n - d] + 1 for x in (i, j)]
-        if d + 1 < 2 * least * threshold / (1 + threshold) - 1e-9:
-            continue  # Too few shared places even for the shortest stretches.
         score = (1 + threshold) * (d + 1) - threshold * (np.maximum(spans[0], least) + np.maximum(spans[1], least))
         first = int(np.argmax(score))
         if score[first] >= best:
@@ -220,7 +244,8 @@ def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list
     """[start, stop) in both lists of word hashes, in words, and the similarity, of every near-duplicate stretch."""
     sa, sb = shingles(a), shingles(b)
     open_, out = [(0, len(sa))], []
-    if len(sb) < least:
+    # What is found below has a surplus of shared places over the threshold, on ``least`` places or more.
+    if len(sb) < least or np.isin(sa, sb).sum() < least * threshold - 1e-9:
         return out
     while open_:
         low, high = open_.pop()
@@ -251,63 +276,22 @@ def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list
 
 
 REGION = "ia int, ja int, ib int, jb int"
+PAIR = ["id", "doc", "other_id", "other"]
 
 
-def passages(
-    df: DataFrame, min_words: int = MIN_WORDS, threshold: float = SIMILARITY, hashes: int = HASHES, need: int = NEED,
-    doc_id: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """doc_id, start_word, end_word, other_id, other_start, other_end, similarity; ends exclusive, ``other_id`` smaller."""
-    small_batches(df.sparkSession)
-    least = min_words - SHINGLE + 1
-    made = materialise(_windows(df, doc_id, text, min_words, hashes), "windows")
-    # A min-hash that stands twice in one document only is kept here and meets nobody below.
-    # Written first, so that the join is one of two plain shuffles and AQE can split a hot min-hash.
-    often = materialise(made.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
-    shared = materialise(made.join(often, "key"), "shared")
-    upper = F.shiftright("fc", 32)
-    places = shared.groupBy("doc", F.floor(upper / FUNCTIONS).cast("int").alias("tag")).agg(
-        F.collect_list(F.struct("key", "fc", "lr")).alias("w")
-    )
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("w")
-            flat, edges = rows.flatten(), rows.offsets.to_numpy().astype(np.int64)
-            edges = edges - edges[0]
-            keys, fc, lr = (flat.field(k).to_numpy() for k in range(3))
-            lcr = np.stack([lr >> 32, fc & (FIELD - 1), lr & (FIELD - 1)], axis=1)
-            f = (fc >> 32) % FUNCTIONS
-            docs, tags = batch.column("doc").to_numpy(), batch.column("tag").to_numpy().astype(np.int64)
-            out, size = [], 0
-            for row in range(batch.num_rows):
-                part = slice(edges[row], edges[row + 1])
-                for names, start, stop, c in name_runs(keys[part], f[part], lcr[part], least, need, hashes):
-                    out.append((names, np.full(len(names), docs[row]), tags[row] * FIELD + c, start * FIELD + stop))
-                    size += len(names)
-                if out and (size > 50_000 or row == batch.num_rows - 1):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(4)], names=["name", "doc", "tc", "run"])
-                    out, size = [], 0
-
-    # Written, so that both sides of the join below are plain shuffles of one table.
-    runs = materialise(places.mapInArrow(name, "name long, doc long, tc long, run long"), "runs")
-    place = F.struct("doc", "tc", "run")
-    tag = lambda c: F.shiftright(c, 32)
-    apart = lambda a, ta, b, tb: (a != b) | ((a == NO_ID) & (ta != tb))
-    centres = runs.groupBy("name").agg(
-        F.min(place).alias("lo"), F.max(place).alias("hi"), F.min(F.struct(F.xxhash64("doc", "tc", "name").alias("draw"), place.alias("p"))).alias("mid")
-    ).where(apart(F.col("lo.doc"), tag("lo.tc"), F.col("hi.doc"), tag("hi.tc")))
-    met = runs.join(centres.select("name", F.array_distinct(F.array("lo", "hi", "mid.p")).alias("p")), "name")
-    met = met.select(place.alias("a"), F.explode("p").alias("b")).where(apart(F.col("a.doc"), tag("a.tc"), F.col("b.doc"), tag("b.tc")))
-    met = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    c = lambda x: x.bitwiseAND(F.lit(FIELD - 1))
+def _verified(df: DataFrame, links: DataFrame, doc_id: str, text: str, least: int, threshold: float, label: str) -> DataFrame:
+    """Passages of ``links``, pairs of runs (id, doc, c, run and the same of the other one), by the document behind."""
+    turn = F.struct("id", "doc") < F.struct(F.col("other_id").alias("id"), F.col("other").alias("doc"))
+    pick = lambda a, b, name: F.when(turn, F.col(b)).otherwise(F.col(a)).alias(name)
+    sides = [("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run")]
+    links = links.select(*[pick(a, b, a) for a, b in sides], *[pick(b, a, b) for a, b in sides])
+    low = lambda x: x.bitwiseAND(F.lit(FIELD - 1))
+    high = lambda x: F.shiftright(x, 32)
     # Whole numbers only: a hash aggregate, mostly done before the shuffle.
-    diagonals = met.groupBy(
-        F.col("a.doc").alias("doc"), tag("a.tc").alias("tag"), F.col("b.doc").alias("other"), tag("b.tc").alias("other_tag"), (c(F.col("a.tc")) - c(F.col("b.tc"))).alias("shift")
-    ).agg(
-        F.min(tag("a.run")).alias("ia"), F.max(c(F.col("a.run"))).alias("ja"), F.min(tag("b.run")).alias("ib"), F.max(c(F.col("b.run"))).alias("jb")
+    diagonals = links.groupBy(*PAIR, (F.col("c") - F.col("other_c")).cast("long").alias("shift")).agg(
+        F.min(high(F.col("run"))).alias("ia"), F.max(low(F.col("run"))).alias("ja"), F.min(high(F.col("other_run"))).alias("ib"), F.max(low(F.col("other_run"))).alias("jb")
     )
-    pairs = diagonals.groupBy("doc", "tag", "other", "other_tag").agg(F.collect_list(F.struct("shift", "ia", "ja", "ib", "jb")).alias("d"))
+    pairs = diagonals.groupBy(*PAIR).agg(F.collect_list(F.struct("shift", "ia", "ja", "ib", "jb")).alias("d"))
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,43 +310,104 @@ def passages(
                     found.append((max(0, low[1] - SLACK), high[2] + least - 1 + SLACK, max(0, low[3] - SLACK), high[4] + least - 1 + SLACK))
             take, regions = pa.array(at, pa.int64()), np.array(found, np.int32).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(take) for c in ("doc", "tag", "other", "other_tag")], *[pa.array(regions[:, k].copy()) for k in range(4)]],
-                names=["doc", "tag", "other", "other_tag", "ia", "ja", "ib", "jb"],
+                [*[batch.column(c).take(take) for c in PAIR], *[pa.array(regions[:, k].copy()) for k in range(4)]], names=[*PAIR, "ia", "ja", "ib", "jb"]
             )
 
-    regions = materialise(pairs.mapInArrow(cover, f"doc long, tag long, other long, other_tag long, {REGION}"), "regions")
-    name = F.xxhash64("doc", "tag", "other", "other_tag", "ia", "ja", "ib", "jb")
-    pair = F.struct("doc", "other", "ia", "ib").alias("pair")
+    regions = materialise(pairs.mapInArrow(cover, "id long, doc long, other_id long, other long, " + REGION), f"{label}-regions")
+    name = F.xxhash64(*PAIR, "ia", "ja", "ib", "jb")
+    pair = F.struct(*PAIR, "ia", "ib").alias("pair")
     sides = regions.select(name.alias("name"), pair, F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("doc").alias("in"), F.col("tag").alias("in_tag"), F.col("ia").alias("i"), F.col("ja").alias("j")),
-        F.struct(F.lit(1).alias("side"), F.col("other").alias("in"), F.col("other_tag").alias("in_tag"), F.col("ib").alias("i"), F.col("jb").alias("j")),
+        F.struct(F.lit(0).alias("side"), F.col("id").alias("in_id"), F.col("doc").alias("in"), F.col("ia").alias("i"), F.col("ja").alias("j")),
+        F.struct(F.lit(1).alias("side"), F.col("other_id").alias("in_id"), F.col("other").alias("in"), F.col("ib").alias("i"), F.col("jb").alias("j")),
     )).alias("s")).select("name", "pair", "s.*")
-    # Only the words of the stretches travel on; a text is read once for all its stretches.
-    held = sides.groupBy("in", "in_tag").agg(F.collect_list(F.struct("name", "pair", "side", "i", "j")).alias("s"))
-    whole = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), text_of(df, text).alias("t"))
-    words = whole.join(held, (F.col("id") == F.col("in")) & (tag_of(F.col("t")) == F.col("in_tag"))).select("s", F.transform(content_words(F.col("t")), lambda w: F.xxhash64(w)).alias("w"))
-    cut = words.select("w", F.explode("s").alias("s")).select(
-        "s.name", "s.pair", "s.side", F.slice("w", F.col("s.i") + 1, F.col("s.j") - F.col("s.i") + SHINGLE).alias("w")
+    # Only the words of the stretches travel on; a text is split once, and its stretches are not gathered in one row.
+    words = F.transform(content_words(F.col("t")), lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
+    # Texts without a stretch leave before they are split.
+    whole = may_match(df.select(*identity(df, doc_id, text), text_of(df, text).alias("t")), F.col("doc"), sides, F.col("in")).select("id", "doc", words.alias("w"))
+    cut = sides.join(whole, (F.col("id") == F.col("in_id")) & (F.col("doc") == F.col("in"))).select(
+        "name", "pair", "side", F.slice("w", F.col("i") + 1, F.col("j") - F.col("i") + SHINGLE).alias("w")
     )
     # Two rows per name; equal rows bring more, one of each side is taken.
     both = cut.groupBy("name").agg(
         F.first("pair").alias("pair"), F.max(F.when(F.col("side") == 0, F.col("w"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("w"))).alias("b")
-    ).select("pair.*", F.coalesce("a", F.array().cast("array<long>")).alias("a"), F.coalesce("b", F.array().cast("array<long>")).alias("b"))
+    ).select("pair.*", F.coalesce("a", F.array().cast("array<int>")).alias("a"), F.coalesce("b", F.array().cast("array<int>")).alias("b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             (a, ea), (b, eb) = lists(batch.column("a")), lists(batch.column("b"))
-            doc, other, ia, ib = (batch.column(c).to_numpy() for c in ("doc", "other", "ia", "ib"))
-            out = []
+            ia, ib = (batch.column(c).to_numpy() for c in ("ia", "ib"))
+            at, out = [], []
             for k in range(batch.num_rows):
                 for start, stop, first, last, similarity in verified(a[ea[k] : ea[k + 1]], b[eb[k] : eb[k + 1]], least, threshold):
-                    out.append((doc[k], ia[k] + start, ia[k] + stop, other[k], ib[k] + first, ib[k] + last, similarity))
-            columns = list(zip(*out)) or [()] * 7
-            kinds = [pa.int64()] * 6 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["doc", "start_word", "end_word", "other", "other_start", "other_end", "similarity"])
+                    at.append(k)
+                    out.append((ia[k] + start, ia[k] + stop, ib[k] + first, ib[k] + last, similarity))
+            columns = list(zip(*out)) or [()] * 5
+            kinds = [pa.int64()] * 4 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(pa.array(at, pa.int64())) for c in PAIR], *[pa.array(c, kind) for c, kind in zip(columns, kinds)]],
+                names=[*PAIR, "start_word", "end_word", "other_start", "other_end", "similarity"],
+            )
+
+    kinds = "id long, doc long, other_id long, other long, start_word long, end_word long, other_start long, other_end long, similarity double"
+    return materialise(both.mapInArrow(verify, kinds), label)
+
+
+def _left(met: DataFrame, found: DataFrame) -> DataFrame:
+    """Links of the runs that lie in no passage found with their partner: to all others of the name."""
+    # The head of a name has met all the others, and runs with the words of another one go with it.
+    rows = met.where("not head").withColumn("pair", F.xxhash64(*PAIR))
+    ways = [("id", "doc", "other_id", "other", "start_word", "end_word"), ("other_id", "other", "id", "doc", "other_start", "other_end")]
+    one, two = (found.select(F.xxhash64(*way[:4]).alias("pair"), F.col(way[4]).alias("start"), F.col(way[5]).alias("end")) for way in ways)
+    inside = one.unionByName(two).groupBy("pair").agg(F.collect_list(F.struct("start", "end")).alias("in"))
+    lies = F.exists("in", lambda p: (p["start"] <= F.col("c")) & (F.col("c") + SHINGLE <= p["end"]))
+    spots = rows.select("pair", "c").distinct().join(inside, "pair", "left").where(F.col("in").isNull() | ~lies).select("pair", "c")
+    spots = materialise(spots, "spots")
+    open_ = may_match(rows, F.xxhash64("pair", "c"), spots, F.xxhash64("pair", "c")).join(spots, ["pair", "c"], "left_semi")
+    open_ = materialise(open_.select("name", "id", "doc", "c", "run"), "open")
+    others = may_match(rows, F.col("name"), open_, F.col("name"))
+    others = others.select("name", *[F.col(a).alias(b) for a, b in (("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run"))])
+    return open_.join(others, "name").where("doc <> other")
+
+
+def _copies(df: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+    """Texts that are equal: each row beside the one of the smallest id."""
+    keys = df.select(*identity(df, doc_id, text)).distinct()
+    later = keys.withColumn("other_id", F.min("id").over(Window.partitionBy("doc"))).where("id <> other_id")
+    key = F.xxhash64("id", "doc")
+    texts = may_match(df.select(*identity(df, doc_id, text), text_of(df, text).alias("t")), key, later, key)
+    sizes = texts.select("id", "doc", F.size(content_words(F.col("t"))).cast("long").alias("end_word")).where(F.col("end_word") >= min_words)
+    zero = F.lit(0).cast("long")
+    return later.join(sizes, ["id", "doc"]).select(
+        "id", "doc", "other_id", F.col("doc").alias("other"), zero.alias("start_word"), "end_word", zero.alias("other_start"), F.col("end_word").alias("other_end"), F.lit(1.0).alias("similarity")
+    )
+
 
-    found = both.mapInArrow(verify, "doc long, start_word long, end_word long, other long, other_start long, other_end long, similarity double")
+def passages(
+    df: DataFrame, min_words: int = MIN_WORDS, threshold: float = SIMILARITY, hashes: int = HASHES, need: int = NEED,
+    doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """doc_id, start_word, end_word, other_id, other_start, other_end, similarity; ends exclusive, ``other_id`` smaller."""
+    small_batches(df.sparkSession)
+    least = min_words - SHINGLE + 1
+    runs = _runs(df, doc_id, text, least, hashes, need)
+    # One shuffle for both windows. A text's first id stands for its copies, which are linked to it below.
+    copies = Window.partitionBy("name", "doc").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = runs.repartition("name").withColumn("first", F.first("id").over(copies)).where("id = first").drop("first")
+    place = F.struct("id", "doc", "c", "run")
+    name = Window.partitionBy("name")
+    bound = runs.withColumn("low", F.min(place).over(name)).withColumn("high", F.max(place).over(name)).where("low.doc <> high.doc")
+    # Of runs with the same words the one of the smallest id meets the others of the name; the rest meet that one.
+    same = Window.partitionBy("name", "held", F.col("c") - F.shiftright("run", 32)).orderBy("id", "doc", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bound = bound.withColumn("like", F.first(place).over(same))
+    own = (F.col("id") == F.col("low.id")) & (F.col("doc") == F.col("low.doc"))
+    stands = (F.col("doc") == F.col("like.doc")) & (F.col("id") == F.col("like.id"))
+    partner = F.when(own, F.col("high")).when(stands, F.col("low")).otherwise(F.col("like"))
+    settled = (own & (F.col("c") == F.col("low.c"))) | ~stands
+    bound = bound.select("name", "id", "doc", "c", "run", settled.alias("head"), partner.alias("p"))
+    met = materialise(bound.select("*", *[F.col(f"p.{a}").alias(b) for a, b in (("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run"))]).drop("p"), "met")
+    found = _verified(df, met, doc_id, text, least, threshold, "found")
+    found = found.unionByName(_verified(df, _left(met, found), doc_id, text, least, threshold, "rest")).unionByName(_copies(df, doc_id, text, min_words))
     return found.select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias(doc_id), "start_word", "end_word",
-        F.when(F.col("other") != NO_ID, F.col("other")).alias("other_id"), "other_start", "other_end", "similarity",
+        F.when(F.col("id") != NO_ID, F.col("id")).alias(doc_id), "start_word", "end_word",
+        F.when(F.col("other_id") != NO_ID, F.col("other_id")).alias("other_id"), "other_start", "other_end", "similarity",
     ).distinct()

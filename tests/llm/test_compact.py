@@ -150,3 +150,51 @@ def test_corner_cases(spark):
     got = [tuple(r) for r in compact.passages(df).collect()]
     assert got == [(4, 0, 60, None, 1, 61, 1.0)]
     assert compact.passages(df.where("doc_id = 99")).count() == 0
+
+
+def test_runs_are_those_of_the_least_hashes():
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(-(2**63), 2**63 - 1, n) for n in (60, 46, 130)] + [np.resize(rng.integers(-(2**63), 2**63 - 1, 3), 200), np.zeros(300, np.int64)]
+    texts.append(np.concatenate([rng.integers(-(2**63), 2**63 - 1, 20), texts[2][10:90]]))
+    edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    salt, held = compact.salts(4), {}
+    for band, (name, row, c, start, stop, words) in enumerate(compact.name_runs(np.concatenate(texts), edges, 46, 4, 2)):
+        for k, t in enumerate(texts):
+            own = np.flatnonzero(row == k)
+            least = [compact.drawn(t, salt[2 * band + f]) for f in (0, 1)]
+            brute = [tuple(int(x[p : p + 46].min()) for x in least) for p in range(len(t) - 45)]
+            turns = [p for p in range(len(brute)) if not p or brute[p] != brute[p - 1]]
+            assert start[own].tolist() == turns and stop[own].tolist() == [p - 1 for p in turns[1:]] + [len(brute) - 1]
+            for q in own:
+                assert least[0][c[q]] == brute[start[q]][0] and start[q] <= c[q] < start[q] + 46
+                assert held.setdefault((band, int(name[q])), brute[start[q]]) == brute[start[q]]
+                stretch = t[start[q] : stop[q] + 46].tobytes()
+                assert held.setdefault(int(words[q]), stretch) == stretch
+    assert len(compact.windows_of(np.zeros(60_000, np.uint64), 46)) == 59_955
+
+
+def test_a_pair_that_no_first_run_is_like_is_compared(spark):
+    rng = random.Random(21)
+    made = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]
+    rows, want = [], set()
+    for g in range(3):
+        passage = made(50)
+        for k in range(600):
+            # Two changed words: most min-hashes are those of the passage, yet it is not like it.
+            other = list(passage)
+            for place in (rng.randrange(5, 23), rng.randrange(28, 45)):
+                other[place] = made(1)[0]
+            rows.append((10_000 * g + 10 * k, " ".join(made(10) + other + made(10))))
+        a, b = 10_000 * g + 2001, 10_000 * g + 4003
+        rows += [(d, " ".join(made(10) + passage + made(10))) for d in (a, b)]
+        want.add((a, b))
+    found = compact.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.other_id, r.doc_id) for r in found} >= want
+
+
+def test_equal_texts_are_linked_to_the_first(spark):
+    long = " ".join(f"v{i}" for i in range(80))
+    rows = [(d, long) for d in (9, 3, 5)] + [(None, "r " * 200), (4, "r " * 200), (1, "a b " + long)]
+    found = [tuple(r) for r in compact.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert {r for r in found if r[0] in (5, 9)} == {(5, 0, 80, 3, 0, 80, 1.0), (9, 0, 80, 3, 0, 80, 1.0)}
+    assert {(r[0], r[3]) for r in found} == {(5, 3), (9, 3), (3, 1), (4, None)}

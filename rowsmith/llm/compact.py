@@ -34,9 +34,10 @@ from rowsmith.llm.suffixes import NO_ID, lists, sliding_min
 from rowsmith.session import materialise
 
 MIN_WORDS = 50
-# Five bands of two functions: a passage of similarity 0.8 keeps a name with probability 0.994.
-HASHES = 10
-NEED = 2
+# Words of a seed, more than a common line has. Every unbroken stretch keeps its least seed, so one function does.
+SEED_WORDS = 16
+HASHES = 1
+NEED = 1
 SEED = 8
 # How far two diagonals of one passage may lie apart: words put in or left out.
 SLACK = 24
@@ -125,24 +126,64 @@ def name_runs(values: np.ndarray, edges: np.ndarray, least: int, hashes: int, ne
         yield name[at].view(np.int64), row, parts[0][2][own[0][at]] - edges[row], first - edges[row], end - edges[row], held.view(np.int64)
 
 
-def _runs(df: DataFrame, doc_id: str, text: str, least: int, hashes: int, need: int) -> DataFrame:
-    """name, id, doc, c, the first and last place and the hash of the shingles of every run."""
+def unbroken(least: int, threshold: float) -> int:
+    """Words that two passages of ``least`` shingles or more share in one piece at least, if they have the similarity.
+
+    With s shared shingles at most s * (1 - threshold) / threshold others stand in the two of them, and each break between
+    two shared pieces, be it a word put in, left out or changed or a part moved, costs 2 * (SHINGLE - 1) or more.
+    """
+    fewest = max(1, int(np.ceil(2 * least * threshold / (1 + threshold) - 1e-9)))
+    pieces = lambda s: int(s * (1 - threshold) / threshold / (2 * (SHINGLE - 1)) + 1e-9) + 1
+    return min(-(-s // pieces(s)) for s in range(fewest, 20 * least)) + SHINGLE - 1
+
+
+def stretch_runs(words: np.ndarray, edges: np.ndarray, least: int, piece: int, seed: int, hashes: int, need: int):
+    """(name, row, c, start, stop, hash) of the runs of stretches of ``piece`` words that have the same least seed.
+
+    start and stop are the first places of the first and the last passage of ``least`` words that hold such a stretch (the
+    last may reach over the end of the text); the hash is that of all words of these passages.
+
+    A seed of one word again and again names the loops of ``least`` words or more, all of which are alike. A passage with a
+    shorter loop is only like one that shares an end of the loop, so each end is a run, named by seed and word beside it.
+    """
+    base = 0x9E3779B97F4A7C15
+    power, back = (np.multiply.accumulate(np.append(np.uint64(1), np.full(len(words), x, np.uint64))) for x in (base, pow(base, -1, 2**64)))
+    total = np.append(np.uint64(0), np.cumsum(drawn(words, np.uint64(SEED)) * power[:-1], dtype=np.uint64))
+    first = np.arange(max(0, len(words) - seed + 1))
+    seeds = (total[first + seed] - total[first]) * back[first]
+    # Seeds that reach into the next text leave.
+    stays = np.ones(len(words), bool)
+    for k in range(1, seed):
+        stays[edges[1:] - k] = False
+    places = edges - (seed - 1) * np.arange(len(edges))
+    opens = np.append(True, words[1:] != words[:-1])
+    opens[edges[:-1][np.diff(edges) > 0]] = True
+    begin, loop = np.flatnonzero(opens), np.cumsum(opens) - 1
+    for name, row, c, start, stop, _ in name_runs(seeds[stays[: len(seeds)]].view(np.int64), places, piece - seed + 1, hashes, need):
+        first, behind = begin[loop[edges[row] + c]], np.append(begin[1:], len(words))[loop[edges[row] + c]]
+        looped = behind - first >= seed
+        stays_ = ~looped | (behind - first >= least)
+        parts = [(name[stays_], row[stays_], c[stays_], np.maximum(0, start - (least - piece))[stays_], stop[stays_])]
+        for side, at, beside, there in ((1, first - 1, first - 1, first > edges[row]), (2, behind - SHINGLE + 1, behind, behind < edges[row + 1])):
+            k = np.flatnonzero(looped & there)
+            at = at[k] - edges[row[k]]
+            parts.append((name[k] ^ drawn(words[beside[k]], np.uint64(side)).view(np.int64), row[k], at, np.maximum(0, at - (least - SHINGLE)), at))
+        name, row, c, start, stop = (np.concatenate(x) for x in zip(*parts))
+        low, high = edges[row] + start, np.minimum(edges[row] + stop + least, edges[row + 1])
+        yield name, row, c, start, stop, ((total[high] - total[low]) * back[low]).view(np.int64)
+
+
+def _runs(df: DataFrame, doc_id: str, text: str, least: int, piece: int, seed: int, hashes: int, need: int) -> DataFrame:
+    """name, id, doc, c, the first and last place of the passages and the hash of the words of every run."""
     words = F.transform(content_words(text_of(df, text)), lambda w: F.xxhash64(w))
-    base = df.select(*identity(df, doc_id, text), words.alias("w")).where(F.size("w") >= least + SHINGLE - 1)
+    base = df.select(*identity(df, doc_id, text), words.alias("w")).where(F.size("w") >= least)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, edges = lists(batch.column("w"))
             if not len(words):
                 continue
-            # Shingles that reach into the next text leave.
-            stays = np.ones(len(words), bool)
-            for k in range(1, SHINGLE):
-                stays[edges[1:] - k] = False
-            values = shingles(words.view(np.uint64))
-            values = values[stays[: len(values)]].view(np.int64)
-            places = edges - (SHINGLE - 1) * np.arange(len(edges))
-            for names, row, c, start, stop, held in name_runs(values, places, least, hashes, need):
+            for names, row, c, start, stop, held in stretch_runs(words, edges, least, piece, seed, hashes, need):
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names), batch.column("id").take(take), batch.column("doc").take(take), pa.array(c.astype(np.int32)), pa.array(start * FIELD + stop), pa.array(held)],
@@ -275,6 +316,35 @@ def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list
     return out
 
 
+def may_hold(a: np.ndarray, ea: np.ndarray, b: np.ndarray, eb: np.ndarray, least: int, threshold: float) -> np.ndarray:
+    """Whether both sides of each pair of word lists, laid end to end, have ``least`` neighbouring shingles with enough that the other has.
+
+    A stretch of ``least`` places or more of which the share ``threshold`` is hit has ``least`` neighbours with
+    threshold * least / (2 - threshold) hits: with at most h in any of them, k * least + d places have at most k * h + min(d, h).
+    """
+    keys, edges = [], []
+    for words, borders in ((a, ea), (b, eb)):
+        rows = np.repeat(np.arange(len(borders) - 1, dtype=np.uint64), np.diff(borders))
+        found = shingles(words)
+        key = found ^ (rows[: len(found)] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        # Those that reach into the next list are like none.
+        key[rows[: len(found)] != rows[SHINGLE - 1 :]] = 0
+        keys.append(key)
+        edges.append(borders)
+    fewest, out = threshold * least / (2 - threshold) - 1e-9, np.ones(len(ea) - 1, bool)
+    for mine, other, borders in ((keys[0], keys[1], edges[0]), (keys[1], keys[0], edges[1])):
+        hits = np.append(0, np.cumsum(np.isin(mine, other) & (mine != 0)))
+        most = np.zeros(len(borders) - 1, np.int64)
+        if len(mine) >= least:
+            at = np.arange(len(mine) - least + 1)
+            row = np.searchsorted(borders, at, "right") - 1
+            # A stretch that reaches into the next list is none.
+            at, row = (x[at + least + SHINGLE - 1 <= borders[row + 1]] for x in (at, row))
+            np.maximum.at(most, row, hits[at + least] - hits[at])
+        out &= most >= fewest
+    return out
+
+
 REGION = "ia int, ja int, ib int, jb int"
 PAIR = ["id", "doc", "other_id", "other"]
 
@@ -337,7 +407,7 @@ def _verified(df: DataFrame, links: DataFrame, doc_id: str, text: str, least: in
             (a, ea), (b, eb) = lists(batch.column("a")), lists(batch.column("b"))
             ia, ib = (batch.column(c).to_numpy() for c in ("ia", "ib"))
             at, out = [], []
-            for k in range(batch.num_rows):
+            for k in np.flatnonzero(may_hold(a, ea, b, eb, least, threshold)).tolist():
                 for start, stop, first, last, similarity in verified(a[ea[k] : ea[k + 1]], b[eb[k] : eb[k + 1]], least, threshold):
                     at.append(k)
                     out.append((ia[k] + start, ia[k] + stop, ib[k] + first, ib[k] + last, similarity))
@@ -355,7 +425,7 @@ def _verified(df: DataFrame, links: DataFrame, doc_id: str, text: str, least: in
 def _left(met: DataFrame, found: DataFrame) -> DataFrame:
     """Links of the runs that lie in no passage found with their partner: to all others of the name."""
     # The head of a name has met all the others, and runs with the words of another one go with it.
-    rows = met.where("not head").withColumn("pair", F.xxhash64(*PAIR))
+    rows = met.withColumn("pair", F.xxhash64(*PAIR))
     ways = [("id", "doc", "other_id", "other", "start_word", "end_word"), ("other_id", "other", "id", "doc", "other_start", "other_end")]
     one, two = (found.select(F.xxhash64(*way[:4]).alias("pair"), F.col(way[4]).alias("start"), F.col(way[5]).alias("end")) for way in ways)
     inside = one.unionByName(two).groupBy("pair").agg(F.collect_list(F.struct("start", "end")).alias("in"))
@@ -384,12 +454,13 @@ def _copies(df: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
 
 def passages(
     df: DataFrame, min_words: int = MIN_WORDS, threshold: float = SIMILARITY, hashes: int = HASHES, need: int = NEED,
-    doc_id: str = "doc_id", text: str = "text",
+    doc_id: str = "doc_id", text: str = "text", seed_words: int = SEED_WORDS,
 ) -> DataFrame:
     """doc_id, start_word, end_word, other_id, other_start, other_end, similarity; ends exclusive, ``other_id`` smaller."""
     small_batches(df.sparkSession)
     least = min_words - SHINGLE + 1
-    runs = _runs(df, doc_id, text, least, hashes, need)
+    piece = unbroken(least, threshold)
+    runs = _runs(df, doc_id, text, min_words, piece, min(seed_words, piece), hashes, need)
     # One shuffle for both windows. A text's first id stands for its copies, which are linked to it below.
     copies = Window.partitionBy("name", "doc").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     runs = runs.repartition("name").withColumn("first", F.first("id").over(copies)).where("id = first").drop("first")
@@ -398,14 +469,22 @@ def passages(
     bound = runs.withColumn("low", F.min(place).over(name)).withColumn("high", F.max(place).over(name)).where("low.doc <> high.doc")
     # Of runs with the same words the one of the smallest id meets the others of the name; the rest meet that one.
     same = Window.partitionBy("name", "held", F.col("c") - F.shiftright("run", 32)).orderBy("id", "doc", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bound = bound.withColumn("like", F.first(place).over(same))
-    own = (F.col("id") == F.col("low.id")) & (F.col("doc") == F.col("low.doc"))
-    stands = (F.col("doc") == F.col("like.doc")) & (F.col("id") == F.col("like.id"))
-    partner = F.when(own, F.col("high")).when(stands, F.col("low")).otherwise(F.col("like"))
-    settled = (own & (F.col("c") == F.col("low.c"))) | ~stands
-    bound = bound.select("name", "id", "doc", "c", "run", settled.alias("head"), partner.alias("p"))
-    met = materialise(bound.select("*", *[F.col(f"p.{a}").alias(b) for a, b in (("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run"))]).drop("p"), "met")
-    found = _verified(df, met, doc_id, text, least, threshold, "found")
+    alike = Window.partitionBy("name", "held", F.col("c") - F.shiftright("run", 32))
+    bound = bound.withColumn("like", F.first(place).over(same)).withColumn("n", F.count("*").over(alike))
+    # The words most runs of the name have are what edited copies come from: fewest are unlike them.
+    bound = bound.withColumn("most", F.min(F.struct(-F.col("n"), "like")).over(name)["like"])
+    is_ = lambda x: (F.col("id") == F.col(f"{x}.id")) & (F.col("doc") == F.col(f"{x}.doc"))
+    stands = is_("like") & (F.col("c") == F.col("like.c"))
+    head = (is_("most") & (F.col("c") == F.col("most.c"))) | ~stands
+    centre = F.when(~is_("most"), F.col("most")).when((F.col("most.id") == F.col("low.id")) & (F.col("most.doc") == F.col("low.doc")), F.col("high")).otherwise(F.col("low"))
+    partner = F.when(is_("low"), F.col("high")).when(is_("like"), F.col("low")).otherwise(F.col("like"))
+    bound = bound.select("name", "id", "doc", "c", "run", head.alias("head"), partner.alias("p"), centre.alias("m"))
+    met = materialise(bound, "met")
+    to = lambda x: [F.col(f"{x}.{a}").alias(b) for a, b in (("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run"))]
+    own = ["name", "id", "doc", "c", "run", "head"]
+    links = met.select(*own, *to("p")).unionByName(met.where("not head and m <> p").select(*own, *to("m")))
+    found = _verified(df, links, doc_id, text, least, threshold, "found")
+    met = met.where("not head").select(*own, *to("m"))
     found = found.unionByName(_verified(df, _left(met, found), doc_id, text, least, threshold, "rest")).unionByName(_copies(df, doc_id, text, min_words))
     return found.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias(doc_id), "start_word", "end_word",

@@ -198,3 +198,49 @@ def test_equal_texts_are_linked_to_the_first(spark):
     found = [tuple(r) for r in compact.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert {r for r in found if r[0] in (5, 9)} == {(5, 0, 80, 3, 0, 80, 1.0), (9, 0, 80, 3, 0, 80, 1.0)}
     assert {(r[0], r[3]) for r in found} == {(5, 3), (9, 3), (3, 1), (4, None)}
+
+
+def test_passages_alike_share_a_piece_and_its_seed():
+    rng = np.random.default_rng(17)
+    piece = compact.unbroken(46, 0.8)
+    assert piece == 25
+    new = lambda n: rng.integers(-(2**63), 2**63 - 1, n)
+    for _ in range(300):
+        a = new(int(rng.integers(50, 130)))
+        cuts = np.sort(rng.integers(1, len(a), rng.integers(1, 4)))
+        # Words changed, put in or left out, or two parts that change places.
+        parts = np.split(a, cuts)
+        b = np.concatenate([x for p in parts for x in (p[int(rng.integers(2)) :], new(int(rng.integers(2))))]) if rng.random() < 0.7 else np.concatenate(parts[::-1])
+        if len(b) < 50 or compact.similarity_of(compact.shingles(a), compact.shingles(b)) < 0.8:
+            continue
+        texts = [np.concatenate([new(40), x, new(40)]) for x in (a, b)]
+        edges = np.array([0, len(texts[0]), len(texts[0]) + len(texts[1])])
+        (name, row, *_), = compact.stretch_runs(np.concatenate(texts), edges, 50, piece, 16, 1, 1)
+        assert set(name[row == 0]) & set(name[row == 1])
+
+
+def test_short_loops_do_not_meet_and_long_ones_do():
+    words = lambda *parts: np.concatenate([np.full(n, w, np.int64) if n > 0 else np.arange(w, w - n) for w, n in parts])
+    texts = [words((100 * k, -40), (7, n), (100 * k + 50, -40)) for k, n in ((1, 34), (2, 40), (3, 60), (4, 9000))]
+    # The same loop and what stands behind it, with other words before.
+    texts.append(words((500, -40), (7, 30), (150, -40)))
+    edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    (name, row, c, start, stop, _), = compact.stretch_runs(np.concatenate(texts), edges, 50, 25, 16, 1, 1)
+    shared = {(i, j) for i in range(5) for j in range(i) if set(name[row == i]) & set(name[row == j])}
+    assert shared == {(3, 2), (4, 0)}
+
+
+def test_pairs_that_cannot_be_alike_are_told_from_the_others():
+    rng = np.random.default_rng(18)
+    a, b = [], []
+    for k in range(60):
+        one = rng.integers(0, 2**31, 60 + k)
+        two = one.copy()
+        two[rng.integers(0, len(two), k % 7)] = -1
+        a.append(one)
+        b.append(two if k % 5 else rng.integers(0, 2**31, 40))
+    flat = lambda x: (np.concatenate(x), np.concatenate([[0], np.cumsum([len(y) for y in x])]))
+    may = compact.may_hold(*flat(a), *flat(b), 46, 0.8)
+    assert not may[::5].any()
+    for k in range(60):
+        assert may[k] or not compact.verified(a[k], b[k], 46, 0.8)

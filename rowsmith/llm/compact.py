@@ -1,19 +1,21 @@
 """Near-duplicate passages by compact windows.
 
-1. Under each of HASHES functions the shingle hashes of a text form a Cartesian tree: the least one in a stretch splits
-   it. Each node is a compact window (l, c, r): every passage inside [l, r] that holds c has the shingle at c as its
-   min-hash. Windows shorter than the shortest passage are not made, so a text of n words has about 2n / MIN_WORDS.
-2. The functions go in bands of NEED. Where the windows of a band overlap, the shortest passages at neighbouring places that
-   have the same min-hashes are one run, named by them. Names are brought together by one shuffle, and what stands in one
-   document only leaves there.
-3. Each name joins its runs to the one of the smallest id (that one to the last). What a pair shares on one diagonal is a
-   candidate, and is verified on the words: matching shingles are aligned, the stretch of MIN_WORDS words or more with the
-   largest surplus over the similarity is cut out, then what is left on both sides, until none has a Jaccard similarity of
-   THRESHOLD on its five-word shingles.
+1. Two passages of similarity THRESHOLD share a piece of ``unbroken`` words (25 of 50 at 0.8): each break costs shingles on
+   both sides. Under each of HASHES functions (one does) the hashes of SEED_WORDS words form a Cartesian tree: the least one
+   in a stretch splits it. Each node is a compact window (l, c, r): every piece inside [l, r] that holds c has the seed at c.
+2. Neighbouring pieces with the same seeds under the NEED functions of a band are one run, named by them; all passages that
+   hold such a piece go with it. Loops of one word are named by the loop or by their ends. Names are brought together by
+   one shuffle, and what stands in one document only leaves there.
+3. Each name joins its runs to the one of the smallest id (that one to the last) and to one with the commonest words. What
+   a pair shares on one diagonal is a candidate, and is verified on the words: matching shingles are aligned, the stretch of
+   MIN_WORDS words or more with the largest surplus over the similarity is cut out, then what is left on both sides, until
+   none has a Jaccard similarity of THRESHOLD on its five-word shingles.
    Runs of a name with the same words are joined to the first of them, which stands for them.
-4. A run whose shared shingle lies in no passage verified with its partner meets all other runs of its name. So of two runs of a name that are alike, both are linked to the first one or they are compared: no pair is left
-   out. Of equal texts the one of the smallest id takes part, the others are linked to it as a whole. Words are verified by 32-bit hashes.
+4. A run whose shared seed begins in no passage verified with the one of the commonest words meets all other runs of its
+   name, so this rest grows with the square of a family of copies with many edits: no pair is left out. Of equal texts
+   the one of the smallest id takes part, the others are linked to it as a whole. Words are verified by 32-bit hashes.
 
+Not found: passages alike as sets only, whose shared parts repeat in another order and are all shorter than such a piece.
 Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage; repeats inside one document
 and rows that repeat id and text are not reported; rows that share an id, or have none, and differ in text are documents of
 their own; ``other_id`` is the smaller id, NULL the smallest; very long texts are taken whole; an empty table has no passages.
@@ -254,8 +256,8 @@ def best_pair(i: np.ndarray, j: np.ndarray, least: int, threshold: float) -> tup
     if gain[last] + base >= -1e-9:
         return int(np.flatnonzero(rise[: full[last] + 1] == lowest[full[last]])[-1]), last
     best, found = -1e-9, None
-    # Fewer shared places do not do even for the shortest stretches.
-    for d in range(max(0, int(np.ceil(2 * least * threshold / (1 + threshold) - 1e-9)) - 1), min(n, 2 * least)):
+    # Fewer shared places do not do even for the shortest stretches, and with more of them both stretches were full above.
+    for d in range(max(0, int(np.ceil(2 * least * threshold / (1 + threshold) - 1e-9)) - 1), min(n, least)):
         spans = [x[d:] - x[: n - d] + 1 for x in (i, j)]
         score = (1 + threshold) * (d + 1) - threshold * (np.maximum(spans[0], least) + np.maximum(spans[1], least))
         first = int(np.argmax(score))
@@ -286,11 +288,13 @@ def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list
     sa, sb = shingles(a), shingles(b)
     open_, out = [(0, len(sa))], []
     # What is found below has a surplus of shared places over the threshold, on ``least`` places or more.
-    if len(sb) < least or np.isin(sa, sb).sum() < least * threshold - 1e-9:
+    hits, fewest = np.append(0, np.cumsum(np.isin(sa, sb))), threshold * least / (2 - threshold) - 1e-9
+    if len(sb) < least or hits[-1] < least * threshold - 1e-9:
         return out
     while open_:
         low, high = open_.pop()
-        if high - low < least:
+        # As in ``may_hold``.
+        if high - low < least or (hits[low + least : high + 1] - hits[low : high - least + 1]).max() < fewest:
             continue
         i, j = aligned(sa[low:high], sb)
         pair = best_pair(i, j, least, threshold)

@@ -11,9 +11,12 @@
    MIN_WORDS words or more with the largest surplus over the similarity is cut out, then what is left on both sides, until
    none has a Jaccard similarity of THRESHOLD on its five-word shingles.
    Runs of a name with the same words are joined to the first of them, which stands for them.
-4. A run whose shared seed begins in no passage verified with the one of the commonest words meets all other runs of its
-   name, so this rest grows with the square of a family of copies with many edits: no pair is left out. Of equal texts
-   the one of the smallest id takes part, the others are linked to it as a whole. Words are verified by 32-bit hashes.
+4. A run whose shared seed begins in no passage verified with the one of the commonest words meets others of its name, by the
+   words around the seed, those most alike first, until it is in one class with the centre; what is in one class already is
+   not compared. So two runs that are alike are always linked, if by way of others, and the links grow with the runs and not
+   with their pairs. A name of many runs is dealt out in blocks of BLOCK; what is left apart in one meets all other blocks.
+   Of equal texts the one of the smallest id takes part, the others are linked to it as a whole. Words are verified by
+   32-bit hashes.
 
 Not found: passages alike as sets only, whose shared parts repeat in another order and are all shorter than such a piece.
 Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage; repeats inside one document
@@ -43,6 +46,8 @@ NEED = 1
 SEED = 8
 # How far two diagonals of one passage may lie apart: words put in or left out.
 SLACK = 24
+# Runs of a name that are compared in one piece of work.
+BLOCK = 2000
 # Where two whole numbers share a 64-bit field.
 FIELD = 2**32
 
@@ -285,7 +290,11 @@ def similarity_of(a: np.ndarray, b: np.ndarray) -> float:
 
 def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list[tuple[int, int, int, int, float]]:
     """[start, stop) in both lists of word hashes, in words, and the similarity, of every near-duplicate stretch."""
-    sa, sb = shingles(a), shingles(b)
+    return stretches(shingles(a), shingles(b), least, threshold)
+
+
+def stretches(sa: np.ndarray, sb: np.ndarray, least: int, threshold: float, place: int = -1) -> list[tuple[int, int, int, int, float]]:
+    """``verified`` of lists of shingles; with a ``place`` in the first one what does not lead to the stretch that holds it may be left out."""
     open_, out = [(0, len(sa))], []
     # What is found below has a surplus of shared places over the threshold, on ``least`` places or more.
     hits, fewest = np.append(0, np.cumsum(np.isin(sa, sb))), threshold * least / (2 - threshold) - 1e-9
@@ -316,7 +325,7 @@ def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list
             similarity = similarity_of(sa[start:stop], sb[first:last]) if last > first else 0.0
         if similarity >= threshold - 1e-9:
             out.append((start, stop + SHINGLE - 1, first, last + SHINGLE - 1, similarity))
-        open_ += [(low, start), (stop, high)]
+        open_ += [x for x in ((low, start), (stop, high)) if place < 0 or x[0] <= place < x[1]]
     return out
 
 
@@ -349,8 +358,87 @@ def may_hold(a: np.ndarray, ea: np.ndarray, b: np.ndarray, eb: np.ndarray, least
     return out
 
 
+def surplus(hits: np.ndarray, there: np.ndarray, seed: int, least: int, gain: float, cost: float) -> np.ndarray:
+    """For each row the largest sum, a hit counted as ``gain`` and any other place as -``cost``, of a stretch of ``least``
+    places or more that holds the place ``seed`` and only places that are there."""
+    step = np.where(there, np.where(hits, gain, -cost), -1e6)
+    total = np.concatenate([np.zeros((len(hits), 1)), np.cumsum(step, axis=1)], axis=1)
+    lowest = np.minimum.accumulate(total[:, : seed + 1], axis=1)
+    stop = np.arange(max(seed + 1, least), total.shape[1])
+    return (total[:, stop] - lowest[:, np.minimum(seed, stop - least)]).max(axis=1) if len(stop) else np.full(len(hits), -np.inf)
+
+
+def joined(
+    words: np.ndarray, edges: np.ndarray, at: np.ndarray, who: np.ndarray, label: np.ndarray, side: np.ndarray, least: int, threshold: float
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that bring the runs of a name into as few classes as all pairs of them would, and the class of each.
+
+    The words around a run's seed, which begins ``at`` a place in them, lie end to end. ``who`` is its document, later ones
+    with larger numbers, ``label`` its class so far. Those of a class other than 0 meet all of other documents, sides and
+    classes, those most alike first, until they are in class 0: a pair that is in one class already is not compared.
+    """
+    n, classes, out = len(edges) - 1, label.copy(), []
+    row, found = np.repeat(np.arange(n), np.diff(edges)), shingles(words)
+    whole = np.flatnonzero(row[: len(found)] == row[SHINGLE - 1 :])
+    if not len(whole):
+        return out, classes
+    place = (np.arange(len(words)) - edges[row] - at[row])[whole]
+    seed, (kinds, key) = -min(0, int(place.min())), np.unique(found[whole], return_inverse=True)
+    none = len(kinds)
+    # The shingles of each run, those at the seed below one another.
+    table = np.full((n, max(0, int(place.max())) + seed + 1), none)
+    table[row[whole], place + seed] = key
+    there, ranked = table != none, np.sort(table, axis=1)
+    repeats = ((ranked[:, 1:] == ranked[:, :-1]) & (ranked[:, 1:] != none)).any(axis=1)
+    for i in np.flatnonzero((label > 0) & (side > 0)).tolist():
+        held = np.zeros(none + 1, bool)
+        held[table[i]] = True
+        held[none] = False
+        # What is found has the share ``threshold`` of hits on either side, and if no shingle repeats on both together too.
+        # Where one does the earlier document's side may be shorter, and hold another copy of the seed.
+        others = np.flatnonzero((classes != classes[i]) & (who != who[i]) & (side != side[i]))
+        theirs = held[table[others]]
+        stays = (theirs.sum(axis=1) >= threshold * least - 1e-9) | repeats[i] | repeats[others]
+        others, theirs = others[stays], theirs[stays]
+        if not len(others) or classes[i] == 0:
+            continue
+        first = np.zeros(none + 1, np.int64)
+        first[table[i][::-1]] = np.arange(table.shape[1])[::-1]
+        mine, (r, c) = np.zeros(theirs.shape, bool), np.nonzero(theirs)
+        mine[r, first[table[others[r], c]]] = True
+        mine = mine[:, first[table[i]]] & there[i]
+        sides = [(mine, np.broadcast_to(there[i], mine.shape)), (theirs, there[others])]
+        alike = [surplus(*x, seed, least, 1 - threshold, threshold) >= -1e-6 for x in sides]
+        score = sum(surplus(*x, seed, least, (1 - threshold) / 2, threshold) for x in sides)
+        again = repeats[i] | repeats[others]
+        stays = np.where(again, np.where(who[i] > who[others], *alike), alike[0] & alike[1] & (score >= -1e-6))
+        for j in others[stays][np.argsort(-score[stays], kind="stable")].tolist():
+            if classes[i] == 0:
+                break
+            if classes[i] == classes[j]:
+                continue
+            a, b = (i, j) if who[i] > who[j] else (j, i)
+            # Only a pair with repeats may be one by the seed of its second side alone.
+            place = int(at[a]) if a == i or not (repeats[a] or repeats[b]) else -1
+            lists_ = (found[edges[x] : max(edges[x], edges[x + 1] - SHINGLE + 1)] for x in (a, b))
+            for start, stop, low, high, _ in stretches(*lists_, least, threshold, place):
+                inside = [start <= at[a] <= stop - SHINGLE, low <= at[b] <= high - SHINGLE]
+                if all(inside) or (repeats[a] or repeats[b]) and inside[a != i]:
+                    out.append((i, j))
+                    classes[classes == max(classes[i], classes[j])] = min(classes[i], classes[j])
+                    break
+    return out, classes
+
+
 REGION = "ia int, ja int, ib int, jb int"
 PAIR = ["id", "doc", "other_id", "other"]
+RUN = ["name", "id", "doc", "c", "run"]
+
+
+def _words(df: DataFrame, wanted: DataFrame, doc: str, doc_id: str, text: str) -> DataFrame:
+    """id, doc and the 32-bit hashes of the words of documents; most that are not ``wanted`` leave before they are split."""
+    words = F.transform(content_words(F.col("t")), lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
+    return may_match(df.select(*identity(df, doc_id, text), text_of(df, text).alias("t")), F.col("doc"), wanted, F.col(doc)).select("id", "doc", words.alias("w"))
 
 
 def _verified(df: DataFrame, links: DataFrame, doc_id: str, text: str, least: int, threshold: float, label: str) -> DataFrame:
@@ -395,9 +483,7 @@ def _verified(df: DataFrame, links: DataFrame, doc_id: str, text: str, least: in
         F.struct(F.lit(1).alias("side"), F.col("other_id").alias("in_id"), F.col("other").alias("in"), F.col("ib").alias("i"), F.col("jb").alias("j")),
     )).alias("s")).select("name", "pair", "s.*")
     # Only the words of the stretches travel on; a text is split once, and its stretches are not gathered in one row.
-    words = F.transform(content_words(F.col("t")), lambda w: F.shiftright(F.xxhash64(w), 32).cast("int"))
-    # Texts without a stretch leave before they are split.
-    whole = may_match(df.select(*identity(df, doc_id, text), text_of(df, text).alias("t")), F.col("doc"), sides, F.col("in")).select("id", "doc", words.alias("w"))
+    whole = _words(df, sides, "in", doc_id, text)
     cut = sides.join(whole, (F.col("id") == F.col("in_id")) & (F.col("doc") == F.col("in"))).select(
         "name", "pair", "side", F.slice("w", F.col("i") + 1, F.col("j") - F.col("i") + SHINGLE).alias("w")
     )
@@ -426,8 +512,8 @@ def _verified(df: DataFrame, links: DataFrame, doc_id: str, text: str, least: in
     return materialise(both.mapInArrow(verify, kinds), label)
 
 
-def _left(met: DataFrame, found: DataFrame) -> DataFrame:
-    """Links of the runs that lie in no passage found with their partner: to all others of the name."""
+def _left(df: DataFrame, met: DataFrame, found: DataFrame, doc_id: str, text: str, least: int, threshold: float) -> DataFrame:
+    """Links of the runs that lie in no passage found with their partner, to others of the name that they are like."""
     # The head of a name has met all the others, and runs with the words of another one go with it.
     rows = met.withColumn("pair", F.xxhash64(*PAIR))
     ways = [("id", "doc", "other_id", "other", "start_word", "end_word"), ("other_id", "other", "id", "doc", "other_start", "other_end")]
@@ -437,10 +523,95 @@ def _left(met: DataFrame, found: DataFrame) -> DataFrame:
     spots = rows.select("pair", "c").distinct().join(inside, "pair", "left").where(F.col("in").isNull() | ~lies).select("pair", "c")
     spots = materialise(spots, "spots")
     open_ = may_match(rows, F.xxhash64("pair", "c"), spots, F.xxhash64("pair", "c")).join(spots, ["pair", "c"], "left_semi")
-    open_ = materialise(open_.select("name", "id", "doc", "c", "run"), "open")
-    others = may_match(rows, F.col("name"), open_, F.col("name"))
-    others = others.select("name", *[F.col(a).alias(b) for a, b in (("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run"))])
-    return open_.join(others, "name").where("doc <> other")
+    open_ = materialise(open_.select(*RUN).distinct(), "open")
+    others = may_match(rows, F.col("name"), open_, F.col("name")).select(*RUN, F.lit(0).alias("open"))
+    members = others.unionByName(open_.withColumn("open", F.lit(1))).repartition("name").groupBy(*RUN).agg(F.max("open").alias("open"))
+    name = Window.partitionBy("name")
+    members = members.withColumn("low", F.min("doc").over(name)).withColumn("high", F.max("doc").over(name)).withColumn("some", F.max("open").over(name))
+    # A name of many runs is dealt out in blocks.
+    members = members.withColumn("blocks", F.ceil(F.count("*").over(name) / BLOCK).cast("int")).where("low <> high and some = 1")
+    members = members.select(*RUN, "open", "blocks", F.pmod(F.xxhash64("id", "doc", "c"), F.col("blocks")).cast("int").alias("block"))
+    members = materialise(members, "members")
+    label = F.when(F.col("open") == 1, F.xxhash64("id", "doc", "c")).otherwise(0).alias("label")
+    first = _joined(df, members.select(*RUN, "blocks", "block", F.lit(0).alias("guests"), F.lit(0).alias("guest"), label), doc_id, text, least, threshold, "joined")
+    links = first.where("other is not null")
+    apart = first.where("other is null").select(*RUN, "blocks", "block", "label").distinct()
+    if not apart.isEmpty():
+        # Those of one block that are not like the centre, by way of others, meet all other blocks of the name.
+        homes = apart.groupBy("name").agg(F.collect_set("block").alias("homes"))
+        hosts = members.join(apart.select(*RUN, "label"), RUN, "left").join(homes, "name").select(*RUN, "blocks", "block", F.explode("homes").alias("guests"), F.lit(0).alias("guest"), F.coalesce("label", F.lit(0).cast("long")).alias("label"))
+        guests = apart.select(*RUN, "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"), F.col("block").alias("guests"), F.lit(1).alias("guest"), "label").withColumnRenamed("to", "block")
+        links = links.unionByName(_joined(df, hosts.unionByName(guests).where("block <> guests"), doc_id, text, least, threshold, "blocks"))
+    # Documents that are linked meet by all runs of which one is open: a passage is verified as a whole.
+    links = links.select(*PAIR)
+    pairs = links.unionByName(links.select(F.col("other_id").alias("id"), F.col("other").alias("doc"), F.col("id").alias("other_id"), F.col("doc").alias("other"))).distinct()
+    key = F.xxhash64("name", "id", "doc")
+    from_ = open_.join(pairs, ["id", "doc"])
+    to = may_match(others, key, from_, F.xxhash64("name", "other_id", "other"))
+    to = to.select("name", *[F.col(a).alias(b) for a, b in (("id", "other_id"), ("doc", "other"), ("c", "other_c"), ("run", "other_run"))])
+    return from_.join(to, ["name", "other_id", "other"])
+
+
+def _joined(df: DataFrame, units: DataFrame, doc_id: str, text: str, least: int, threshold: float, label: str) -> DataFrame:
+    """Links (other not NULL) of the runs of each (name, block, guests), and, of a name of many blocks, the runs that are in
+    no class with its centre (other NULL) with their class."""
+    reach = 2 * (least + SHINGLE - 1)
+    start = F.greatest(F.col("c") - reach, F.lit(0))
+    words = F.slice("w", start + 1, F.col("c") - start + reach).alias("w")
+    cut = units.join(_words(df, units, "doc", doc_id, text), ["id", "doc"]).select(*units.columns, (F.col("c") - start).alias("at"), words)
+    unit = ["name", "block", "guests"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    names = [*RUN, "blocks", "block", "other_id", "other", "label"]
+
+    def link(part: pa.Table, borders: list[int]) -> Iterator[pa.RecordBatch]:
+        words, edges = lists(part.column("w").combine_chunks())
+        get = {c: part.column(c).to_numpy() for c in (*RUN, "blocks", "block", "guest", "label", "at")}
+        take, other, is_link = [], [], []
+        for low, high in zip(borders[:-1], borders[1:]):
+            rows = slice(low, high)
+            who = np.unique(np.stack([get["id"][rows], get["doc"][rows]], axis=1), axis=0, return_inverse=True)[1].reshape(-1)
+            # Class 0 stays, the others are numbered.
+            given = get["label"][rows]
+            known = np.unique(given[given != 0])
+            classes = np.where(given == 0, 0, 1 + np.searchsorted(known, given))
+            single = not get["guest"][rows].any()
+            side = 1 + np.arange(high - low) if single else get["guest"][rows]
+            pairs, classes = joined(words[edges[low] : edges[high]], edges[low : high + 1] - edges[low], get["at"][rows], who, classes, side, least, threshold)
+            for i, j in pairs:
+                take.append(low + i)
+                other.append(low + j)
+                is_link.append(True)
+            if single and get["blocks"][low] > 1:
+                for i in np.flatnonzero(classes).tolist():
+                    take.append(low + i)
+                    other.append(low + int(np.flatnonzero(classes == classes[i])[0]))
+                    is_link.append(False)
+        take, other, none = np.array(take, np.int64), np.array(other, np.int64), ~np.array(is_link, bool)
+        columns = [get[c][take] for c in (*RUN, "blocks", "block")]
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(x, kind) for x, kind in zip(columns, kinds)], pa.array(get["id"][other], kinds[7], mask=none), pa.array(get["doc"][other], kinds[8], mask=none), pa.array(get["label"][other], kinds[9])],
+            names=names,
+        )
+
+    def link_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = pa.concat_tables([rest, part]) if rest is not None else part
+            # Rows of the table that repeat id and text bring a run more than once.
+            again = np.logical_and.reduce([np.diff(part.column(c).to_numpy()) == 0 for c in (*unit, "id", "doc", "c", "run")])
+            part = part.filter(pa.array(np.append(True, ~again)))
+            turns = np.logical_or.reduce([np.diff(part.column(c).to_numpy()) != 0 for c in unit])
+            borders = [0, *(np.flatnonzero(turns) + 1).tolist()]
+            # The last unit may go on in the next batch.
+            rest = part.slice(borders[-1])
+            if len(borders) > 1:
+                yield from link(part.slice(0, borders[-1]).combine_chunks(), borders)
+        if rest is not None and rest.num_rows:
+            yield from link(rest.combine_chunks(), [0, rest.num_rows])
+
+    dealt = cut.repartition(*unit).sortWithinPartitions(*unit, "id", "doc", "c")
+    return materialise(dealt.mapInArrow(link_all, "name long, id long, doc long, c int, run long, blocks int, block int, other_id long, other long, label long"), label)
 
 
 def _copies(df: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
@@ -489,7 +660,7 @@ def passages(
     links = met.select(*own, *to("p")).unionByName(met.where("not head and m <> p").select(*own, *to("m")))
     found = _verified(df, links, doc_id, text, least, threshold, "found")
     met = met.where("not head").select(*own, *to("m"))
-    found = found.unionByName(_verified(df, _left(met, found), doc_id, text, least, threshold, "rest")).unionByName(_copies(df, doc_id, text, min_words))
+    found = found.unionByName(_verified(df, _left(df, met, found, doc_id, text, least, threshold), doc_id, text, least, threshold, "rest")).unionByName(_copies(df, doc_id, text, min_words))
     return found.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias(doc_id), "start_word", "end_word",
         F.when(F.col("other_id") != NO_ID, F.col("other_id")).alias("other_id"), "other_start", "other_end", "similarity",

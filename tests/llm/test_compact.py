@@ -244,3 +244,82 @@ def test_pairs_that_cannot_be_alike_are_told_from_the_others():
     assert not may[::5].any()
     for k in range(60):
         assert may[k] or not compact.verified(a[k], b[k], 46, 0.8)
+
+
+def family(rng, n, edits):
+    """Copies of one passage with words changed in places of their own: neighbours of a chain are alike, far ones are not."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for place in rng.sample(range(120), edits):
+            copy[place] = f"x{rng.randrange(10**6)}"
+        out.append(copy)
+    return out
+
+
+def flat_runs(texts, seed_at):
+    kinds = {}
+    words = [np.array([kinds.setdefault(w, len(kinds) + 1) for w in t], np.int32) for t in texts]
+    return np.concatenate(words), np.append(0, np.cumsum([len(w) for w in words])), np.array(seed_at)
+
+
+def test_runs_are_in_as_few_classes_as_all_pairs_make():
+    rng = random.Random(31)
+    for edits in (2, 4, 6):
+        texts = family(rng, 25, edits) + family(rng, 10, 3)
+        seed = [f"s{k}" for k in range(16)]
+        # One seed in the middle of all: two families that are not alike.
+        texts = [t[:52] + seed + t[68:] for t in texts]
+        words, edges, at = flat_runs(texts, [52] * len(texts))
+        n = len(texts)
+        label, who = np.array([0, 0] + list(range(1, n - 1))), np.arange(n)
+        pairs, classes = compact.joined(words, edges, at, who, label, 1 + np.arange(n), 46, 0.8)
+        want, tried = label.copy(), 0
+        for i in range(n):
+            for j in range(i):
+                if label[i] or label[j]:
+                    tried += 1
+                    found = compact.verified(words[edges[i] : edges[i + 1]], words[edges[j] : edges[j + 1]], 46, 0.8)
+                    if any(s <= 52 <= e - 5 and f <= 52 <= g - 5 for s, e, f, g, _ in found):
+                        want[want == max(want[i], want[j])] = min(want[i], want[j])
+        assert [[x == y for x in classes] for y in classes] == [[x == y for x in want] for y in want]
+        assert len(pairs) == len(set(label)) - len(set(want)) < tried / 5
+
+
+def test_links_of_a_family_grow_with_its_copies(spark):
+    rng, counts = random.Random(33), []
+    made = lambda k: [f"v{rng.randrange(10**6)}" for _ in range(k)]
+    for n in (30, 120):
+        texts = [made(5) + t + made(5) for t in family(rng, n, 5)]
+        rows = [(d, " ".join(t)) for d, t in enumerate(texts)]
+        found = compact.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        counts.append(len(found))
+        # Every document that is like another one is in its class.
+        classes = {d: d for d in range(n)}
+        top = lambda d: d if classes[d] == d else top(classes[d])
+        for r in found:
+            classes[top(r.doc_id)] = top(r.other_id)
+        words, edges, _ = flat_runs(texts, [0] * n)
+        for i in range(n):
+            for j in range(i):
+                if top(i) != top(j):
+                    assert not compact.verified(words[edges[i] : edges[i + 1]], words[edges[j] : edges[j + 1]], 46, 0.8)
+    assert counts[1] <= 6 * counts[0]
+
+
+def test_names_of_many_blocks_make_the_same_classes(spark, monkeypatch):
+    rng = random.Random(35)
+    rows = [(d, " ".join(t)) for d, t in enumerate(family(rng, 40, 5) + family(rng, 10, 2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def classes():
+        tops = {d: d for d, _ in rows}
+        for r in compact.passages(df).collect():
+            one, two = tops[r.doc_id], tops[r.other_id]
+            tops = {d: min(one, two) if t in (one, two) else t for d, t in tops.items()}
+        return tops
+
+    whole = classes()
+    monkeypatch.setattr(compact, "BLOCK", 7)
+    assert classes() == whole

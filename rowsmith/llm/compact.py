@@ -296,16 +296,36 @@ def verified(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list
 def stretches(sa: np.ndarray, sb: np.ndarray, least: int, threshold: float, place: int = -1) -> list[tuple[int, int, int, int, float]]:
     """``verified`` of lists of shingles; with a ``place`` in the first one what does not lead to the stretch that holds it may be left out."""
     open_, out = [(0, len(sa))], []
+    if len(sb) < least or len(sa) < least:
+        return out
+    # Small whole numbers for the shingles: what the other list has is read off a table.
+    kinds, key = np.unique(np.concatenate([sa, sb]), return_inverse=True)
+    ka, kb, once = key[: len(sa)], key[len(sa) :], np.bincount(key, minlength=len(kinds))
+    where = np.full(len(kinds), -1)
+    where[kb] = np.arange(len(kb))
+    there = where[ka]
+    # No shingle stands twice in one list: each has one partner at most.
+    plain = once.max() <= 2 and np.count_nonzero(there >= 0) == len(sa) + len(sb) - len(kinds)
     # What is found below has a surplus of shared places over the threshold, on ``least`` places or more.
-    hits, fewest = np.append(0, np.cumsum(np.isin(sa, sb))), threshold * least / (2 - threshold) - 1e-9
-    if len(sb) < least or hits[-1] < least * threshold - 1e-9:
+    hits, fewest = np.append(0, np.cumsum(there >= 0)), threshold * least / (2 - threshold) - 1e-9
+    if hits[-1] < least * threshold - 1e-9:
         return out
+
+    def alike(start: int, stop: int, first: int, last: int) -> float:
+        if not plain:
+            return similarity_of(sa[start:stop], sb[first:last])
+        shared = int(np.count_nonzero((there[start:stop] >= first) & (there[start:stop] < last)))
+        return shared / max(1, stop - start + last - first - shared)
+
     while open_:
         low, high = open_.pop()
         # As in ``may_hold``.
         if high - low < least or (hits[low + least : high + 1] - hits[low : high - least + 1]).max() < fewest:
             continue
-        i, j = aligned(sa[low:high], sb)
+        if plain and (np.diff((own := there[low:high])[i := np.flatnonzero(own >= 0)]) > 0).all():
+            j = own[i]
+        else:
+            i, j = aligned(sa[low:high], sb)
         pair = best_pair(i, j, least, threshold)
         if pair:
             p, q = pair
@@ -314,15 +334,17 @@ def stretches(sa: np.ndarray, sb: np.ndarray, least: int, threshold: float, plac
             first, last = int(j[p]), int(j[q]) + 1
             stop, last = max(stop, min(high, start + least)), max(last, min(len(sb), first + least))
             start, first = min(start, max(low, stop - least)), min(first, max(0, last - least))
-            similarity = similarity_of(sa[start:stop], sb[first:last])
+            similarity = alike(start, stop, first, last)
         if not pair or similarity < threshold - 1e-9:
             # Without regard to order, for parts that have changed places and for shingles that repeat.
-            start, stop = best_run(np.isin(sa[low:high], sb), threshold)
+            start, stop = best_run(there[low:high] >= 0, threshold)
             start, stop = start + low, stop + low
             if stop - start < least:
                 continue
-            first, last = best_run(np.isin(sb, sa[start:stop]), threshold)
-            similarity = similarity_of(sa[start:stop], sb[first:last]) if last > first else 0.0
+            own = np.zeros(len(kinds), bool)
+            own[ka[start:stop]] = True
+            first, last = best_run(own[kb], threshold)
+            similarity = alike(start, stop, first, last) if last > first else 0.0
         if similarity >= threshold - 1e-9:
             out.append((start, stop + SHINGLE - 1, first, last + SHINGLE - 1, similarity))
         open_ += [x for x in ((low, start), (stop, high)) if place < 0 or x[0] <= place < x[1]]

@@ -13,12 +13,13 @@
    Runs of a name with the same words are joined to the first of them, which stands for them.
 4. A run whose shared seed begins in no passage verified with the one of the commonest words meets others of its name, by the
    words around the seed, those most alike first, until it is in one class with the centre; what is in one class already is
-   not compared. So two runs that are alike are always linked, if by way of others, and the links grow with the runs and not
-   with their pairs. A name of many runs is dealt out in blocks of BLOCK; what is left apart in one meets all other blocks.
+   not compared. So runs of a passage that holds their seeds are linked, if by way of others, and the links grow with the runs and
+   not with their pairs. A name of many runs is dealt out in blocks of BLOCK; what is left apart in one meets all other blocks.
    Of equal texts the one of the smallest id takes part, the others are linked to it as a whole. Words are verified by
    32-bit hashes.
 
 Not found: passages alike as sets only, whose shared parts repeat in another order and are all shorter than such a piece.
+Some passages of repeated lines are not found either where the other side has under MIN_WORDS words.
 Defined results: NULL and empty texts and texts of under MIN_WORDS words have no passage; repeats inside one document
 and rows that repeat id and text are not reported; rows that share an id, or have none, and differ in text are documents of
 their own; ``other_id`` is the smaller id, NULL the smallest; very long texts are taken whole; an empty table has no passages.
